@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,20 +59,20 @@ RECEIVED, CASE_CREATED, FAILED, FAILED_NO_RETRY = 1, 7, 9, 10
 STAGE_STATUS = (1, 1, 2, 3, 4, 4, 5, 6)
 
 
-def _lookup(key: Column, pairs, default: Column) -> Column:
-    """``CASE`` over literal pairs."""
-    first, *rest = pairs
-    chain = reduce(
-        lambda case, pair: case.when(key == pair[0], F.lit(pair[1])),
-        rest,
-        F.when(key == first[0], F.lit(first[1])),
-    )
-    return chain.otherwise(default)
+def _sql(value: str | int) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
+
+def _lookup(key: Column, pairs: Iterable[tuple]) -> Column:
+    """Value of ``key`` in a literal map, NULL if it has none."""
+    entries = ", ".join(f"{_sql(k)}, {_sql(v)}" for k, v in pairs)
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def status_description(status_code: Column) -> Column:
     """Text of a status code; text codes are cast leniently, anything else is unrecognised."""
-    return _lookup(status_code.try_cast("int"), STATUS_TEXT.items(), F.lit(UNKNOWN_STATUS_TEXT))
+    text = _lookup(status_code.try_cast("int"), STATUS_TEXT.items())
+    return F.coalesce(text, F.lit(UNKNOWN_STATUS_TEXT))
 
 
 def resume_stage(stage: Column, fallback: str = "B1") -> Column:
@@ -93,17 +93,17 @@ def skip_queueitem(stage: Column) -> Column:
 
 def stage_rank(stage: Column) -> Column:
     """Ordinal 1..8 of a stage, NULL for none."""
-    return _lookup(stage, [(s, i) for i, s in enumerate(STAGES, 1)], F.lit(None).cast("int"))
+    return _lookup(stage, [(s, i) for i, s in enumerate(STAGES, 1)])
 
 
 def stage_at(rank: Column) -> Column:
     """Inverse of ``stage_rank``; NULL outside 1..8."""
-    return _lookup(rank, list(enumerate(STAGES, 1)), F.lit(None).cast("string"))
+    return _lookup(rank, enumerate(STAGES, 1))
 
 
 def stage_status(rank: Column) -> Column:
     """Status code reached by completing the stage of this rank."""
-    return _lookup(rank, list(enumerate(STAGE_STATUS, 1)), F.lit(None).cast("int"))
+    return _lookup(rank, enumerate(STAGE_STATUS, 1))
 
 
 def normalise_stage(stage: Column) -> Column:
@@ -113,12 +113,12 @@ def normalise_stage(stage: Column) -> Column:
 
 def status_code_of(name: Column) -> Column:
     """Numeric code of a textual status, NULL if it is none of the ten."""
-    return _lookup(name, [(s, i) for i, s in enumerate(STATUS_NAMES, 1)], F.lit(None).cast("int"))
+    return _lookup(name, [(s, i) for i, s in enumerate(STATUS_NAMES, 1)])
 
 
-def status_name_of(code: Column, other: str | None = None) -> Column:
-    """Textual status of a code."""
-    return _lookup(code, list(enumerate(STATUS_NAMES, 1)), F.lit(other).cast("string"))
+def status_name_of(code: Column) -> Column:
+    """Textual status of a code, NULL if it has none."""
+    return _lookup(code, enumerate(STATUS_NAMES, 1))
 
 
 def tracking_status(status_code: Column, case_id: Column) -> Column:

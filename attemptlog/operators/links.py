@@ -6,13 +6,11 @@ adaptive execution splits that partition and repeats the one matching right part
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attemptlog.operators.latest import latest_attempt
-from attemptlog.operators.skew import spread_nulls
+from attemptlog.operators.skew import id_key, spread_nulls
 from attemptlog.session import materialize
 
 
@@ -32,18 +30,20 @@ def orphans(queue_items: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def lineage_parent(log: DataFrame) -> DataFrame:
-    """Each attempt with the attempt it was retried from."""
+    """Each attempt with the attempt it was retried from.
+
+    First attempts have no previous id; they are spread over all tasks.
+    """
     child = log.withColumn(
-        "_spread", spread_nulls(F.col("previous_email_instance_id"), F.col("email_instance_id"))
+        "_parent", spread_nulls(F.col("previous_email_instance_id"), F.col("email_instance_id"))
     )
     parent = log.select(
-        F.col("email_instance_id").alias("previous_email_instance_id"),
-        F.lit(0).cast("long").alias("_spread"),
+        id_key(F.col("email_instance_id")).alias("_parent"),
         F.col("attempt_number").alias("parent_attempt_number"),
         F.col("status_code").alias("parent_status_code"),
         F.col("last_completed_stage").alias("parent_stage"),
     )
-    return child.join(parent, ["previous_email_instance_id", "_spread"], "left").drop("_spread")
+    return child.join(parent, "_parent", "left").drop("_parent")
 
 
 def lineage_chain(log: DataFrame) -> DataFrame:
@@ -51,8 +51,8 @@ def lineage_chain(log: DataFrame) -> DataFrame:
 
     Every round joins each open row to the furthest ancestor found so far and adopts
     what that one knows, so a chain of n attempts takes log2(n) rounds. Each round is
-    written once to the shared folder. A missing parent ends the chain; rows caught in
-    a cycle are still open after the last round and get no root.
+    written once to the shared folder. A missing parent ends the chain. A round that
+    closes no row has only cycles left; their rows get no root.
     """
     step = materialize(
         log.select(
@@ -63,19 +63,22 @@ def lineage_chain(log: DataFrame) -> DataFrame:
         ),
         "lineage",
     )
-    rounds = math.ceil(math.log2(max(step.count(), 2))) + 1
-    for _ in range(rounds):
-        if step.filter("next IS NOT NULL").isEmpty():
-            break
-        known = step.select(
+    closed, is_open = [], F.col("next").isNotNull()
+    left, before = step.filter(is_open).count(), None
+    while left and left != before:
+        closed.append(step.filter(~is_open))
+        known = step
+        for part in closed[:-1]:
+            known = known.unionByName(part)
+        far = known.select(
             F.col("id").alias("next"),
             F.col("root").alias("far_root"),
             F.col("hops").alias("far_hops"),
             F.col("next").alias("far_next"),
         )
         moved = (
-            step.filter("next IS NOT NULL")
-            .join(known, "next", "left")
+            step.filter(is_open)
+            .join(far, "next", "left")
             .select(
                 "id",
                 F.coalesce("far_root", "root").alias("root"),
@@ -83,12 +86,14 @@ def lineage_chain(log: DataFrame) -> DataFrame:
                 F.col("far_next").alias("next"),
             )
         )
-        step = materialize(step.filter("next IS NULL").unionByName(moved), "lineage")
-    open_end = F.col("next").isNotNull()
+        step = materialize(moved, "lineage")
+        before, left = left, step.filter(is_open).count()
+    for part in closed:
+        step = step.unionByName(part)
     return step.select(
         F.col("id").alias("email_instance_id"),
-        F.when(~open_end, F.col("root")).alias("root_email_instance_id"),
-        F.when(~open_end, F.col("hops") + 1).alias("depth"),
+        F.when(~is_open, F.col("root")).alias("root_email_instance_id"),
+        F.when(~is_open, F.col("hops") + 1).alias("depth"),
     )
 
 

@@ -1,9 +1,9 @@
 """Exact quantiles of whole numbers without gathering a group's values.
 
-A quantile is found by counting: how many values fall in each coarse bucket, then in
-each finer bucket of the few that hold the wanted ranks, down to single values. Every
-step is a grouped count with map-side combining, and the tables it ranks are bounded by
-the number of buckets, not by the data.
+A quantile is found by counting: equal values are counted first, with map-side combining,
+then how many fall in each coarse bucket, in each finer bucket of the few that hold the
+wanted ranks, down to single values. What a window sorts is bounded by the number of
+buckets in one level, not by the data.
 """
 
 from __future__ import annotations
@@ -27,10 +27,12 @@ def exact_quantiles(
     Returns the group columns, ``n`` and one double column per entry of ``quantiles``.
     """
     levels = [f"_b{i}" for i in range(len(widths))]
-    data = (
-        df.filter(F.col(value).isNotNull())
-        .select(*groups, F.col(value).cast("long").alias("_v"))
-        .withColumns({b: F.expr(f"_v div {w}") for b, w in zip(levels, widths)})
+    counts = (
+        df.select(*groups, F.col(value).cast("long").alias("_v"))
+        .select(*groups, *[F.expr(f"_v div {w}").alias(b) for b, w in zip(levels, widths)])
+        .dropna(subset=levels)
+        .groupBy(*groups, *levels)
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
 
     wanted = []
@@ -49,27 +51,19 @@ def exact_quantiles(
     ranks = None
     for depth, level in enumerate(levels):
         parent = [*groups, *levels[:depth]]
-        rows = data if ranks is None else data.join(
-            ranks.select(*parent).distinct(), parent, "left_semi"
-        )
-        counted = rows.groupBy(*parent, level).agg(F.count(F.lit(1)).alias("_rows"))
-        whole = Window.partitionBy(*parent)
-        counted = counted.withColumn(
-            "_end", F.sum("_rows").over(whole.orderBy(level))
-        ).withColumn("_start", F.col("_end") - F.col("_rows"))
+        sizes = counts.groupBy(*parent, level).agg(F.sum("_rows").alias("_rows"))
         if ranks is None:
-            found = counted.withColumn("_total", F.sum("_rows").over(whole)).withColumn(
+            whole = Window.partitionBy(*groups)
+            placed = sizes.withColumn("_end", F.sum("_rows").over(whole.orderBy(level)))
+            found = placed.withColumn("_total", F.sum("_rows").over(whole)).withColumn(
                 "_want", F.explode(F.array(*wanted))
             )
         else:
-            found = counted.join(ranks, parent)
-        ranks = found.filter(
-            (F.col("_want.rank") >= F.col("_start")) & (F.col("_want.rank") < F.col("_end"))
-        ).select(
-            *parent,
-            level,
-            "_total",
-            F.col("_want").withField("rank", F.col("_want.rank") - F.col("_start")).alias("_want"),
+            inside = Window.partitionBy(*parent, "_want.name", "_want.side").orderBy(level)
+            found = sizes.join(ranks, parent).withColumn("_end", F.sum("_rows").over(inside))
+        rank, start = F.col("_want.rank"), F.col("_end") - F.col("_rows")
+        ranks = found.filter((rank >= start) & (rank < F.col("_end"))).select(
+            *parent, level, "_total", F.col("_want").withField("rank", rank - start).alias("_want")
         )
 
     picks = {

@@ -82,5 +82,13 @@ def order_within(
 
 
 def spread_nulls(key: Column, row_id: Column) -> Column:
-    """Second join key that scatters rows whose ``key`` is NULL (they match nothing)."""
-    return F.when(key.isNull(), F.xxhash64(row_id)).otherwise(F.lit(0).cast("long"))
+    """Join key that scatters rows whose ``key`` is NULL instead of gathering them.
+
+    The stand-in names the row itself and matches no id. Join it to ``id_key``.
+    """
+    return F.coalesce(id_key(key), F.concat(F.lit("none:"), id_key(row_id)))
+
+
+def id_key(value: Column) -> Column:
+    """An id as text."""
+    return value.cast("string")

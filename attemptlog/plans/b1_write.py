@@ -46,8 +46,13 @@ def route_requests(requests: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def request_prior(requests: DataFrame, log: DataFrame) -> DataFrame:
-    """Each request with the latest stored attempt of its activity, if any."""
-    prior = latest_attempt(log.select(*PRIOR)).select(
+    """Each request with what it may use of its activity's latest stored attempt, if any.
+
+    What may not be carried forward is cleared before the shuffle, which keeps most of
+    the long texts out of it.
+    """
+    reusable = carry_forward(resume_stage(F.col("last_completed_stage")))
+    prior = latest_attempt(log.select(*PRIOR).withColumns(reusable)).select(
         "activity_id", *[F.col(c).alias(f"prior_{c}") for c in PRIOR[1:]]
     )
     return requests.join(prior, "activity_id", "left")
@@ -84,24 +89,20 @@ def b1_write(log: DataFrame, requests: DataFrame, hot_rows: int = HOT_ROWS) -> D
     assigned = assign_attempts(requests, log, hot_rows)
     activity, attempt = F.col("activity_id"), F.col("attempt_number")
     first = F.col("prior_email_instance_id").isNull()
-    prior = assigned.select(
+    return assigned.select(
         "request_id",
+        instance_id(activity, attempt).alias("email_instance_id"),
         activity,
         attempt,
-        instance_id(activity, attempt).alias("email_instance_id"),
         F.when(F.col("request_number") > 1, instance_id(activity, attempt - 1))
         .otherwise(F.col("prior_email_instance_id").cast("string"))
         .alias("previous_email_instance_id"),
         "banker_subject",
+        *[F.col(f"prior_{c}").alias(c) for c in CARRY],
+        F.lit(RECEIVED).alias("status_code"),
         F.when(first, FIRST_STAGE)
         .otherwise(F.col("prior_last_completed_stage"))
         .alias("last_completed_stage"),
-        *[F.col(f"prior_{c}").alias(c) for c in CARRY],
-    )
-    return (
-        prior.withColumns(carry_forward(resume_stage(F.col("last_completed_stage"))))
-        .withColumn("status_code", F.lit(RECEIVED))
-        .select("request_id", *WRITTEN)
     )
 
 

@@ -55,7 +55,7 @@ def scan_email_instance(spark, sf):
 
 @query
 def scan_tracking(spark, sf):
-    log = derived.tracking(derived.attempts(spark, sf))
+    log = derived.tracking(derived.latest_rows(spark, sf))
     return log.withColumn("AgentConfidenceScore", F.col("AgentConfidenceScore").cast("double"))
 
 
@@ -181,7 +181,7 @@ def carry_forward(spark, sf):
 
 @query
 def status_map(spark, sf):
-    return derived.legacy(derived.attempts(spark, sf)).select(
+    return derived.legacy(derived.latest_rows(spark, sf)).select(
         "ActivityId", "StatusCode", st.status_code_of(F.col("StatusCode")).alias("status_code")
     )
 
@@ -241,12 +241,12 @@ def resume_scan(spark, sf):
 @query
 def correlation_lookup(spark, sf):
     wanted = derived.requests(spark, sf).select(F.col("activity_id").alias("CorrelationId"))
-    return lookups.correlation_lookup(derived.tracking(derived.attempts(spark, sf)), wanted)
+    return lookups.correlation_lookup(derived.tracking(derived.latest_rows(spark, sf)), wanted)
 
 
 @query
 def audit_range(spark, sf):
-    return latest.audit_range(derived.tracking(derived.attempts(spark, sf)), *AUDIT)
+    return latest.audit_range(derived.tracking(derived.latest_rows(spark, sf)), *AUDIT)
 
 
 @query
@@ -283,9 +283,9 @@ def checked(df: DataFrame, key: str, *rules) -> DataFrame:
 
 @query
 def chk_status(spark, sf):
-    log = derived.attempts(spark, sf)
-    old = checked(derived.legacy(log), "ActivityId", quality.status_rule("StatusCode"))
-    oldest = checked(derived.tracking(log), "ActivityId", quality.tracking_rule("Status"))
+    latest_rows = derived.latest_rows(spark, sf)
+    old = checked(derived.legacy(latest_rows), "ActivityId", quality.status_rule("StatusCode"))
+    oldest = checked(derived.tracking(latest_rows), "ActivityId", quality.tracking_rule("Status"))
     return old.unionByName(oldest)
 
 
@@ -592,7 +592,7 @@ def assign_attempts(spark, sf):
 
 @query
 def audit_page(spark, sf):
-    return latest.audit_page(derived.tracking(derived.attempts(spark, sf)), *AUDIT, PAGE)
+    return latest.audit_page(derived.tracking(derived.latest_rows(spark, sf)), *AUDIT, PAGE)
 
 
 @query
@@ -773,15 +773,15 @@ def stream_dedupe(spark, sf):
         return derived.intake_messages(streams.event_stream(spark, sf))
 
     twice = once().unionByName(once())
-    kept = intake.dedupe(twice, ["message_id"], "enqueued_date_time", "1 hour")
-    return streams.collect_appended(kept.select("message_id", "body"), "dedupe")
+    kept = intake.dedupe(twice, ["message_id"], "enqueued_date_time", "1 hour", "dedupe")
+    return kept.select("message_id", "body")
 
 
 @query
 def stream_b1_write(spark, sf):
-    folder = progress.open_log(derived.attempts(spark, sf), "attempts")
+    folder = progress.open_log(derived.attempts(spark, sf), "attempts", buckets=8)
     asked = streams.event_stream(spark, sf).withColumn("activity_id", F.expr(derived.ACTIVITY))
-    written = progress.write_attempts(derived.request_columns(asked), folder)
+    written = progress.write_attempts(derived.request_columns(asked), folder, buckets=8)
     return as_double(written).select("request_id", *b1.WRITTEN)
 
 

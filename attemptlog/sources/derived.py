@@ -8,21 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from attemptlog.functions.stages import (
+    FAILED,
+    FAILED_NO_RETRY,
+    STAGES,
     stage_at,
     stage_rank,
     status_name_of,
     tracking_status,
 )
-from attemptlog.operators.latest import latest_attempt
 from attemptlog.operators.skew import order_within
-
-EVENTS = StructType.fromDDL(
-    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
-    "props STRING"
-)
+from attemptlog.sources.schemas import EVENTS, LAYOUTS
 
 ACTIVITY = "CAST(user_id AS STRING) || '-' || CAST(CAST(ts AS DATE) AS STRING)"
 
@@ -43,6 +40,9 @@ DOC_TIMEOUT = (
 )
 
 
+STAGE_LIST = "array(" + ", ".join(f"'{s}'" for s in STAGES) + ")"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
@@ -51,59 +51,42 @@ def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).withColumn("activity_id", F.expr(ACTIVITY))
 
 
-def _minutes(n: int):
-    return F.expr(f"ts + INTERVAL '{n}' MINUTE")
-
-
-def _every(n: int):
-    return F.col("event_id") % n == 0
-
-
 def attempt_columns(df: DataFrame) -> DataFrame:
-    """Every attempt column except the ones that need the order within the activity."""
-    event, kind = F.col("event_id"), F.col("event_type")
-    text = event.cast("string")
-    details = (
-        F.when(_every(11), "not json")
-        .when(_every(17), DOC_MANY)
-        .when(_every(7), DOC_DOTTED)
-        .when(_every(3), DOC_AUTH)
-        .otherwise(DOC_TIMEOUT)
-    )
-    score = (((event * 37) % 10001).cast("double") / 10000).cast("decimal(5,4)")
+    """Every attempt column; the ones that need an order only if ``df`` brings them."""
     ordered = [c for c in ("attempt_number", "previous_email_instance_id") if c in df.columns]
-    return df.select(
-        event.alias("email_instance_id"),
+    return df.selectExpr(
+        "event_id AS email_instance_id",
         "activity_id",
         *ordered,
-        F.when(~_every(50), event).alias("correlation_id"),
-        F.col("props").alias("banker_subject"),
-        F.concat(F.lit("subj_"), (event % 20).cast("string")).alias("agent_subject"),
-        F.when(~_every(5), (event % 4).cast("int")).alias("agent_priority_code"),
-        F.when(_every(3), "High").when(event % 3 == 1, "Normal").otherwise("Low").alias(
-            "agent_case_priority"
-        ),
-        F.concat(F.lit("case "), text).alias("agent_case_description"),
-        F.concat(F.lit('{"r":'), text, F.lit("}")).alias("agent_response"),
-        _every(2).alias("agent_action_flag"),
-        score.alias("agent_confidence_score"),
-        F.when(_every(13), "not json").otherwise(F.col("props")).alias("crm_case_payload"),
-        F.when(kind == "purchase", event + 1000000).alias("crm_case_id"),
-        F.when(kind == "error", F.when(_every(4), 10).otherwise(9))
-        .when(kind == "purchase", 6)
-        .when(kind == "click", 4)
-        .otherwise((event % 12).cast("int"))
-        .alias("status_code"),
-        stage_at((event % 9).cast("int")).alias("last_completed_stage"),
-        F.when(kind == "error", details).alias("status_details"),
-        F.col("ts").alias("created_date_time"),
-        _minutes(30).alias("modified_date_time"),
-        F.when(kind == "purchase", _minutes(45)).alias("case_created_date_time"),
-        _every(10).alias("banker_modified_flag"),
-        F.lit(3).alias("max_retries"),
-        F.concat(F.lit("tax_v"), (event % 2).cast("string")).alias("taxonomy_version"),
-        F.concat(F.lit("prompt_v"), (F.col("user_id") % 3).cast("string")).alias("prompt_version"),
-        F.concat(F.lit("agent_v"), (F.col("user_id") % 2).cast("string")).alias("agent_version"),
+        "CASE WHEN event_id % 50 <> 0 THEN event_id END AS correlation_id",
+        "props AS banker_subject",
+        "'subj_' || (event_id % 20) AS agent_subject",
+        "CASE WHEN event_id % 5 <> 0 THEN CAST(event_id % 4 AS INT) END AS agent_priority_code",
+        "elt(event_id % 3 + 1, 'High', 'Normal', 'Low') AS agent_case_priority",
+        "'case ' || event_id AS agent_case_description",
+        "'{\"r\":' || event_id || '}' AS agent_response",
+        "event_id % 2 = 0 AS agent_action_flag",
+        "CAST(CAST(event_id * 37 % 10001 AS DOUBLE) / 10000 AS DECIMAL(5,4))"
+        " AS agent_confidence_score",
+        "CASE WHEN event_id % 13 = 0 THEN 'not json' ELSE props END AS crm_case_payload",
+        "CASE WHEN event_type = 'purchase' THEN event_id + 1000000 END AS crm_case_id",
+        f"CASE event_type WHEN 'error' THEN IF(event_id % 4 = 0, {FAILED_NO_RETRY}, {FAILED})"
+        " WHEN 'purchase' THEN 6 WHEN 'click' THEN 4 ELSE CAST(event_id % 12 AS INT) END"
+        " AS status_code",
+        f"get({STAGE_LIST}, CAST(event_id % 9 AS INT) - 1) AS last_completed_stage",
+        f"CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 11 = 0 THEN 'not json'"
+        f" WHEN event_id % 17 = 0 THEN '{DOC_MANY}' WHEN event_id % 7 = 0 THEN '{DOC_DOTTED}'"
+        f" WHEN event_id % 3 = 0 THEN '{DOC_AUTH}' ELSE '{DOC_TIMEOUT}' END END"
+        " AS status_details",
+        "ts AS created_date_time",
+        "ts + INTERVAL '30' MINUTE AS modified_date_time",
+        "CASE WHEN event_type = 'purchase' THEN ts + INTERVAL '45' MINUTE END"
+        " AS case_created_date_time",
+        "event_id % 10 = 0 AS banker_modified_flag",
+        "3 AS max_retries",
+        "'tax_v' || (event_id % 2) AS taxonomy_version",
+        "'prompt_v' || (user_id % 3) AS prompt_version",
+        "'agent_v' || (user_id % 2) AS agent_version",
     )
 
 
@@ -126,18 +109,32 @@ def attempts(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame
     return attempt_columns(numbered)
 
 
+def latest_rows(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """Only the latest attempt of each activity: its number is how many there are."""
+    rows = keyed_events(spark, sf_dir).filter("event_type <> 'view'").filter(where)
+    carried = [c for c in rows.columns if c != "activity_id"]
+    newest = (
+        rows.groupBy("activity_id")
+        .agg(
+            F.count(F.lit(1)).cast("int").alias("attempt_number"),
+            F.max_by(F.struct(*carried), F.struct("ts", "event_id")).alias("_newest"),
+        )
+        .select("activity_id", "attempt_number", "_newest.*")
+    )
+    return attempt_columns(newest)
+
+
 def queue_item_columns(keyed: DataFrame) -> DataFrame:
-    event = F.col("event_id")
-    return keyed.select(
-        event.alias("queue_item_id"),
+    return keyed.selectExpr(
+        "event_id AS queue_item_id",
         "activity_id",
-        F.when(_every(5), "PhoneCall").otherwise("Email").alias("item_type"),
-        F.when(~_every(4), F.when(_every(7), "OTHER").otherwise("AAB OPS")).alias("owner_id"),
-        F.when(_every(3), event).alias("regarding_id"),
-        F.concat(F.lit("queue_"), (F.col("user_id") % 4).cast("string")).alias("queue_name"),
-        F.col("ts").alias("received_date_time"),
-        _minutes(2).alias("enqueued_date_time"),
-        F.when(~_every(6), _minutes(5)).alias("processed_date_time"),
+        "IF(event_id % 5 = 0, 'PhoneCall', 'Email') AS item_type",
+        "CASE WHEN event_id % 4 <> 0 THEN IF(event_id % 7 = 0, 'OTHER', 'AAB OPS') END AS owner_id",
+        "CASE WHEN event_id % 3 = 0 THEN event_id END AS regarding_id",
+        "'queue_' || (user_id % 4) AS queue_name",
+        "ts AS received_date_time",
+        "ts + INTERVAL '2' MINUTE AS enqueued_date_time",
+        "CASE WHEN event_id % 6 <> 0 THEN ts + INTERVAL '5' MINUTE END AS processed_date_time",
     )
 
 
@@ -171,87 +168,49 @@ def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.join(owners, "event_id").select("attachment_id", "activity_id", "file_name")
 
 
-def legacy(log: DataFrame) -> DataFrame:
-    """The log in the oldest attempt layout: one row per e-mail, textual status."""
-    return latest_attempt(log).select(
-        F.col("activity_id").alias("ActivityId"),
-        F.col("agent_subject").alias("ClassifiedSubject"),
-        F.col("agent_case_priority").alias("Priority"),
-        F.col("agent_case_description").alias("CaseSummary"),
-        F.col("agent_action_flag").alias("IsActionable"),
-        F.col("agent_confidence_score").alias("AgentConfidenceScore"),
-        F.col("crm_case_payload").alias("CasePayload"),
-        status_name_of(F.col("status_code"), "Bogus").alias("StatusCode"),
-        F.col("status_details").alias("StatusDetails"),
-        (F.col("attempt_number") - 1).alias("RetryCount"),
-        F.col("correlation_id").alias("CorrelationId"),
-        F.col("created_date_time").alias("CreatedDateTime"),
-        F.col("modified_date_time").alias("ModifiedDateTime"),
-        F.col("case_created_date_time").alias("CaseCreatedDateTime"),
-        F.col("banker_modified_flag").alias("BankerModifiedFlag"),
-    )
-
-
-def legacy_snake(log: DataFrame) -> DataFrame:
-    """The same in snake case."""
-    names = {
-        "ActivityId": "activity_id", "ClassifiedSubject": "classified_subject",
-        "Priority": "priority", "CaseSummary": "case_summary", "IsActionable": "is_actionable",
-        "AgentConfidenceScore": "agent_confidence_score", "CasePayload": "case_payload",
-        "StatusCode": "status_code", "StatusDetails": "status_details",
-        "RetryCount": "retry_count", "CorrelationId": "correlation_id",
-        "CreatedDateTime": "created_date_time", "ModifiedDateTime": "modified_date_time",
-        "CaseCreatedDateTime": "case_created_date_time",
-        "BankerModifiedFlag": "banker_modified_flag",
-    }
-    return legacy(log).withColumnsRenamed(names)
-
-
-def per_attempt_named(log: DataFrame, with_stage: bool) -> DataFrame:
-    """The row-per-attempt layouts with textual status."""
-    stage = [
-        F.col("previous_email_instance_id").alias("previous_correlation_id"),
-        F.col("last_completed_stage"),
-    ]
-    return log.select(
-        F.col("email_instance_id").alias("correlation_id"),
-        "activity_id",
-        "attempt_number",
-        F.col("banker_subject").alias("subject"),
-        F.col("agent_subject").alias("classified_subject"),
-        F.col("agent_case_priority").alias("priority"),
-        F.col("agent_case_description").alias("case_summary"),
-        F.col("agent_action_flag").alias("is_actionable"),
-        "agent_confidence_score",
-        F.col("crm_case_payload").alias("case_payload"),
-        F.col("crm_case_id").alias("case_id"),
-        status_name_of(F.col("status_code"), "Bogus").alias("status_code"),
-        "status_details",
-        "created_date_time",
-        "modified_date_time",
-        "case_created_date_time",
-        "banker_modified_flag",
-        *(stage if with_stage else []),
-    )
-
-
-def tracking(log: DataFrame) -> DataFrame:
-    """The row-per-e-mail ancestor."""
-    retried = F.col("attempt_number") > 1
-    return latest_attempt(log).select(
-        F.col("activity_id").alias("ActivityId"),
-        F.col("activity_id").alias("CorrelationId"),
-        tracking_status(F.col("status_code"), F.col("crm_case_id")).alias("Status"),
-        F.get_json_object("status_details", "$.error_code").alias("StatusCode"),
-        F.col("agent_subject").alias("AgentSubjectName"),
-        F.col("agent_priority_code").alias("AgentPriorityCode"),
-        F.col("agent_confidence_score").alias("AgentConfidenceScore"),
-        F.col("crm_case_id").alias("CaseId"),
-        F.col("case_created_date_time").alias("CaseCreatedOn"),
-        (F.col("attempt_number") - 1).alias("RetryCount"),
-        F.when(retried, F.col("created_date_time")).alias("LastRetryAt"),
-        F.col("created_date_time").alias("CreatedAt"),
-        F.col("modified_date_time").alias("UpdatedAt"),
+def named_status(log: DataFrame) -> DataFrame:
+    """The log with the textual status of older layouts; unknown codes break their rule."""
+    name = F.coalesce(status_name_of(F.col("status_code")), F.lit("Bogus"))
+    return log.withColumn("status_code", name)
+
+
+def in_layout(log: DataFrame, version: str) -> DataFrame:
+    """A log with the columns of an older layout, under the names they had there."""
+    layout = LAYOUTS[version]
+    if not layout.per_attempt:
+        log = log.withColumn("attempt_number", F.col("attempt_number") - 1)
+    if layout.status == "name":
+        log = named_status(log)
+    # Where one old column became two, the first of them is its value.
+    sources: dict[str, str] = {}
+    for c, old in layout.columns.items():
+        if c in log.columns:
+            sources.setdefault(old, c)
+    return log.selectExpr(*[f"{c} AS {old}" for old, c in sources.items()])
+
+
+def legacy(latest: DataFrame) -> DataFrame:
+    """Latest attempts in the first layout with textual status, one row per e-mail."""
+    return in_layout(latest, "v1")
+
+
+def tracking(latest: DataFrame) -> DataFrame:
+    """Latest attempts in the layout of the tracking table."""
+    status = tracking_status(F.col("status_code"), F.col("crm_case_id"))
+    return latest.withColumn("status", status).selectExpr(
+        "activity_id AS ActivityId",
+        "activity_id AS CorrelationId",
+        "status AS Status",
+        "get_json_object(status_details, '$.error_code') AS StatusCode",
+        "agent_subject AS AgentSubjectName",
+        "agent_priority_code AS AgentPriorityCode",
+        "agent_confidence_score AS AgentConfidenceScore",
+        "crm_case_id AS CaseId",
+        "case_created_date_time AS CaseCreatedOn",
+        "attempt_number - 1 AS RetryCount",
+        "CASE WHEN attempt_number > 1 THEN created_date_time END AS LastRetryAt",
+        "created_date_time AS CreatedAt",
+        "modified_date_time AS UpdatedAt",
     )
 
 
@@ -270,16 +229,6 @@ ERAS = (
 
 def history(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The log as it would lie in storage: each era in the layout of its time."""
-    shapes = {
-        "tracking": tracking,
-        "v1": legacy,
-        "sc": legacy_snake,
-        "v3": legacy_snake,
-        "v4": lambda log: per_attempt_named(log, with_stage=False),
-        "v6": lambda log: per_attempt_named(log, with_stage=True),
-        "v7": lambda log: per_attempt_named(log, with_stage=True),
-        "ddl": lambda log: log.drop("correlation_id", "agent_priority_code"),
-    }
     frames = {}
     for i, (version, start) in enumerate(ERAS):
         bounds = []
@@ -287,7 +236,9 @@ def history(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             bounds.append(f"ts >= TIMESTAMP_NTZ '{start} 00:00:00'")
         if i + 1 < len(ERAS):
             bounds.append(f"ts < TIMESTAMP_NTZ '{ERAS[i + 1][1]} 00:00:00'")
-        frames[version] = shapes[version](attempts(spark, sf_dir, " AND ".join(bounds)))
+        rows = attempts if LAYOUTS[version].per_attempt else latest_rows
+        log = rows(spark, sf_dir, " AND ".join(bounds))
+        frames[version] = tracking(log) if version == "tracking" else in_layout(log, version)
     return frames
 
 

@@ -4,90 +4,132 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
-
-EMAIL_INSTANCE = StructType.fromDDL(
-    """
-    email_instance_id STRING NOT NULL COMMENT 'primary key, one per attempt',
-    activity_id STRING NOT NULL COMMENT 'the e-mail, the same over all its attempts',
-    attempt_number INT NOT NULL COMMENT 'counts up from 1 per activity',
-    previous_email_instance_id STRING COMMENT 'attempt this one was retried from',
-    correlation_id STRING COMMENT 'tracing key of older layouts',
-    banker_subject STRING COMMENT 'subject as pulled for this attempt',
-    agent_subject STRING,
-    agent_priority_code INT COMMENT 'numeric priority of the oldest layout',
-    agent_case_priority STRING,
-    agent_case_description STRING,
-    agent_response STRING,
-    agent_action_flag BOOLEAN,
-    agent_confidence_score DECIMAL(5,4),
-    crm_case_payload STRING COMMENT 'JSON',
-    crm_case_id STRING COMMENT 'set once the case was posted',
-    status_code INT,
-    last_completed_stage STRING COMMENT 'highest stage this attempt completed',
-    status_details STRING COMMENT 'JSON diagnosis',
-    created_date_time TIMESTAMP_NTZ NOT NULL,
-    modified_date_time TIMESTAMP_NTZ NOT NULL,
-    case_created_date_time TIMESTAMP_NTZ,
-    banker_modified_flag BOOLEAN NOT NULL COMMENT 'a banker changed the case afterwards',
-    error_type STRING,
-    max_retries INT,
-    crm_received_date_time TIMESTAMP_NTZ,
-    agent_version STRING,
-    taxonomy_version STRING,
-    prompt_version STRING,
-    agent_name STRING
-    """
+from pyspark.sql.types import (
+    BooleanType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
 )
 
-QUEUE_ITEM = StructType.fromDDL(
-    """
-    queue_item_id STRING NOT NULL COMMENT 'primary key',
-    activity_id STRING NOT NULL,
-    item_type STRING COMMENT 'gate A2: Email',
-    owner_id STRING COMMENT 'gate A3: AAB OPS',
-    regarding_id STRING COMMENT 'gate A4: must be NULL',
-    gate_result STRING,
-    queue_status_code STRING,
-    service_bus_message_id STRING,
-    queue_id STRING,
-    queue_name STRING,
-    worked_by STRING,
-    received_date_time TIMESTAMP_NTZ COMMENT 'released by the CRM',
-    enqueued_date_time TIMESTAMP_NTZ COMMENT 'put on the queue',
-    processed_date_time TIMESTAMP_NTZ COMMENT 'picked up',
-    retry_count INT,
-    correlation_id STRING
-    """
+STRING, INT, LONG, BOOLEAN = StringType(), IntegerType(), LongType(), BooleanType()
+DOUBLE, SCORE, TIME = DoubleType(), DecimalType(5, 4), TimestampNTZType()
+
+# Columns declared NOT NULL.
+REQUIRED = {
+    "email_instance": [
+        "email_instance_id", "activity_id", "attempt_number", "created_date_time",
+        "modified_date_time", "banker_modified_flag",
+    ],
+    "queue_item": ["queue_item_id", "activity_id", "queue_id"],
+    "email_attachment": ["attachment_id", "activity_id"],
+    "tracking": ["ActivityId", "CorrelationId", "Status", "RetryCount", "CreatedAt", "UpdatedAt"],
+}
+
+
+def _table(name: str, *columns: tuple) -> StructType:
+    """Schema from (column, type[, comment]); required columns are not nullable."""
+    required = REQUIRED.get(name, ())
+    return StructType(
+        [
+            StructField(column, kind, column not in required, {"comment": note[0]} if note else {})
+            for column, kind, *note in columns
+        ]
+    )
+
+
+EMAIL_INSTANCE = _table(
+    "email_instance",
+    ("email_instance_id", STRING, "primary key, one per attempt"),
+    ("activity_id", STRING, "the e-mail, the same over all its attempts"),
+    ("attempt_number", INT, "counts up from 1 per activity"),
+    ("previous_email_instance_id", STRING, "attempt this one was retried from"),
+    ("correlation_id", STRING, "tracing key of older layouts"),
+    ("banker_subject", STRING, "subject as pulled for this attempt"),
+    ("agent_subject", STRING),
+    ("agent_priority_code", INT, "numeric priority of the oldest layout"),
+    ("agent_case_priority", STRING),
+    ("agent_case_description", STRING),
+    ("agent_response", STRING),
+    ("agent_action_flag", BOOLEAN),
+    ("agent_confidence_score", SCORE),
+    ("crm_case_payload", STRING, "JSON"),
+    ("crm_case_id", STRING, "set once the case was posted"),
+    ("status_code", INT),
+    ("last_completed_stage", STRING, "highest stage this attempt completed"),
+    ("status_details", STRING, "JSON diagnosis"),
+    ("created_date_time", TIME),
+    ("modified_date_time", TIME),
+    ("case_created_date_time", TIME),
+    ("banker_modified_flag", BOOLEAN, "a banker changed the case afterwards"),
+    ("error_type", STRING),
+    ("max_retries", INT),
+    ("crm_received_date_time", TIME),
+    ("agent_version", STRING),
+    ("taxonomy_version", STRING),
+    ("prompt_version", STRING),
+    ("agent_name", STRING),
+)
+
+QUEUE_ITEM = _table(
+    "queue_item",
+    ("queue_item_id", STRING, "primary key"),
+    ("activity_id", STRING),
+    ("item_type", STRING, "gate A2: Email"),
+    ("owner_id", STRING, "gate A3: AAB OPS"),
+    ("regarding_id", STRING, "gate A4: must be NULL"),
+    ("gate_result", STRING),
+    ("queue_status_code", STRING),
+    ("service_bus_message_id", STRING),
+    ("queue_id", STRING),
+    ("queue_name", STRING),
+    ("worked_by", STRING),
+    ("received_date_time", TIME, "released by the CRM"),
+    ("enqueued_date_time", TIME, "put on the queue"),
+    ("processed_date_time", TIME, "picked up"),
+    ("retry_count", INT),
+    ("correlation_id", STRING),
+)
+
+EMAIL_ATTACHMENT = _table(
+    "email_attachment",
+    ("attachment_id", STRING, "primary key"),
+    ("activity_id", STRING),
+    ("file_name", STRING),
+    ("content_type", STRING),
+    ("dataverse_attachment_ref", STRING, "pointer, never the content"),
 )
 
-EMAIL_ATTACHMENT = StructType.fromDDL(
-    """
-    attachment_id STRING NOT NULL COMMENT 'primary key',
-    activity_id STRING NOT NULL,
-    file_name STRING,
-    content_type STRING,
-    dataverse_attachment_ref STRING COMMENT 'pointer, never the content'
-    """
+TRACKING = _table(
+    "tracking",
+    ("ActivityId", STRING, "primary key, one row per e-mail"),
+    ("CorrelationId", STRING, "equals ActivityId"),
+    ("Status", STRING, "InProgress, Completed or Failed"),
+    ("StatusCode", STRING, "detail code of a failure"),
+    ("AgentSubjectId", STRING),
+    ("AgentSubjectName", STRING),
+    ("AgentPriorityCode", INT),
+    ("AgentConfidenceScore", SCORE),
+    ("CaseId", STRING),
+    ("CaseCreatedOn", TIME),
+    ("RetryCount", INT),
+    ("LastRetryAt", TIME),
+    ("CreatedAt", TIME),
+    ("UpdatedAt", TIME),
 )
 
-TRACKING = StructType.fromDDL(
-    """
-    ActivityId STRING NOT NULL COMMENT 'primary key, one row per e-mail',
-    CorrelationId STRING NOT NULL COMMENT 'equals ActivityId',
-    Status STRING NOT NULL COMMENT 'InProgress, Completed or Failed',
-    StatusCode STRING COMMENT 'detail code of a failure',
-    AgentSubjectId STRING,
-    AgentSubjectName STRING,
-    AgentPriorityCode INT,
-    AgentConfidenceScore DECIMAL(5,4),
-    CaseId STRING,
-    CaseCreatedOn TIMESTAMP_NTZ,
-    RetryCount INT NOT NULL,
-    LastRetryAt TIMESTAMP_NTZ,
-    CreatedAt TIMESTAMP_NTZ NOT NULL,
-    UpdatedAt TIMESTAMP_NTZ NOT NULL
-    """
+EVENTS = _table(
+    "events",
+    ("event_id", LONG),
+    ("ts", TIME),
+    ("user_id", LONG),
+    ("event_type", STRING),
+    ("value", DOUBLE),
+    ("props", STRING),
 )
 
 TABLES = {
@@ -97,17 +139,6 @@ TABLES = {
     "tracking": TRACKING,
 }
 
-# Columns declared NOT NULL.
-REQUIRED = {
-    "email_instance": [
-        "email_instance_id", "activity_id", "attempt_number", "created_date_time",
-        "modified_date_time", "banker_modified_flag",
-    ],
-    "queue_item": ["queue_item_id", "activity_id", "queue_id"],
-    "email_attachment": ["attachment_id", "activity_id"],
-    "tracking": ["ActivityId", "CorrelationId", "Status", "RetryCount", "CreatedAt", "UpdatedAt"],
-}
-
 # NVARCHAR lengths.
 LENGTHS = {
     "email_instance": {

@@ -11,45 +11,46 @@ from attemptlog.functions.stages import CASE_CREATED, FAILED, RECEIVED, status_c
 from attemptlog.plans.status_view import with_derived
 from attemptlog.sources.schemas import DEFAULTS, EMAIL_INSTANCE, LAYOUTS, TABLES
 
-ID_COLUMNS = {
-    "email_instance_id", "activity_id", "previous_email_instance_id", "correlation_id",
+ID_COLUMNS = (
+    "email_instance_id",
+    "activity_id",
+    "previous_email_instance_id",
+    "correlation_id",
     "crm_case_id",
-}
+)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Give ``df`` the columns and types of ``schema``; missing columns are NULL."""
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name, metadata=f.metadata)
+            f"CAST({f.name if f.name in df.columns else 'NULL'} AS {f.dataType.simpleString()})"
+            f" AS {f.name}"
             for f in schema
         ]
     )
 
 
+# A status of the tracking table stands for one of the codes it was collapsed from.
+TRACKING_CODE = f"""CASE {{}} WHEN 'InProgress' THEN {RECEIVED}
+WHEN 'Completed' THEN {CASE_CREATED} WHEN 'Failed' THEN {FAILED} END"""
+
+
 def to_canonical(df: DataFrame, version: str) -> DataFrame:
     """Rows of any layout as attempts of the current one, tagged with their version."""
     layout = LAYOUTS[version]
-    present = {c: F.col(old) for c, old in layout.columns.items() if old in df.columns}
+    present = {c: old for c, old in layout.columns.items() if old in df.columns}
     if not layout.per_attempt:
-        present["attempt_number"] = present["attempt_number"].cast("int") + 1
+        present["attempt_number"] += " + 1"
+    if layout.status == "tracking":
+        present["status_code"] = TRACKING_CODE.format(present["status_code"])
+    ids = {c: canonical_id(F.col(c)) for c in ID_COLUMNS if c in present}
+    named = df.selectExpr(*[f"{v} AS {c}" for c, v in present.items()]).withColumns(ids)
     if layout.status == "name":
-        present["status_code"] = status_code_of(present["status_code"])
-    elif layout.status == "tracking":
-        status = present["status_code"]
-        present["status_code"] = (
-            F.when(status == "InProgress", RECEIVED)
-            .when(status == "Completed", CASE_CREATED)
-            .when(status == "Failed", FAILED)
-        )
-    present = {c: canonical_id(v) if c in ID_COLUMNS else v for c, v in present.items()}
+        named = named.withColumn("status_code", status_code_of(F.col("status_code")))
     if "email_instance_id" not in present:
-        present["email_instance_id"] = instance_id(
-            present["activity_id"], present["attempt_number"]
-        )
-    named = df.select(*[v.alias(c) for c, v in present.items()])
+        own = instance_id(F.col("activity_id"), F.col("attempt_number").cast("int"))
+        named = named.withColumn("email_instance_id", own)
     return conform(named, EMAIL_INSTANCE).withColumn("schema_version", F.lit(version))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attemptlog.session import shared_dir
-from attemptlog.streaming.tables import BATCH, read_rows, run_available, with_event_time
+from attemptlog.streaming.tables import BATCH, read_rows, run_available
 
 BODY = "activity_id STRING, subject STRING, _corrupt STRING"
 
@@ -32,9 +32,39 @@ def intake_source(messages: DataFrame) -> DataFrame:
     )
 
 
-def dedupe(messages: DataFrame, key: list[str], time: str, delay: str) -> DataFrame:
-    """One row per key among those that arrive within ``delay`` of each other."""
-    return with_event_time(messages, time, delay).dropDuplicatesWithinWatermark(key)
+def dedupe(messages: DataFrame, key: list[str], time: str, delay: str, name: str) -> DataFrame:
+    """The first of the messages with one key that arrive within ``delay`` of each other.
+
+    Copies within a batch collapse before the shuffle, so one message repeated without
+    end is no hot key. Earlier batches are asked only for what ``delay`` reaches back to.
+    """
+    spark = messages.sparkSession
+    folder = shared_dir(spark, name)
+    columns = messages.columns
+    spark.createDataFrame([], messages.schema).write.parquet(f"{folder}/rows/{BATCH}=-1")
+    reach = F.expr(f"INTERVAL '{delay}'")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first = (
+            batch.groupBy(*key)
+            .agg(F.min_by(F.struct(*columns), F.struct(time)).alias("_first"))
+            .select("_first.*")
+        )
+        since = batch.agg((F.min(time) - reach).alias("since")).first()["since"]
+        seen = (
+            read_rows(batch.sparkSession, folder)
+            .filter((F.col(BATCH) < batch_id) & (F.col(time) >= F.lit(since)))
+            .select(*key, F.col(time).alias("_seen"))
+        )
+        close = [first[k].eqNullSafe(seen[k]) for k in key]
+        close.append(F.col(time) <= F.col("_seen") + reach)
+        close.append(F.col(time) >= F.col("_seen") - reach)
+        first.join(seen, close, "left_anti").write.mode("overwrite").parquet(
+            f"{folder}/rows/{BATCH}={batch_id}"
+        )
+
+    run_available(messages, folder, write)
+    return read_rows(spark, folder).drop(BATCH)
 
 
 def split_late(stream: DataFrame, time: str, delay: str, name: str) -> DataFrame:

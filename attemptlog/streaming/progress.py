@@ -14,6 +14,8 @@ from attemptlog.sources.schemas import EMAIL_INSTANCE
 from attemptlog.sources.tables import apply_defaults, conform
 from attemptlog.streaming.tables import BATCH, read_rows, run_available, with_event_time
 
+BUCKET = "activity_bucket"
+BUCKETS = 256
 STORED = StructType([*EMAIL_INSTANCE.fields, StructField("request_id", StringType())])
 
 
@@ -23,28 +25,55 @@ def log_rows(df: DataFrame) -> DataFrame:
     return conform(df.withColumn("request_id", request.cast("string")), STORED)
 
 
-def open_log(log: DataFrame, name: str) -> str:
+def bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """Add the bucket of each row's activity."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64("activity_id"), F.lit(buckets)).cast("int"))
+
+
+def store_batch(rows: DataFrame, folder: str, batch_id: int, buckets: int) -> None:
+    """Replace one batch of a stored log, split by activity bucket.
+
+    Rebalancing keeps files few and cuts a bucket that a busy activity makes too large.
+    """
+    (
+        bucketed(log_rows(rows), buckets)
+        .hint("rebalance", BUCKET)
+        .write.mode("overwrite")
+        .partitionBy(BUCKET)
+        .parquet(f"{folder}/rows/{BATCH}={batch_id}")
+    )
+
+
+def open_log(log: DataFrame, name: str, buckets: int = BUCKETS) -> str:
     """Store ``log`` as a table that micro-batches append to; returns its folder."""
     folder = shared_dir(log.sparkSession, name)
-    log_rows(log).write.parquet(f"{folder}/rows/{BATCH}=-1")
+    store_batch(log, folder, -1, buckets)
     return folder
 
 
-def write_attempts(requests: DataFrame, folder: str) -> DataFrame:
+def write_attempts(requests: DataFrame, folder: str, buckets: int = BUCKETS) -> DataFrame:
     """Answer each micro-batch of requests with its new attempts; returns those.
 
-    A batch reads the log without its own output and replaces that output, and ids come
-    from (activity, attempt): repeating a batch leaves the same rows.
+    A batch reads only the buckets its activities fall in, without its own output, and
+    replaces that output. Ids come from (activity, attempt): repeating a batch leaves the
+    same rows.
     """
     spark = requests.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        log = read_rows(batch.sparkSession, folder).filter(F.col(BATCH) < batch_id)
+        asked = batch.select("activity_id").distinct()
+        # At most ``buckets`` numbers.
+        hit = [row[BUCKET] for row in bucketed(asked, buckets).select(BUCKET).distinct().collect()]
+        log = (
+            read_rows(batch.sparkSession, folder)
+            .filter((F.col(BATCH) < batch_id) & F.col(BUCKET).isin(hit))
+            .join(asked, "activity_id", "left_semi")
+        )
         new_rows = apply_defaults(b1_write(log, batch), "email_instance")
-        log_rows(new_rows).write.mode("overwrite").parquet(f"{folder}/rows/{BATCH}={batch_id}")
+        store_batch(new_rows, folder, batch_id, buckets)
 
     run_available(requests, folder, write)
-    return read_rows(spark, folder).filter(F.col(BATCH) >= 0).drop(BATCH)
+    return read_rows(spark, folder).filter(F.col(BATCH) >= 0).drop(BATCH, BUCKET)
 
 
 def fold_stages(events: DataFrame, name: str) -> DataFrame:

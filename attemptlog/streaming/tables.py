@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attemptlog.session import shared_dir
-from attemptlog.sources.derived import EVENTS
+from attemptlog.sources.schemas import EVENTS
 
 BATCH = "batch_id"
 
