@@ -39,7 +39,10 @@ def is_json(text: Column) -> Column:
 
 
 def json_value(text: Column, path: str) -> Column:
-    """Scalar at ``path`` as text; NULL if absent, a container, too long or not JSON."""
+    """Scalar at ``path`` as text; NULL if absent, a container, too long or not JSON.
+
+    Numbers come in their shortest form: 1.50 as 1.5.
+    """
     node = F.try_variant_get(F.try_parse_json(text), path, "variant")
     value = F.get_json_object(text, path)
     return F.when(

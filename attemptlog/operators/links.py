@@ -1,7 +1,7 @@
 """Joins between the log, its queue items, its attachments and itself.
 
-The right side of every join is unique on its key. Where the left side has a hot key,
-adaptive execution splits that partition and repeats the one matching right partition.
+The right side of every join is unique on its key. Hot keys on the left are salted, or,
+where both sides are plain scans, split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attemptlog.operators.latest import latest_attempt
-from attemptlog.operators.skew import id_key, spread_nulls
+from attemptlog.operators.skew import id_key, join_unique, spread_nulls
 from attemptlog.session import materialize
 
 
@@ -19,14 +19,9 @@ def activities(df: DataFrame) -> DataFrame:
     return df.select("activity_id").distinct()
 
 
-def without_attempt(df: DataFrame, log: DataFrame) -> DataFrame:
-    """Rows whose activity has no attempt."""
-    return df.join(activities(log), "activity_id", "left_anti")
-
-
 def orphans(queue_items: DataFrame, log: DataFrame) -> DataFrame:
     """Queued activities that never reached the log."""
-    return without_attempt(activities(queue_items), log)
+    return activities(queue_items).join(activities(log), "activity_id", "left_anti")
 
 
 def lineage_parent(log: DataFrame) -> DataFrame:
@@ -102,7 +97,7 @@ def lineage_chain_clean(log: DataFrame) -> DataFrame:
     root = log.groupBy("activity_id").agg(
         F.min_by("email_instance_id", "attempt_number").alias("root_email_instance_id")
     )
-    return log.join(root, "activity_id").select(
+    return join_unique(log, root, ["activity_id"], "left").select(
         "email_instance_id",
         "root_email_instance_id",
         F.col("attempt_number").cast("long").alias("depth"),
@@ -117,7 +112,7 @@ def queue_latest(queue_items: DataFrame, log: DataFrame) -> DataFrame:
             "last_completed_stage",
         )
     )
-    return queue_items.join(latest, "activity_id", "left")
+    return join_unique(queue_items, latest, ["activity_id"], "left")
 
 
 def attachment_latest(attachments: DataFrame, log: DataFrame) -> DataFrame:

@@ -11,11 +11,17 @@ from pyspark.sql import functions as F
 
 from attemptlog.functions.documents import failed_stage
 from attemptlog.functions.stages import FAILED, resume_stage
+from attemptlog.operators.skew import join_unique
+
+
+def having(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose key is in the list ``wanted``; repeated list entries collapse first."""
+    return join_unique(df, wanted.distinct(), wanted.columns, "left_semi")
 
 
 def attempts_of_activity(log: DataFrame, activities: DataFrame) -> DataFrame:
     """All attempts of the given activities."""
-    return log.join(activities.select("activity_id"), "activity_id", "left_semi")
+    return having(log, activities.select("activity_id"))
 
 
 def failed(log: DataFrame) -> DataFrame:
@@ -36,7 +42,7 @@ def resume_scan(log: DataFrame, point: str) -> DataFrame:
 def correlation_lookup(tracking: DataFrame, correlations: DataFrame) -> DataFrame:
     """Status, case and creation time by correlation id."""
     wanted = correlations.select("CorrelationId")
-    return tracking.join(wanted, "CorrelationId", "left_semi").select(
+    return having(tracking, wanted).select(
         "CorrelationId", "Status", "CaseId", "CreatedAt"
     )
 
@@ -44,15 +50,13 @@ def correlation_lookup(tracking: DataFrame, correlations: DataFrame) -> DataFram
 def subject_filter(log: DataFrame, pairs: DataFrame) -> DataFrame:
     """Failed attempts by subject and activity."""
     wanted = pairs.select("banker_subject", "activity_id")
-    return failed(log).join(wanted, ["banker_subject", "activity_id"], "left_semi")
+    return having(failed(log), wanted)
 
 
 def lineage_lookup(log: DataFrame, sources: DataFrame) -> DataFrame:
     """Retries that took their data from the given rows."""
     wanted = sources.select(F.col("email_instance_id").alias("previous_email_instance_id"))
-    return log.filter("previous_email_instance_id IS NOT NULL").join(
-        wanted, "previous_email_instance_id", "left_semi"
-    )
+    return having(log.filter("previous_email_instance_id IS NOT NULL"), wanted)
 
 
 def stuck_scan(log: DataFrame, cutoff: str) -> DataFrame:

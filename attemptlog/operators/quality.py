@@ -19,6 +19,7 @@ from attemptlog.functions.stages import (
     STATUS_NAMES,
     TRACKING_STATUSES,
 )
+from attemptlog.operators.skew import join_unique
 
 # Columns that may never hold raw message content.
 RAW_CONTENT_COLUMNS = ("body_html", "body_text", "sender_email", "sender_contact_id")
@@ -127,8 +128,8 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
 
 def missing_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent."""
-    return child.filter(F.col(key).isNotNull()).join(
-        parent.select(key).distinct(), key, "left_anti"
+    return join_unique(
+        child.filter(F.col(key).isNotNull()), parent.select(key).distinct(), [key], "left_anti"
     )
 
 
@@ -136,16 +137,21 @@ def sequence_breaks(log: DataFrame) -> DataFrame:
     """Attempts that do not follow on: a gap before them, or a wrong previous id.
 
     The attempt before is looked up by (activity, number), which spreads a hot
-    activity over all tasks.
+    activity over all tasks. Of several attempts with one number the lowest id counts, so
+    copies do not multiply.
     """
-    before = log.select(
-        "activity_id",
-        (F.col("attempt_number") + 1).alias("attempt_number"),
-        F.col("email_instance_id").alias("expected_previous_id"),
+    before = log.groupBy(
+        "activity_id", (F.col("attempt_number") + 1).alias("attempt_number")
+    ).agg(F.min("email_instance_id").alias("expected_previous_id"))
+    checked = join_unique(
+        log.select(
+            "email_instance_id", "activity_id", "attempt_number", "previous_email_instance_id"
+        ),
+        before,
+        ["activity_id", "attempt_number"],
+        "left",
+        hot_by=["activity_id"],
     )
-    checked = log.select(
-        "email_instance_id", "activity_id", "attempt_number", "previous_email_instance_id"
-    ).join(before, ["activity_id", "attempt_number"], "left")
     gap = (F.col("attempt_number") != 1) & F.col("expected_previous_id").isNull()
     wrong = ~F.col("previous_email_instance_id").eqNullSafe(F.col("expected_previous_id"))
     return checked.withColumn(

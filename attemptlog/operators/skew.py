@@ -1,11 +1,16 @@
-"""Ordered work inside groups of any size.
-
-A plain window sorts a whole group in one task. Here the few keys that hold more
-than ``hot_rows`` rows are found first with a partial aggregation; their groups are
-cut into chunks that follow the order (a minute, a range of attempt numbers), the
-window runs per chunk, and per-chunk totals join the pieces up again. Keys below the
-limit keep one chunk, so they pay for the counting pass only. Results are the same
-for every limit.
+"""Ordering and joining groups of any size.
+
+A plain window sorts a whole group in one task, and a plain join sends all rows of a key
+to one. Here the few keys that hold more than ``hot_rows`` rows are found first with a
+partial aggregation. For ordering, their groups are cut into chunks that follow the order
+(a minute, a range of attempt numbers), the window runs per chunk, and per-chunk totals
+join the pieces up again. For joining, their rows are spread over salts and the one row
+they meet is repeated per salt. Keys below the limit take the plain path and pay for the
+counting pass only; where no key is hot, adaptive execution drops the other branch.
+Results are the same for every limit.
+
+Adaptive execution alone does not do this: it never splits a window, and it splits a join
+only where both sides come straight from a shuffle, not from a ranking or an aggregate.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 # Size bound of the broadcast. Further keys take the plain path and stay exact.
 MAX_HOT_KEYS = 10_000
+SALTS = 256
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -81,6 +87,32 @@ def order_within(
     )
 
 
+def join_unique(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    how: str,
+    counted: DataFrame | None = None,
+    hot_by: list[str] | None = None,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join (left, left_semi or left_anti) to a side with one row per key.
+
+    ``counted`` is a cheaper frame with the same keys to find hot ones in; ``hot_by`` the
+    keys to count by, if not all of ``keys``.
+    """
+    by = hot_by or keys
+    hot = F.broadcast(hot_keys(counted or left, by, hot_rows).drop("_hot"))
+    plain = left.join(hot, by, "left_anti").join(right, keys, how)
+    salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    spread = left.join(hot, by, "left_semi").withColumn("_salt", salt)
+    repeated = right.join(hot, by, "left_semi").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    return plain.unionByName(spread.join(repeated, [*keys, "_salt"], how).drop("_salt"))
+
+
 def spread_nulls(key: Column, row_id: Column) -> Column:
     """Join key that scatters rows whose ``key`` is NULL instead of gathering them.
 

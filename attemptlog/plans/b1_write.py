@@ -21,7 +21,7 @@ from attemptlog.functions.stages import (
     skip_queueitem,
 )
 from attemptlog.operators.latest import latest_attempt
-from attemptlog.operators.skew import HOT_ROWS, order_within
+from attemptlog.operators.skew import HOT_ROWS, join_unique, order_within
 
 PRIOR = ["activity_id", "email_instance_id", "attempt_number", "last_completed_stage", *CARRY]
 WRITTEN = [
@@ -39,13 +39,18 @@ WRITTEN = [
 def route_requests(requests: DataFrame, log: DataFrame) -> DataFrame:
     """Mark each request as a retry or a first attempt."""
     known = log.select("activity_id").distinct().withColumn("_known", F.lit(True))
-    return requests.join(known, "activity_id", "left").select(
+    return join_unique(requests, known, ["activity_id"], "left").select(
         *requests.columns,
         F.when(F.col("_known"), "retry").otherwise("first").alias("route"),
     )
 
 
-def request_prior(requests: DataFrame, log: DataFrame) -> DataFrame:
+def request_prior(
+    requests: DataFrame,
+    log: DataFrame,
+    counted: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Each request with what it may use of its activity's latest stored attempt, if any.
 
     What may not be carried forward is cleared before the shuffle, which keeps most of
@@ -55,7 +60,7 @@ def request_prior(requests: DataFrame, log: DataFrame) -> DataFrame:
     prior = latest_attempt(log.select(*PRIOR).withColumns(reusable)).select(
         "activity_id", *[F.col(c).alias(f"prior_{c}") for c in PRIOR[1:]]
     )
-    return requests.join(prior, "activity_id", "left")
+    return join_unique(requests, prior, ["activity_id"], "left", counted, hot_rows=hot_rows)
 
 
 def request_order(requests: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -75,7 +80,8 @@ def assign_attempts(
 ) -> DataFrame:
     """Requests with their prior attempt and the attempt number they get."""
     stored = F.coalesce("prior_attempt_number", F.lit(0))
-    return request_prior(request_order(requests, hot_rows), log).withColumn(
+    ordered = request_order(requests, hot_rows)
+    return request_prior(ordered, log, requests, hot_rows).withColumn(
         "attempt_number", (stored + F.col("request_number")).cast("int")
     )
 

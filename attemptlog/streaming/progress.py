@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from attemptlog.functions.stages import STAGES
+from attemptlog.operators.lookups import attempts_of_activity
 from attemptlog.plans.b1_write import b1_write
 from attemptlog.plans.folds import stage_progress
 from attemptlog.session import shared_dir
@@ -64,11 +65,10 @@ def write_attempts(requests: DataFrame, folder: str, buckets: int = BUCKETS) ->
         asked = batch.select("activity_id").distinct()
         # At most ``buckets`` numbers.
         hit = [row[BUCKET] for row in bucketed(asked, buckets).select(BUCKET).distinct().collect()]
-        log = (
-            read_rows(batch.sparkSession, folder)
-            .filter((F.col(BATCH) < batch_id) & F.col(BUCKET).isin(hit))
-            .join(asked, "activity_id", "left_semi")
+        stored = read_rows(batch.sparkSession, folder).filter(
+            (F.col(BATCH) < batch_id) & F.col(BUCKET).isin(hit)
         )
+        log = attempts_of_activity(stored, asked)
         new_rows = apply_defaults(b1_write(log, batch), "email_instance")
         store_batch(new_rows, folder, batch_id, buckets)
 
