@@ -54,20 +54,25 @@ def attempt_history(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             "_highest": -F.col("attempt_number"),
         }
     )
-    minute = F.floor(F.col("_newest") / F.lit(60_000_000))
+    second = F.expr("floor(_newest / 1000000)")
     return order_within(
-        keyed, ["activity_id"], ["_newest", "_highest"], minute, "recency", hot_rows=hot_rows
+        keyed,
+        ["activity_id"],
+        ["_newest", "_highest"],
+        [second],
+        "recency",
+        hot_rows=hot_rows,
     ).drop("_newest", "_highest")
 
 
 def retry_gap(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Seconds since the previous attempt of the same activity; NULL on the first."""
-    chunk = F.floor(F.col("attempt_number") / F.lit(ATTEMPT_CHUNK))
+    chunk = F.expr(f"floor(attempt_number / {ATTEMPT_CHUNK})")
     ordered = order_within(
         log,
         ["activity_id"],
         ["attempt_number", "email_instance_id"],
-        chunk,
+        [chunk],
         "_n",
         {"previous_created": "created_date_time"},
         hot_rows,

@@ -40,53 +40,72 @@ def order_within(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    chunk: Column,
+    chunks: list[Column],
     number: str,
     previous: dict[str, str] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number rows per key in ascending ``order`` and fetch values of the row before.
 
-    ``chunk`` must not decrease along ``order``. ``previous`` maps a new column to the
-    column whose preceding value it takes (NULL on the first row).
+    ``chunks`` cut a hot group, each finer than the one before, for pieces that are still
+    hot; within its piece a chunk must not decrease along ``order``. ``previous`` maps a
+    new column to the column whose preceding value it takes (NULL on the first row).
     """
-    previous = previous or {}
-    marked = df.join(F.broadcast(hot_keys(df, keys, hot_rows)), keys, "left").withColumn(
-        "_chunk", F.when(F.col("_hot"), chunk)
+    return _order_pieces(df, df, keys, order, chunks, number, previous or {}, hot_rows)
+
+
+def _order_pieces(df, counted, keys, order, chunks, number, previous, hot_rows):
+    if not chunks:
+        within = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(number, F.row_number().over(within).cast("long")).withColumns(
+            {name: F.lag(source).over(within) for name, source in previous.items()}
+        )
+    here, hot, piece = f"_n{len(chunks)}", f"_hot{len(chunks)}", f"_chunk{len(chunks)}"
+    found = hot_keys(counted, keys, hot_rows).withColumnRenamed("_hot", hot)
+    marked = df.join(F.broadcast(found), keys, "left").withColumn(
+        piece, F.when(F.col(hot), chunks[0])
     )
-    within = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    local = marked.withColumn("_n", F.row_number().over(within)).withColumns(
-        {f"_p_{name}": F.lag(source).over(within) for name, source in previous.items()}
+    hot_part, inner = marked.filter(hot), [*keys, piece]
+    before = {f"{here}_{name}": source for name, source in previous.items()}
+    local = _order_pieces(
+        marked, hot_part, inner, order, chunks[1:], here, before, hot_rows
     )
 
     last = F.max_by(
         F.struct(F.lit(True).alias("_any"), *[F.col(s).alias(n) for n, s in previous.items()]),
         F.struct(*order),
     )
-    along = Window.partitionBy(*keys).orderBy("_chunk")
+    along = Window.partitionBy(*keys).orderBy(piece)
     joints = (
-        marked.filter("_hot")
-        .groupBy(*keys, "_chunk")
+        hot_part.groupBy(*inner)
         .agg(F.count(F.lit(1)).alias("_rows"), last.alias("_last"))
         .select(
-            *keys,
-            "_chunk",
+            *inner,
             F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
             F.lag("_last").over(along).alias("_joint"),
         )
     )
 
-    opens_chunk = (F.col("_n") == 1) & F.col("_joint").isNotNull()
-    return local.join(joints, [*keys, "_chunk"], "left").select(
+    opens_piece = (F.col(here) == 1) & F.col("_joint").isNotNull()
+    return local.join(joints, inner, "left").select(
         *df.columns,
-        (F.col("_n") + F.coalesce("_before", F.lit(0))).alias(number),
+        (F.col(here) + F.coalesce("_before", F.lit(0))).alias(number),
         *[
-            F.when(opens_chunk, F.col(f"_joint.{name}")).otherwise(F.col(f"_p_{name}")).alias(name)
+            F.when(opens_piece, F.col(f"_joint.{name}")).otherwise(F.col(f"{here}_{name}"))
+            .alias(name)
             for name in previous
         ],
     )
 
 
+def time_chunks(column: str) -> list[Column]:
+    """Pieces for an order that starts with a time: its seconds.
+
+    Where more than ``HOT_ROWS`` rows of a key fall in one second, add a finer chunk.
+    """
+    return [F.date_trunc("second", column)]
+
+
 def join_unique(
     left: DataFrame,
     right: DataFrame,

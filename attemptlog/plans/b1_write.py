@@ -21,7 +21,7 @@ from attemptlog.functions.stages import (
     skip_queueitem,
 )
 from attemptlog.operators.latest import latest_attempt
-from attemptlog.operators.skew import HOT_ROWS, join_unique, order_within
+from attemptlog.operators.skew import HOT_ROWS, join_unique, order_within, time_chunks
 
 PRIOR = ["activity_id", "email_instance_id", "attempt_number", "last_completed_stage", *CARRY]
 WRITTEN = [
@@ -69,7 +69,7 @@ def request_order(requests: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         requests,
         ["activity_id"],
         ["requested_at", "request_id"],
-        F.date_trunc("minute", "requested_at"),
+        time_chunks("requested_at"),
         "request_number",
         hot_rows=hot_rows,
     )

@@ -18,7 +18,7 @@ from attemptlog.functions.stages import (
     status_name_of,
     tracking_status,
 )
-from attemptlog.operators.skew import order_within
+from attemptlog.operators.skew import order_within, time_chunks
 from attemptlog.sources.schemas import EVENTS, LAYOUTS
 
 ACTIVITY = "CAST(user_id AS STRING) || '-' || CAST(CAST(ts AS DATE) AS STRING)"
@@ -102,7 +102,7 @@ def attempts(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame
         rows,
         ["activity_id"],
         ["ts", "event_id"],
-        F.date_trunc("minute", "ts"),
+        time_chunks("ts"),
         "attempt_number",
         {"previous_email_instance_id": "event_id"},
     ).withColumn("attempt_number", F.col("attempt_number").cast("int"))

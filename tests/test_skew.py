@@ -28,24 +28,29 @@ def skewed(spark):
     return spark.createDataFrame(data, "id int, k string, place int").repartition(8, "id")
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1, 10, 500, 10**9])
-def test_order_within_equals_a_plain_window(skewed, hot_rows):
+@pytest.mark.parametrize("levels", [1, 2, 3])
+@pytest.mark.parametrize("hot_rows", [0, 3, 500, 10**9])
+def test_order_within_equals_a_plain_window(skewed, hot_rows, levels):
+    chunks = [
+        F.floor(F.col("place") / 50), F.col("place"), F.floor(F.col("id") / 16)
+    ][:levels]
     w = Window.partitionBy("k").orderBy("place", "id")
     want = skewed.select(
         "id", "k", "place", F.row_number().over(w).cast("long"), F.lag("id").over(w),
         F.lag("place").over(w),
     )
     got = order_within(
-        skewed, ["k"], ["place", "id"], F.floor(F.col("place") / 50), "n",
+        skewed, ["k"], ["place", "id"], chunks, "n",
         {"before": "id", "before_place": "place"}, hot_rows,
     )
     assert rows(got) == rows(want)
 
 
-def test_order_within_without_order_values(skewed):
+def test_order_within_a_burst_at_one_time(skewed):
     one = skewed.withColumn("place", F.lit(1))
     w = Window.partitionBy("k").orderBy("place", "id")
-    got = order_within(one, ["k"], ["place", "id"], F.col("place"), "n", hot_rows=5)
+    chunks = [F.col("place"), F.floor(F.col("id") / 100)]
+    got = order_within(one, ["k"], ["place", "id"], chunks, "n", hot_rows=5)
     assert rows(got) == rows(one.withColumn("n", F.row_number().over(w).cast("long")))
 
 
