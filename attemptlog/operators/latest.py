@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attemptlog.operators.skew import HOT_ROWS, join_unique, order_within
+from attemptlog.operators.skew import HOT_ROWS, order_within
 
 # Attempts per chunk of a hot activity.
 ATTEMPT_CHUNK = 65_536
@@ -29,11 +29,12 @@ def max_attempt(log: DataFrame) -> DataFrame:
 
 
 def latest_join(log: DataFrame) -> DataFrame:
-    """Latest attempt by joining back to the maximum; ties return every tied row."""
+    """Latest attempt by joining back to the maximum; ties return every tied row.
+
+    The join is on (activity, number), so a hot activity is spread over all tasks.
+    """
     top = max_attempt(log).withColumnRenamed("max_attempt_number", "attempt_number")
-    return join_unique(
-        log, top, ["activity_id", "attempt_number"], "left_semi", hot_by=["activity_id"]
-    )
+    return log.join(top, ["activity_id", "attempt_number"], "left_semi")
 
 
 def latest_columns(log: DataFrame, columns: list[str], extra=()) -> DataFrame:

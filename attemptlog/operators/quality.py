@@ -138,20 +138,17 @@ def sequence_breaks(log: DataFrame) -> DataFrame:
 
     The attempt before is looked up by (activity, number), which spreads a hot
     activity over all tasks. Of several attempts with one number the lowest id counts, so
-    copies do not multiply.
+    copies do not multiply; both sides come from a shuffle of the join's own, so adaptive
+    execution can split a number that has very many copies.
     """
-    before = log.groupBy(
-        "activity_id", (F.col("attempt_number") + 1).alias("attempt_number")
-    ).agg(F.min("email_instance_id").alias("expected_previous_id"))
-    checked = join_unique(
-        log.select(
-            "email_instance_id", "activity_id", "attempt_number", "previous_email_instance_id"
-        ),
-        before,
-        ["activity_id", "attempt_number"],
-        "left",
-        hot_by=["activity_id"],
+    before = (
+        log.groupBy("activity_id", "attempt_number")
+        .agg(F.min("email_instance_id").alias("expected_previous_id"))
+        .withColumn("attempt_number", F.col("attempt_number") + 1)
     )
+    checked = log.select(
+        "email_instance_id", "activity_id", "attempt_number", "previous_email_instance_id"
+    ).join(before, ["activity_id", "attempt_number"], "left")
     gap = (F.col("attempt_number") != 1) & F.col("expected_previous_id").isNull()
     wrong = ~F.col("previous_email_instance_id").eqNullSafe(F.col("expected_previous_id"))
     return checked.withColumn(

@@ -112,21 +112,20 @@ def join_unique(
     keys: list[str],
     how: str,
     counted: DataFrame | None = None,
-    hot_by: list[str] | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join (left, left_semi or left_anti) to a side with one row per key.
 
-    ``counted`` is a cheaper frame with the same keys to find hot ones in; ``hot_by`` the
-    keys to count by, if not all of ``keys``.
+    ``counted`` is a cheaper frame with the same keys to find hot ones in. At most
+    ``MAX_HOT_KEYS`` rows of ``right`` are repeated, once per salt.
     """
-    by = hot_by or keys
-    hot = F.broadcast(hot_keys(counted or left, by, hot_rows).drop("_hot"))
-    plain = left.join(hot, by, "left_anti").join(right, keys, how)
+    counted = left if counted is None else counted
+    hot = F.broadcast(hot_keys(counted, keys, hot_rows).drop("_hot"))
+    plain = left.join(hot, keys, "left_anti").join(right, keys, how)
     salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    spread = left.join(hot, by, "left_semi").withColumn("_salt", salt)
-    repeated = right.join(hot, by, "left_semi").withColumn(
+    spread = left.join(hot, keys, "left_semi").withColumn("_salt", salt)
+    repeated = right.join(hot, keys, "left_semi").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     return plain.unionByName(spread.join(repeated, [*keys, "_salt"], how).drop("_salt"))

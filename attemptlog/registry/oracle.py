@@ -959,18 +959,20 @@ SELECT window_start, window_start + INTERVAL '12 hours' AS window_end, status_co
   COUNT(*) AS attempts FROM placed GROUP BY 1,2,3""",
     "attempts",
 )
+add("stream_late", "SELECT event_id, FALSE AS late FROM events")
+# What the watermark lets a finished run emit: everything that closed before the newest
+# event time, less the allowed delay.
 add(
     "stream_sessions",
     """, gaps AS (SELECT activity_id, ts, CASE WHEN ts >= LAG(ts) OVER w + INTERVAL '2 hours' THEN 1 ELSE 0 END AS opens
   FROM keyed WINDOW w AS (PARTITION BY activity_id ORDER BY ts)),
-runs AS (SELECT activity_id, ts, SUM(opens) OVER (PARTITION BY activity_id ORDER BY ts) AS run FROM gaps)
+runs AS (SELECT activity_id, ts, SUM(opens) OVER (PARTITION BY activity_id ORDER BY ts) AS run FROM gaps),
+mark AS (SELECT MAX(ts) - INTERVAL '1 hour' AS w FROM keyed)
 SELECT activity_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL '2 hours' AS session_end,
-  COUNT(*) AS events FROM runs GROUP BY activity_id, run""",
+  COUNT(*) AS events FROM runs GROUP BY activity_id, run
+HAVING MAX(ts) + INTERVAL '2 hours' <= (SELECT w FROM mark)""",
     "keyed",
 )
-add("stream_late", "SELECT event_id, FALSE AS late FROM events")
-# What the watermark lets a finished run emit: everything that closed before the newest
-# event time, less the allowed delay.
 add(
     "stream_orphans",
     """, mark AS (SELECT LEAST(MAX(ts) FILTER (event_type IN ('view','click')),

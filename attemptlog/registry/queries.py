@@ -809,8 +809,9 @@ def stream_status_sliding(spark, sf):
 
 @query
 def stream_sessions(spark, sf):
+    """Finished bursts: a session is emitted, and forgotten, once the watermark passes it."""
     keyed = streams.event_stream(spark, sf).withColumn("activity_id", F.expr(derived.ACTIVITY))
-    return streams.collect_complete(progress.sessions(keyed, "2 hours"), "sessions")
+    return streams.collect_appended(progress.sessions(keyed, "2 hours"), "sessions")
 
 
 @query

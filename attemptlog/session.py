@@ -33,12 +33,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     Only a local session may fall back to a temporary folder; a cluster has to
     name one that every executor can reach.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/attemptlog/{name}-{uuid.uuid4().hex}"
 
 

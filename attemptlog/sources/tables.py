@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from attemptlog.functions.identity import canonical_id, instance_id, named_id
 from attemptlog.functions.stages import CASE_CREATED, FAILED, RECEIVED, status_code_of
 from attemptlog.plans.status_view import with_derived
 from attemptlog.sources.schemas import DEFAULTS, EMAIL_INSTANCE, LAYOUTS, TABLES
 
+DAY = "created_day"
 ID_COLUMNS = (
     "email_instance_id",
     "activity_id",
@@ -64,7 +65,8 @@ def version_union(frames: dict[str, DataFrame]) -> DataFrame:
 
 def scan(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Typed read of a current-layout table."""
-    return spark.read.schema(TABLES[table]).parquet(path)
+    schema = TABLES[table]
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def scan_version(spark: SparkSession, path: str, version: str) -> DataFrame:
@@ -100,11 +102,28 @@ def insertable(new_rows: DataFrame, now: str | None = None) -> DataFrame:
 
 
 def append(df: DataFrame, path: str) -> None:
-    """Append to a log laid out by creation day, so that audit ranges prune."""
-    day = F.to_date("created_date_time")
+    """Append to a log laid out by creation day, so that audit ranges prune.
+
+    Rebalancing writes few files per day and cuts the days that are large.
+    """
     (
-        df.withColumn("created_day", day)
+        df.withColumn(DAY, F.to_date("created_date_time"))
+        .hint("rebalance", DAY)
         .write.mode("append")
-        .partitionBy("created_day")
+        .partitionBy(DAY)
+        .parquet(path)
+    )
+
+
+def scan_range(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
+    """Attempts created in ``[start, end)``; only the days of the range are read."""
+    low, high = (F.lit(bound).cast("timestamp_ntz") for bound in (start, end))
+    schema = StructType([*EMAIL_INSTANCE.fields, StructField(DAY, DateType())])
+    created, day = F.col("created_date_time"), F.col(DAY)
+    return (
+        spark.read.schema(schema)
         .parquet(path)
+        .filter((day >= low.cast("date")) & (day <= high.cast("date")))
+        .filter((created >= low) & (created < high))
+        .drop(DAY)
     )

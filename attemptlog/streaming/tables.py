@@ -31,30 +31,24 @@ def run_available(
     folder: str,
     write: Callable[[DataFrame, int], None] | None = None,
     mode: str = "append",
-) -> list[int]:
-    """Process everything available; returns the ids of the batches written here.
+) -> None:
+    """Process everything available.
 
     Without ``write`` every batch goes to ``folder/rows/batch_id=N``. Writing a batch
     again replaces its own folder, so a batch repeated after a failure changes nothing.
     """
-    done = []
 
-    def default(batch: DataFrame, batch_id: int) -> None:
+    def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/rows/{BATCH}={batch_id}")
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        (write or default)(batch, batch_id)
-        done.append(batch_id)
-
     query = (
-        stream.writeStream.foreachBatch(sink)
+        stream.writeStream.foreachBatch(write or store)
         .outputMode(mode)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return done
 
 
 def read_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,14 +64,6 @@ def collect_appended(stream: DataFrame, name: str) -> DataFrame:
     return read_rows(spark, folder).drop(BATCH)
 
 
-def collect_complete(stream: DataFrame, name: str) -> DataFrame:
-    """The last full result of a complete-mode stream."""
-    spark = stream.sparkSession
-    folder = shared_dir(spark, name)
-    done = run_available(stream, folder, mode="complete")
-    return read_rows(spark, folder).filter(F.col(BATCH) == max(done)).drop(BATCH)
-
-
 def collect_updated(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """The newest version of every row of an update-mode stream."""
     spark = stream.sparkSession

@@ -15,7 +15,7 @@ from attemptlog.plans.b1_write import WRITTEN, b1_write, insert_first, insert_re
 from attemptlog.sources import derived, tables
 from attemptlog.sources.schemas import EMAIL_INSTANCE
 
-from conftest import rows
+from conftest import final_plan, rows
 
 RESUME = dict(zip(STAGES, ["B4", "B4", "B4", "B4", "B7", "B8", "B9"]))
 LOG_DDL = (
@@ -268,9 +268,12 @@ def test_log_round_trip(spark, sf, tmp_path):
     grown = tables.scan(spark, path, "email_instance")
     assert grown.count() == log.count() + requests.count()
     assert grown.groupBy("activity_id", "attempt_number").count().filter("count > 1").count() == 0
-    day = spark.read.parquet(path).filter("created_day = DATE'2024-01-03'")
-    plan = day._jdf.queryExecution().executedPlan().toString()
+    some = tables.scan_range(spark, path, "2024-01-03 06:00:00", "2024-01-04")
+    plan = final_plan(some)
     assert "PartitionFilters: [isnotnull(created_day" in plan
+    assert "PushedFilters: [IsNotNull(created_date_time), GreaterThanOrEqual(" in plan
+    inside = "created_date_time >= '2024-01-03 06:00:00' AND created_date_time < '2024-01-04'"
+    assert rows(some) == rows(grown.filter(inside))
 
 
 def test_scan_of_every_layout(spark, sf, tmp_path):

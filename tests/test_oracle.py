@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from attemptlog.registry.provenance import PROVENANCE
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -51,8 +52,8 @@ def test_same_rows(spark, sf, duck, key):
     assert got == want
 
 
-def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+def test_every_query_has_sql_and_provenance():
+    assert set(entry_points.queries()) == set(entry_points.oracle_sql()) == set(PROVENANCE)
 
 
 def test_entry(spark):

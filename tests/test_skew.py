@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from attemptlog.operators import latest
 from attemptlog.operators.links import lineage_parent
+from attemptlog.operators.quality import sequence_breaks
 from attemptlog.operators.quantiles import exact_quantiles
 from attemptlog.operators.skew import hot_keys, join_unique, order_within, spread_nulls
 from attemptlog.plans.b1_write import b1_write
@@ -173,6 +174,32 @@ def test_adaptive_split_of_a_hot_parent(spark):
             spark.conf.unset(key)
 
 
+def test_copies_of_one_attempt_are_split_and_not_multiplied(spark):
+    switches = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    for key, value in switches.items():
+        spark.conf.set(key, value)
+    try:
+        copy = F.col("id") % 3 == 0
+        log = spark.range(0, 60000, 1, 8).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("email_instance_id"),
+            F.when(copy, "a").otherwise(F.concat(F.lit("a"), "id")).alias("activity_id"),
+            F.when(copy, 2).otherwise(1).alias("attempt_number"),
+            F.lit(None).cast("string").alias("previous_email_instance_id"),
+        )
+        breaks = sequence_breaks(log)
+        assert "skew=true" in final_plan(breaks)
+        assert rows(breaks.groupBy("problem").count()) == [("gap", 20000)]
+    finally:
+        for key in switches:
+            spark.conf.unset(key)
+
+
 def test_null_keys_are_spread(spark):
     df = spark.range(0, 8000, 1, 4).select(
         "id", F.when(F.col("id") % 2 == 0, F.col("id") - 1).alias("p")

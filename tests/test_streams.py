@@ -173,3 +173,27 @@ def test_orphans_over_bucket_borders(spark, tmp_path):
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class Unset:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.master, self.folder, self.conf, self.sparkContext = master, None, self, self
+
+    def get(self, key, default=None):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, path):
+        self.folder = f"file:{path}"
+
+
+def test_only_a_local_session_makes_its_own_folder():
+    local = Unset("local[2]")
+    first, second = shared_dir(local, "x"), shared_dir(local, "x")
+    assert first != second and first.startswith(local.folder) and second.startswith(local.folder)
+    with pytest.raises(ValueError):
+        shared_dir(Unset("yarn"), "x")
