@@ -69,6 +69,24 @@ def _lookup(key: Column, pairs: Iterable[tuple]) -> Column:
     return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
+def fold(text: Column) -> Column:
+    """Text as its declared collation compares it: without case and trailing blanks."""
+    return F.lower(F.rtrim(text))
+
+
+def one_of(text: Column, values: Iterable[str]) -> Column:
+    """Membership under that collation; NULL for NULL."""
+    return fold(text).isin(*[v.lower() for v in values])
+
+
+def canonical_name(text: Column, values: Iterable[str]) -> Column:
+    """The listed spelling of a name, or the text itself if it is none of them.
+
+    Applied once when rows come in, so that everything later compares binary.
+    """
+    return F.coalesce(_lookup(fold(text), [(v.lower(), v) for v in values]), text)
+
+
 def status_description(status_code: Column) -> Column:
     """Text of a status code; text codes are cast leniently, anything else is unrecognised."""
     text = _lookup(status_code.try_cast("int"), STATUS_TEXT.items())
@@ -113,7 +131,7 @@ def normalise_stage(stage: Column) -> Column:
 
 def status_code_of(name: Column) -> Column:
     """Numeric code of a textual status, NULL if it is none of the ten."""
-    return _lookup(name, [(s, i) for i, s in enumerate(STATUS_NAMES, 1)])
+    return _lookup(fold(name), [(s.lower(), i) for i, s in enumerate(STATUS_NAMES, 1)])
 
 
 def status_name_of(code: Column) -> Column:
@@ -133,8 +151,8 @@ def tracking_status(status_code: Column, case_id: Column) -> Column:
 def gate_failure(item_type: Column, owner_id: Column, regarding_id: Column) -> Column:
     """First failed gate, A2 to A4, or NULL. A missing value fails its gate."""
     return (
-        F.when(~item_type.eqNullSafe(GATE_ITEM_TYPE), "A2")
-        .when(~owner_id.eqNullSafe(GATE_OWNER), "A3")
+        F.when(~F.coalesce(one_of(item_type, [GATE_ITEM_TYPE]), F.lit(False)), "A2")
+        .when(~F.coalesce(one_of(owner_id, [GATE_OWNER]), F.lit(False)), "A3")
         .when(regarding_id.isNotNull(), "A4")
     )
 

@@ -18,6 +18,7 @@ from attemptlog.functions.stages import (
     STAGES,
     STATUS_NAMES,
     TRACKING_STATUSES,
+    one_of,
 )
 from attemptlog.operators.skew import join_unique
 
@@ -37,7 +38,7 @@ class Rule:
 
 
 def status_rule(column: str, allowed: Iterable[str] = STATUS_NAMES) -> Rule:
-    return Rule("chk_status", column, F.col(column).isin(*allowed))
+    return Rule("chk_status", column, one_of(F.col(column), allowed))
 
 
 def tracking_rule(column: str) -> Rule:
@@ -45,7 +46,7 @@ def tracking_rule(column: str) -> Rule:
 
 
 def stage_rule(column: str) -> Rule:
-    return Rule("chk_stage", column, F.col(column).isin(*STAGES))
+    return Rule("chk_stage", column, one_of(F.col(column), STAGES))
 
 
 def json_rule(name: str, column: str) -> Rule:
@@ -57,11 +58,11 @@ def priority_rule(column: str) -> Rule:
 
 
 def gate_rule(column: str) -> Rule:
-    return Rule("chk_gate", column, F.col(column).isin(*GATE_RESULTS))
+    return Rule("chk_gate", column, one_of(F.col(column), GATE_RESULTS))
 
 
 def queue_status_rule(column: str) -> Rule:
-    return Rule("chk_queue_status", column, F.col(column).isin(*QUEUE_STATUSES))
+    return Rule("chk_queue_status", column, one_of(F.col(column), QUEUE_STATUSES))
 
 
 def length_rule(column: str, limit: int) -> Rule:

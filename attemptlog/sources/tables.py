@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from attemptlog.functions.identity import canonical_id, instance_id, named_id
-from attemptlog.functions.stages import CASE_CREATED, FAILED, RECEIVED, status_code_of
+from attemptlog.functions.stages import (
+    CASE_CREATED,
+    FAILED,
+    RECEIVED,
+    STAGES,
+    canonical_name,
+    status_code_of,
+)
 from attemptlog.plans.status_view import with_derived
 from attemptlog.sources.schemas import DEFAULTS, EMAIL_INSTANCE, LAYOUTS, TABLES
 
@@ -32,9 +39,18 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+def canonical(df: DataFrame) -> DataFrame:
+    """Ids and stage names in their one spelling, for rows that come in from outside."""
+    spelled = {c: canonical_id(F.col(c)) for c in ID_COLUMNS if c in df.columns}
+    if "last_completed_stage" in df.columns:
+        stage = F.col("last_completed_stage")
+        spelled["last_completed_stage"] = canonical_name(stage, STAGES)
+    return df.withColumns(spelled) if spelled else df
+
+
 # A status of the tracking table stands for one of the codes it was collapsed from.
-TRACKING_CODE = f"""CASE {{}} WHEN 'InProgress' THEN {RECEIVED}
-WHEN 'Completed' THEN {CASE_CREATED} WHEN 'Failed' THEN {FAILED} END"""
+TRACKING_CODE = f"""CASE lower(rtrim({{}})) WHEN 'inprogress' THEN {RECEIVED}
+WHEN 'completed' THEN {CASE_CREATED} WHEN 'failed' THEN {FAILED} END"""
 
 
 def to_canonical(df: DataFrame, version: str) -> DataFrame:
@@ -45,8 +61,7 @@ def to_canonical(df: DataFrame, version: str) -> DataFrame:
         present["attempt_number"] += " + 1"
     if layout.status == "tracking":
         present["status_code"] = TRACKING_CODE.format(present["status_code"])
-    ids = {c: canonical_id(F.col(c)) for c in ID_COLUMNS if c in present}
-    named = df.selectExpr(*[f"{v} AS {c}" for c, v in present.items()]).withColumns(ids)
+    named = canonical(df.selectExpr(*[f"{v} AS {c}" for c, v in present.items()]))
     if layout.status == "name":
         named = named.withColumn("status_code", status_code_of(F.col("status_code")))
     if "email_instance_id" not in present:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attemptlog.functions.identity import canonical_id
 from attemptlog.session import shared_dir
 from attemptlog.streaming.tables import BATCH, read_rows, run_available
 
@@ -24,7 +25,7 @@ def intake_source(messages: DataFrame) -> DataFrame:
     return messages.withColumn("_body", F.from_json("body", BODY, options)).select(
         "message_id",
         "enqueued_date_time",
-        F.col("_body.activity_id").alias("activity_id"),
+        canonical_id(F.col("_body.activity_id")).alias("activity_id"),
         F.col("_body.subject").alias("subject"),
         (F.col("_body.activity_id").isNotNull() & F.col("_body._corrupt").isNull()).alias(
             "accepted"

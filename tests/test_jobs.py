@@ -290,7 +290,7 @@ def test_scan_of_every_layout(spark, sf, tmp_path):
 
 def test_ids_are_canonical_in_any_layout(spark):
     old = spark.createDataFrame(
-        [(" AbC ", 2, "Failed"), ("abc", 0, "Bogus")],
+        [(" AbC ", 2, "FAILED "), ("abc", 0, "Bogus")],
         "ActivityId string, RetryCount int, StatusCode string",
     )
     got = [tuple(r) for r in tables.to_canonical(old, "v1").select(

@@ -67,6 +67,8 @@ def test_tracking_status(spark):
     "item, owner, regarding, failed",
     [
         ("Email", "AAB OPS", None, None),
+        ("email ", "aab ops", None, None),
+        (" Email", "AAB OPS", None, "A2"),
         ("Phone", "AAB OPS", None, "A2"),
         (None, "AAB OPS", None, "A2"),
         ("Email", "x", None, "A3"),
@@ -230,3 +232,15 @@ def test_sequence_breaks(spark):
 def test_raw_content_columns(spark):
     df = spark.createDataFrame([], "a string, Body_HTML string, sender_email string")
     assert quality.raw_content_columns(df) == ["Body_HTML", "sender_email"]
+
+
+def test_names_compare_without_case_and_trailing_blanks(spark):
+    names = ["Failed", "FAILED ", "failed", " Failed", "Fail", None]
+    df = column(spark, names)
+    broken = quality.violations(df, "x", [quality.status_rule("x")])
+    assert {r["value"] for r in broken.collect()} == {" Failed", "Fail"}
+    codes = dict(df.select("x", st.status_code_of(F.col("x"))).collect())
+    assert codes == {n: 9 if n in names[:3] else None for n in names}
+    stages = column(spark, ["b7_DECISION  ", "other", None])
+    got = dict(stages.select("x", st.canonical_name(F.col("x"), st.STAGES)).collect())
+    assert got == {"b7_DECISION  ": "B7_decision", "other": "other", None: None}

@@ -133,7 +133,7 @@ def test_late_rows_are_marked_not_lost(spark, tmp_path):
 
 def test_intake_of_json_files(spark, tmp_path):
     bodies = {
-        '{\\"activity_id\\":\\"A\\",\\"subject\\":\\"s\\"}': ("A", True),
+        '{\\"activity_id\\":\\"A\\",\\"subject\\":\\"s\\"}': ("a", True),
         '{\\"test\\":\\"payload\\"}': (None, False),
         "garbage": (None, False),
     }
