@@ -106,29 +106,46 @@ def time_chunks(column: str) -> list[Column]:
     return [F.date_trunc("second", column)]
 
 
+def split_hot(
+    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of ordinary keys, rows of hot keys, and the hot keys."""
+    hot = F.broadcast(hot_keys(df, keys, hot_rows).drop("_hot"))
+    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi"), hot
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    how: str,
+    hot: DataFrame,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join rows of hot keys: ``left`` is spread over salts, ``right`` repeated per salt."""
+    salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    repeated = right.join(hot, keys, "left_semi").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    return left.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
 def join_unique(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
     how: str,
-    counted: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join (left, left_semi or left_anti) to a side with one row per key.
 
-    ``counted`` is a cheaper frame with the same keys to find hot ones in. At most
-    ``MAX_HOT_KEYS`` rows of ``right`` are repeated, once per salt.
+    At most ``MAX_HOT_KEYS`` rows of ``right`` are repeated, once per salt.
     """
-    counted = left if counted is None else counted
-    hot = F.broadcast(hot_keys(counted, keys, hot_rows).drop("_hot"))
-    plain = left.join(hot, keys, "left_anti").join(right, keys, how)
-    salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    spread = left.join(hot, keys, "left_semi").withColumn("_salt", salt)
-    repeated = right.join(hot, keys, "left_semi").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    cold, busy, hot = split_hot(left, keys, hot_rows)
+    return cold.join(right, keys, how).unionByName(
+        salted_join(busy, right, keys, how, hot, salts)
     )
-    return plain.unionByName(spread.join(repeated, [*keys, "_salt"], how).drop("_salt"))
 
 
 def spread_nulls(key: Column, row_id: Column) -> Column:

@@ -8,7 +8,7 @@ activity's latest stored attempt and k.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attemptlog.functions.identity import instance_id
@@ -21,7 +21,14 @@ from attemptlog.functions.stages import (
     skip_queueitem,
 )
 from attemptlog.operators.latest import latest_attempt
-from attemptlog.operators.skew import HOT_ROWS, join_unique, order_within, time_chunks
+from attemptlog.operators.skew import (
+    HOT_ROWS,
+    join_unique,
+    order_within,
+    salted_join,
+    split_hot,
+    time_chunks,
+)
 
 PRIOR = ["activity_id", "email_instance_id", "attempt_number", "last_completed_stage", *CARRY]
 WRITTEN = [
@@ -45,43 +52,44 @@ def route_requests(requests: DataFrame, log: DataFrame) -> DataFrame:
     )
 
 
-def request_prior(
-    requests: DataFrame,
-    log: DataFrame,
-    counted: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Each request with what it may use of its activity's latest stored attempt, if any.
+def reusable_prior(log: DataFrame) -> DataFrame:
+    """The latest stored attempt of each activity with what a retry may use of it.
 
     What may not be carried forward is cleared before the shuffle, which keeps most of
     the long texts out of it.
     """
     reusable = carry_forward(resume_stage(F.col("last_completed_stage")))
-    prior = latest_attempt(log.select(*PRIOR).withColumns(reusable)).select(
+    return latest_attempt(log.select(*PRIOR).withColumns(reusable)).select(
         "activity_id", *[F.col(c).alias(f"prior_{c}") for c in PRIOR[1:]]
     )
-    return join_unique(requests, prior, ["activity_id"], "left", counted, hot_rows=hot_rows)
-
-
-def request_order(requests: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Number the requests of each activity by arrival."""
-    return order_within(
-        requests,
-        ["activity_id"],
-        ["requested_at", "request_id"],
-        time_chunks("requested_at"),
-        "request_number",
-        hot_rows=hot_rows,
-    )
+
+
+def request_prior(requests: DataFrame, log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Each request with its activity's latest stored attempt, if any."""
+    return join_unique(requests, reusable_prior(log), ["activity_id"], "left", hot_rows)
+
+
+ARRIVAL = ["requested_at", "request_id"]
 
 
 def assign_attempts(
     requests: DataFrame, log: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Requests with their prior attempt and the attempt number they get."""
+    """Requests with their prior attempt, their place in line and their attempt number.
+
+    Ordinary activities are numbered and joined in one partitioning. Those with very many
+    requests are numbered in chunks and joined over salts.
+    """
+    keys, prior = ["activity_id"], reusable_prior(log)
+    cold, busy, hot = split_hot(requests, keys, hot_rows)
+    in_line = F.row_number().over(Window.partitionBy(*keys).orderBy(*ARRIVAL)).cast("long")
+    plain = cold.withColumn("request_number", in_line).join(prior, keys, "left")
+    chunked = order_within(
+        busy, keys, ARRIVAL, time_chunks("requested_at"), "request_number", hot_rows=hot_rows
+    )
+    spread = salted_join(chunked, prior, keys, "left", hot)
     stored = F.coalesce("prior_attempt_number", F.lit(0))
-    ordered = request_order(requests, hot_rows)
-    return request_prior(ordered, log, requests, hot_rows).withColumn(
+    return plain.unionByName(spread).withColumn(
         "attempt_number", (stored + F.col("request_number")).cast("int")
     )
 
