@@ -44,14 +44,17 @@ def order_within(
     number: str,
     previous: dict[str, str] | None = None,
     hot_rows: int = HOT_ROWS,
+    all_hot: bool = False,
 ) -> DataFrame:
     """Number rows per key in ascending ``order`` and fetch values of the row before.
 
-    ``chunks`` cut a hot group, each finer than the one before, for pieces that are still
+    ``all_hot`` says that every key is known to be hot. ``chunks`` cut a hot group, each finer than the one before, for pieces that are still
     hot; within its piece a chunk must not decrease along ``order``. ``previous`` maps a
     new column to the column whose preceding value it takes (NULL on the first row).
     """
-    return _order_pieces(df, df, keys, order, chunks, number, previous or {}, hot_rows)
+    return _order_pieces(
+        df, None if all_hot else df, keys, order, chunks, number, previous or {}, hot_rows
+    )
 
 
 def _order_pieces(df, counted, keys, order, chunks, number, previous, hot_rows):
@@ -61,11 +64,15 @@ def _order_pieces(df, counted, keys, order, chunks, number, previous, hot_rows):
             {name: F.lag(source).over(within) for name, source in previous.items()}
         )
     here, hot, piece = f"_n{len(chunks)}", f"_hot{len(chunks)}", f"_chunk{len(chunks)}"
-    found = hot_keys(counted, keys, hot_rows).withColumnRenamed("_hot", hot)
-    marked = df.join(F.broadcast(found), keys, "left").withColumn(
-        piece, F.when(F.col(hot), chunks[0])
-    )
-    hot_part, inner = marked.filter(hot), [*keys, piece]
+    if counted is None:
+        marked = hot_part = df.withColumn(piece, chunks[0])
+    else:
+        found = hot_keys(counted, keys, hot_rows).withColumnRenamed("_hot", hot)
+        marked = df.join(F.broadcast(found), keys, "left").withColumn(
+            piece, F.when(F.col(hot), chunks[0])
+        )
+        hot_part = marked.filter(hot)
+    inner = [*keys, piece]
     before = {f"{here}_{name}": source for name, source in previous.items()}
     local = _order_pieces(
         marked, hot_part, inner, order, chunks[1:], here, before, hot_rows

@@ -85,7 +85,7 @@ def assign_attempts(
     in_line = F.row_number().over(Window.partitionBy(*keys).orderBy(*ARRIVAL)).cast("long")
     plain = cold.withColumn("request_number", in_line).join(prior, keys, "left")
     chunked = order_within(
-        busy, keys, ARRIVAL, time_chunks("requested_at"), "request_number", hot_rows=hot_rows
+        busy, keys, ARRIVAL, time_chunks("requested_at"), "request_number", all_hot=True
     )
     spread = salted_join(chunked, prior, keys, "left", hot)
     stored = F.coalesce("prior_attempt_number", F.lit(0))
