@@ -6,7 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from attemptlog.registry.oracle import ORACLE
 from attemptlog.registry.provenance import PROVENANCE
+from attemptlog.registry.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -38,7 +40,7 @@ def plain(value):
     return str(value)
 
 
-@pytest.mark.parametrize("key", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_same_rows(spark, sf, duck, key):
     df = entry_points.queries()[key](spark, sf)
     result = duck.execute(entry_points.oracle_sql()[key])
@@ -53,7 +55,9 @@ def test_same_rows(spark, sf, duck, key):
 
 
 def test_every_query_has_sql_and_provenance():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql()) == set(PROVENANCE)
+    assert set(QUERIES) == set(ORACLE) == set(PROVENANCE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
