@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attemptlog.llm import bpe, secret_scan
+from attemptlog.llm import bpe, license_scan, secret_scan
 from attemptlog.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,12 +18,17 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE: dict[str, str] = {}
