@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attemptlog.llm import bpe, license_scan, secret_scan
+from attemptlog.llm import bpe, license_scan, mixing, secret_scan
 from attemptlog.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), "doc_id", "text", "source")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return bpe.digests(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN)
@@ -27,6 +31,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mix_sources": op2_mix_sources,
     "op4_byte_bpe": op4_byte_bpe,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
