@@ -14,6 +14,7 @@ row ids do not matter: one row out for each row in.
 from __future__ import annotations
 
 import base64
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from attemptlog.llm.common import map_rows
 
 NO_PAIR = 1 << 60
-#: Pieces remembered by a worker. It is emptied when full; results do not depend on it.
-REMEMBERED = 200_000
+#: Pieces a worker remembers in each of two generations; results do not depend on it.
+REMEMBERED = 250_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -101,17 +102,25 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Pieces(dict):
-    """Piece to its ids as int32 bytes, merged when first met."""
+    """Piece to its ids as int32 bytes, merged when first met.
+
+    A full generation becomes the old one, and pieces still in use come back from it, so
+    that frequent pieces outlive the many that occur once.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = np.array(merge(piece.encode(), self.ranks), np.int32).tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("i", merge(piece.encode(), self.ranks)).tobytes()
         if len(ids) < 400:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
