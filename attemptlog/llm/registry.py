@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attemptlog.llm import bpe, license_scan, mixing, secret_scan
+from attemptlog.llm import bpe, license_scan, mixing, secret_scan, topk
 from attemptlog.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return topk.search(vectors, "vec_id", "embedding", "id % 20 = 0", 20)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), "doc_id", "text", "source")
 
@@ -31,9 +36,27 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
     "op2_mix_sources": op2_mix_sources,
     "op4_byte_bpe": op4_byte_bpe,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_top_k": """
+WITH v AS (
+  SELECT DISTINCT vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 20""",
+}
