@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into numpy arrays at a time.
 SLICE_BYTES = 1 << 20
@@ -70,6 +71,31 @@ def bounded(batch: pa.RecordBatch, size: int = 8 * SLICE_BYTES) -> Iterator[pa.R
         yield batch.slice(first, each)
 
 
+#: Words of the bitmap below: 16 million bits, 4 MB as rows of two longs.
+BITMAP_WORDS = 1 << 18
+
+
+def likely_in(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose keys are in ``wanted``, and few others.
+
+    A bitmap of fixed size, one bit per hash of a wanted key, is broadcast, so that the join
+    that follows shuffles little of a wide table. Where it fills up it only filters less.
+    """
+    hashed = F.xxhash64(*keys)
+    word = F.pmod(hashed, F.lit(BITMAP_WORDS)).cast("int")
+    bit = F.shiftrightunsigned(hashed, 58).cast("int")
+    flag = F.expr("shiftleft(1L, _bit)")
+    bitmap = (
+        wanted.select(word.alias("_word"), bit.alias("_bit"))
+        .groupBy("_word")
+        .agg(F.bit_or(flag).alias("_bits"))
+    )
+    marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), word.alias("_word"),
+                       bit.alias("_bit"))
+    found = marked.join(F.broadcast(bitmap), "_word").filter(flag.bitwiseAND(F.col("_bits")) != 0)
+    return found.select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits that spreads every bit (splitmix64's finish)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[0])

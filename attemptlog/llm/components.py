@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from attemptlog.session import materialize
 
-A, B = ["a1", "a2"], ["b1", "b2"]
+N, A, B = ["n1", "n2"], ["a1", "a2"], ["b1", "b2"]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
     share of the nodes vanishes per round, so chains take as many rounds as stars of their
     size, the logarithm. The moves are put together from the last round back.
     """
-    graph = edges.select(F.struct(*A).alias("u"), F.struct(*B).alias("v")).filter("u != v")
+    node = lambda ends: F.struct(*[F.col(c).alias(n) for c, n in zip(ends, N)])
+    graph = edges.select(node(A).alias("u"), node(B).alias("v")).filter("u != v")
     graph = materialize(graph.distinct(), "graph")
     moves, step = [], 0
     while not graph.isEmpty():
@@ -55,22 +56,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _rooted(roots: DataFrame) -> DataFrame:
     return roots.select(
-        F.col("u.a1").alias("n1"), F.col("u.a2").alias("n2"),
-        F.col("to.a1").alias("r1"), F.col("to.a2").alias("r2"),
+        F.col("u.n1").alias("n1"), F.col("u.n2").alias("n2"),
+        F.col("to.n1").alias("r1"), F.col("to.n2").alias("r2"),
     )
 
 
 def link_buckets(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame]
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    screen: Callable[[DataFrame], DataFrame],
 ) -> tuple[DataFrame, DataFrame]:
     """Links between nodes that share a bucket, and the components they make.
 
     ``members`` has bucket, n1, n2 (repeats allowed); ``verify`` gets candidate pairs (a1, a2,
     b1, b2), each once, and returns those that link. All pairs of a bucket count, but not all
     are written out: first every member is tried against one centre of its bucket, which
-    joins up groups of near copies in linear time. Only pairs whose ends are in different
-    components after that are left, and all of those are tried. So components are exact for
-    the given buckets; the links returned are those that were tried, enough for them.
+    joins up groups of near copies in linear time. What is left are pairs whose ends are in
+    different components after that. ``screen`` gets the members of such buckets with their
+    roots (r1, r2) and returns all pairs of a bucket and different roots that may link. So
+    components are exact for the given buckets; the links returned suffice for them.
     """
     hub = members.groupBy("bucket").agg(
         F.min("n1").alias("c1"), F.min_by("n2", "n1").alias("c2"),
@@ -100,26 +104,35 @@ def link_buckets(
     mixed = materialize(
         mixed.filter("rows > 2 AND (l1 != h1 OR l2 != h2)").select("bucket"), "buckets-mixed"
     )
-    open_ = materialize(known.join(mixed, "bucket"), "members-open")
-    other = open_.selectExpr("bucket", "n1 AS b1", "n2 AS b2", "r1 AS s1", "r2 AS s2")
-    ends = open_.selectExpr("bucket", "n1 AS a1", "n2 AS a2", "r1", "r2").join(
-        other, (open_["bucket"] == other["bucket"])
-        & F.expr("r1 < s1 OR (r1 = s1 AND r2 < s2)"),
-    )
+    rest = screen(materialize(known.join(mixed, "bucket"), "members-open"))
+    # The greater end first, as above.
     flip = F.expr("a1 < b1 OR (a1 = b1 AND a2 < b2)")
-    rest = ends.select(
+    rest = rest.select(
         *[F.when(flip, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in zip(A, B)],
         *[F.when(flip, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in zip(A, B)],
     ).distinct()
-    # Pairs tried above have their greater end first, as here.
     rest = materialize(rest.join(tried, [*A, *B], "left_anti"), "pairs-rest")
     if rest.isEmpty():
         return links, roots
     more = materialize(verify(rest), "links-rest")
     if more.isEmpty():
         return links, roots
-    links = links.unionByName(more)
-    return links, components(links)
+    # Only the roots are joined up anew.
+    at = lambda ends, to: roots.selectExpr(
+        f"n1 AS {ends[0]}", f"n2 AS {ends[1]}", f"r1 AS {to}1", f"r2 AS {to}2"
+    )
+    between = more.join(at(A, "x"), A, "left").join(at(B, "y"), B, "left").selectExpr(
+        "coalesce(x1, a1) AS a1", "coalesce(x2, a2) AS a2",
+        "coalesce(y1, b1) AS b1", "coalesce(y2, b2) AS b2",
+    )
+    over = components(between)
+    lifted = over.selectExpr("n1 AS r1", "n2 AS r2", "r1 AS t1", "r2 AS t2")
+    old = roots.join(lifted, ["r1", "r2"], "left").selectExpr(
+        "n1", "n2", "coalesce(t1, r1) AS r1", "coalesce(t2, r2) AS r2"
+    )
+    # Nodes that had no link before.
+    new = over.join(roots, ["n1", "n2"], "left_anti").select("n1", "n2", "r1", "r2")
+    return links.unionByName(more), materialize(old.unionByName(new), "roots")
 
 
 def smallest(rows: DataFrame, group: list[str], value: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attemptlog.llm import bpe, license_scan, mixing, secret_scan, topk
+from attemptlog.llm import bpe, license_scan, minhash, mixing, secret_scan, topk
 from attemptlog.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -22,6 +22,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), "doc_id", "text", "source")
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), "doc_id", "text", 85)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return bpe.digests(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN)
@@ -38,6 +42,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_mix_sources": op2_mix_sources,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
@@ -59,4 +64,22 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 ) WHERE rank <= 20""",
+    "op3_minhash_dedup": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS t
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 5 THEN [array_to_string(t, ' ')]
+    ELSE list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i:i + 4], ' ')) END) AS g
+  FROM w
+), e AS MATERIALIZED (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s
+), l AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e AS a JOIN e AS b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), r(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x
+), c AS (SELECT x, min(y) AS y FROM r GROUP BY x)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, c.y AS component_id, s.doc_id = c.y AS kept
+FROM s JOIN c ON s.doc_id = c.x""",
 }
