@@ -31,7 +31,7 @@ LEAST_SLOTS = 4096
 #: Odd, next to 2**31 divided by the golden ratio.
 GOLDEN, GRID = 1327217885, 1 << 31
 #: Parts that a source's shuffled documents and the slots are counted in.
-PARTS, RUN = 256, 1 << 14
+PARTS, RUN = 256, 1 << 11
 #: Cells of the grid for finding a point's interval by an equal key.
 CELLS = 1024
 WORD = r"[^\x20\x09-\x0D]+"
