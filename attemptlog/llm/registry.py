@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attemptlog.llm import bpe, license_scan, minhash, mixing, secret_scan, topk
+from attemptlog.llm import bpe, license_scan, minhash, mixing, pq_dedup, secret_scan, topk
 from attemptlog.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,6 +31,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN)
 
 
+def op8_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return pq_dedup.near_duplicates(vectors, "vec_id", "embedding", "label", 0.98)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(read(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op8_pq_dedup": op8_pq_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
 }
@@ -82,4 +88,20 @@ WITH RECURSIVE w AS (
 ), c AS (SELECT x, min(y) AS y FROM r GROUP BY x)
 SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, c.y AS component_id, s.doc_id = c.y AS kept
 FROM s JOIN c ON s.doc_id = c.x""",
+    "op8_pq_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS MATERIALIZED (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v AS a JOIN v AS b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), r(x, y) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x
+), c AS (SELECT x, min(y) AS y FROM r GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT c.x AS vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.y AS component_id, c.x = c.y AS kept
+FROM c LEFT JOIN n USING (x)""",
 }
