@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attemptlog.llm import bpe, license_scan, minhash, mixing, pq_dedup, secret_scan, topk
+from attemptlog.llm import bpe, lbl, license_scan, minhash, mixing, pq_dedup, secret_scan, topk
 from attemptlog.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,6 +31,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN)
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.score(read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op8_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return pq_dedup.near_duplicates(vectors, "vec_id", "embedding", "label", 0.98)
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_lm_scores": op6_lm_scores,
     "op8_pq_dedup": op8_pq_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
