@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attemptlog.llm import bpe, lbl, license_scan, minhash, mixing, pq_dedup, secret_scan, topk
+from attemptlog.llm import bpe, lbl, license_scan, minhash, mixing, pq_dedup, quality, secret_scan, topk
 from attemptlog.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,6 +31,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality.classify(docs, "doc_id", labels, "doc_id", "quality")
+
+
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score(read(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_quality": op5_quality,
     "op6_lm_scores": op6_lm_scores,
     "op8_pq_dedup": op8_pq_dedup,
     "op9_license_scan": op9_license_scan,
