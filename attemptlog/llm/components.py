@@ -76,14 +76,11 @@ def link_buckets(
     roots (r1, r2) and returns all pairs of a bucket and different roots that may link. So
     components are exact for the given buckets; the links returned suffice for them.
     """
-    hub = members.groupBy("bucket").agg(
-        F.min("n1").alias("c1"), F.min_by("n2", "n1").alias("c2"),
-        F.max("n1").alias("m1"), F.min("n2").alias("low"), F.max("n2").alias("high"),
-    )
-    hubs = materialize(
-        hub.filter("c1 != m1 OR low != high").select("bucket", "c1", "c2"), "buckets"
-    )
+    hub = members.groupBy("bucket").agg(F.min("n1").alias("c1"), F.max("n1").alias("m1"))
+    hubs = materialize(hub.filter("c1 != m1").select("bucket", "c1"), "buckets")
     shared = materialize(members.join(hubs, "bucket").distinct(), "members")
+    centres = shared.filter("n1 = c1").groupBy("bucket").agg(F.min("n2").alias("c2"))
+    shared = shared.join(materialize(centres, "centres"), "bucket")
     pairs = shared.filter("n1 != c1 OR n2 != c2").selectExpr(
         "n1 AS a1", "n2 AS a2", "c1 AS b1", "c2 AS b2"
     )

@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attemptlog.llm import bpe, lbl, license_scan, minhash, mixing, pq_dedup, quality, secret_scan, topk
+from attemptlog.llm import (
+    bpe,
+    lbl,
+    license_scan,
+    line_dedup,
+    minhash,
+    mixing,
+    pq_dedup,
+    quality,
+    secret_scan,
+    topk,
+)
 from attemptlog.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -40,6 +51,10 @@ def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op8_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return pq_dedup.near_duplicates(vectors, "vec_id", "embedding", "label", 0.98)
@@ -60,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality": op5_quality,
     "op6_lm_scores": op6_lm_scores,
+    "op7_line_dedup": op7_line_dedup,
     "op8_pq_dedup": op8_pq_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
