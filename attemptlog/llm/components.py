@@ -20,10 +20,10 @@ N, A, B = ["n1", "n2"], ["a1", "a2"], ["b1", "b2"]
 def components(edges: DataFrame) -> DataFrame:
     """Node (n1, n2) and root (r1, r2) of every node in ``edges`` (a1, a2, b1, b2).
 
-    Randomised contraction: in every round each node moves to the neighbour (or itself) that
-    comes first in a random order of that round, and edges follow their ends. A constant
-    share of the nodes vanishes per round, so chains take as many rounds as stars of their
-    size, the logarithm. The moves are put together from the last round back.
+    Randomised contraction: in every round each node moves to the node within two steps that
+    comes first in a random order of that round, and edges follow their ends. A star or a
+    clique becomes one node in a round; of a chain a constant share of the nodes vanishes, so
+    it takes the logarithm of its length. The moves are put together from the last round back.
     """
     node = lambda ends: F.struct(*[F.col(c).alias(n) for c, n in zip(ends, N)])
     graph = edges.select(node(A).alias("u"), node(B).alias("v")).filter("u != v")
@@ -34,8 +34,10 @@ def components(edges: DataFrame) -> DataFrame:
         u, v = F.col("u"), F.col("v")
         both = graph.select("u", "v").unionByName(graph.select(v.alias("u"), u.alias("v")))
         best = both.groupBy("u").agg(F.min(first(v)).alias("best"))
-        move = best.select("u", F.least("best", first(u))["to"].alias("to"))
-        move = materialize(move, "moves")
+        near = best.select(u.alias("v"), F.least("best", first(u)).alias("best"))
+        # What the neighbours see is within two steps, and includes what the node sees.
+        move = both.join(materialize(near, "near"), "v").groupBy("u").agg(F.min("best").alias("best"))
+        move = materialize(move.select("u", F.col("best.to").alias("to")), "moves")
         moves.append(move)
         left = graph.join(move, "u").select(F.col("to").alias("x"), "v")
         right = move.select(F.col("u").alias("v"), F.col("to").alias("y"))
@@ -64,7 +66,7 @@ def _rooted(roots: DataFrame) -> DataFrame:
 def link_buckets(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    screen: Callable[[DataFrame], DataFrame],
+    settle: Callable[[DataFrame], DataFrame],
 ) -> tuple[DataFrame, DataFrame]:
     """Links between nodes that share a bucket, and the components they make.
 
@@ -72,9 +74,9 @@ def link_buckets(
     b1, b2), each once, and returns those that link. All pairs of a bucket count, but not all
     are written out: first every member is tried against one centre of its bucket, which
     joins up groups of near copies in linear time. What is left are pairs whose ends are in
-    different components after that. ``screen`` gets the members of such buckets with their
-    roots (r1, r2) and returns all pairs of a bucket and different roots that may link. So
-    components are exact for the given buckets; the links returned suffice for them.
+    different components after that. ``settle`` gets the members of such buckets with their
+    roots (r1, r2) and returns links (a1, a2, b1, b2) that join up whatever is linked in a
+    bucket. So components are exact for the given buckets; the links returned suffice.
     """
     hub = members.groupBy("bucket").agg(F.min("n1").alias("c1"), F.max("n1").alias("m1"))
     hubs = materialize(hub.filter("c1 != m1").select("bucket", "c1"), "buckets")
@@ -101,17 +103,8 @@ def link_buckets(
     mixed = materialize(
         mixed.filter("rows > 2 AND (l1 != h1 OR l2 != h2)").select("bucket"), "buckets-mixed"
     )
-    rest = screen(materialize(known.join(mixed, "bucket"), "members-open"))
-    # The greater end first, as above.
-    flip = F.expr("a1 < b1 OR (a1 = b1 AND a2 < b2)")
-    rest = rest.select(
-        *[F.when(flip, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in zip(A, B)],
-        *[F.when(flip, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in zip(A, B)],
-    ).distinct()
-    rest = materialize(rest.join(tried, [*A, *B], "left_anti"), "pairs-rest")
-    if rest.isEmpty():
-        return links, roots
-    more = materialize(verify(rest), "links-rest")
+    more = settle(materialize(known.join(mixed, "bucket"), "members-open"))
+    more = materialize(more, "links-rest")
     if more.isEmpty():
         return links, roots
     # Only the roots are joined up anew.

@@ -149,10 +149,41 @@ ENDS = ["a1", "a2", "b1", "b2"]
 
 
 def node_signatures(signed_docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The signature of each of ``nodes``, once."""
+    """Signature and buckets of each of ``nodes``, once."""
     wanted = nodes.select("n1", "n2").distinct()
-    near = likely_in(signed_docs.select("n1", "n2", "sig"), ["n1", "n2"], wanted)
-    return near.filter("sig IS NOT NULL").groupBy("n1", "n2").agg(F.first("sig").alias("sig"))
+    near = likely_in(signed_docs.select("n1", "n2", "sig", "buckets"), ["n1", "n2"], wanted)
+    first = [F.first(c).alias(c) for c in ("sig", "buckets")]
+    return near.filter("sig IS NOT NULL").groupBy("n1", "n2").agg(*first)
+
+
+def node_sets(ends: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(n1, n2, items): the full sets of the nodes in ``ends``, from their texts.
+
+    ``nodes`` names a document of each node; its text is read again.
+    """
+    wanted = materialize(nodes.join(ends.select("n1", "n2").distinct(), ["n1", "n2"]), "wanted")
+
+    def full(n1, n2, column) -> dict:
+        # A repeated id may have other texts; only the node's own counts.
+        ids = zip(n1.to_pylist(), n2.to_pylist())
+        made = [
+            items.tobytes() if tuple(digest.tolist()) == own else None
+            for own, (digest, items) in zip(ids, _each_set(column))
+        ]
+        return {"n1": n1, "n2": n2, "items": pa.array(made, pa.binary())}
+
+    read = likely_in(texts, ["doc"], wanted.select("doc")).join(wanted, "doc")
+    sets = map_rows(read, ["n1", "n2", "text"], "n1 long, n2 long, items binary", full)
+    return materialize(sets.filter("items IS NOT NULL"), "sets")
+
+
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, for sorted distinct items."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    common = int((y[at] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
 def prune(pairs: DataFrame, signed_docs: DataFrame, threshold: float) -> DataFrame:
@@ -172,81 +203,83 @@ def prune(pairs: DataFrame, signed_docs: DataFrame, threshold: float) -> DataFra
     return map_rows(both, [*ENDS, "x", "y"], PAIR, rows)
 
 
-def screen(members: DataFrame, signed_docs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different roots inside a bucket that no batch rules out.
+def settle(
+    members: DataFrame, signed_docs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int
+) -> DataFrame:
+    """Links that join up the different roots of each bucket, wherever its members link.
 
-    A bucket is cut into blocks; each pair of blocks is a group of bounded size, which
-    compares signatures and writes out only the pairs that survive.
+    A bucket is cut into blocks; each pair of blocks is a group of bounded size. It compares
+    signatures batch by batch, then verifies the survivors on the full sets, the most alike
+    first, and leaves out pairs that links found there have joined already. A pair that
+    shares several buckets is compared in the first of them.
     """
-    steps = least_matches(threshold)
-    sized = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    sigs = materialize(node_signatures(signed_docs, members), "node-signatures")
+    steps = least_matches(percent / 100)
+    blocks = F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")
+    sized = materialize(members.groupBy("bucket").agg(blocks), "bucket-blocks")
+    sigs = node_signatures(signed_docs, members)
+    known = materialize(sigs.join(node_sets(members, nodes, texts), ["n1", "n2"]), "open-nodes")
     own = F.pmod(F.xxhash64("n1", "n2"), F.col("blocks"))
     pair = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda other: F.struct(F.least("own", other).alias("low"), F.greatest("own", other).alias("high")),
     )
     cells = (
-        members.join(materialize(sized, "bucket-blocks"), "bucket")
+        members.join(sized, "bucket")
         .withColumn("own", own)
         .withColumn("cell", F.explode(pair))
-        .join(sigs, ["n1", "n2"])
-        .select("bucket", "cell.low", "cell.high", "own", "n1", "n2", "r1", "r2", "sig")
+        .join(known, ["n1", "n2"])
+        .select("bucket", "cell.low", "cell.high", "own", "n1", "n2", "r1", "r2", "sig", "buckets", "items")
     )
 
     def compare(of, table):
-        low, high = of[1].as_py(), of[2].as_py()
-        block = table["own"].to_numpy()
-        sig = _matrix(table["sig"])
-        ends = {c: table[c].to_numpy() for c in ("n1", "n2", "r1", "r2")}
+        bucket, low, high = (v.as_py() for v in of)
+        block, sig = table["own"].to_numpy(), _matrix(table["sig"])
+        buckets = np.stack(table["buckets"].to_numpy())
+        earlier = buckets[:, : int(np.argmax(buckets[0] == bucket))]
+        names = np.stack([table["r1"].to_numpy(), table["r2"].to_numpy()], axis=1)
+        root = np.unique(names, axis=0, return_inverse=True)[1].reshape(-1)
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
         found = []
         for part in np.array_split(left, -(-len(left) // 128)) if len(left) else []:
-            apart = (ends["r1"][part, None] != ends["r1"][right]) | (
-                ends["r2"][part, None] != ends["r2"][right]
-            )
+            apart = root[part, None] != root[right]
             if low == high:
                 apart &= part[:, None] < right
             i, j = np.nonzero(apart)
             i, j = part[i], right[j]
             keep = survivors(sig, sig, i, j, steps)
-            found.append((i[keep], j[keep]))
-        joined = lambda k: np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)])
-        i, j = joined(0), joined(1)
-        return pa.table({"a1": ends["n1"][i], "a2": ends["n2"][i], "b1": ends["n1"][j], "b2": ends["n2"][j]})
+            i, j = i[keep], j[keep]
+            fresh = ~(earlier[i] == earlier[j]).any(axis=1)
+            i, j = i[fresh], j[fresh]
+            found.append(np.stack([i, j, (sig[i] == sig[j]).sum(axis=1)]))
+        pairs = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        pairs = pairs[:, np.argsort(-pairs[2], kind="stable")]
+        leader = list(range(int(root.max(initial=-1)) + 1))
+        items = [np.frombuffer(v, np.uint64) for v in table["items"].to_pylist()] if pairs.size else []
+        linked = []
+        for i, j in pairs[:2].T.tolist():
+            a, b = root[i], root[j]
+            while leader[a] != a:
+                a = leader[a]
+            while leader[b] != b:
+                b = leader[b]
+            if a != b and alike(items[i], items[j], percent):
+                leader[max(a, b)] = min(a, b)
+                linked.append((i, j))
+        i, j = np.array(linked, np.int64).reshape(-1, 2).T
+        n1, n2 = table["n1"].to_numpy(), table["n2"].to_numpy()
+        return pa.table({"a1": n1[i], "a2": n2[i], "b1": n1[j], "b2": n2[j]})
 
     return cells.groupBy("bucket", "low", "high").applyInArrow(compare, PAIR)
 
 
 def confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union on the full sets.
-
-    ``nodes`` names a document of each node; its text is read again.
-    """
-    ends = pairs.selectExpr("a1 AS n1", "a2 AS n2").union(pairs.selectExpr("b1", "b2")).distinct()
-    wanted = materialize(nodes.join(ends, ["n1", "n2"]), "wanted")
-
-    def full(n1, n2, column) -> dict:
-        # A repeated id may have other texts; only the node's own counts.
-        ids = zip(n1.to_pylist(), n2.to_pylist())
-        made = [
-            items.tobytes() if tuple(digest.tolist()) == own else None
-            for own, (digest, items) in zip(ids, _each_set(column))
-        ]
-        return {"n1": n1, "n2": n2, "items": pa.array(made, pa.binary())}
-
-    near = likely_in(texts, ["doc"], wanted.select("doc"))
-    read = near.join(wanted, "doc")
-    sets = map_rows(read, ["n1", "n2", "text"], "n1 long, n2 long, items binary", full)
-    sets = materialize(sets.filter("items IS NOT NULL"), "sets")
+    """Pairs with 100 * intersection >= percent * union on the full sets."""
+    ends = pairs.selectExpr("a1 AS n1", "a2 AS n2").union(pairs.selectExpr("b1", "b2"))
+    sets = node_sets(ends, nodes, texts)
 
     def rows(a1, a2, b1, b2, left, right) -> dict:
-        keep = []
-        for at, (x, y) in enumerate(zip(left, right)):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * common >= percent * (len(x) + len(y) - common):
-                keep.append(at)
+        of = lambda v: np.frombuffer(v.as_buffer(), np.uint64)
+        keep = [at for at, (x, y) in enumerate(zip(left, right)) if alike(of(x), of(y), percent)]
         take = pa.array(keep, pa.int64())
         return {"a1": a1.take(take), "a2": a2.take(take), "b1": b1.take(take), "b2": b2.take(take)}
 
@@ -269,7 +302,9 @@ def near_duplicates(df: DataFrame, key: str, text: str, percent: int) -> DataFra
         return confirm(likely, nodes, texts, percent)
 
     members = some.select(F.explode("buckets").alias("bucket"), "n1", "n2")
-    _, roots = link_buckets(members, verify, lambda open_: screen(open_, signed_docs, threshold))
+    _, roots = link_buckets(
+        members, verify, lambda open_: settle(open_, signed_docs, nodes, texts, percent)
+    )
     rooted = nodes.join(roots, ["n1", "n2"])
     rooted = smallest(rooted, ["r1", "r2"], "doc", "least").select("n1", "n2", "least")
     named = nodes.join(rooted, ["n1", "n2"], "left").select(
