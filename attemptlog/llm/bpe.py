@@ -216,12 +216,15 @@ def round_trip(df: DataFrame, key: str, text: str, path: str, pattern: str) -> D
     return decode(encoded, [key, "ids"], "ids", path)
 
 
-def digests(df: DataFrame, key: str, text: str, path: str, pattern: str) -> DataFrame:
-    """Per row: key, n_tokens, ids_sha256, decoded_sha256."""
+def digests(
+    df: DataFrame, key: str, text: str, path: str, pattern: str, keep_ids: bool = False
+) -> DataFrame:
+    """Per row: key, n_tokens, ids_sha256, decoded_sha256, and the ids if they are to be kept."""
     joined = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return round_trip(df, key, text, path, pattern).select(
         key,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["ids"] if keep_ids else []),
     )

@@ -21,6 +21,7 @@ from attemptlog.llm import (
 )
 from attemptlog.llm.common import read
 
+PATTERN = public_tokenizers.PATTERN
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -39,7 +40,7 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return bpe.digests(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN)
+    return bpe.digests(docs, "doc_id", "text", RANKS, PATTERN)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
