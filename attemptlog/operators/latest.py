@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attemptlog.operators.skew import HOT_ROWS, order_within
+from attemptlog.operators.skew import id_piece, order_within
 
-# Attempts per chunk of a hot activity.
-ATTEMPT_CHUNK = 65_536
+# Attempt numbers per piece of an activity.
+ATTEMPT_PIECE = 4_096
 
 
 def latest_attempt(log: DataFrame) -> DataFrame:
@@ -47,8 +47,11 @@ def latest_columns(log: DataFrame, columns: list[str], extra=()) -> DataFrame:
     return grouped.select("activity_id", "_latest.*", *rest)
 
 
-def attempt_history(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Attempts with their recency: 1 is the newest of the activity."""
+def attempt_history(log: DataFrame) -> DataFrame:
+    """Attempts with their recency: 1 is the newest of the activity.
+
+    Of copies of one attempt the lowest id comes first.
+    """
     keyed = log.withColumns(
         {
             "_newest": -F.unix_micros(F.col("created_date_time").cast("timestamp")),
@@ -56,27 +59,26 @@ def attempt_history(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         }
     )
     second = F.expr("floor(_newest / 1000000)")
+    last = F.struct("_newest", "_highest", id_piece(log, "email_instance_id"))
     return order_within(
         keyed,
         ["activity_id"],
-        ["_newest", "_highest"],
-        [second],
+        ["_newest", "_highest", "email_instance_id"],
+        [second, last],
         "recency",
-        hot_rows=hot_rows,
     ).drop("_newest", "_highest")
 
 
-def retry_gap(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def retry_gap(log: DataFrame) -> DataFrame:
     """Seconds since the previous attempt of the same activity; NULL on the first."""
-    chunk = F.expr(f"floor(attempt_number / {ATTEMPT_CHUNK})")
+    numbers = F.expr(f"floor(attempt_number / {ATTEMPT_PIECE})")
     ordered = order_within(
         log,
         ["activity_id"],
         ["attempt_number", "email_instance_id"],
-        [chunk],
+        [numbers, F.struct("attempt_number", id_piece(log, "email_instance_id"))],
         "_n",
         {"previous_created": "created_date_time"},
-        hot_rows,
     )
     return ordered.select(
         "email_instance_id",
@@ -127,9 +129,9 @@ def audit_range(tracking: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def top_one(log: DataFrame, activity_id: str) -> DataFrame:
-    """The single highest attempt of one activity."""
+    """The single highest attempt of one activity; of copies, the one with the highest id."""
     return (
         log.filter(F.col("activity_id") == activity_id)
-        .orderBy(F.desc("attempt_number"))
+        .orderBy(F.desc("attempt_number"), F.desc("email_instance_id"))
         .limit(1)
     )

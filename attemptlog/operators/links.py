@@ -1,7 +1,7 @@
 """Joins between the log, its queue items, its attachments and itself.
 
-The right side of every join is unique on its key. Hot keys on the left are salted, or,
-where both sides are plain scans, split by adaptive execution.
+The right side of every join is unique on its key. Both come from a shuffle of the
+join's own, so adaptive execution can split a busy key on the left.
 """
 
 from __future__ import annotations

@@ -155,7 +155,10 @@ def activity_summary(log: DataFrame) -> DataFrame:
         F.max("modified_date_time").alias("last_modified"),
         F.bool_or(failure).alias("ever_failed"),
         F.max_by("status_code", "attempt_number").alias("final_status_code"),
-        F.max("crm_case_id").alias("case_id"),
+        # The newest attempt that has a case: others hold NULL, which max_by passes over.
+        F.max_by(
+            "crm_case_id", F.when(F.col("crm_case_id").isNotNull(), F.col("attempt_number"))
+        ).alias("case_id"),
     )
 
 

@@ -1,16 +1,11 @@
-"""Ordering and joining groups of any size.
-
-A plain window sorts a whole group in one task, and a plain join sends all rows of a key
-to one. Here the few keys that hold more than ``hot_rows`` rows are found first with a
-partial aggregation. For ordering, their groups are cut into chunks that follow the order
-(a minute, a range of attempt numbers), the window runs per chunk, and per-chunk totals
-join the pieces up again. For joining, their rows are spread over salts and the one row
-they meet is repeated per salt. Keys below the limit take the plain path and pay for the
-counting pass only; where no key is hot, adaptive execution drops the other branch.
-Results are the same for every limit.
-
-Adaptive execution alone does not do this: it never splits a window, and it splits a join
-only where both sides come straight from a shuffle, not from a ranking or an aggregate.
+"""Ordering and joining groups of any size, in one way for every key.
+
+A plain window sorts a whole group in one task, and a plain join sends all rows of a key to
+one. Here every group is cut into pieces that follow its order, down to the last order
+column; the window runs per piece, and the pieces' totals, counted with map-side combining,
+join them up again. A join gives both sides a shuffle of its own, which is what adaptive
+execution needs to split the rows of a busy key; it never splits a window, nor a join below
+which a side is still arranged for a ranking or an aggregate.
 """
 
 from __future__ import annotations
@@ -18,141 +13,104 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-# Size bound of the broadcast. Further keys take the plain path and stay exact.
-MAX_HOT_KEYS = 10_000
-SALTS = 256
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The hottest keys above ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-
 
 def order_within(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    chunks: list[Column],
+    pieces: list[Column],
     number: str,
     previous: dict[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
-    all_hot: bool = False,
 ) -> DataFrame:
     """Number rows per key in ascending ``order`` and fetch values of the row before.
 
-    ``all_hot`` says that every key is known to be hot. ``chunks`` cut a hot group, each finer than the one before, for pieces that are still
-    hot; within its piece a chunk must not decrease along ``order``. ``previous`` maps a
-    new column to the column whose preceding value it takes (NULL on the first row).
+    ``pieces`` cut a group, each one finer than and inside the one before; along ``order``
+    they must not decrease. ``previous`` maps a new column to the column whose preceding
+    value it takes (NULL on the first row).
     """
-    return _order_pieces(
-        df, None if all_hot else df, keys, order, chunks, number, previous or {}, hot_rows
-    )
-
-
-def _order_pieces(df, counted, keys, order, chunks, number, previous, hot_rows):
-    if not chunks:
-        within = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(number, F.row_number().over(within).cast("long")).withColumns(
-            {name: F.lag(source).over(within) for name, source in previous.items()}
-        )
-    here, hot, piece = f"_n{len(chunks)}", f"_hot{len(chunks)}", f"_chunk{len(chunks)}"
-    if counted is None:
-        marked = hot_part = df.withColumn(piece, chunks[0])
-    else:
-        found = hot_keys(counted, keys, hot_rows).withColumnRenamed("_hot", hot)
-        marked = df.join(F.broadcast(found), keys, "left").withColumn(
-            piece, F.when(F.col(hot), chunks[0])
-        )
-        hot_part = marked.filter(hot)
-    inner = [*keys, piece]
-    before = {f"{here}_{name}": source for name, source in previous.items()}
-    local = _order_pieces(
-        marked, hot_part, inner, order, chunks[1:], here, before, hot_rows
+    previous = previous or {}
+    names = [f"_piece{i}" for i in range(len(pieces))]
+    cut = df.withColumns(dict(zip(names, pieces)))
+    within = Window.partitionBy(*keys, *names).orderBy(*order)
+    local = cut.withColumn("_place", F.row_number().over(within)).withColumns(
+        {f"_own_{name}": F.lag(source).over(within) for name, source in previous.items()}
     )
-
-    last = F.max_by(
-        F.struct(F.lit(True).alias("_any"), *[F.col(s).alias(n) for n, s in previous.items()]),
-        F.struct(*order),
-    )
-    along = Window.partitionBy(*keys).orderBy(piece)
-    joints = (
-        hot_part.groupBy(*inner)
-        .agg(F.count(F.lit(1)).alias("_rows"), last.alias("_last"))
-        .select(
-            *inner,
-            F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-            F.lag("_last").over(along).alias("_joint"),
-        )
+    sources = [F.col(s).alias(name) for name, s in previous.items()]
+    last = F.max_by(F.struct(F.lit(True).alias("_any"), *sources), F.struct(*order))
+    sizes = cut.groupBy(*keys, *names).agg(
+        F.count(F.lit(1)).alias("_rows"), *([last.alias("_last")] if previous else [])
     )
-
-    opens_piece = (F.col(here) == 1) & F.col("_joint").isNotNull()
-    return local.join(joints, inner, "left").select(
+    joined = _same(local, _joints(sizes, keys, names), [*keys, *names])
+    opens = (F.col("_place") == 1) & F.lit(bool(previous))
+    return joined.select(
         *df.columns,
-        (F.col(here) + F.coalesce("_before", F.lit(0))).alias(number),
+        (F.col("_place") + F.col("_before")).alias(number),
         *[
-            F.when(opens_piece, F.col(f"_joint.{name}")).otherwise(F.col(f"{here}_{name}"))
-            .alias(name)
+            F.when(opens, F.col(f"_joint.{name}")).otherwise(F.col(f"_own_{name}")).alias(name)
             for name in previous
         ],
     )
 
 
-def time_chunks(column: str) -> list[Column]:
-    """Pieces for an order that starts with a time: its seconds.
+def _joints(sizes: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """For each piece the rows before it, and the last of them if sizes have it."""
+    *outer, inner = names
+    lasts = "_last" in sizes.columns
+    along = Window.partitionBy(*keys, *outer).orderBy(inner)
+    before = F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    here = sizes.select(
+        *keys,
+        *names,
+        F.coalesce(before, F.lit(0)).alias("_before"),
+        *([F.lag("_last").over(along).alias("_joint")] if lasts else []),
+    )
+    if not outer:
+        return here
+    wider = sizes.groupBy(*keys, *outer).agg(
+        F.sum("_rows").alias("_rows"),
+        *([F.max_by("_last", F.struct(inner)).alias("_last")] if lasts else []),
+    )
+    above = _joints(wider, keys, outer)
+    above = above.withColumnsRenamed({"_before": "_above", "_joint": "_wider"})
+    return _same(here, above, [*keys, *outer]).select(
+        *keys,
+        *names,
+        (F.col("_before") + F.col("_above")).alias("_before"),
+        *([F.coalesce("_joint", "_wider").alias("_joint")] if lasts else []),
+    )
 
-    Where more than ``HOT_ROWS`` rows of a key fall in one second, add a finer chunk.
-    """
-    return [F.date_trunc("second", column)]
 
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """Join to the one row of equal ``columns``, NULL being equal to NULL."""
+    named = right.withColumnsRenamed({c: f"_of_{c}" for c in columns})
+    match = F.lit(True)
+    for c in columns:
+        match = match & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return left.join(named, match).drop(*[f"_of_{c}" for c in columns])
 
-def split_hot(
-    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows of ordinary keys, rows of hot keys, and the hot keys."""
-    hot = F.broadcast(hot_keys(df, keys, hot_rows).drop("_hot"))
-    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi"), hot
 
+def time_pieces(df: DataFrame, time: str, last: str) -> list[Column]:
+    """Pieces for an order by ``time``, then the id ``last``."""
+    return [F.date_trunc("second", F.col(time)), F.struct(time, id_piece(df, last))]
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str,
-    hot: DataFrame,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join rows of hot keys: ``left`` is spread over salts, ``right`` repeated per salt."""
-    salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    repeated = right.join(hot, keys, "left_semi").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return left.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
 
+def id_piece(df: DataFrame, column: str) -> Column:
+    """A coarser value of an id that follows its order: of text, the first characters."""
+    if dict(df.dtypes)[column] == "string":
+        return F.substring(column, 1, 3)
+    return F.floor(F.col(column) / 4096)
 
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+
+def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join (left, left_semi or left_anti) to a side with one row per key.
 
-    At most ``MAX_HOT_KEYS`` rows of ``right`` are repeated, once per salt.
+    The second join column follows from the keys. It brings both sides a shuffle of the
+    join's own, also one that is already arranged by the keys.
     """
-    cold, busy, hot = split_hot(left, keys, hot_rows)
-    return cold.join(right, keys, how).unionByName(
-        salted_join(busy, right, keys, how, hot, salts)
-    )
+    again = F.xxhash64(*keys)
+    return left.withColumn("_again", again).join(
+        right.withColumn("_again", again), [*keys, "_again"], how
+    ).drop("_again")
 
 
 def spread_nulls(key: Column, row_id: Column) -> Column:

@@ -8,7 +8,7 @@ activity's latest stored attempt and k.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attemptlog.functions.identity import instance_id
@@ -21,14 +21,8 @@ from attemptlog.functions.stages import (
     skip_queueitem,
 )
 from attemptlog.operators.latest import latest_attempt
-from attemptlog.operators.skew import (
-    HOT_ROWS,
-    join_unique,
-    order_within,
-    salted_join,
-    split_hot,
-    time_chunks,
-)
+from attemptlog.operators.skew import join_unique, order_within, time_pieces
+from attemptlog.sources.tables import canonical
 
 PRIOR = ["activity_id", "email_instance_id", "attempt_number", "last_completed_stage", *CARRY]
 WRITTEN = [
@@ -45,13 +39,24 @@ WRITTEN = [
 
 def route_requests(requests: DataFrame, log: DataFrame) -> DataFrame:
     """Mark each request as a retry or a first attempt."""
-    known = log.select("activity_id").distinct().withColumn("_known", F.lit(True))
+    requests = canonical(requests)
+    known = requested(log, requests).select("activity_id").distinct()
+    known = known.withColumn("_known", F.lit(True))
     return join_unique(requests, known, ["activity_id"], "left").select(
         *requests.columns,
         F.when(F.col("_known"), "retry").otherwise("first").alias("route"),
     )
 
 
+def requested(log: DataFrame, requests: DataFrame) -> DataFrame:
+    """Attempts of the activities asked for.
+
+    A short list is broadcast by its measured size, and the rest of the log never leaves
+    the scan.
+    """
+    return log.join(requests.select("activity_id").distinct(), "activity_id", "left_semi")
+
+
 def reusable_prior(log: DataFrame) -> DataFrame:
     """The latest stored attempt of each activity with what a retry may use of it.
 
@@ -64,43 +69,35 @@ def reusable_prior(log: DataFrame) -> DataFrame:
     )
 
 
-def request_prior(requests: DataFrame, log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def request_prior(requests: DataFrame, log: DataFrame) -> DataFrame:
     """Each request with its activity's latest stored attempt, if any."""
-    return join_unique(requests, reusable_prior(log), ["activity_id"], "left", hot_rows)
+    requests = canonical(requests)
+    prior = reusable_prior(requested(log, requests))
+    return join_unique(requests, prior, ["activity_id"], "left")
 
 
 ARRIVAL = ["requested_at", "request_id"]
 
 
-def assign_attempts(
-    requests: DataFrame, log: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Requests with their prior attempt, their place in line and their attempt number.
-
-    Ordinary activities are numbered and joined in one partitioning. Those with very many
-    requests are numbered in chunks and joined over salts.
-    """
-    keys, prior = ["activity_id"], reusable_prior(log)
-    cold, busy, hot = split_hot(requests, keys, hot_rows)
-    in_line = F.row_number().over(Window.partitionBy(*keys).orderBy(*ARRIVAL)).cast("long")
-    plain = cold.withColumn("request_number", in_line).join(prior, keys, "left")
-    chunked = order_within(
-        busy, keys, ARRIVAL, time_chunks("requested_at"), "request_number", all_hot=True
+def assign_attempts(requests: DataFrame, log: DataFrame) -> DataFrame:
+    """Requests with their prior attempt, their place in line and their attempt number."""
+    requests = canonical(requests)
+    in_line = order_within(
+        requests, ["activity_id"], ARRIVAL, time_pieces(requests, *ARRIVAL), "request_number"
     )
-    spread = salted_join(chunked, prior, keys, "left", hot)
     stored = F.coalesce("prior_attempt_number", F.lit(0))
-    return plain.unionByName(spread).withColumn(
+    return request_prior(in_line, log).withColumn(
         "attempt_number", (stored + F.col("request_number")).cast("int")
     )
 
 
-def b1_write(log: DataFrame, requests: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def b1_write(log: DataFrame, requests: DataFrame) -> DataFrame:
     """Attempt rows to append for a batch of requests.
 
     Ids are computed from (activity, attempt), so the row before is known by name and a
     re-run task yields the same ids.
     """
-    assigned = assign_attempts(requests, log, hot_rows)
+    assigned = assign_attempts(requests, log)
     activity, attempt = F.col("activity_id"), F.col("attempt_number")
     first = F.col("prior_email_instance_id").isNull()
     return assigned.select(

@@ -40,29 +40,50 @@ def stage_fold(log: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def _per_case(cases: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """One row per case: how many rows the snapshot has of it, and what its columns span."""
+    spans = []
+    for theirs in fields.values():
+        spans += [
+            F.min(theirs).alias(f"_low_{theirs}"),
+            F.max(theirs).alias(f"_high_{theirs}"),
+            F.count(theirs).alias(f"_known_{theirs}"),
+        ]
+    return cases.groupBy("crm_case_id").agg(F.count(F.lit(1)).alias("_seen"), *spans)
+
+
 def _changed(fields: dict[str, str]) -> Column:
-    differs = [~F.col(ours).eqNullSafe(F.col(theirs)) for ours, theirs in fields.items()]
-    out = differs[0]
-    for d in differs[1:]:
-        out = out | d
-    return out
+    """Some row of the case has another value than the attempt in one of the columns."""
+    same = F.lit(True)
+    for ours, theirs in fields.items():
+        value, known = F.col(ours), F.col(f"_known_{theirs}")
+        equal = (known == F.col("_seen")) & (F.col(f"_low_{theirs}") == value) & (
+            F.col(f"_high_{theirs}") == value
+        )
+        same = same & F.when(value.isNull(), known == 0).otherwise(F.coalesce(equal, F.lit(False)))
+    return ~same
 
 
-def feedback_detect(log: DataFrame, cases: DataFrame, fields: dict[str, str]) -> DataFrame:
-    """Flag attempts whose case no longer says what the agent wrote.
+def feedback_flags(log: DataFrame, cases: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """The log with ``banker_modified_flag`` set where the case no longer says the same.
 
-    ``cases`` is keyed by ``crm_case_id``; ``fields`` maps log columns to case columns.
-    Attempts without a case, or whose case is not in the snapshot, keep their flag.
+    ``cases`` is keyed by ``crm_case_id``, a case may have several rows; ``fields`` maps log
+    columns to case columns. Attempts without a case, or whose case is not in the snapshot,
+    keep their flag. ``_changed`` tells what the snapshot itself showed.
     """
-    snapshot = cases.withColumn("_seen", F.lit(True))
-    with_case = log.filter("crm_case_id IS NOT NULL").join(snapshot, "crm_case_id", "left")
-    flag = F.when(F.col("_seen"), _changed(fields) | F.col("banker_modified_flag")).otherwise(
-        F.col("banker_modified_flag")
-    )
-    changed = F.coalesce(F.col("_seen") & _changed(fields), F.lit(False))
+    seen = log.join(_per_case(cases, fields), "crm_case_id", "left")
+    changed = F.coalesce(F.col("_seen").isNotNull() & _changed(fields), F.lit(False))
+    flag = F.when(changed, F.lit(True)).otherwise(F.col("banker_modified_flag"))
+    kept = [c for c in log.columns if c != "banker_modified_flag"]
+    return seen.select(*kept, flag.alias("banker_modified_flag"), changed.alias("_changed"))
+
+
+def feedback_detect(log: DataFrame, cases: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Attempts with a case: whether it was changed, and the flag they get."""
+    with_case = feedback_flags(log.filter("crm_case_id IS NOT NULL"), cases, fields)
     return with_case.select(
         "email_instance_id",
         "crm_case_id",
-        changed.alias("changed"),
-        flag.alias("banker_modified_flag"),
+        F.col("_changed").alias("changed"),
+        "banker_modified_flag",
     )

@@ -33,8 +33,12 @@ def recovery_worklist(log: DataFrame, max_retries: int | None = None) -> DataFra
 
 
 def worklist_requests(worklist: DataFrame, subjects: DataFrame, requested_at: str) -> DataFrame:
-    """Turn a worklist into requests for ``b1_write``, with freshly pulled subjects."""
-    return worklist.join(subjects, "activity_id", "left").select(
+    """Turn a worklist into requests for ``b1_write``, with freshly pulled subjects.
+
+    One request per activity; of several subjects the greatest counts.
+    """
+    pulled = subjects.groupBy("activity_id").agg(F.max("banker_subject").alias("banker_subject"))
+    return worklist.join(pulled, "activity_id", "left").select(
         F.col("email_instance_id").cast("string").alias("request_id"),
         "activity_id",
         "banker_subject",
@@ -50,14 +54,22 @@ def gate_eval(queue_items: DataFrame) -> DataFrame:
     )
 
 
-def queue_item_write(new_rows: DataFrame, existing: DataFrame) -> DataFrame:
+def queue_item_write(
+    new_rows: DataFrame, existing: DataFrame, messages: DataFrame
+) -> DataFrame:
     """Queue items to append: one per activity that may write and has none yet.
 
-    The earliest new attempt of an activity writes it; the others find it there.
+    The earliest new attempt of an activity writes it; the others find it there. The queue
+    is the one its request came from: ``messages`` has a ``queue_id`` per ``request_id``.
     """
     may_write = new_rows.filter(~skip_queueitem(F.col("last_completed_stage")))
-    writers = may_write.groupBy("activity_id").agg(
-        F.min("attempt_number").alias("attempt_number")
+    writers = (
+        may_write.join(messages.select("request_id", "queue_id"), "request_id", "left")
+        .groupBy("activity_id")
+        .agg(
+            F.min("attempt_number").alias("attempt_number"),
+            F.min_by("queue_id", "attempt_number").alias("queue_id"),
+        )
     )
     return writers.join(
         existing.select("activity_id").distinct(), "activity_id", "left_anti"
@@ -65,6 +77,7 @@ def queue_item_write(new_rows: DataFrame, existing: DataFrame) -> DataFrame:
         named_id(F.lit("queue_item"), F.col("activity_id")).alias("queue_item_id"),
         "activity_id",
         "attempt_number",
+        "queue_id",
         F.lit("Pending").alias("gate_result"),
         F.lit("Enqueued").alias("queue_status_code"),
     )

@@ -274,11 +274,32 @@ SELECT v AS schema_version, activity_id, attempt_number,
   CASE WHEN v <> 'tracking' THEN banker_modified_flag END AS banker_modified_flag,
   CASE WHEN v = 'tracking' AND json_valid(status_details) THEN json_extract_string(status_details,'$.error_code') END AS error_type,
   CASE WHEN v = 'ddl' THEN max_retries END AS max_retries,
-  CASE WHEN v = 'ddl' THEN agent_version END AS agent_version
+  CASE WHEN v = 'ddl' THEN agent_version END AS agent_version,
+  CASE WHEN v = 'tracking' THEN substr(agent_subject, 6) END AS agent_subject_id,
+  CASE WHEN v = 'tracking' AND attempt_number > 1 THEN created_date_time END AS last_retry_date_time,
+  CASE WHEN v = 'tracking' THEN CASE WHEN status_code IN (9,10) THEN 'Failed'
+            WHEN status_code = 7 OR crm_case_id IS NOT NULL THEN 'Completed' ELSE 'InProgress' END
+       WHEN v <> 'ddl' THEN COALESCE(name, 'Bogus') END AS status_text
 FROM aged WHERE is_last OR v IN ('v4','v6','v7','ddl')""",
     "attempts",
     "names",
 )
+add(
+    "queue_item_union",
+    """SELECT CASE event_id % 5 WHEN 0 THEN 'v1' WHEN 1 THEN 'sc' WHEN 2 THEN 'v3' WHEN 3 THEN 'v4'
+    ELSE 'ddl' END AS schema_version, CAST(queue_item_id AS VARCHAR) AS queue_item_id, activity_id,
+  item_type, owner_id, CAST(regarding_id AS VARCHAR) AS regarding_id,
+  CASE WHEN event_id % 5 = 4 THEN queue_name END AS queue_name,
+  received_date_time, enqueued_date_time, processed_date_time
+FROM (SELECT *, queue_item_id AS event_id FROM queue_items)""",
+    "queue_items",
+)
+add(
+    "attachment_union",
+    """SELECT CASE attachment_id % 2 WHEN 0 THEN 'v1' ELSE 'ddl' END AS schema_version,
+  CAST(attachment_id AS VARCHAR) AS attachment_id, activity_id, file_name FROM attachments""",
+    "attachments",
+)
 add(
     "apply_defaults",
     f"""SELECT request_id, activity_id, banker_subject,
@@ -299,16 +320,24 @@ add(
     "SELECT request_id, email_instance_id, skip_queueitem_write FROM inserted",
     "inserted",
 )
+_ITEMS = f"""DISTINCT {named_id("'queue_item|'||i.activity_id")} AS queue_item_id,
+  i.activity_id, attempt_number, 'queue_'||CAST(e.user_id%4 AS VARCHAR) AS queue_id,
+  'Pending' AS gate_result, 'Enqueued' AS queue_status_code
+FROM inserted i JOIN events e ON e.event_id = i.request_id
+WHERE NOT skip_queueitem_write AND request_number = 1
+  AND NOT EXISTS (SELECT 1 FROM queue_items q WHERE q.activity_id = i.activity_id
+                  AND q.received_date_time < TIMESTAMP '2024-01-15')"""
 add(
     "queue_item_write",
-    f"""SELECT DISTINCT {named_id("'queue_item|'||activity_id")} AS queue_item_id, activity_id,
-  attempt_number, 'Pending' AS gate_result, 'Enqueued' AS queue_status_code
-FROM inserted i WHERE NOT skip_queueitem_write AND request_number = 1
-  AND NOT EXISTS (SELECT 1 FROM queue_items q
-                  WHERE q.activity_id = i.activity_id AND q.event_type = 'click')""",
+    f"""SELECT {_ITEMS}""",
     "inserted",
     "queue_items",
 )
+add(
+    "written_items_not_null",
+    "SELECT 'queue_item' AS \"table\", c AS \"column\", CAST(0 AS BIGINT) AS null_rows"
+    " FROM (VALUES ('queue_item_id'), ('activity_id'), ('queue_id')) AS t(c)",
+)
 add(
     "status_details_source",
     """, d AS (SELECT email_instance_id, status_details, json_valid(status_details) AS ok,
@@ -564,12 +593,16 @@ FROM events WHERE value IS NOT NULL AND TRY_CAST(value AS DECIMAL(5,4)) IS NULL"
 )
 add(
     "chk_sequence",
-    """, kept AS (SELECT *, LAG(attempt_number) OVER w AS n, LAG(email_instance_id) OVER w AS i
-  FROM attempts WHERE status_code <> 10
-  WINDOW w AS (PARTITION BY activity_id ORDER BY attempt_number))
+    """, changed AS (SELECT email_instance_id, activity_id,
+    CAST(attempt_number + CASE WHEN email_instance_id % 7 = 0 THEN 1000 ELSE 0 END AS INT) AS attempt_number,
+    CASE WHEN email_instance_id % 11 <> 0 THEN previous_email_instance_id END AS previous
+  FROM attempts),
+judged AS (SELECT *, (SELECT MIN(b.email_instance_id) FROM changed b
+    WHERE b.activity_id = c.activity_id AND b.attempt_number = c.attempt_number - 1) AS wanted
+  FROM changed c)
 SELECT email_instance_id, activity_id, attempt_number,
-  CASE WHEN attempt_number <> COALESCE(n,0) + 1 THEN 'gap' ELSE 'lineage' END AS problem
-FROM kept WHERE attempt_number <> COALESCE(n,0) + 1 OR previous_email_instance_id IS DISTINCT FROM i""",
+  CASE WHEN attempt_number <> 1 AND wanted IS NULL THEN 'gap' ELSE 'lineage' END AS problem
+FROM judged WHERE (attempt_number <> 1 AND wanted IS NULL) OR previous IS DISTINCT FROM wanted""",
     "attempts",
 )
 add(
@@ -743,7 +776,7 @@ add(
     "activity_summary",
     """SELECT activity_id, COUNT(*) AS attempts, MIN(created_date_time) AS first_created,
   MAX(modified_date_time) AS last_modified, BOOL_OR(status_code IN (9,10)) AS ever_failed,
-  arg_max(status_code, attempt_number) AS final_status_code, MAX(crm_case_id) AS case_id
+  arg_max(status_code, attempt_number) AS final_status_code, arg_max(crm_case_id, attempt_number) FILTER (crm_case_id IS NOT NULL) AS case_id
 FROM attempts GROUP BY activity_id""",
     "attempts",
 )
@@ -788,8 +821,9 @@ add(
 )
 add(
     "top_one",
-    """SELECT email_instance_id, activity_id, attempt_number, created_date_time FROM attempts
-ORDER BY attempt_number DESC, email_instance_id DESC LIMIT 1""",
+    """SELECT 'copy-'||CAST(email_instance_id AS VARCHAR) AS email_instance_id, activity_id,
+  attempt_number, created_date_time FROM attempts WHERE activity_id = '7-2024-01-05'
+ORDER BY attempt_number DESC LIMIT 1""",
     "attempts",
 )
 
@@ -865,6 +899,7 @@ WRITTEN = """SELECT request_id, email_instance_id, activity_id, attempt_number,
   agent_case_description, agent_response, agent_action_flag, agent_confidence_score,
   crm_case_payload, status_code, last_completed_stage FROM written"""
 add("b1_write", WRITTEN, "written")
+add("b1_write_other_case", WRITTEN, "written")
 add(
     "recovery_worklist",
     """SELECT activity_id, email_instance_id, attempt_number, resume_processing_stage,
@@ -897,6 +932,29 @@ SELECT email_instance_id, crm_case_id, edited AS changed,
   edited OR banker_modified_flag AS banker_modified_flag FROM seen""",
     "attempts",
 )
+add(
+    "stage_fold_stored",
+    """SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id, last_completed_stage,
+  CAST(CASE WHEN rank IS NULL OR status_code IN (9,10) THEN status_code
+       ELSE (SELECT status FROM ranks r WHERE r.rank = c.rank) END AS INT) AS status_code,
+  modified_date_time FROM computed c""",
+    "computed",
+)
+add(
+    "feedback_stored",
+    """SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id,
+  CAST(crm_case_id AS VARCHAR) AS crm_case_id, banker_modified_flag
+    OR (crm_case_id IS NOT NULL AND (email_instance_id % 15 = 0 OR email_instance_id % 10 = 0))
+    AS banker_modified_flag FROM attempts""",
+    "attempts",
+)
+add(
+    "append_checked",
+    """SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id,
+  COALESCE(status_details <> 'not json', TRUE) AND COALESCE(crm_case_payload <> 'not json', TRUE)
+  AND COALESCE(agent_priority_code <> 0, TRUE) AS stored FROM attempts""",
+    "attempts",
+)
 add(
     "status_view_all",
     """SELECT email_instance_id, activity_id, attempt_number, failed_stage,
@@ -929,8 +987,12 @@ WHERE gate_failed IS NULL""",
 )
 add(
     "stream_dedupe",
-    """SELECT event_id AS message_id, CASE WHEN event_type = 'signup' THEN props
-  ELSE '{"activity_id":"'||activity_id||'","subject":"s'||event_id||'"}' END AS body FROM keyed""",
+    """SELECT CASE WHEN event_id % 13 <> 0 THEN event_id END AS message_id,
+  ts + CASE WHEN n = 0 THEN INTERVAL '0' MINUTE WHEN event_id % 2 = 0 THEN INTERVAL '30' MINUTE
+       ELSE INTERVAL '180' MINUTE END AS enqueued_date_time,
+  CASE WHEN event_type = 'signup' THEN props
+    ELSE '{"activity_id":"'||activity_id||'","subject":"s'||event_id||'"}' END AS body
+FROM keyed, (VALUES (0), (1)) AS t(n) WHERE n = 0 OR event_id % 2 = 1 OR event_id % 13 = 0""",
     "keyed",
 )
 add(
@@ -959,7 +1021,11 @@ SELECT window_start, window_start + INTERVAL '12 hours' AS window_end, status_co
   COUNT(*) AS attempts FROM placed GROUP BY 1,2,3""",
     "attempts",
 )
-add("stream_late", "SELECT event_id, FALSE AS late FROM events")
+add(
+    "stream_late",
+    """SELECT event_id, COALESCE(ts < (SELECT MAX(b.ts) FROM events b
+  WHERE b.event_id % 4 < e.event_id % 4) - INTERVAL '1' HOUR, FALSE) AS late FROM events e""",
+)
 # What the watermark lets a finished run emit: everything that closed before the newest
 # event time, less the allowed delay.
 add(

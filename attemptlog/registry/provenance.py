@@ -15,7 +15,8 @@ RULED = """
 
 # The need is stated in comments, columns or indexes; the semantics are our reading.
 STATED = """
-    version_union queue_item_write status_details_source failed_stage_norm stage_rank
+    version_union queue_item_union attachment_union queue_item_write written_items_not_null
+    b1_write_other_case stage_fold_stored feedback_stored append_checked status_details_source failed_stage_norm stage_rank
     status_map tracking_status gate_eval failed_scan failed_by_stage_scan resume_scan
     correlation_lookup audit_range subject_filter lineage_lookup chk_sequence
     chk_raw_content quarantine orphans lineage_parent lineage_chain lineage_chain_clean

@@ -11,9 +11,9 @@ from attemptlog.functions import documents as doc
 from attemptlog.functions import stages as st
 from attemptlog.operators import latest, links, lookups, quality, reports
 from attemptlog.plans import b1_write as b1
-from attemptlog.plans import folds, recovery
+from attemptlog.plans import folds, recovery, store
 from attemptlog.plans.status_view import status_view, with_derived
-from attemptlog.session import configure
+from attemptlog.session import configure, shared_dir
 from attemptlog.sources import derived, documents, tables
 from attemptlog.sources.schemas import EMAIL_INSTANCE, LENGTHS, QUEUE_ITEM, REQUIRED
 from attemptlog.streaming import intake, progress
@@ -28,6 +28,7 @@ PAGE = 100
 CUTOFF = "2024-01-15"
 THRESHOLD = 0.25
 INSERT_TIME = "2024-02-01 00:00:00"
+ACTIVITY = "7-2024-01-05"
 FAILED_STAGE, RESUME_POINT = st.STAGES[4], "B4"
 
 
@@ -77,7 +78,24 @@ def version_union(spark, sf):
         "agent_case_priority", "agent_priority_code", "agent_confidence_score", "crm_case_id",
         "status_code", "last_completed_stage", "created_date_time", "modified_date_time",
         "case_created_date_time", "banker_modified_flag", "error_type", "max_retries",
-        "agent_version",
+        "agent_version", "agent_subject_id", "last_retry_date_time", "status_text",
+    )
+
+
+@query
+def queue_item_union(spark, sf):
+    """Queue items of five layouts, each queue's in the layout of its time."""
+    return tables.other_union(derived.item_history(spark, sf), "queue_item").select(
+        "schema_version", "queue_item_id", "activity_id", "item_type", "owner_id", "regarding_id",
+        "queue_name", "received_date_time", "enqueued_date_time", "processed_date_time",
+    )
+
+
+@query
+def attachment_union(spark, sf):
+    """Attachments of both layouts."""
+    return tables.other_union(derived.attachment_history(spark, sf), "email_attachment").select(
+        "schema_version", "attachment_id", "activity_id", "file_name"
     )
 
 
@@ -116,8 +134,26 @@ def insert_returning(spark, sf):
 
 @query
 def queue_item_write(spark, sf):
-    existing = derived.queue_items(spark, sf, ("click",))
-    return recovery.queue_item_write(new_rows(spark, sf), existing)
+    """Items for the requests of the last days, which the stored items do not cover."""
+    items = derived.queue_items(spark, sf)
+    early = items.filter(F.col("received_date_time") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    return recovery.queue_item_write(new_rows(spark, sf), early, derived.messages(spark, sf))
+
+
+@query
+def written_items_not_null(spark, sf):
+    """NULLs in the required columns of the items written."""
+    items = tables.apply_defaults(queue_item_write(spark, sf), "queue_item")
+    report = quality.null_report(tables.conform(items, QUEUE_ITEM), "queue_item", REQUIRED["queue_item"])
+    return report.select("table", "column", "null_rows")
+
+
+@query
+def b1_write_other_case(spark, sf):
+    """Requests whose ids come in upper case, with padding."""
+    padded = F.concat(F.lit(" "), F.upper(F.col("activity_id")))
+    asked = derived.requests(spark, sf).withColumn("activity_id", padded)
+    return as_double(b1.b1_write(derived.attempts(spark, sf), asked))
 
 
 @query
@@ -402,8 +438,16 @@ def chk_length(spark, sf):
 
 @query
 def chk_sequence(spark, sf):
-    """The log after losing the attempts that were not to be retried."""
-    log = derived.attempts(spark, sf).filter(F.col("status_code") != st.FAILED_NO_RETRY)
+    """The log with some numbers skipped and some previous ids lost."""
+    event, number = F.col("email_instance_id"), F.col("attempt_number")
+    log = derived.attempts(spark, sf).withColumns(
+        {
+            "attempt_number": F.when(event % 7 == 0, number + 1000).otherwise(number),
+            "previous_email_instance_id": F.when(
+                event % 11 != 0, F.col("previous_email_instance_id")
+            ),
+        }
+    )
     return quality.sequence_breaks(log).select(
         "email_instance_id", "activity_id", "attempt_number", "problem"
     )
@@ -423,16 +467,19 @@ def chk_raw_content(spark, sf):
     ).select("rule", "key")
 
 
-@query
-def quarantine(spark, sf):
-    """Attempts that break any rule of the log, with the rules they break."""
-    rules = [
+def log_rules():
+    return [
         quality.stage_rule("last_completed_stage"),
         quality.json_rule("chk_details_json", "status_details"),
         quality.json_rule("chk_payload_json", "crm_case_payload"),
         quality.priority_rule("agent_priority_code"),
     ]
-    _, bad = quality.quarantine(derived.attempt_rows(spark, sf), rules)
+
+
+@query
+def quarantine(spark, sf):
+    """Attempts that break any rule of the log, with the rules they break."""
+    _, bad = quality.quarantine(derived.attempt_rows(spark, sf), log_rules())
     return bad.select("email_instance_id", F.array_join("broken", ",").alias("broken"))
 
 
@@ -597,13 +644,13 @@ def audit_page(spark, sf):
 
 @query
 def top_one(spark, sf):
-    """The single newest attempt of the whole log."""
-    return (
-        derived.attempts(spark, sf)
-        .select("email_instance_id", "activity_id", "attempt_number", "created_date_time")
-        .orderBy(F.desc("attempt_number"), F.desc("email_instance_id"))
-        .limit(1)
+    """The newest attempt of one activity, in a log where every attempt has a copy."""
+    log = derived.attempts(spark, sf).select(
+        F.col("email_instance_id").cast("string"), "activity_id", "attempt_number",
+        "created_date_time",
     )
+    copy = log.withColumn("email_instance_id", F.concat(F.lit("copy-"), "email_instance_id"))
+    return latest.top_one(log.unionByName(copy), ACTIVITY)
 
 
 # Documents
@@ -716,13 +763,58 @@ def stage_fold(spark, sf):
     )
 
 
+FIELDS = {"agent_subject": "case_subject", "agent_case_priority": "case_priority"}
+
+
 @query
 def feedback_detect(spark, sf):
+    """Every case is in the snapshot twice."""
     log = derived.attempt_rows(spark, sf)
-    return folds.feedback_detect(
-        log,
-        derived.case_snapshot(log),
-        {"agent_subject": "case_subject", "agent_case_priority": "case_priority"},
+    cases = derived.case_snapshot(log)
+    return folds.feedback_detect(log, cases.unionByName(cases), FIELDS)
+
+
+def stored_log(spark, log: DataFrame) -> str:
+    path = shared_dir(spark, "stored")
+    tables.append(tables.conform(log, EMAIL_INSTANCE), path)
+    return path
+
+
+@query
+def stage_fold_stored(spark, sf):
+    """A log stored without its stages, its days replaced by the folded ones, read back."""
+    log = derived.attempt_rows(spark, sf).withColumn("attempt_number", F.lit(1))
+    path = stored_log(spark, log.withColumn("last_completed_stage", F.lit(None).cast("string")))
+    store.fold_into(spark, path, derived.stage_events(log))
+    return tables.scan(spark, path, "email_instance").select(
+        "email_instance_id", "last_completed_stage", "status_code", "modified_date_time"
+    )
+
+
+@query
+def feedback_stored(spark, sf):
+    """A stored log after a banker's changes were written back, twice."""
+    log = derived.attempt_rows(spark, sf).withColumn("attempt_number", F.lit(1))
+    path = stored_log(spark, log)
+    for _ in range(2):
+        store.flag_feedback(spark, path, derived.case_snapshot(log), FIELDS)
+    return tables.scan(spark, path, "email_instance").select(
+        "email_instance_id", "crm_case_id", "banker_modified_flag"
+    )
+
+
+@query
+def append_checked(spark, sf):
+    """Attempts appended under the log's rules: what was stored and what was turned away."""
+    log = tables.conform(
+        derived.attempt_rows(spark, sf).withColumn("attempt_number", F.lit(1)), EMAIL_INSTANCE
+    )
+    path, rejected = shared_dir(spark, "checked"), shared_dir(spark, "rejected")
+    store.append_checked(log, path, rejected, log_rules())
+    good = tables.scan(spark, path, "email_instance").withColumn("stored", F.lit(True))
+    bad = spark.read.parquet(rejected).withColumn("stored", F.lit(False))
+    return good.select("email_instance_id", "stored").unionByName(
+        bad.select("email_instance_id", "stored")
     )
 
 
@@ -768,13 +860,28 @@ def stream_gate(spark, sf):
 
 @query
 def stream_dedupe(spark, sf):
-    """Every message delivered twice, taken once."""
-    def once():
-        return derived.intake_messages(streams.event_stream(spark, sf))
-
-    twice = once().unionByName(once())
-    kept = intake.dedupe(twice, ["message_id"], "enqueued_date_time", "1 hour", "dedupe")
-    return kept.select("message_id", "body")
+    """Every message comes twice, half an hour or three hours apart, over four batches.
+
+    Of those three hours apart both stay, and so do both of the messages without an id.
+    """
+    once = derived.intake_messages(derived.events(spark, sf))
+    event = F.col("message_id")
+    once = once.withColumn("_part", event % 3)
+    again = once.withColumns(
+        {
+            "enqueued_date_time": F.expr(
+                "enqueued_date_time + IF(message_id % 2 = 0, INTERVAL 30 MINUTES, INTERVAL 3 HOURS)"
+            ),
+            "_part": F.col("_part") + F.floor(event / 3) % 2,
+        }
+    )
+    both = once.unionByName(again).withColumn("message_id", F.when(event % 13 != 0, event))
+    folder = shared_dir(spark, "dedupe")
+    for live in streams.arriving(both, F.col("_part"), 4, "messages"):
+        kept = intake.dedupe(
+            live, ["message_id"], "enqueued_date_time", "1 hour", "dedupe", folder
+        )
+    return kept.select("message_id", "enqueued_date_time", "body")
 
 
 @query
@@ -838,5 +945,9 @@ def stream_stuck(spark, sf):
 
 @query
 def stream_late(spark, sf):
-    arrived = streams.event_stream(spark, sf).select("event_id", "ts")
-    return intake.split_late(arrived, "ts", "1 hour", "late").select("event_id", "late")
+    """Events that come in four batches, not in the order of time."""
+    rows = derived.events(spark, sf).select("event_id", "ts")
+    folder = shared_dir(spark, "late")
+    for live in streams.arriving(rows, F.col("event_id") % 4, 4, "arrivals"):
+        split = intake.split_late(live, "ts", "1 hour", "late", folder)
+    return split.select("event_id", "late")

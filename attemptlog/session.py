@@ -30,19 +30,36 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder; a cluster has to
-    name one that every executor can reach.
+    Only a session in one process may set a folder of its own where there is none; a cluster
+    has to name one that every executor can reach.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if context.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/attemptlog/{name}-{uuid.uuid4().hex}"
 
 
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, in any file system Spark knows."""
+    files, where = _files(spark, path)
+    return files.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job of ours has written and no one reads any more."""
+    files, where = _files(spark, path)
+    files.delete(where, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage."""
     spark = df.sparkSession

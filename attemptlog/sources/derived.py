@@ -18,8 +18,8 @@ from attemptlog.functions.stages import (
     status_name_of,
     tracking_status,
 )
-from attemptlog.operators.skew import order_within, time_chunks
-from attemptlog.sources.schemas import EVENTS, LAYOUTS
+from attemptlog.operators.skew import order_within, time_pieces
+from attemptlog.sources.schemas import EVENTS, LAYOUTS, OTHER_LAYOUTS
 
 ACTIVITY = "CAST(user_id AS STRING) || '-' || CAST(CAST(ts AS DATE) AS STRING)"
 
@@ -102,7 +102,7 @@ def attempts(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame
         rows,
         ["activity_id"],
         ["ts", "event_id"],
-        time_chunks("ts"),
+        time_pieces(rows, "ts", "event_id"),
         "attempt_number",
         {"previous_email_instance_id": "event_id"},
     ).withColumn("attempt_number", F.col("attempt_number").cast("int"))
@@ -153,6 +153,37 @@ def request_columns(keyed: DataFrame) -> DataFrame:
     )
 
 
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue each request came from."""
+    return keyed_events(spark, sf_dir).filter("event_type = 'view'").selectExpr(
+        "event_id AS request_id", "'queue_' || (user_id % 4) AS queue_id"
+    )
+
+
+def in_other_layout(df: DataFrame, table: str, version: str) -> DataFrame:
+    """Queue items or attachments under the names of one of their layouts."""
+    columns = OTHER_LAYOUTS[table][version]
+    return df.selectExpr(*[f"{c} AS {old}" for c, old in columns.items() if c in df.columns])
+
+
+def item_history(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Queue items, a fifth in each layout."""
+    items, versions = queue_items(spark, sf_dir), list(OTHER_LAYOUTS["queue_item"])
+    return {
+        v: in_other_layout(items.filter(F.col("queue_item_id") % len(versions) == i), "queue_item", v)
+        for i, v in enumerate(versions)
+    }
+
+
+def attachment_history(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Attachments, half of them in the first layout."""
+    files = attachments(spark, sf_dir)
+    return {
+        v: in_other_layout(files.filter(F.col("attachment_id") % 2 == i), "email_attachment", v)
+        for i, v in enumerate(OTHER_LAYOUTS["email_attachment"])
+    }
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return request_columns(keyed_events(spark, sf_dir))
 
@@ -203,6 +234,7 @@ def tracking(latest: DataFrame) -> DataFrame:
         "status AS Status",
         "get_json_object(status_details, '$.error_code') AS StatusCode",
         "agent_subject AS AgentSubjectName",
+        "substring(agent_subject, 6) AS AgentSubjectId",
         "agent_priority_code AS AgentPriorityCode",
         "agent_confidence_score AS AgentConfidenceScore",
         "crm_case_id AS CaseId",

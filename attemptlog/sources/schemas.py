@@ -104,6 +104,14 @@ EMAIL_ATTACHMENT = _table(
     ("dataverse_attachment_ref", STRING, "pointer, never the content"),
 )
 
+# What only older layouts have: kept beside the columns of today.
+ONLY_OLDER = _table(
+    "only_older",
+    ("agent_subject_id", STRING),
+    ("last_retry_date_time", TIME),
+    ("status_text", STRING, "a status that was written as text"),
+)
+
 TRACKING = _table(
     "tracking",
     ("ActivityId", STRING, "primary key, one row per e-mail"),
@@ -148,10 +156,15 @@ LENGTHS = {
     },
     "queue_item": {
         "item_type": 50, "owner_id": 100, "queue_name": 256, "worked_by": 512,
+        "gate_result": 20, "queue_status_code": 50, "service_bus_message_id": 100,
     },
     "email_attachment": {
         "file_name": 260, "content_type": 100, "dataverse_attachment_ref": 200,
     },
+    "tracking": {
+        "ActivityId": 50, "CorrelationId": 50, "Status": 20, "StatusCode": 100,
+        "AgentSubjectId": 50, "AgentSubjectName": 255, "CaseId": 50,
+    },
 }
 
 # What an insert fills in for a column it leaves out. 'id' and 'now' stand
@@ -216,6 +229,29 @@ def _pascal(name: str) -> str:
     return "".join(part.capitalize() for part in name.split("_"))
 
 
+# Columns an older layout of the other tables has, under the names of today; the first one
+# writes them in PascalCase.
+_FIRST_ITEM = (
+    "queue_item_id", "activity_id", "item_type", "owner_id", "regarding_id", "gate_result",
+    "queue_status_code", "service_bus_message_id", "received_date_time", "enqueued_date_time",
+    "processed_date_time", "retry_count", "correlation_id",
+)
+_V3_ITEM = tuple(c for c in _FIRST_ITEM if c != "retry_count")
+_V4_ITEM = tuple(c for c in _V3_ITEM if c != "correlation_id")
+OTHER_LAYOUTS = {
+    "queue_item": {
+        "v1": {c: _pascal(c) for c in _FIRST_ITEM},
+        "sc": _same(*_FIRST_ITEM),
+        "v3": _same(*_V3_ITEM),
+        "v4": _same(*_V4_ITEM),
+        "ddl": _same(*QUEUE_ITEM.names),
+    },
+    "email_attachment": {
+        "v1": {c: _pascal(c) for c in EMAIL_ATTACHMENT.names},
+        "ddl": _same(*EMAIL_ATTACHMENT.names),
+    },
+}
+
 # Six column sets over nine schema versions, oldest first.
 LAYOUTS = {
     "tracking": Layout(
@@ -225,6 +261,8 @@ LAYOUTS = {
             "status_code": "Status",
             "error_type": "StatusCode",
             "agent_subject": "AgentSubjectName",
+            "agent_subject_id": "AgentSubjectId",
+            "last_retry_date_time": "LastRetryAt",
             "agent_priority_code": "AgentPriorityCode",
             "agent_confidence_score": "AgentConfidenceScore",
             "crm_case_id": "CaseId",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -16,9 +18,18 @@ from attemptlog.functions.stages import (
     status_code_of,
 )
 from attemptlog.plans.status_view import with_derived
-from attemptlog.sources.schemas import DEFAULTS, EMAIL_INSTANCE, LAYOUTS, TABLES
+from attemptlog.session import materialize
+from attemptlog.sources.schemas import (
+    DEFAULTS,
+    EMAIL_INSTANCE,
+    LAYOUTS,
+    ONLY_OLDER,
+    OTHER_LAYOUTS,
+    TABLES,
+)
 
 DAY = "created_day"
+WITH_OLDER = StructType([*EMAIL_INSTANCE.fields, *ONLY_OLDER.fields])
 ID_COLUMNS = (
     "email_instance_id",
     "activity_id",
@@ -59,6 +70,8 @@ def to_canonical(df: DataFrame, version: str) -> DataFrame:
     present = {c: old for c, old in layout.columns.items() if old in df.columns}
     if not layout.per_attempt:
         present["attempt_number"] += " + 1"
+    if layout.status != "code":
+        present["status_text"] = layout.columns["status_code"]
     if layout.status == "tracking":
         present["status_code"] = TRACKING_CODE.format(present["status_code"])
     named = canonical(df.selectExpr(*[f"{v} AS {c}" for c, v in present.items()]))
@@ -67,7 +80,18 @@ def to_canonical(df: DataFrame, version: str) -> DataFrame:
     if "email_instance_id" not in present:
         own = instance_id(F.col("activity_id"), F.col("attempt_number").cast("int"))
         named = named.withColumn("email_instance_id", own)
-    return conform(named, EMAIL_INSTANCE).withColumn("schema_version", F.lit(version))
+    return conform(named, WITH_OLDER).withColumn("schema_version", F.lit(version))
+
+
+def other_union(frames: dict[str, DataFrame], table: str) -> DataFrame:
+    """One table of queue items or attachments from frames in several layouts."""
+    parts = []
+    for version, df in frames.items():
+        columns = OTHER_LAYOUTS[table][version]
+        named = df.selectExpr(*[f"{old} AS {c}" for c, old in columns.items() if old in df.columns])
+        typed = conform(canonical(named), TABLES[table])
+        parts.append(typed.withColumn("schema_version", F.lit(version)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def version_union(frames: dict[str, DataFrame]) -> DataFrame:
@@ -79,9 +103,9 @@ def version_union(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def scan(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Typed read of a current-layout table."""
+    """Typed read of a current-layout table, ids and stages in their one spelling."""
     schema = TABLES[table]
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return canonical(spark.read.schema(schema).parquet(path).select(*schema.names))
 
 
 def scan_version(spark: SparkSession, path: str, version: str) -> DataFrame:
@@ -141,4 +165,28 @@ def scan_range(spark: SparkSession, path: str, start: str, end: str) -> DataFram
         .filter((day >= low.cast("date")) & (day <= high.cast("date")))
         .filter((created >= low) & (created < high))
         .drop(DAY)
+        .transform(canonical)
+    )
+
+
+def replace_days(rows: DataFrame, path: str) -> None:
+    """Replace, in a log laid out by creation day, the days that ``rows`` fall in.
+
+    ``rows`` holds all rows of these days. They are written to the shared folder first, so
+    the log is never overwritten while it is read; then each day is swapped for its new
+    files. Repeating it changes nothing.
+    """
+    staged = materialize(rows.withColumn(DAY, F.to_date("created_date_time")), "days")
+    (
+        staged.hint("rebalance", DAY)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY)
+        .parquet(path)
     )
+
+
+def rows_of_days(log: DataFrame, changed: DataFrame) -> DataFrame:
+    """All rows of the days on which ``changed`` has a row."""
+    days = changed.select(F.to_date("created_date_time").alias("_day")).distinct()
+    return log.join(days, F.to_date("created_date_time") == F.col("_day"), "left_semi")

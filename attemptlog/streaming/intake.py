@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attemptlog.functions.identity import canonical_id
-from attemptlog.session import shared_dir
+from attemptlog.operators.skew import order_within, time_pieces
+from attemptlog.session import exists, shared_dir
 from attemptlog.streaming.tables import BATCH, read_rows, run_available
 
 BODY = "activity_id STRING, subject STRING, _corrupt STRING"
@@ -33,51 +34,72 @@ def intake_source(messages: DataFrame) -> DataFrame:
     )
 
 
-def dedupe(messages: DataFrame, key: list[str], time: str, delay: str, name: str) -> DataFrame:
-    """The first of the messages with one key that arrive within ``delay`` of each other.
+def dedupe(
+    messages: DataFrame, key: list[str], time: str, delay: str, name: str, folder: str | None = None
+) -> DataFrame:
+    """Messages without the repeats of one key.
 
-    Copies within a batch collapse before the shuffle, so one message repeated without
-    end is no hot key. Earlier batches are asked only for what ``delay`` reaches back to.
+    A message is a repeat if the one of its key just before it, kept or not, lies no more
+    than ``delay`` back; of equal times the lower hash of the row comes first. So it does not
+    matter where batches end, as long as they come in the order of time. Messages without a
+    key or a time are never repeats. Earlier batches are asked only for what ``delay`` reaches
+    back to, and keep just keys and times. ``folder`` goes on from earlier runs.
     """
     spark = messages.sparkSession
-    folder = shared_dir(spark, name)
-    columns = messages.columns
-    spark.createDataFrame([], messages.schema).write.parquet(f"{folder}/rows/{BATCH}=-1")
+    first = folder is None or not exists(spark, f"{folder}/rows")
+    folder = folder or shared_dir(spark, name)
+    columns, known = messages.columns, [*key, time]
+    if first:
+        none = spark.createDataFrame([], messages.schema)
+        none.write.parquet(f"{folder}/rows/{BATCH}=-1")
+        none.select(*known).write.parquet(f"{folder}/seen/{BATCH}=-1")
     reach = F.expr(f"INTERVAL '{delay}'")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        first = (
-            batch.groupBy(*key)
-            .agg(F.min_by(F.struct(*columns), F.struct(time)).alias("_first"))
-            .select("_first.*")
+        session, whole = batch.sparkSession, F.lit(True)
+        for c in known:
+            whole = whole & F.col(c).isNotNull()
+        named = batch.filter(whole).withColumn("_tie", F.xxhash64(*columns))
+        ordered = order_within(
+            named, key, [time, "_tie"], time_pieces(named, time, "_tie"), "_n", {"_before": time}
         )
+        alone = F.col("_before").isNull() | (F.col("_before") < F.col(time) - reach)
         since = batch.agg((F.min(time) - reach).alias("since")).first()["since"]
         seen = (
-            read_rows(batch.sparkSession, folder)
+            session.read.parquet(f"{folder}/seen")
             .filter((F.col(BATCH) < batch_id) & (F.col(time) >= F.lit(since)))
-            .select(*key, F.col(time).alias("_seen"))
+            .select(*[F.col(c).alias(f"_{c}") for c in known])
         )
-        close = [first[k].eqNullSafe(seen[k]) for k in key]
-        close.append(F.col(time) <= F.col("_seen") + reach)
-        close.append(F.col(time) >= F.col("_seen") - reach)
-        first.join(seen, close, "left_anti").write.mode("overwrite").parquet(
+        close = [F.col(c) == F.col(f"_{c}") for c in key]
+        close += [F.col(f"_{time}") <= F.col(time), F.col(f"_{time}") >= F.col(time) - reach]
+        kept = ordered.filter(alone).join(seen, close, "left_anti").select(*columns)
+        kept.unionByName(batch.filter(~whole)).write.mode("overwrite").parquet(
             f"{folder}/rows/{BATCH}={batch_id}"
         )
+        batch.filter(whole).select(*known).distinct().write.mode("overwrite").parquet(
+            f"{folder}/seen/{BATCH}={batch_id}"
+        )
 
     run_available(messages, folder, write)
     return read_rows(spark, folder).drop(BATCH)
 
 
-def split_late(stream: DataFrame, time: str, delay: str, name: str) -> DataFrame:
+def split_late(
+    stream: DataFrame, time: str, delay: str, name: str, folder: str | None = None
+) -> DataFrame:
     """All rows, with the ones marked that a watermark would drop silently.
 
     A row is late if its time lies more than ``delay`` before the newest time of the
     batches before its own. The newest time of each batch is kept in the shared folder.
+    ``folder`` goes on from earlier runs.
     """
     spark = stream.sparkSession
-    folder = shared_dir(spark, name)
+    first = folder is None or not exists(spark, f"{folder}/seen")
+    folder = folder or shared_dir(spark, name)
     seen_schema = f"newest TIMESTAMP_NTZ, {BATCH} INT"
-    spark.createDataFrame([], "newest TIMESTAMP_NTZ").write.parquet(f"{folder}/seen/{BATCH}=-1")
+    if first:
+        none = spark.createDataFrame([], "newest TIMESTAMP_NTZ")
+        none.write.parquet(f"{folder}/seen/{BATCH}=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession

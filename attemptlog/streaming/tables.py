@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attemptlog.session import shared_dir
@@ -51,6 +51,17 @@ def run_available(
     query.awaitTermination()
 
 
+def arriving(
+    rows: DataFrame, part: Column, parts: int, name: str
+) -> Iterator[DataFrame]:
+    """A stream over a folder into which ``rows`` come in parts, each before the next yield."""
+    spark = rows.sparkSession
+    folder = shared_dir(spark, name)
+    for i in range(parts):
+        rows.filter(part == i).write.mode("append").parquet(folder)
+        yield spark.readStream.schema(rows.schema).parquet(folder)
+
+
 def read_rows(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of all batches, with the batch they came in."""
     return spark.read.option("mergeSchema", "false").parquet(f"{folder}/rows")

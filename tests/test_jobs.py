@@ -84,8 +84,8 @@ def serve_one_by_one(log, requests, ids):
     return written
 
 
-@pytest.mark.parametrize("seed, hot_rows", [(1, 10**6), (2, 10**6), (3, 1)])
-def test_b1_write_equals_serving_one_by_one(spark, seed, hot_rows):
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_b1_write_equals_serving_one_by_one(spark, seed):
     rnd = random.Random(seed)
     known = spark.range(55).select(F.concat(F.lit("act"), "id").alias("a")).crossJoin(
         spark.range(1, 40).select(F.col("id").alias("n"))
@@ -100,7 +100,7 @@ def test_b1_write_equals_serving_one_by_one(spark, seed, hot_rows):
     for batch in range(2):
         asked = random_requests(rnd, 120, 1000 * batch)
         requests = spark.createDataFrame(asked, REQUEST_DDL)
-        new = b1_write(stored, requests, hot_rows)
+        new = b1_write(stored, requests)
         want = serve_one_by_one(log, asked, ids)
         got = {r["request_id"]: r.asDict() for r in new.collect()}
         assert got == {r["request_id"]: r for r in want}

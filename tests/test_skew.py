@@ -10,7 +10,7 @@ from attemptlog.operators import latest
 from attemptlog.operators.links import lineage_parent
 from attemptlog.operators.quality import sequence_breaks
 from attemptlog.operators.quantiles import exact_quantiles
-from attemptlog.operators.skew import hot_keys, join_unique, order_within, spread_nulls
+from attemptlog.operators.skew import join_unique, order_within, spread_nulls
 from attemptlog.plans.b1_write import b1_write
 from attemptlog.sources import derived
 
@@ -30,10 +30,9 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("levels", [1, 2, 3])
-@pytest.mark.parametrize("hot_rows", [0, 3, 500, 10**9])
-def test_order_within_equals_a_plain_window(skewed, hot_rows, levels):
-    chunks = [
-        F.floor(F.col("place") / 50), F.col("place"), F.floor(F.col("id") / 16)
+def test_order_within_equals_a_plain_window(skewed, levels):
+    pieces = [
+        F.floor(F.col("place") / 50), F.col("place"), F.struct("place", F.floor(F.col("id") / 16))
     ][:levels]
     w = Window.partitionBy("k").orderBy("place", "id")
     want = skewed.select(
@@ -41,31 +40,46 @@ def test_order_within_equals_a_plain_window(skewed, hot_rows, levels):
         F.lag("place").over(w),
     )
     got = order_within(
-        skewed, ["k"], ["place", "id"], chunks, "n",
-        {"before": "id", "before_place": "place"}, hot_rows,
+        skewed, ["k"], ["place", "id"], pieces, "n", {"before": "id", "before_place": "place"}
     )
     assert rows(got) == rows(want)
 
 
 def test_order_within_a_burst_at_one_time(skewed):
-    one = skewed.withColumn("place", F.lit(1))
+    """One key and one second hold most rows; no task gets them all."""
+    one = skewed.withColumn("place", F.when(F.col("id") % 5 != 0, 1).otherwise(F.col("place")))
     w = Window.partitionBy("k").orderBy("place", "id")
-    chunks = [F.col("place"), F.floor(F.col("id") / 100)]
-    got = order_within(one, ["k"], ["place", "id"], chunks, "n", hot_rows=5)
+    pieces = [F.col("place"), F.struct("place", F.floor(F.col("id") / 100))]
+    got = order_within(one, ["k"], ["place", "id"], pieces, "n")
     assert rows(got) == rows(one.withColumn("n", F.row_number().over(w).cast("long")))
 
 
-def test_hot_keys(skewed):
-    assert rows(hot_keys(skewed, ["k"], 500)) == [("hot", True)]
-    assert hot_keys(skewed, ["k"], 10**9).count() == 0
+def test_one_way_for_every_key():
+    """No size decides how a key is treated."""
+    import inspect
 
+    from attemptlog.operators import skew
 
-@pytest.mark.parametrize("hot_rows", [0, 2])
-def test_operators_do_not_depend_on_the_limit(spark, sf, hot_rows):
-    log, asked = derived.attempts(spark, sf), derived.requests(spark, sf)
-    assert rows(latest.retry_gap(log, hot_rows)) == rows(latest.retry_gap(log))
-    assert rows(latest.attempt_history(log, hot_rows)) == rows(latest.attempt_history(log))
-    assert rows(b1_write(log, asked, hot_rows)) == rows(b1_write(log, asked))
+    text = inspect.getsource(skew)
+    for word in ("HOT", "limit(", "broadcast(", "SALT"):
+        assert word not in text
+
+
+def test_retry_gap_reads_the_log_twice(spark, sf, tmp_path):
+    derived.attempts(spark, sf).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    plan = final_plan(latest.retry_gap(log))
+    assert plan.count("Scan parquet") == 2, plan
+
+
+def test_lineage_lookup_is_a_plain_semi_join(spark, sf, tmp_path):
+    from attemptlog.operators import lookups
+
+    derived.attempts(spark, sf).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    plan = final_plan(lookups.lineage_lookup(log, lookups.failed(log)))
+    assert plan.count("Scan parquet") == 2
+    assert "Exchange hashpartitioning" not in plan
 
 
 def test_retry_gap_spans_missing_numbers(spark):
@@ -74,9 +88,8 @@ def test_retry_gap_spans_missing_numbers(spark):
         ('a5','a',5,TIMESTAMP_NTZ'2024-01-01 00:00:30') AS
         t(email_instance_id, activity_id, attempt_number, created_date_time)"""
     )
-    for hot in (0, 10):
-        got = {r["attempt_number"]: r["gap_seconds"] for r in latest.retry_gap(log, hot).collect()}
-        assert got == {1: None, 5: 30.0}
+    got = {r["attempt_number"]: r["gap_seconds"] for r in latest.retry_gap(log).collect()}
+    assert got == {1: None, 5: 30.0}
 
 
 def test_latest_attempt_prunes_before_the_shuffle(spark, sf):
@@ -105,43 +118,37 @@ def test_latest_join_keeps_ties(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot_rows", [0, 20, 10**9])
-def test_join_unique_equals_a_plain_join(spark, skewed, how, hot_rows):
+def test_join_unique_equals_a_plain_join(spark, skewed, how):
     left = skewed.withColumn("k", F.when(F.col("id") % 50 != 7, F.col("k")))
     right = spark.createDataFrame(
         [("hot", 1), *[(f"k{i}", i) for i in range(0, 300, 2)]], "k string, v int"
     )
-    got = join_unique(left, right, ["k"], how, hot_rows=hot_rows, salts=4)
+    got = join_unique(left, right, ["k"], how)
     assert rows(got) == rows(left.join(right, ["k"], how))
 
 
-def test_join_unique_spreads_the_hot_key(spark):
-    """A third of the requests ask for one activity; no task gets them all."""
-    asked = spark.range(0, 60000, 1, 8).select(
-        F.col("id").alias("request_id"),
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), "id")).alias("k"),
-    )
-    right = spark.createDataFrame([("hot", 1), ("a1", 2)], "k string, v int")
+def test_join_unique_lets_a_hot_key_be_split(spark):
+    """A third of the requests ask for one activity; the other side comes from a ranking."""
     switches = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
     }
     for key, value in switches.items():
         spark.conf.set(key, value)
     try:
-        joined = join_unique(asked, right, ["k"], "left", hot_rows=1000, salts=64)
-        sizes = [
-            r["count"]
-            for r in joined.filter("k = 'hot' AND v = 1")
-            .groupBy(F.spark_partition_id())
-            .count()
-            .collect()
-        ]
-        assert sum(sizes) == 20000
-        assert len(sizes) == 8 and max(sizes) < 20000 / 3
-        plain = final_plan(join_unique(asked, right, ["k"], "left"))
-        assert "_salt" not in plain and "Generate" not in plain
+        asked = spark.range(0, 60000, 1, 8).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("request_id"),
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), "id")).alias("k"),
+        )
+        log = spark.createDataFrame([("hot", 1), ("hot", 2), ("a1", 2)], "k string, v int")
+        newest = Window.partitionBy("k").orderBy(F.desc("v"))
+        right = log.withColumn("r", F.row_number().over(newest)).filter("r = 1").drop("r")
+        joined = join_unique(asked, right, ["k"], "left")
+        assert "skew=true" in final_plan(joined)
+        assert joined.filter("v = 2").count() == 20001
     finally:
         for key in switches:
             spark.conf.unset(key)
