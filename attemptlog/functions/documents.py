@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from attemptlog.functions.stages import normalise_stage
 
 CONTAINER = "^(OBJECT|ARRAY)<"
+# Fixed value: the longest scalar, in UTF-16 units, that the lookup gives back.
 SCALAR_LIMIT = 4000
 
 # One schema for both shapes of a diagnostic document.
@@ -20,15 +21,20 @@ DETAILS_SCHEMA = """
 """
 
 
+def _listed(text: Column) -> Column:
+    """The text parsed as an element of an array."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
 def is_json(text: Column) -> Column:
     """True for text that is one JSON object or array; NULL for NULL.
 
-    The parser alone accepts trailing text, so the text must also parse as the
-    only element of an array and as a member value.
+    The parser alone accepts trailing text, so the text must parse as the only element of
+    an array and as a member value.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    listed = _listed(text)
     member = F.try_parse_json(F.concat(F.lit('{"w":'), text, F.lit("}")))
-    shape = F.schema_of_variant(F.try_parse_json(text))
+    shape = F.schema_of_variant(F.try_variant_get(listed, "$[0]", "variant"))
     whole = (
         listed.isNotNull()
         & member.isNotNull()
@@ -43,12 +49,11 @@ def json_value(text: Column, path: str) -> Column:
 
     Numbers come in their shortest form: 1.50 as 1.5.
     """
-    node = F.try_variant_get(F.try_parse_json(text), path, "variant")
+    node = F.try_variant_get(_listed(text), f"$[0]{path[1:]}", "variant")
     value = F.get_json_object(text, path)
+    units = F.octet_length(F.encode(value, "UTF-16BE")) / 2
     return F.when(
-        is_json(text)
-        & ~F.schema_of_variant(node).rlike(CONTAINER)
-        & (F.length(value) <= SCALAR_LIMIT),
+        is_json(text) & ~F.schema_of_variant(node).rlike(CONTAINER) & (units <= SCALAR_LIMIT),
         value,
     )
 

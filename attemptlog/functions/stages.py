@@ -50,6 +50,7 @@ STATUS_NAMES = (
 TRACKING_STATUSES = ("InProgress", "Completed", "Failed")
 GATE_RESULTS = ("Pending", "Pass", "Stop")
 QUEUE_STATUSES = ("Enqueued", "Released", "WorkedByServiceAccount")
+# What the gates ask for.
 GATE_ITEM_TYPE = "Email"
 GATE_OWNER = "AAB OPS"
 
@@ -162,7 +163,7 @@ def low_confidence(score: Column, threshold: float) -> Column:
     return score < F.lit(threshold)
 
 
-# Carried column -> resume points of the prior attempt that make it reusable.
+# Carried column -> resume points of the prior attempt that make it reusable.
 CARRY = {
     "agent_subject": ("B7", "B8", "B9"),
     "agent_case_priority": ("B7", "B8", "B9"),

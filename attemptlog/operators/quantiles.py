@@ -1,9 +1,9 @@
 """Exact quantiles of whole numbers without gathering a group's values.
 
-A quantile is found by counting: equal values are counted first, with map-side combining,
-then how many fall in each coarse bucket, in each finer bucket of the few that hold the
-wanted ranks, down to single values. What a window sorts is bounded by the number of
-buckets in one level, not by the data.
+A quantile is found by counting, with map-side combining: how many values fall in each coarse
+bucket, then in each finer bucket of the few that hold the wanted ranks, down to single
+values. Each level reads the values again but shuffles only counts; what a window sorts is
+bounded by the number of buckets in one level, not by the data.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bucket widths for durations in microseconds: an hour, a second, a microsecond.
-DURATION_WIDTHS = (3_600_000_000, 1_000_000, 1)
+# Bucket widths for durations in microseconds: 30 days, an hour, a second, a microsecond.
+DURATION_WIDTHS = (2_592_000_000_000, 3_600_000_000, 1_000_000, 1)
 
 
 def exact_quantiles(
@@ -27,13 +27,12 @@ def exact_quantiles(
     Returns the group columns, ``n`` and one double column per entry of ``quantiles``.
     """
     levels = [f"_b{i}" for i in range(len(widths))]
-    counts = (
+    values = (
         df.select(*groups, F.col(value).cast("long").alias("_v"))
         .select(*groups, *[F.expr(f"_v div {w}").alias(b) for b, w in zip(levels, widths)])
         .dropna(subset=levels)
-        .groupBy(*groups, *levels)
-        .agg(F.count(F.lit(1)).alias("_rows"))
     )
+    count = F.count(F.lit(1)).alias("_rows")
 
     wanted = []
     for name, q in quantiles.items():
@@ -51,16 +50,17 @@ def exact_quantiles(
     ranks = None
     for depth, level in enumerate(levels):
         parent = [*groups, *levels[:depth]]
-        sizes = counts.groupBy(*parent, level).agg(F.sum("_rows").alias("_rows"))
         if ranks is None:
             whole = Window.partitionBy(*groups)
+            sizes = values.groupBy(*groups, level).agg(count)
             placed = sizes.withColumn("_end", F.sum("_rows").over(whole.orderBy(level)))
             found = placed.withColumn("_total", F.sum("_rows").over(whole)).withColumn(
                 "_want", F.explode(F.array(*wanted))
             )
         else:
-            inside = Window.partitionBy(*parent, "_want.name", "_want.side").orderBy(level)
-            found = sizes.join(ranks, parent).withColumn("_end", F.sum("_rows").over(inside))
+            inside = Window.partitionBy(*parent, "_want").orderBy(level)
+            sizes = values.join(ranks, parent).groupBy(*parent, level, "_total", "_want").agg(count)
+            found = sizes.withColumn("_end", F.sum("_rows").over(inside))
         rank, start = F.col("_want.rank"), F.col("_end") - F.col("_rows")
         ranks = found.filter((rank >= start) & (rank < F.col("_end"))).select(
             *parent, level, "_total", F.col("_want").withField("rank", rank - start).alias("_want")

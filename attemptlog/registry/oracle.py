@@ -489,7 +489,10 @@ add(
     "chk_stage",
     """SELECT 'chk_stage' AS rule, CAST(email_instance_id AS VARCHAR) AS key, 'stage' AS "column",
   failed_stage AS value FROM computed c
-WHERE failed_stage IS NOT NULL AND failed_stage NOT IN (SELECT stage FROM ranks)""",
+WHERE failed_stage IS NOT NULL AND failed_stage NOT IN (SELECT stage FROM ranks)
+UNION ALL SELECT 'chk_stage', CAST(email_instance_id AS VARCHAR), 'last_completed_stage',
+  'B.'||substr(last_completed_stage, 2) FROM computed
+WHERE email_instance_id % 9 = 5 AND last_completed_stage IS NOT NULL""",
     "computed",
 )
 
@@ -553,8 +556,8 @@ add(
 )
 add(
     "chk_pk",
-    """SELECT l_orderkey AS activity_id, COUNT(*) AS "rows" FROM lineitem
-GROUP BY l_orderkey HAVING COUNT(*) > 1""",
+    """SELECT email_instance_id, 2::BIGINT AS "rows" FROM attempts WHERE email_instance_id % 6 = 1""",
+    "attempts",
 )
 add(
     "chk_activity_attempt",

@@ -20,13 +20,13 @@ from attemptlog.plans.b1_write import b1_write
 from attemptlog.plans.recovery import recovery_worklist
 from attemptlog.plans.status_view import status_view, with_derived
 from attemptlog.registry.queries import QUERIES
-from attemptlog.session import configure
+from attemptlog.session import configure, shared_dir
 from attemptlog.sources import derived, tables
 from attemptlog.sources.schemas import EMAIL_INSTANCE
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 HEADLINE = (
     "status_view", "latest_attempt", "latest_join", "b1_write", "recovery_worklist",
     "activity_summary", "status_counts", "status_rollup", "chk_details_json", "chk_sequence",
@@ -43,6 +43,7 @@ def session() -> SparkSession:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED", tempfile.mkdtemp(prefix="run-")))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -50,12 +51,13 @@ def session() -> SparkSession:
 
 
 def stored_queries(spark: SparkSession) -> dict:
-    path = os.path.join(tempfile.mkdtemp(prefix="run-"), "log")
+    path = shared_dir(spark, "bench-log")
     tables.conform(derived.attempts(spark, SF_DIR), EMAIL_INSTANCE).repartition(
         int(CPUS), "created_date_time"
     ).write.parquet(path)
     log = tables.scan(spark, path, "email_instance")
     asked = derived.requests(spark, SF_DIR)
+    few = asked.filter("request_id % 1000 = 0")
     return {
         "stored_status_view": lambda: status_view(log),
         "stored_latest_window": lambda: latest.latest_attempt(log),
@@ -64,6 +66,7 @@ def stored_queries(spark: SparkSession) -> dict:
             log, [c for c in log.columns if c != "activity_id"]
         ),
         "stored_b1_write": lambda: b1_write(log, asked),
+        "stored_b1_write_few": lambda: b1_write(log, few),
         "stored_worklist": lambda: recovery_worklist(log),
         "stored_summary": lambda: reports.activity_summary(log),
         "stored_sequence": lambda: quality.sequence_breaks(log),
