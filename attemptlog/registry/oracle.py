@@ -1029,8 +1029,7 @@ add(
     """SELECT event_id, COALESCE(ts < (SELECT MAX(b.ts) FROM events b
   WHERE b.event_id % 4 < e.event_id % 4) - INTERVAL '1' HOUR, FALSE) AS late FROM events e""",
 )
-# What the watermark lets a finished run emit: everything that closed before the newest
-# event time, less the allowed delay.
+# Open rows are those that the newest event time, less the allowed delay, has not passed.
 add(
     "stream_sessions",
     """, gaps AS (SELECT activity_id, ts, CASE WHEN ts >= LAG(ts) OVER w + INTERVAL '2 hours' THEN 1 ELSE 0 END AS opens
@@ -1038,16 +1037,16 @@ add(
 runs AS (SELECT activity_id, ts, SUM(opens) OVER (PARTITION BY activity_id ORDER BY ts) AS run FROM gaps),
 mark AS (SELECT MAX(ts) - INTERVAL '1 hour' AS w FROM keyed)
 SELECT activity_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL '2 hours' AS session_end,
-  COUNT(*) AS events FROM runs GROUP BY activity_id, run
-HAVING MAX(ts) + INTERVAL '2 hours' <= (SELECT w FROM mark)""",
+  COUNT(*) AS events, MAX(ts) + INTERVAL '2 hours' > (SELECT w FROM mark) AS open
+FROM runs GROUP BY activity_id, run""",
     "keyed",
 )
 add(
     "stream_orphans",
     """, mark AS (SELECT LEAST(MAX(ts) FILTER (event_type IN ('view','click')),
     MAX(ts) FILTER (event_type <> 'view')) - INTERVAL '1 hour' AS w FROM keyed)
-SELECT event_id AS message_id, activity_id, ts AS message_time FROM keyed m, mark
-WHERE event_type IN ('view','click') AND ts + INTERVAL '6 hours' < w AND NOT EXISTS (
+SELECT event_id AS message_id, activity_id, ts AS message_time, ts + INTERVAL '6 hours' >= w AS open
+FROM keyed m, mark WHERE event_type IN ('view','click') AND NOT EXISTS (
   SELECT 1 FROM keyed a WHERE a.event_type <> 'view' AND a.activity_id = m.activity_id
     AND a.ts BETWEEN m.ts AND m.ts + INTERVAL '6 hours')""",
     "keyed",
@@ -1057,7 +1056,7 @@ add(
     """, reached AS (SELECT email_instance_id, MAX(stage_rank) AS stage_rank,
     MAX(event_time) + INTERVAL '2 hours' AS stuck_since FROM moves GROUP BY email_instance_id),
 mark AS (SELECT MAX(event_time) - INTERVAL '1 hour' AS w FROM moves)
-SELECT email_instance_id, stage_rank, stuck_since FROM reached, mark
-WHERE stage_rank < 8 AND stuck_since <= w""",
+SELECT email_instance_id, stage_rank, stuck_since, stuck_since > w AS open FROM reached, mark
+WHERE stage_rank < 8""",
     "moves",
 )

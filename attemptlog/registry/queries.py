@@ -929,9 +929,12 @@ def stream_status_sliding(spark, sf):
 
 @query
 def stream_sessions(spark, sf):
-    """Finished bursts: a session is emitted, and forgotten, once the watermark passes it."""
-    keyed = streams.event_stream(spark, sf).withColumn("activity_id", F.expr(derived.ACTIVITY))
-    return streams.collect_appended(progress.sessions(keyed, "2 hours"), "sessions")
+    """Bursts of events that come in four batches, not in the order of time."""
+    rows = derived.keyed_events(spark, sf).select("event_id", "activity_id", "ts")
+    folder = shared_dir(spark, "session-events")
+    for live in streams.arriving(rows, F.col("event_id") % 4, 4, "session-events"):
+        found = progress.sessions(live, "2 hours", folder=folder)
+    return found
 
 
 @query
@@ -945,15 +948,13 @@ def stream_orphans(spark, sf):
     answers = keyed().filter("event_type <> 'view'").select(
         "activity_id", F.col("ts").alias("attempt_time")
     )
-    return streams.collect_appended(
-        progress.orphans(messages, answers, hours=6, delay="1 hour"), "orphans"
-    )
+    return progress.orphans(messages, answers, hours=6, delay="1 hour")
 
 
 @query
 def stream_stuck(spark, sf):
     moves = derived.stage_events(attempt_stream(spark, sf))
-    return streams.collect_appended(progress.stuck(moves, "2 hours", "1 hour"), "stuck")
+    return progress.stuck(moves, "2 hours", "1 hour")
 
 
 @query

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from attemptlog.functions.stages import STAGES
 from attemptlog.operators.lookups import attempts_of_activity
+from attemptlog.operators.skew import join_unique
 from attemptlog.plans.b1_write import b1_write
 from attemptlog.plans.folds import stage_progress
 from attemptlog.session import shared_dir
@@ -108,77 +109,127 @@ def status_windows(
     )
 
 
-def sessions(events: DataFrame, gap: str, delay: str = "1 hour") -> DataFrame:
-    """Bursts: runs of an activity's events no further apart than ``gap``."""
-    timed = with_event_time(events, "ts", delay)
-    return (
-        timed.groupBy(F.session_window("ts", gap), "activity_id")
-        .agg(F.count(F.lit(1)).alias("events"))
-        .select(
-            "activity_id",
+def _newest(spark, rows: DataFrame, time: str, delay: str) -> Column:
+    """The newest stored time less ``delay``: what lies behind it is settled."""
+    limit = rows.agg((F.max(time) - F.expr(f"INTERVAL '{delay}'")).alias("limit")).first()["limit"]
+    return F.lit(limit).cast("timestamp_ntz")
+
+
+def bursts(
+    events: DataFrame,
+    key: str,
+    time: str,
+    gap: str,
+    delay: str,
+    name: str,
+    highest: str | None = None,
+    folder: str | None = None,
+) -> DataFrame:
+    """Runs of a key's events less than ``gap`` apart: key, session_start, session_end, events.
+
+    Each batch is cut into its own runs, which are stored; runs of several batches that touch
+    are joined when they are read, so there is no state to keep or to lose. A run that ended
+    less than ``delay`` before the newest event may still grow: it is marked as open.
+    ``highest`` names a column whose greatest value each run gets; ``folder`` goes on from
+    earlier runs.
+    """
+    spark = events.sparkSession
+    folder = folder or shared_dir(spark, name)
+    extra = [F.max(highest).alias(highest)] if highest else []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        runs = batch.groupBy(F.session_window(time, gap), key).agg(
+            F.count(F.lit(1)).alias("events"), F.max(time).alias("last_event"), *extra
+        )
+        runs.select(
+            key,
             F.col("session_window.start").cast("timestamp_ntz").alias("session_start"),
             F.col("session_window.end").cast("timestamp_ntz").alias("session_end"),
+            "last_event",
             "events",
+            *([highest] if highest else []),
+        ).write.mode("overwrite").parquet(f"{folder}/rows/{BATCH}={batch_id}")
+
+    run_available(events, folder, write)
+    runs = read_rows(spark, folder).drop(BATCH)
+    settled = _newest(spark, runs, "last_event", delay)
+    along = Window.partitionBy(key).orderBy("session_start", "session_end")
+    before = F.max("session_end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    begins = (before.isNull() | (F.col("session_start") >= before)).cast("int")
+    numbered = runs.withColumn("_begins", begins).withColumn("_run", F.sum("_begins").over(along))
+    return (
+        numbered.groupBy(key, "_run")
+        .agg(
+            F.min("session_start").alias("session_start"),
+            F.max("session_end").alias("session_end"),
+            F.sum("events").alias("events"),
+            *extra,
         )
+        .drop("_run")
+        .withColumn("open", F.col("session_end") > settled)
     )
 
 
+def sessions(
+    events: DataFrame, gap: str, delay: str = "1 hour", folder: str | None = None
+) -> DataFrame:
+    """Bursts of an activity's events, also those still open."""
+    return bursts(events, "activity_id", "ts", gap, delay, "sessions", folder=folder)
+
+
 def orphans(messages: DataFrame, attempts: DataFrame, hours: int, delay: str) -> DataFrame:
     """Messages followed by no attempt of their activity within ``hours``.
 
-    The join key includes the message's time bucket, and every attempt is offered to the
-    two buckets it can answer. A busy activity is so spread over its buckets.
+    Of the attempts of an activity in one time bucket only the first and the last decide: a
+    message is answered if the last one in its own bucket is not before it, or the first one
+    in the next bucket is within its time. So attempts are folded per batch and bucket, and
+    each message meets two rows. A message whose time is not over is marked as open.
     """
+    spark = messages.sparkSession
+    asked_in, answered_in = shared_dir(spark, "asked"), shared_dir(spark, "answered")
     width = hours * 3600
 
-    def bucket(column: str):
-        return F.floor(F.unix_seconds(F.col(column)) / width)
+    def bucket(column: str) -> Column:
+        return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / width).alias("_bucket")
 
-    asked = (
-        with_event_time(messages, "message_time", delay)
-        .withColumn("_bucket", bucket("message_time"))
-        .alias("m")
-    )
-    answered = (
-        with_event_time(attempts, "attempt_time", delay)
-        .withColumn(
-            "_bucket", F.explode(F.array(bucket("attempt_time"), bucket("attempt_time") - 1))
-        )
-        .alias("a")
-    )
-    return (
-        asked.join(
-            answered,
-            F.expr(
-                f"""m.activity_id = a.activity_id AND m._bucket = a._bucket
-                AND attempt_time >= message_time
-                AND attempt_time <= message_time + INTERVAL {hours} HOURS"""
-            ),
-            "left_outer",
+    def ends(rows: DataFrame, first: str, last: str) -> DataFrame:
+        return rows.groupBy("activity_id", "_bucket").agg(
+            F.min(first).alias("first"), F.max(last).alias("last")
         )
-        .filter("attempt_time IS NULL")
-        .select(
-            "m.message_id",
-            "m.activity_id",
-            F.col("message_time").cast("timestamp_ntz").alias("message_time"),
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        placed = batch.select("activity_id", bucket("attempt_time"), "attempt_time")
+        ends(placed, "attempt_time", "attempt_time").write.mode("overwrite").parquet(
+            f"{answered_in}/rows/{BATCH}={batch_id}"
         )
+
+    run_available(messages, asked_in)
+    run_available(attempts, answered_in, fold)
+    asked = read_rows(spark, asked_in).select("message_id", "activity_id", "message_time")
+    answered = ends(read_rows(spark, answered_in), "first", "last")
+    settled = F.least(
+        _newest(spark, asked, "message_time", delay), _newest(spark, answered, "last", delay)
+    )
+    asked = asked.withColumn("_bucket", bucket("message_time"))
+    here = answered.select("activity_id", "_bucket", F.col("last").alias("_last"))
+    next_ = answered.select("activity_id", F.col("_bucket") - 1, F.col("first").alias("_first"))
+    next_ = next_.toDF("activity_id", "_bucket", "_first")
+    until = F.col("message_time") + F.expr(f"INTERVAL {hours} HOURS")
+    keys = ["activity_id", "_bucket"]
+    met = join_unique(join_unique(asked, here, keys, "left"), next_, keys, "left")
+    answer = (F.col("_last") >= F.col("message_time")) | (F.col("_first") <= until)
+    return met.filter(~F.coalesce(answer, F.lit(False))).select(
+        "message_id", "activity_id", "message_time", (until >= settled).alias("open")
     )
 
 
 def stuck(events: DataFrame, idle: str, delay: str) -> DataFrame:
     """Attempts that completed a stage, not the last one, and then nothing for ``idle``.
 
-    An attempt's progress is one session; it is emitted when the watermark passes the
-    session's end, which is the idle time after its last event.
+    An attempt's progress is a burst, which ends the idle time after its last event; while
+    that is open the attempt may still move.
     """
-    timed = with_event_time(events, "event_time", delay)
-    return (
-        timed.groupBy(F.session_window("event_time", idle), "email_instance_id")
-        .agg(F.max("stage_rank").alias("stage_rank"))
-        .filter(F.col("stage_rank") < len(STAGES))
-        .select(
-            "email_instance_id",
-            "stage_rank",
-            F.col("session_window.end").cast("timestamp_ntz").alias("stuck_since"),
-        )
+    runs = bursts(events, "email_instance_id", "event_time", idle, delay, "stuck", "stage_rank")
+    return runs.filter(F.col("stage_rank") < len(STAGES)).select(
+        "email_instance_id", "stage_rank", F.col("session_end").alias("stuck_since"), "open"
     )

@@ -167,8 +167,24 @@ def test_orphans_over_bucket_borders(spark, tmp_path):
         return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
     found = progress.orphans(stream("asked"), stream("answers"), hours=6, delay="1 hour")
-    got = {r["message_id"] for r in streams.collect_appended(found, "orphans").collect()}
-    assert got == {3, 4}
+    got = {r["message_id"]: r["open"] for r in found.collect()}
+    assert got == {3: False, 4: False}
+
+
+def test_bursts_do_not_depend_on_batches(spark, tmp_path):
+    base = datetime.datetime(2024, 1, 1)
+    minutes = [0, 30, 100, 170, 300, 310, 1000]
+    events = [(k, base + datetime.timedelta(minutes=m), m) for k in ("a", "b") for m in minutes]
+    df = spark.createDataFrame(events, "activity_id string, ts timestamp_ntz, m int")
+    wants = None
+    for parts in (1, 3, 7):
+        folder = shared_dir(spark, "bursts")
+        for live in streams.arriving(df, F.col("m") % parts, parts, "bursts-in"):
+            found = progress.sessions(live, "75 minutes", folder=folder)
+        got = rows(found)
+        assert wants is None or got == wants
+        wants = got
+    assert {(r[3], r[4]) for r in wants if r[0] == "a"} == {(4, False), (2, False), (1, True)}
 
 
 def test_shared_dir_follows_the_session(spark):
