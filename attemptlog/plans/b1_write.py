@@ -57,14 +57,15 @@ def requested(log: DataFrame, requests: DataFrame) -> DataFrame:
     return log.join(requests.select("activity_id").distinct(), "activity_id", "left_semi")
 
 
-def reusable_prior(log: DataFrame) -> DataFrame:
-    """The latest stored attempt of each activity with what a retry may use of it.
+def reusable_prior(log: DataFrame, requests: DataFrame) -> DataFrame:
+    """The latest stored attempt of each requested activity with what a retry may use of it.
 
     What may not be carried forward is cleared before the shuffle, which keeps most of
     the long texts out of it.
     """
     reusable = carry_forward(resume_stage(F.col("last_completed_stage")))
-    return latest_attempt(log.select(*PRIOR).withColumns(reusable)).select(
+    usable = requested(log.select(*PRIOR).withColumns(reusable), requests)
+    return latest_attempt(usable).select(
         "activity_id", *[F.col(c).alias(f"prior_{c}") for c in PRIOR[1:]]
     )
 
@@ -72,7 +73,7 @@ def reusable_prior(log: DataFrame) -> DataFrame:
 def request_prior(requests: DataFrame, log: DataFrame) -> DataFrame:
     """Each request with its activity's latest stored attempt, if any."""
     requests = canonical(requests)
-    prior = reusable_prior(requested(log, requests))
+    prior = reusable_prior(log, requests)
     return join_unique(requests, prior, ["activity_id"], "left")
 
 

@@ -282,7 +282,7 @@ def test_scan_of_every_layout(spark, sf, tmp_path):
         path = str(tmp_path / version)
         df.write.parquet(path)
         back = tables.scan_version(spark, path, version)
-        assert back.columns == [*EMAIL_INSTANCE.names, "schema_version"]
+        assert back.columns == [*tables.WITH_OLDER.names, "schema_version"]
         assert back.filter("activity_id IS NULL OR attempt_number IS NULL").count() == 0
         total += back.count()
     assert total > 500
