@@ -37,7 +37,7 @@ VOCABULARY, KNOWN = 1022, 1 << 18
 OTHER, END, FIRST = 0, 1, 2
 #: The end of a text among the word hashes.
 END_HASH = 1
-SIZE, BATCH, NOISE, ROUNDS, RATE, FAN = 16, 1024, 64, 2, 0.1, 16
+SIZE, BATCH, NOISE, ROUNDS, RATE, FAN = 16, 2048, 64, 2, 0.1, 16
 #: Distinct words a task holds before it writes counts out.
 HELD = 1 << 21
 _HASHER = WordHasher()
@@ -217,8 +217,10 @@ class Trainer:
             getattr(m, name)[...] += RATE * gradient / np.sqrt(seen)
 
     def _spread(self, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        n = len(self.model.b)
-        return np.stack([np.bincount(at, rows[:, i], n) for i in range(rows.shape[1])], axis=1)
+        """Sums of ``rows`` by their word."""
+        n, size = len(self.model.b), rows.shape[1]
+        place = (at[:, None] * size + np.arange(size)).ravel()
+        return np.bincount(place, rows.ravel(), n * size).reshape(n, size)
 
 
 def train(training: DataFrame, known: Known, unigram: np.ndarray) -> Model:
