@@ -33,7 +33,7 @@ from attemptlog.session import materialize
 #: Values (rows times length) of the sample that the index is fitted on.
 SAMPLE_VALUES = 1 << 21
 #: Members a coarse list should have, and the most lists.
-LIST_ROWS, MAX_LISTS = 1024, 4096
+LIST_ROWS, MAX_LISTS = 4096, 4096
 PARTS, CODES, ROUNDS = 16, 64, 6
 BLOCK, CHUNK = 2048, 256
 SLACK = 1e-9
