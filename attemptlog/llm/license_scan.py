@@ -189,7 +189,7 @@ class Scanner:
         # No text has a detection without one of these; they are looked for first.
         self.rare = [b"licen", b"rights", b"copyright", b"copyleft", b"spdx", b"domain", b"cc",
                      b"commons", b"gpl", b"warranty", b"proprietary", b"confidential", b"bsd",
-                     b"permission", b"redistribution", b"cecill", b"attribution"]
+                     b"permission", b"redistribution", b"cecill", b"attribution", b"apache"]
         self.word = np.zeros(256, bool)
         self.word[list(range(48, 58)) + list(range(97, 123)) + list(range(128, 256))] = True
 

@@ -65,7 +65,7 @@ def test_prefilter_loses_nothing():
     scanner = license_scan.Scanner()
     for phrase in (*license_scan.BASE, "unlicense", "cc0 1 0 universal", "gnu gplv3", "x11 license",
                    "creative commons attribution 4 0", "two clause bsd", "cecill b", "copyleft",
-                   "creative commons zero", "mit no attribution", "public domain"):
+                   "creative commons zero", "mit no attribution", "public domain", "apache 2 0"):
         kept, places = scanner(phrase.encode())
         assert kept or places, phrase
 
