@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attemptlog.session import materialize
+
 #: Bytes of text that a task turns into numpy arrays at a time.
 SLICE_BYTES = 1 << 20
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -96,6 +99,18 @@ def likely_in(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
     return found.select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns])
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``materialize``, then let go of the shuffle files that the writing needed.
+
+    Spark removes them when the driver has collected the frames; a driver with a large heap
+    may not do so for long.
+    """
+    out = materialize(df, name)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits that spreads every bit (splitmix64's finish)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[0])

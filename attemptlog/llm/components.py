@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attemptlog.llm.common import likely_in, written
 from attemptlog.session import materialize
 
 N, A, B = ["n1", "n2"], ["a1", "a2"], ["b1", "b2"]
@@ -80,7 +81,8 @@ def link_buckets(
     """
     hub = members.groupBy("bucket").agg(F.min("n1").alias("c1"), F.max("n1").alias("m1"))
     hubs = materialize(hub.filter("c1 != m1").select("bucket", "c1"), "buckets")
-    shared = materialize(members.join(hubs, "bucket").distinct(), "members")
+    shared = likely_in(members, ["bucket"], hubs).join(hubs, "bucket")
+    shared = written(shared.distinct(), "members")
     centres = shared.filter("n1 = c1").groupBy("bucket").agg(F.min("n2").alias("c2"))
     shared = shared.join(materialize(centres, "centres"), "bucket")
     pairs = shared.filter("n1 != c1 OR n2 != c2").selectExpr(
