@@ -225,7 +225,7 @@ add(
 TRACKING = """
 SELECT activity_id AS "ActivityId", activity_id AS "CorrelationId", tracking_status AS "Status",
   CASE WHEN json_valid(status_details) THEN json_extract_string(status_details,'$.error_code') END AS "StatusCode",
-  agent_subject AS "AgentSubjectName", agent_priority_code AS "AgentPriorityCode",
+  substr(agent_subject, 6) AS "AgentSubjectId", agent_subject AS "AgentSubjectName", agent_priority_code AS "AgentPriorityCode",
   agent_confidence_score AS "AgentConfidenceScore", crm_case_id AS "CaseId",
   case_created_date_time AS "CaseCreatedOn", attempt_number - 1 AS "RetryCount",
   CASE WHEN attempt_number > 1 THEN created_date_time END AS "LastRetryAt",
