@@ -6,7 +6,8 @@ lines, their lengths, blank and repeated ones). A logistic classifier is fitted
 on labelled documents. In every round each classifier labels a pool of unlabelled documents
 and hands its most confident labels to the other, which is fitted again. At the end both views
 are calibrated, and combined, on labelled documents that no classifier was fitted on, and the
-combination scores all documents.
+combination scores all documents. The sample of labels has at most so many of each kind; for
+calibration they are weighted by kind, so that its rate is that of all usable labels.
 
 Only the fitting is bounded: at most ``LABELLED`` labelled documents and ``POOL`` others, the
 first by a hash of their id, go to the driver, as features. Scoring reads whole texts of all
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attemptlog.llm.common import bounded, likely_in, slices, texts_of
+from attemptlog.session import materialize
 
 LABELLED, POOL = 4096, 4096
 ROUNDS, SHARE, HELD = 5, 16, 5
@@ -124,8 +126,9 @@ class Logistic:
         return np.clip(((x - self.mean) / self.scale) @ self.w + self.b, -30, 30)
 
 
-def calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Non-negative weights of the views' logits and a bias, by likelihood."""
+def calibrate(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Non-negative weights of the views' logits and a bias, by likelihood of weighted rows."""
+    weight = weight / weight.sum()
     n = logits.shape[1]
     w, b = np.full(n, 1.0 / n), 0.0
     # Targets short of 0 and 1, so that separable labels keep finite weights.
@@ -133,15 +136,21 @@ def calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     target = np.where(y, (good + 1) / (good + 2), 1 / (bad + 2))
     for _ in range(2000):
         miss = 1 / (1 + np.exp(-(logits @ w + b))) - target
-        w = np.maximum(w - 0.02 * (logits.T @ miss) / len(y), 0)
-        b -= 0.1 * miss.mean()
+        w = np.maximum(w - 0.02 * (logits.T @ (weight * miss)), 0)
+        b -= 0.1 * (weight * miss).sum()
     return w, b
 
 
 class CoTrained:
-    """Both views' classifiers and the calibrated combination."""
+    """Both views' classifiers and the calibrated combination.
 
-    def __init__(self, views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray]):
+    ``weight`` has, per label, how many usable labels of its kind it stands for.
+    """
+
+    def __init__(
+        self, views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], weight: np.ndarray | None = None
+    ):
+        weight = np.ones(len(y)) if weight is None else weight
         held = np.zeros(len(y), bool)
         for kind in (True, False):
             held[np.flatnonzero(y == kind)[::HELD]] = True
@@ -150,7 +159,7 @@ class CoTrained:
         own = [[v[~held]] for v in views]
         labels = [[y[~held]], [y[~held]]]
         free = [np.ones(len(pool[0]), bool) for _ in views]
-        rate = y.mean()
+        rate = np.average(y, weights=weight)
         fit = lambda i: Logistic().fit(np.concatenate(own[i]), np.concatenate(labels[i]))
         models = [fit(0), fit(1)]
         for _ in range(ROUNDS):
@@ -175,8 +184,8 @@ class CoTrained:
         use = held if held.any() else ~held
         logits = np.stack([m.logits(v[use]) for m, v in zip(models, views)], axis=1)
         self.models = models
-        self.single = [calibrate(logits[:, i : i + 1], y[use]) for i in (0, 1)]
-        self.joint = calibrate(logits, y[use])
+        self.single = [calibrate(logits[:, i : i + 1], y[use], weight[use]) for i in (0, 1)]
+        self.joint = calibrate(logits, y[use], weight[use])
 
     def scores(self, views: list[np.ndarray]) -> list[np.ndarray]:
         """Calibrated probabilities of good quality: text, page, both."""
@@ -234,8 +243,14 @@ def train(docs: DataFrame, key: str, labels: DataFrame, label_key: str, label: s
     )
     told = told.join(plain.select("doc"), "doc", "left_semi")
     # Labels first: a bounded sample of each kind, so that a rare kind is not lost.
+    told = materialize(told, "labels-told")
     known = first(told.filter("good"), LABELLED * 3 // 4).unionByName(first(told.filter("NOT good"), LABELLED // 4))
-    known = docs.sparkSession.createDataFrame(known.toArrow())
+    known = known.toArrow()
+    # What a label of the sample stands for, so that the sample has the rate of all labels.
+    usable = {r["good"]: r["count"] for r in told.groupBy("good").count().collect()}
+    taken = np.array(known["good"].to_pylist(), bool)
+    stands = {kind: usable.get(kind, 0) / max(int((taken == kind).sum()), 1) for kind in (True, False)}
+    known = docs.sparkSession.createDataFrame(known)
     pool = first(plain.select("doc").filter("doc IS NOT NULL"), LABELLED + POOL)
     pool = docs.sparkSession.createDataFrame(pool.toArrow()).join(known, "doc", "left_anti").limit(POOL)
     dims = lambda table, c: np.array(
@@ -248,7 +263,8 @@ def train(docs: DataFrame, key: str, labels: DataFrame, label_key: str, label: s
     rest = _sampled(plain, pool)
     others = [dims(rest, c).reshape(len(rest), -1) for c in ("t", "p")]
     others = [o if len(o) else np.zeros((0, n), np.float32) for o, n in zip(others, (TEXT_SIZE, PAGE_SIZE))]
-    return CoTrained([dims(sample, "t"), dims(sample, "p")], y, others)
+    weight = np.where(y, stands[True], stands[False])
+    return CoTrained([dims(sample, "t"), dims(sample, "p")], y, others, weight)
 
 
 def classify(docs: DataFrame, key: str, labels: DataFrame, label_key: str, label: str) -> DataFrame:
