@@ -1,19 +1,22 @@
 """Scoring with a log-bilinear neural language model (operator 6).
 
-Words (A-Z as a-z) are counted over all training texts. The ``VOCABULARY`` most frequent ones
-are the model's words, besides "other" and the end of a text. The model predicts a word from
+Words (A-Z as a-z) are counted over all training texts. The most frequent ones that make up the
+share ``VOCABULARY`` of the tokens are the model's words, besides "other" and the end of a text,
+so their number follows the counts. The model predicts a word from
 the two before it: the context vector is a weighted sum of their vectors, a word's score its
 product with the word's output vector plus a bias. It is trained with noise-contrastive
 estimation on all training texts: in each of ``ROUNDS`` rounds every task starts from the same
 parameters, makes one pass over its texts in mini-batches, and hands back its parameters,
 which are averaged as a tree, by tokens.
 
-Token log-probabilities are normalised: the logarithms of the normalisers of all contexts are
-made once, by batched matrix products. A word outside the vocabulary has the probability of
+Token log-probabilities are normalised in two levels: words are in classes, of neighbours by
+frequency, which are trained as outcomes of their own; a word's probability is that of its class
+among the classes times its own among the words of the class, by batched matrix products. Classes
+hold a sum of 1 of square roots of frequencies, which makes the fewest products. A word outside the vocabulary has the probability of
 "other" times its share (count + 1) among those words, one share standing for unseen ones.
 
-The ``KNOWN`` most frequent words' counts go to the tasks as arrays of bounded size; counts of
-rarer words are joined by shuffles. Words are 64-bit hashes throughout.
+The counts of the ``KNOWN`` most frequent words, and of all of the model's words, go to the
+tasks as arrays; counts of rarer words are joined by shuffles. Words are 64-bit hashes throughout.
 
 Defined results: a null or empty text has one token, its end. Rows without an id are not held
 out; each row gives one row, repeated ids included. Without training texts every token is
@@ -30,14 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attemptlog.llm.common import WordHasher, bounded, texts_of
+from attemptlog.llm.common import WordHasher, bounded, texts_of, written
 from attemptlog.session import materialize
 
-VOCABULARY, KNOWN = 1022, 1 << 18
+VOCABULARY, KNOWN = 0.9, 1 << 18
 OTHER, END, FIRST = 0, 1, 2
 #: The end of a text among the word hashes.
 END_HASH = 1
-SIZE, BATCH, NOISE, ROUNDS, RATE, FAN = 16, 2048, 64, 2, 0.1, 16
+SIZE, BATCH, NOISE, ROUNDS, RATE, FAN = 16, 2048, 64, 2, 0.1, 4
 #: Distinct words a task holds before it writes counts out.
 HELD = 1 << 21
 _HASHER = WordHasher()
@@ -90,13 +93,17 @@ def word_counts(training: DataFrame) -> DataFrame:
 
 
 class Known:
-    """Counts of the most frequent words, by hash, and the model's id of the first ones."""
+    """Counts of the most frequent words, by hash, and the model's id of the first ones.
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray):
+    ``tokens`` is the number of all training tokens.
+    """
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, tokens: int):
         words = words.view(np.uint64)
         order = np.lexsort((words, -counts))
         ids = np.zeros(len(words), np.int32)
-        frequent = order[words[order] != END_HASH][:VOCABULARY]
+        before = np.cumsum(counts[order]) - counts[order]
+        frequent = order[(words[order] != END_HASH) & (before < VOCABULARY * tokens)]
         ids[frequent] = np.arange(FIRST, FIRST + len(frequent))
         ids[words == END_HASH] = END
         by = np.argsort(words)
@@ -120,32 +127,45 @@ class Known:
         return np.where(hashes == END_HASH, END, ids)
 
 
-def most_frequent(counts: DataFrame) -> Known:
-    """At most ``KNOWN`` words: those above a count that a histogram finds."""
+def most_frequent(counts: DataFrame, tokens: int) -> Known:
+    """``KNOWN`` words or fewer, and all that the model's share of the tokens takes.
+
+    A histogram finds the count above which they are.
+    """
     step = F.floor(F.log2("n") * 16).cast("int")
-    histogram = counts.groupBy(step.alias("step")).count().collect()
-    least, total = None, 0
+    histogram = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
+    least, words, covered = None, 0, 0
     for row in sorted(histogram, key=lambda r: -r["step"]):
-        total += row["count"]
-        if total > KNOWN:
+        words += row["words"]
+        if words > KNOWN and covered >= VOCABULARY * tokens:
             break
+        covered += row["n"]
         least = row["step"]
     if least is None:
-        return Known(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return Known(np.zeros(0, np.int64), np.zeros(0, np.int64), tokens)
     top = counts.filter(step >= least).select("word", "n").toArrow()
-    return Known(top["word"].to_numpy(), top["n"].to_numpy())
+    return Known(top["word"].to_numpy(), top["n"].to_numpy(), tokens)
 
 
 class Model:
-    """Input vectors, output vectors, biases and the weights of the two context places."""
+    """Input vectors, output vectors, biases and the weights of the two context places.
+
+    Outputs are the words and after them their classes, which are ranges of words.
+    """
 
-    def __init__(self, unigram: np.ndarray):
+    def __init__(self, unigram: np.ndarray, classes: bool = False):
         rng = np.random.default_rng(7)
-        n = len(unigram)
+        self.n = n = len(unigram)
         self.noise = unigram
+        self.class_of = self.first = None
+        if classes:
+            room = np.floor(np.cumsum(np.sqrt(unigram)))
+            self.first = np.flatnonzero(np.diff(room, prepend=-1.0))
+            self.class_of = np.repeat(np.arange(len(self.first)), np.diff(self.first, append=n))
+            self.noise = np.concatenate([unigram, np.add.reduceat(unigram, self.first)])
         self.r = (rng.normal(size=(n, SIZE)) * 0.1).astype(np.float32)
-        self.q = (rng.normal(size=(n, SIZE)) * 0.1).astype(np.float32)
-        self.b = np.log(unigram).astype(np.float32)
+        self.q = (rng.normal(size=(len(self.noise), SIZE)) * 0.1).astype(np.float32)
+        self.b = np.log(self.noise).astype(np.float32)
         self.c = np.array([[1.0], [0.5]], np.float32) * np.ones((2, SIZE), np.float32)
 
     def get(self) -> np.ndarray:
@@ -163,15 +183,36 @@ class Model:
     def context(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return self.r[one] * self.c[0] + self.r[two] * self.c[1]
 
+    def sums(self, h: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Logarithm of the sum over a range of outputs, for every context vector."""
+        scored = h @ self.q[low:high].T + self.b[low:high]
+        top = scored.max(axis=1)
+        scored -= top[:, None]
+        return np.log(np.exp(scored, out=scored).sum(axis=1)) + top
+
     def normalisers(self) -> np.ndarray:
         """Logarithm of the sum over all words, for every context (one, two)."""
-        n = len(self.b)
-        out = np.empty((n, n), np.float32)
-        everyone = np.arange(n)
-        for one in range(n):
-            scored = self.context(np.full(n, one), everyone) @ self.q.T + self.b
-            top = scored.max(axis=1)
-            out[one] = np.log(np.exp(scored - top[:, None]).sum(axis=1)) + top
+        everyone = np.arange(self.n)
+        return np.stack([self.sums(self.context(np.full(self.n, one), everyone), 0, self.n) for one in everyone])
+
+    def logs(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Natural logarithms of the words' probabilities: of the class, and within it."""
+        of = self.class_of[word]
+        order = np.argsort(of, kind="stable")
+        word, of = word[order], of[order]
+        h = self.context(one[order], two[order])
+        product = lambda at: np.einsum("ij,ij->i", h, self.q[at]) + self.b[at]
+        found = (product(word) + product(self.n + of)).astype(np.float64)
+        for i in range(0, len(word), 1 << 12):
+            found[i : i + (1 << 12)] -= self.sums(h[i : i + (1 << 12)], self.n, len(self.b))
+        cuts = np.searchsorted(of, np.arange(len(self.first) + 1))
+        ends = np.append(self.first[1:], self.n)
+        for c in np.flatnonzero(np.diff(cuts)):
+            for i in range(cuts[c], cuts[c + 1], 1 << 12):
+                s = slice(i, min(i + (1 << 12), cuts[c + 1]))
+                found[s] -= self.sums(h[s], self.first[c], ends[c])
+        out = np.empty(len(word))
+        out[order] = found
         return out
 
 
@@ -192,46 +233,70 @@ class Trainer:
     def __init__(self, model: Model, seed: int):
         self.model, self.rng = model, np.random.default_rng(seed)
         self.seen = [np.full_like(p, 1e-2) for p in (model.r, model.q, model.b, model.c)]
-        self.cumulated = np.cumsum(model.noise)
+        self.cumulated = np.cumsum(model.noise[: model.n])
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         m = self.model
         noise = np.searchsorted(self.cumulated, self.rng.random(NOISE) * self.cumulated[-1])
-        noise = np.minimum(noise, len(m.noise) - 1)
-        level = np.log(NOISE * m.noise).astype(np.float32)
+        noise = np.minimum(noise, m.n - 1)
         first, second = m.r[one], m.r[two]
         h = first * m.c[0] + second * m.c[1]
-        target = m.q[word]
-        sigmoid = lambda x: 1 / (1 + np.exp(-x))
-        real = 1 - sigmoid((h * target).sum(axis=1) + m.b[word] - level[word])
-        fake = -sigmoid(h @ m.q[noise].T + m.b[noise] - level[noise])
-        to_h = real[:, None] * target + fake @ m.q[noise]
-        q, b = self._spread(word, real[:, None] * h), np.bincount(word, real, len(m.b))
-        np.add.at(q, noise, fake.T @ h)
-        np.add.at(b, noise, fake.sum(axis=0))
-        r = self._spread(one, to_h * m.c[0]) + self._spread(two, to_h * m.c[1])
+        level = lambda w: np.log(NOISE * m.noise[w]).astype(np.float32)
+        reals, fakes = [word], [noise]
+        if m.class_of is not None:
+            # The classes of noise words are noise for the classes.
+            reals.append(m.n + m.class_of[word])
+            fakes.append(m.n + m.class_of[noise])
+        fake_at = np.concatenate(fakes)
+        others = m.q[fake_at]
+        # Less the sigmoid of what the model gives the noise.
+        fake = h @ others.T
+        fake += m.b[fake_at] - level(fake_at)
+        np.exp(np.negative(fake, out=fake), out=fake)
+        fake += 1
+        np.divide(-1, fake, out=fake)
+        to_h, to_q, to_b = fake @ others, [], []
+        for real_at in reals:
+            target = m.q[real_at]
+            real = 1 - 1 / (1 + np.exp(level(real_at) - m.b[real_at] - np.einsum("ij,ij->i", h, target)))
+            to_h += real[:, None] * target
+            to_q.append(real[:, None] * h)
+            to_b.append(real)
+        at, to_q, to_b = [*reals, fake_at], [*to_q, fake.T @ h], [*to_b, fake.sum(axis=0)]
         c = np.stack([(to_h * first).sum(axis=0), (to_h * second).sum(axis=0)])
-        for name, gradient, seen in zip(("r", "q", "b", "c"), (r, q, b, c), self.seen):
-            gradient = (gradient / math.sqrt(len(word))).astype(np.float32)
-            seen += gradient**2
-            getattr(m, name)[...] += RATE * gradient / np.sqrt(seen)
-
-    def _spread(self, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Sums of ``rows`` by their word."""
-        n, size = len(self.model.b), rows.shape[1]
-        place = (at[:, None] * size + np.arange(size)).ravel()
-        return np.bincount(place, rows.ravel(), n * size).reshape(n, size)
+        scale = 1 / math.sqrt(len(word))
+        outputs = np.concatenate([np.concatenate(to_q), np.concatenate(to_b)[:, None]], axis=1)
+        at, outputs = self._spread(np.concatenate(at), outputs)
+        inputs, r = self._spread(np.concatenate([one, two]), np.concatenate([to_h * m.c[0], to_h * m.c[1]]))
+        # Only rows with a gradient change.
+        for name, rows, gradient, seen in zip(
+            ("r", "q", "b", "c"),
+            (inputs, at, at, slice(None)),
+            (r, outputs[:, :SIZE], outputs[:, SIZE], c),
+            self.seen,
+        ):
+            gradient = (gradient * scale).astype(np.float32)
+            seen[rows] += gradient**2
+            getattr(m, name)[rows] += RATE * gradient / np.sqrt(seen[rows])
+
+    @staticmethod
+    def _spread(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words in ``at``, and the sums of ``rows`` by word."""
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        starts = np.flatnonzero(np.diff(at, prepend=-1))
+        return at[starts], np.add.reduceat(rows[order], starts, axis=0)
 
 
 def train(training: DataFrame, known: Known, unigram: np.ndarray) -> Model:
     """The averaged model after ``ROUNDS`` passes over all training texts."""
-    model = Model(unigram)
+    model = Model(unigram, classes=True)
     for turn in range(ROUNDS):
         start = model.get()
 
         def run(batches, start=start, turn=turn):
             part = TaskContext.get().partitionId()
-            own = Trainer(Model(unigram).put(start.copy()), turn * 1_000_003 + part)
+            own = Trainer(Model(unigram, classes=True).put(start), turn * 1_000_003 + part)
             total = 0
             for batch in batches:
                 for piece in bounded(batch):
@@ -244,7 +309,7 @@ def train(training: DataFrame, known: Known, unigram: np.ndarray) -> Model:
                         own.step(ids[at], one[at], two[at])
                     total += len(ids)
             if total:
-                flat = own.model.get().astype(np.float64) * total
+                flat = own.model.get()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part], pa.int64()), pa.array([total], pa.int64()),
                      pa.array([flat.tobytes()], pa.binary())],
@@ -252,15 +317,20 @@ def train(training: DataFrame, known: Known, unigram: np.ndarray) -> Model:
                 )
 
         def summed(of, table):
-            flat = sum(np.frombuffer(f, np.float64) for f in table["flat"].to_pylist())
+            totals, flat = table["total"].to_pylist(), 0.0
+            for share, one in zip(totals, table["flat"]):
+                flat = flat + np.frombuffer(one.as_buffer(), np.float32) * (share / sum(totals))
+            flat = flat.astype(np.float32)
             return pa.table(
                 {"slot": pa.array([of[0].as_py()], pa.int64()),
-                 "total": pa.array([sum(table["total"].to_pylist())], pa.int64()),
+                 "total": pa.array([sum(totals)], pa.int64()),
                  "flat": pa.array([flat.tobytes()], pa.binary())}
             )
 
         schema = "slot long, total long, flat binary"
-        parts = materialize(training.select("text").mapInArrow(run, schema), "models")
+        # The tasks' models go to the first sums at once, and their shuffle goes after it.
+        parts = training.select("text").mapInArrow(run, schema).withColumn("slot", F.floor(F.col("slot") / FAN))
+        parts = written(parts.groupBy("slot").applyInArrow(summed, schema), "models")
         last = parts.agg(F.max("slot")).first()[0]
         if last is None:
             return model
@@ -269,7 +339,7 @@ def train(training: DataFrame, known: Known, unigram: np.ndarray) -> Model:
             up = parts.withColumn("slot", F.floor(F.col("slot") / FAN))
             parts = up.groupBy("slot").applyInArrow(summed, schema)
         row = parts.first()
-        model = Model(unigram).put(np.frombuffer(row["flat"], np.float64) / row["total"])
+        model = Model(unigram, classes=True).put(np.frombuffer(row["flat"], np.float32))
     return model
 
 
@@ -281,18 +351,16 @@ def score(df: DataFrame, key: str, text: str) -> DataFrame:
     counts = materialize(word_counts(training), "word-counts")
     row = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     total, distinct = row[0] or 0, row[1]
-    known = most_frequent(counts)
+    known = most_frequent(counts, total)
 
     inside = known.ids > 0
-    unigram = np.ones(FIRST + VOCABULARY)
+    unigram = np.ones(max(FIRST, int(known.ids.max(initial=0)) + 1))
     unigram[known.ids[inside]] += known.counts[inside]
     others = total - int(known.counts[inside].sum())
     other_words = distinct - int(inside.sum())
     unigram[OTHER] += others
-    unigram = unigram[: FIRST + min(VOCABULARY, int((known.ids >= FIRST).sum()))]
     unigram /= unigram.sum()
     model = train(training, known, unigram)
-    normal = model.normalisers()
     base_room = math.log10(total + distinct + 1)
     other_room = math.log10(others + other_words + 1)
 
@@ -307,8 +375,7 @@ def score(df: DataFrame, key: str, text: str) -> DataFrame:
                 natural = np.empty(len(ids))
                 for i in range(0, len(ids), 1 << 16):
                     s = slice(i, i + (1 << 16))
-                    product = np.einsum("ij,ij->i", model.context(one[s], two[s]), model.q[ids[s]])
-                    natural[s] = product + model.b[ids[s]] - normal[one[s], two[s]]
+                    natural[s] = model.logs(ids[s], one[s], two[s])
                 frequent = logs[place]
                 is_other = ids == OTHER
                 model_log = natural / math.log(10) + np.where(is_other, frequent - other_room, 0.0)
