@@ -61,7 +61,8 @@ NAMES = (
     ("gfdl-1.3", "free documentation", f"(?:gnu )?free documentation {LIC}{V}1 3"),
     ("gfdl", "free documentation", f"(?:gnu )?free documentation {LIC}"),
     ("mit-0", "attribution", f"mit no attribution(?: {LIC})?"),
-    ("mit", "mit", f"(?:mit|expat) {LIC}"),
+    ("mit", "mit", f"mit {LIC}"),
+    ("mit", "expat", f"expat {LIC}"),
     ("x11", "x11", f"x11 {LIC}"),
     ("isc", "isc", f"isc {LIC}"),
     ("0bsd", "bsd", f"(?:zero clause|0 clause|free public) bsd(?: {LIC})?"),
@@ -90,7 +91,8 @@ NAMES = (
     ("zlib", "zlib", f"zlib(?: libpng)? {LIC}"),
     ("libpng", "libpng", f"libpng {LIC}"),
     ("openssl", "openssl", f"openssl {LIC}"),
-    ("psf-2.0", "python", f"(?:python|psf)(?: software foundation)? {LIC}"),
+    ("psf-2.0", "python", f"python(?: software foundation)? {LIC}"),
+    ("psf-2.0", "psf", f"psf(?: software foundation)? {LIC}"),
     ("php-3.01", "php", f"php {LIC}"),
     ("ruby", "ruby", f"ruby {LIC}"),
     ("postgresql", "postgresql", f"postgresql {LIC}"),
