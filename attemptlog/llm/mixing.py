@@ -242,11 +242,12 @@ def mix(documents: DataFrame, key: str, text: str, source: str) -> DataFrame:
     )
 
 
-def mixed_rows(documents: DataFrame, key: str, text: str, source: str) -> DataFrame:
+def mixed_rows(documents: DataFrame, key: str, text: str, source: str, whole: bool = False) -> DataFrame:
     """The mix as documents: a row for every repeat taken, with the columns of ``documents``.
 
     Blocks go through a source's stream in order, so a repeat is whole, or, for the document
-    in which a source's last block ends, the words up to there.
+    in which a source's last block ends, the words up to there. With ``whole`` that one is taken
+    as it is, or not at all, whichever is nearer.
     """
     tagged = documents.select(
         F.monotonically_increasing_id().alias("row"),
@@ -261,6 +262,10 @@ def mixed_rows(documents: DataFrame, key: str, text: str, source: str) -> DataFr
     left = F.least(F.col("size"), F.col("taken") - F.col("repeat") * F.col("size"))
     head = F.array_join(F.slice(F.regexp_extract_all(body, F.lit(WORD), F.lit(0)), 1, F.col("left").cast("int")), " ")
     kept = F.when(F.col("left") < F.col("size"), head).otherwise(body)
+    if whole:
+        kept = body
+        taken = taken.withColumn("taken", F.floor(F.expr("(taken * 2 + size) div (size * 2)")) * F.col("size"))
+        taken = taken.filter("taken > 0")
     repeats = F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / F.col("size")))
     return (
         tagged.join(taken, "row")
