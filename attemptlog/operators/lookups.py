@@ -13,14 +13,30 @@ from attemptlog.functions.documents import failed_stage
 from attemptlog.functions.stages import FAILED, resume_stage
 
 
-def having(df: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose key is in the list ``wanted``: nothing is shuffled where the list is short."""
+#: Lists up to this length become part of the filter that a stored log is read with.
+SHORT = 64
+
+
+def having(df: DataFrame, wanted: DataFrame, short: int = 0) -> DataFrame:
+    """Rows whose key is in the list ``wanted``: nothing is shuffled where the list is short.
+
+    Up to ``short`` different keys are fetched first and reach the files of ``df``, where row
+    groups without them are skipped; of a longer list no more than that is fetched.
+    """
+    if short:
+        keys = wanted.distinct().limit(short + 1).collect()
+        if len(keys) <= short:
+            for c in wanted.columns:
+                values = list({k[c] for k in keys} - {None})
+                df = df.filter(F.col(c).isin(values) if values else F.lit(False))
+            if len(wanted.columns) == 1:
+                return df
     return df.join(wanted, wanted.columns, "left_semi")
 
 
-def attempts_of_activity(log: DataFrame, activities: DataFrame) -> DataFrame:
+def attempts_of_activity(log: DataFrame, activities: DataFrame, short: int = 0) -> DataFrame:
     """All attempts of the given activities."""
-    return having(log, activities.select("activity_id"))
+    return having(log, activities.select("activity_id"), short)
 
 
 def failed(log: DataFrame) -> DataFrame:
@@ -38,24 +54,26 @@ def resume_scan(log: DataFrame, point: str) -> DataFrame:
     return failed(log).filter(resume_stage(F.col("last_completed_stage")) == point)
 
 
-def correlation_lookup(tracking: DataFrame, correlations: DataFrame) -> DataFrame:
+def correlation_lookup(
+    tracking: DataFrame, correlations: DataFrame, short: int = 0
+) -> DataFrame:
     """Status, case and creation time by correlation id."""
     wanted = correlations.select("CorrelationId")
-    return having(tracking, wanted).select(
+    return having(tracking, wanted, short).select(
         "CorrelationId", "Status", "CaseId", "CreatedAt"
     )
 
 
-def subject_filter(log: DataFrame, pairs: DataFrame) -> DataFrame:
+def subject_filter(log: DataFrame, pairs: DataFrame, short: int = 0) -> DataFrame:
     """Failed attempts by subject and activity."""
     wanted = pairs.select("banker_subject", "activity_id")
-    return having(failed(log), wanted)
+    return having(failed(log), wanted, short)
 
 
-def lineage_lookup(log: DataFrame, sources: DataFrame) -> DataFrame:
+def lineage_lookup(log: DataFrame, sources: DataFrame, short: int = 0) -> DataFrame:
     """Retries that took their data from the given rows."""
     wanted = sources.select(F.col("email_instance_id").alias("previous_email_instance_id"))
-    return having(log.filter("previous_email_instance_id IS NOT NULL"), wanted)
+    return having(log.filter("previous_email_instance_id IS NOT NULL"), wanted, short)
 
 
 def stuck_scan(log: DataFrame, cutoff: str) -> DataFrame:

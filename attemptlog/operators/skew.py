@@ -52,6 +52,20 @@ def order_within(
     )
 
 
+def running_sum(
+    df: DataFrame, keys: list[str], order: list[str], pieces: list[Column], value: str, name: str
+) -> DataFrame:
+    """Sum of ``value`` over the rows of a key up to each one, cut as in ``order_within``."""
+    names = [f"_piece{i}" for i in range(len(pieces))]
+    cut = df.withColumns(dict(zip(names, pieces)))
+    within = Window.partitionBy(*keys, *names).orderBy(*order)
+    local = F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    sizes = cut.groupBy(*keys, *names).agg(F.sum(value).alias("_rows"))
+    above = _joints(sizes, keys, names).withColumnRenamed("_before", "_sum_before")
+    joined = _same(cut.withColumn("_sum", local), above, [*keys, *names])
+    return joined.select(*df.columns, (F.col("_sum") + F.col("_sum_before")).alias(name))
+
+
 def _joints(sizes: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """For each piece the rows before it, and the last of them if sizes have it."""
     *outer, inner = names
@@ -102,7 +116,7 @@ def id_piece(df: DataFrame, column: str) -> Column:
 
 
 def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join (left, left_semi or left_anti) to a side with one row per key.
+    """Join (inner, left, left_semi or left_anti) to a side with one row per key.
 
     The second join column follows from the keys. It brings both sides a shuffle of the
     join's own, also one that is already arranged by the keys.

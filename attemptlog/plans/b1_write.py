@@ -63,11 +63,20 @@ def reusable_prior(log: DataFrame, requests: DataFrame) -> DataFrame:
     What may not be carried forward is cleared before the shuffle, which keeps most of
     the long texts out of it.
     """
-    reusable = carry_forward(resume_stage(F.col("last_completed_stage")))
-    usable = requested(log.select(*PRIOR).withColumns(reusable), requests)
-    return latest_attempt(usable).select(
-        "activity_id", *[F.col(c).alias(f"prior_{c}") for c in PRIOR[1:]]
-    )
+    return _as_prior(latest_attempt(requested(_usable(log), requests)))
+
+
+def reusable_from(latest: DataFrame) -> DataFrame:
+    """The same from rows that are known to be the latest of their activities."""
+    return _as_prior(_usable(latest))
+
+
+def _usable(log: DataFrame) -> DataFrame:
+    return log.select(*PRIOR).withColumns(carry_forward(resume_stage(F.col("last_completed_stage"))))
+
+
+def _as_prior(rows: DataFrame) -> DataFrame:
+    return rows.select("activity_id", *[F.col(c).alias(f"prior_{c}") for c in PRIOR[1:]])
 
 
 def request_prior(requests: DataFrame, log: DataFrame) -> DataFrame:

@@ -958,6 +958,98 @@ add(
   AND COALESCE(agent_priority_code <> 0, TRUE) AS stored FROM attempts""",
     "attempts",
 )
+FEW = "('7-2024-01-05', '12-2024-01-09', '3-2024-01-20', 'none')"
+add(
+    "stored_attempts_of_activity",
+    f"""SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id, activity_id, attempt_number,
+  created_date_time FROM attempts WHERE activity_id IN {FEW}""",
+    "attempts",
+)
+add(
+    "stored_lineage_lookup",
+    """SELECT CAST(a.email_instance_id AS VARCHAR) AS email_instance_id,
+  CAST(a.previous_email_instance_id AS VARCHAR) AS previous_email_instance_id FROM attempts a
+JOIN attempts p ON p.email_instance_id = a.previous_email_instance_id WHERE p.status_code = 9""",
+    "attempts",
+)
+add(
+    "stored_subject_filter",
+    """SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id, activity_id, banker_subject
+FROM attempts a WHERE status_code = 9 AND EXISTS (
+  SELECT 1 FROM keyed k WHERE k.activity_id = a.activity_id AND k.props = a.banker_subject
+    AND k.event_type IN ('view','purchase'))""",
+    "attempts",
+)
+add(
+    "stored_correlation_lookup",
+    f"""SELECT activity_id AS "CorrelationId", tracking_status AS "Status", crm_case_id AS "CaseId",
+  created_date_time AS "CreatedAt" FROM tracked WHERE activity_id IN {FEW}""",
+    "tracked",
+)
+add(
+    "stored_top_one",
+    """SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id, activity_id,
+  attempt_number, created_date_time FROM attempts WHERE activity_id = '7-2024-01-05'
+ORDER BY attempt_number DESC LIMIT 1""",
+    "attempts",
+)
+add(
+    "stored_status_view",
+    """SELECT CAST(c.email_instance_id AS VARCHAR) AS email_instance_id, c.activity_id, c.attempt_number,
+  c.status_code, c.failed_stage, c.resume_processing_stage, c.skip_queueitem_write, c.status_description
+FROM computed c JOIN (SELECT activity_id, MAX(attempt_number) AS top FROM attempts GROUP BY activity_id) m
+ON c.activity_id = m.activity_id AND c.attempt_number = m.top""",
+    "computed",
+)
+add(
+    "stored_queue_latest",
+    """SELECT queue_item_id, q.activity_id, CAST(l.email_instance_id AS VARCHAR) AS email_instance_id,
+  l.attempt_number, l.status_code, l.last_completed_stage
+FROM queue_items q LEFT JOIN latest l ON l.activity_id = q.activity_id""",
+    "queue_items",
+    "latest",
+)
+add(
+    "stored_request_prior",
+    """SELECT request_id, q.activity_id, CAST(p.email_instance_id AS VARCHAR) AS prior_email_instance_id,
+  p.attempt_number AS prior_attempt_number, p.last_completed_stage AS prior_last_completed_stage,
+  CASE WHEN resume IN ('B7','B8','B9') THEN agent_subject END AS prior_agent_subject,
+  CASE WHEN resume = 'B9' THEN crm_case_payload END AS prior_crm_case_payload
+FROM requests q LEFT JOIN prior p ON p.activity_id = q.activity_id""",
+    "requests",
+    "prior",
+)
+add(
+    "stored_fold_days",
+    """, folded AS (SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id, last_completed_stage,
+  CAST(CASE WHEN rank IS NULL OR status_code IN (9,10) THEN status_code
+       ELSE (SELECT status FROM ranks r WHERE r.rank = c.rank) END AS INT) AS status_code,
+  modified_date_time, attempt_number = MAX(attempt_number) OVER (PARTITION BY activity_id) AS top FROM computed c)
+SELECT * EXCLUDE (top), FALSE AS latest FROM folded
+UNION ALL SELECT * EXCLUDE (top), TRUE AS latest FROM folded WHERE top""",
+    "computed",
+)
+add(
+    "stored_feedback_days",
+    """SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id,
+  CAST(crm_case_id AS VARCHAR) AS crm_case_id, banker_modified_flag
+    OR (crm_case_id IS NOT NULL AND (email_instance_id % 15 = 0 OR email_instance_id % 10 = 0))
+    AS banker_modified_flag FROM attempts""",
+    "attempts",
+)
+add(
+    "stored_append_keys",
+    """SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id, CAST(NULL AS VARCHAR) AS broken FROM attempts
+UNION ALL SELECT CAST(email_instance_id AS VARCHAR), 'chk_pk,chk_activity_attempt' FROM attempts
+WHERE created_date_time < TIMESTAMP '2024-01-15'""",
+    "attempts",
+)
+add(
+    "stored_without_parent",
+    """SELECT event_id AS queue_item_id, activity_id FROM keyed
+WHERE event_type IN ('view','click','signup') AND activity_id NOT IN (SELECT activity_id FROM attempts)""",
+    "attempts",
+)
 add(
     "status_view_all",
     """SELECT email_instance_id, activity_id, attempt_number, failed_stage,
@@ -1041,22 +1133,22 @@ SELECT activity_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL '2 hours' AS se
 FROM runs GROUP BY activity_id, run""",
     "keyed",
 )
-add(
-    "stream_orphans",
-    """, mark AS (SELECT LEAST(MAX(ts) FILTER (event_type IN ('view','click')),
+ORPHANS = """, mark AS (SELECT LEAST(MAX(ts) FILTER (event_type IN ('view','click')),
     MAX(ts) FILTER (event_type <> 'view')) - INTERVAL '1 hour' AS w FROM keyed)
 SELECT event_id AS message_id, activity_id, ts AS message_time, ts + INTERVAL '6 hours' >= w AS open
 FROM keyed m, mark WHERE event_type IN ('view','click') AND NOT EXISTS (
   SELECT 1 FROM keyed a WHERE a.event_type <> 'view' AND a.activity_id = m.activity_id
-    AND a.ts BETWEEN m.ts AND m.ts + INTERVAL '6 hours')""",
-    "keyed",
-)
-add(
-    "stream_stuck",
-    """, reached AS (SELECT email_instance_id, MAX(stage_rank) AS stage_rank,
+    AND a.ts BETWEEN m.ts AND m.ts + INTERVAL '6 hours')"""
+add("stream_orphans", ORPHANS, "keyed")
+add("stream_orphans_live", ORPHANS, "keyed")
+STUCK = """, reached AS (SELECT email_instance_id, MAX(stage_rank) AS stage_rank,
     MAX(event_time) + INTERVAL '2 hours' AS stuck_since FROM moves GROUP BY email_instance_id),
 mark AS (SELECT MAX(event_time) - INTERVAL '1 hour' AS w FROM moves)
 SELECT email_instance_id, stage_rank, stuck_since, stuck_since > w AS open FROM reached, mark
-WHERE stage_rank < 8""",
+WHERE stage_rank < 8"""
+add("stream_stuck", STUCK, "moves")
+add(
+    "stream_stuck_alarms",
+    STUCK.replace(", stuck_since > w AS open", "") + " AND stuck_since <= w",
     "moves",
 )

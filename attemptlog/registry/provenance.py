@@ -22,6 +22,9 @@ STATED = """
     chk_raw_content quarantine orphans lineage_parent lineage_chain lineage_chain_clean
     queue_latest attachment_latest retry_counts failed_by_stage failed_by_resume
     status_counts banker_modified_rate attempt_history audit_page details_typed
+    stored_attempts_of_activity stored_lineage_lookup stored_subject_filter stored_correlation_lookup
+    stored_top_one stored_status_view stored_queue_latest stored_request_prior stored_fold_days
+    stored_feedback_days stored_append_keys stored_without_parent
     status_details_rows recovery_worklist recovery_retry stage_fold feedback_detect
 """.split()
 
@@ -30,7 +33,7 @@ ADDED = """
     low_confidence stuck_scan failure_codes version_quality time_to_case queue_latency
     activity_summary status_rollup retry_gap last_retry json_project json_path_by_kind
     intake_source stream_gate stream_dedupe stream_b1_write stream_stage_fold
-    stream_status_windows stream_status_sliding stream_sessions stream_orphans stream_stuck
+    stream_status_windows stream_status_sliding stream_sessions stream_orphans stream_orphans_live stream_stuck stream_stuck_alarms
     stream_late
 """.split()
 

@@ -11,12 +11,12 @@ from attemptlog.functions import documents as doc
 from attemptlog.functions import stages as st
 from attemptlog.operators import latest, links, lookups, quality, reports
 from attemptlog.plans import b1_write as b1
-from attemptlog.plans import folds, recovery, store
+from attemptlog.plans import folds, logstore, recovery, store
 from attemptlog.plans.status_view import status_view, with_derived
 from attemptlog.session import configure, shared_dir
 from attemptlog.sources import derived, documents, tables
 from attemptlog.sources.schemas import EMAIL_INSTANCE, LENGTHS, QUEUE_ITEM, REQUIRED
-from attemptlog.streaming import intake, progress
+from attemptlog.streaming import alarms, intake, progress
 from attemptlog.streaming import tables as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -831,6 +831,129 @@ def append_checked(spark, sf):
     )
 
 
+LOOKED_UP = (f" {ACTIVITY.upper()} ", "12-2024-01-09", "3-2024-01-20", "none")
+
+
+def looked_up(spark, column: str) -> DataFrame:
+    return spark.createDataFrame([(a,) for a in LOOKED_UP], f"{column} string")
+
+
+def log_store(spark, sf) -> logstore.LogStore:
+    """The attempts in a store, added in two batches, the first of them twice."""
+    log = derived.attempts(spark, sf)
+    early = F.col("created_date_time") < F.lit(CUTOFF).cast("timestamp_ntz")
+    made = logstore.open_store(spark, "log-store", 8)
+    for batch, rows in (("0001", log.filter(early)), ("0002", log.filter(~early)), ("0001", log.filter(early))):
+        made.append(rows, batch)
+    return made
+
+
+@query
+def stored_attempts_of_activity(spark, sf):
+    """Attempts of a few activities, whose ids reach the files."""
+    return log_store(spark, sf).attempts_of(looked_up(spark, "activity_id")).select(
+        "email_instance_id", "activity_id", "attempt_number", "created_date_time"
+    )
+
+
+@query
+def stored_lineage_lookup(spark, sf):
+    made = log_store(spark, sf)
+    return made.retries_of(lookups.failed(made.log())).select(
+        "email_instance_id", "previous_email_instance_id"
+    )
+
+
+@query
+def stored_subject_filter(spark, sf):
+    pairs = derived.requests(spark, sf).select("banker_subject", "activity_id")
+    made = log_store(spark, sf)
+    own = made.log().filter("crm_case_id IS NOT NULL").select("banker_subject", "activity_id")
+    return made.failed_of(pairs.unionByName(own)).select(
+        "email_instance_id", "activity_id", "banker_subject"
+    )
+
+
+@query
+def stored_correlation_lookup(spark, sf):
+    """The tracking table as stored, asked for a few correlations."""
+    path = shared_dir(spark, "tracking")
+    derived.tracking(derived.latest_rows(spark, sf)).write.parquet(path)
+    wanted = looked_up(spark, "CorrelationId").select(F.lower(F.trim("CorrelationId")).alias("CorrelationId"))
+    return lookups.correlation_lookup(spark.read.parquet(path), wanted, lookups.SHORT)
+
+
+@query
+def stored_top_one(spark, sf):
+    return latest.top_one(log_store(spark, sf).log(), ACTIVITY).select(
+        "email_instance_id", "activity_id", "attempt_number", "created_date_time"
+    )
+
+
+@query
+def stored_status_view(spark, sf):
+    return log_store(spark, sf).status_view().select(
+        "email_instance_id", "activity_id", "attempt_number", "status_code", "failed_stage",
+        "resume_processing_stage", "skip_queueitem_write", "status_description",
+    )
+
+
+@query
+def stored_queue_latest(spark, sf):
+    return log_store(spark, sf).queue_latest(derived.queue_items(spark, sf)).select(
+        "queue_item_id", "activity_id", "email_instance_id", "attempt_number", "status_code",
+        "last_completed_stage",
+    )
+
+
+@query
+def stored_request_prior(spark, sf):
+    return log_store(spark, sf).request_prior(derived.requests(spark, sf)).select(
+        "request_id", "activity_id", "prior_email_instance_id", "prior_attempt_number",
+        "prior_last_completed_stage", "prior_agent_subject", "prior_crm_case_payload",
+    )
+
+
+@query
+def stored_fold_days(spark, sf):
+    """Attempts stored without a stage, their events folded in by day, and the latest of them."""
+    log = derived.attempts(spark, sf)
+    made = logstore.open_store(spark, "fold-store", 8)
+    made.append(log.withColumn("last_completed_stage", F.lit(None).cast("string")), "0001")
+    events = derived.stage_events(log).withColumn("email_instance_id", F.col("email_instance_id").cast("string"))
+    for batch in ("0002", "0003"):
+        made.fold(events, batch)
+    shown = ["email_instance_id", "last_completed_stage", "status_code", "modified_date_time"]
+    newest = made.latest().select(*shown, F.lit(True).alias("latest"))
+    return made.log().select(*shown, F.lit(False).alias("latest")).unionByName(newest)
+
+
+@query
+def stored_feedback_days(spark, sf):
+    made = log_store(spark, sf)
+    cases = derived.case_snapshot(derived.attempt_rows(spark, sf))
+    made.flag_feedback(cases, FIELDS, "0003")
+    return made.log().select("email_instance_id", "crm_case_id", "banker_modified_flag")
+
+
+@query
+def stored_append_keys(spark, sf):
+    """All attempts added to a store that has those of the first days: these are turned away."""
+    log = derived.attempts(spark, sf)
+    made = logstore.open_store(spark, "key-store", 8)
+    made.append(log.filter(F.col("created_date_time") < F.lit(CUTOFF).cast("timestamp_ntz")), "0001")
+    made.append(log, "0002")
+    stored = made.log().select("email_instance_id", F.lit(None).cast("string").alias("broken"))
+    return stored.unionByName(made.rejected().select("email_instance_id", "broken"))
+
+
+@query
+def stored_without_parent(spark, sf):
+    """Queue items without an attempt in the store."""
+    items = derived.queue_items(spark, sf, ("view", "click", "signup"))
+    return log_store(spark, sf).without_parent(items).select("queue_item_id", "activity_id")
+
+
 @query
 def status_view_all(spark, sf):
     """Every attempt with the computed columns, as stored."""
@@ -937,8 +1060,8 @@ def stream_sessions(spark, sf):
     return found
 
 
-@query
-def stream_orphans(spark, sf):
+def asked_and_answered(spark, sf):
+    """Streams of messages and of attempts."""
     def keyed():
         return streams.event_stream(spark, sf).withColumn("activity_id", F.expr(derived.ACTIVITY))
 
@@ -948,7 +1071,18 @@ def stream_orphans(spark, sf):
     answers = keyed().filter("event_type <> 'view'").select(
         "activity_id", F.col("ts").alias("attempt_time")
     )
-    return progress.orphans(messages, answers, hours=6, delay="1 hour")
+    return messages, answers
+
+
+@query
+def stream_orphans(spark, sf):
+    return progress.orphans(*asked_and_answered(spark, sf), hours=6, delay="1 hour")
+
+
+@query
+def stream_orphans_live(spark, sf):
+    """The same, given out by the join of both streams as time passes."""
+    return progress.orphans_live(*asked_and_answered(spark, sf), hours=6, delay="1 hour")
 
 
 @query
@@ -957,6 +1091,13 @@ def stream_stuck(spark, sf):
     return progress.stuck(moves, "2 hours", "1 hour")
 
 
+@query
+def stream_stuck_alarms(spark, sf):
+    """Alarms of the engine's timers: bursts that are over for certain."""
+    moves = derived.stage_events(attempt_stream(spark, sf))
+    return alarms.stuck_alarms(moves, "2 hours", "1 hour")
+
+
 @query
 def stream_late(spark, sf):
     """Events that come in four batches, not in the order of time."""

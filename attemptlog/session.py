@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs a later operator one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Lists of ids of this length are looked for one by one in a file's statistics and Bloom filters.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "64",
     # Merge the sessions of a key before the shuffle, not only after it.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
@@ -54,12 +56,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder."""
+    files, where = _files(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(where)] if files.exists(where) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder that a job of ours has written and no one reads any more."""
     files, where = _files(spark, path)
     files.delete(where, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder unless it is there."""
+    files, where = _files(spark, path)
+    files.mkdirs(where)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; what readers see of it appears at once."""
+    files, where = _files(spark, path)
+    if not files.rename(where, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{path} could not be renamed to {target}")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage."""
     spark = df.sparkSession

@@ -6,9 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attemptlog.functions.identity import canonical_id
-from attemptlog.operators.skew import order_within, time_pieces
+from attemptlog.operators.skew import join_unique, order_within, time_pieces
 from attemptlog.session import exists, shared_dir
-from attemptlog.streaming.tables import BATCH, read_rows, run_available
+from attemptlog.streaming.tables import (
+    BATCH,
+    HOUR,
+    hour_of,
+    micros,
+    piece_of,
+    read_hours,
+    read_rows,
+    run_available,
+    store_hours,
+)
 
 BODY = "activity_id STRING, subject STRING, _corrupt STRING"
 
@@ -42,18 +52,21 @@ def dedupe(
     A message is a repeat if the one of its key just before it, kept or not, lies no more
     than ``delay`` back; of equal times the lower hash of the row comes first. So it does not
     matter where batches end, as long as they come in the order of time. Messages without a
-    key or a time are never repeats. Earlier batches are asked only for what ``delay`` reaches
-    back to, and keep just keys and times. ``folder`` goes on from earlier runs.
+    key or a time are never repeats. ``folder`` goes on from earlier runs.
+
+    Seen keys are kept by hour: per key and piece of time as long as ``delay`` the first and the
+    last time. A message is met by its own piece and the one before it, so a batch opens only the
+    hours of these, and a busy key meets two rows of each.
     """
     spark = messages.sparkSession
-    first = folder is None or not exists(spark, f"{folder}/rows")
     folder = folder or shared_dir(spark, name)
     columns, known = messages.columns, [*key, time]
-    if first:
-        none = spark.createDataFrame([], messages.schema)
-        none.write.parquet(f"{folder}/rows/{BATCH}=-1")
-        none.select(*known).write.parquet(f"{folder}/seen/{BATCH}=-1")
-    reach = F.expr(f"INTERVAL '{delay}'")
+    if not exists(spark, f"{folder}/rows"):
+        spark.createDataFrame([], messages.schema).write.parquet(f"{folder}/rows/{BATCH}=-1")
+    width, reach = micros(spark, delay), F.expr(f"INTERVAL '{delay}'")
+    kinds = dict(messages.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in key)
+    schema += f", _piece BIGINT, _first {kinds[time]}, _last {kinds[time]}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session, whole = batch.sparkSession, F.lit(True)
@@ -64,21 +77,27 @@ def dedupe(
             named, key, [time, "_tie"], time_pieces(named, time, "_tie"), "_n", {"_before": time}
         )
         alone = F.col("_before").isNull() | (F.col("_before") < F.col(time) - reach)
-        since = batch.agg((F.min(time) - reach).alias("since")).first()["since"]
+        placed = batch.filter(whole).withColumn("_piece", piece_of(time, width))
+        back = [hour_of(F.col("_piece") - i, width) for i in (0, 1)]
+        # As many rows as the batch touches hours.
+        hours = placed.select(F.explode(F.array(*back)).alias(HOUR)).distinct().collect()
         seen = (
-            session.read.parquet(f"{folder}/seen")
-            .filter((F.col(BATCH) < batch_id) & (F.col(time) >= F.lit(since)))
-            .select(*[F.col(c).alias(f"_{c}") for c in known])
+            read_hours(session, f"{folder}/seen", [row[HOUR] for row in hours], schema)
+            .filter(F.col(BATCH) < batch_id)
+            .groupBy(*key, "_piece")
+            .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
         )
-        close = [F.col(c) == F.col(f"_{c}") for c in key]
-        close += [F.col(f"_{time}") <= F.col(time), F.col(f"_{time}") >= F.col(time) - reach]
-        kept = ordered.filter(alone).join(seen, close, "left_anti").select(*columns)
+        keys = [*key, "_piece"]
+        heads = ordered.filter(alone).withColumn("_piece", piece_of(time, width))
+        before = seen.select(*key, (F.col("_piece") + 1).alias("_piece"), F.col("_last").alias("_earlier"))
+        met = join_unique(join_unique(heads, seen.drop("_last"), keys, "left"), before, keys, "left")
+        repeat = (F.col("_first") <= F.col(time)) | (F.col("_earlier") >= F.col(time) - reach)
+        kept = met.filter(~F.coalesce(repeat, F.lit(False))).select(*columns)
         kept.unionByName(batch.filter(~whole)).write.mode("overwrite").parquet(
             f"{folder}/rows/{BATCH}={batch_id}"
         )
-        batch.filter(whole).select(*known).distinct().write.mode("overwrite").parquet(
-            f"{folder}/seen/{BATCH}={batch_id}"
-        )
+        spans = placed.groupBy(*keys).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+        store_hours(spans.withColumn(HOUR, hour_of(F.col("_piece"), width)), f"{folder}/seen", batch_id)
 
     run_available(messages, folder, write)
     return read_rows(spark, folder).drop(BATCH)

@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from attemptlog.functions.stages import STAGES
 from attemptlog.operators.lookups import attempts_of_activity
-from attemptlog.operators.skew import join_unique
+from attemptlog.operators.skew import join_unique, order_within, running_sum
 from attemptlog.plans.b1_write import b1_write
 from attemptlog.plans.folds import stage_progress
 from attemptlog.session import shared_dir
 from attemptlog.sources.schemas import EMAIL_INSTANCE
 from attemptlog.sources.tables import apply_defaults, conform
-from attemptlog.streaming.tables import BATCH, read_rows, run_available, with_event_time
+from attemptlog.streaming.tables import (
+    BATCH,
+    HOUR,
+    HOUR_MICROS,
+    kept_hours,
+    micros,
+    piece_of,
+    read_hours,
+    read_rows,
+    run_available,
+    store_hours,
+    with_event_time,
+)
 
 BUCKET = "activity_bucket"
 BUCKETS = 256
@@ -127,41 +141,40 @@ def bursts(
 ) -> DataFrame:
     """Runs of a key's events less than ``gap`` apart: key, session_start, session_end, events.
 
-    Each batch is cut into its own runs, which are stored; runs of several batches that touch
-    are joined when they are read, so there is no state to keep or to lose. A run that ended
-    less than ``delay`` before the newest event may still grow: it is marked as open.
-    ``highest`` names a column whose greatest value each run gets; ``folder`` goes on from
-    earlier runs.
+    Events of a key within one piece of time as long as the gap always belong together, so each
+    batch is folded to one row per key and piece, in the map tasks first, and stored. Pieces
+    are chained into runs when they are read: neither events nor pieces of a busy key meet in one
+    task, and there is no state to keep or to lose. A run that ended less than ``delay`` before the
+    newest event may still grow: it is marked as open. ``highest`` names a column whose
+    greatest value each run gets; ``folder`` goes on from earlier runs.
     """
     spark = events.sparkSession
     folder = folder or shared_dir(spark, name)
+    width = micros(spark, gap)
     extra = [F.max(highest).alias(highest)] if highest else []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        runs = batch.groupBy(F.session_window(time, gap), key).agg(
-            F.count(F.lit(1)).alias("events"), F.max(time).alias("last_event"), *extra
+        in_pieces(batch, key, time, width, extra).write.mode("overwrite").parquet(
+            f"{folder}/rows/{BATCH}={batch_id}"
         )
-        runs.select(
-            key,
-            F.col("session_window.start").cast("timestamp_ntz").alias("session_start"),
-            F.col("session_window.end").cast("timestamp_ntz").alias("session_end"),
-            "last_event",
-            "events",
-            *([highest] if highest else []),
-        ).write.mode("overwrite").parquet(f"{folder}/rows/{BATCH}={batch_id}")
 
     run_available(events, folder, write)
-    runs = read_rows(spark, folder).drop(BATCH)
-    settled = _newest(spark, runs, "last_event", delay)
-    along = Window.partitionBy(key).orderBy("session_start", "session_end")
-    before = F.max("session_end").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    begins = (before.isNull() | (F.col("session_start") >= before)).cast("int")
-    numbered = runs.withColumn("_begins", begins).withColumn("_run", F.sum("_begins").over(along))
+    stored = read_rows(spark, folder).drop(BATCH)
+    settled = _newest(spark, stored, "last", delay)
+    pieces = stored.groupBy(key, "piece").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("events").alias("events"), *extra
+    )
+    length = F.expr(f"INTERVAL '{gap}'")
+    cuts = [F.floor(F.col("piece") / n) for n in PIECES_TOGETHER]
+    chained = order_within(pieces, [key], ["piece"], cuts, "_n", {"_ended": "last"})
+    begins = F.col("_ended").isNull() | (F.col("first") >= F.col("_ended") + length)
+    chained = chained.withColumn("_begins", begins.cast("int"))
+    numbered = running_sum(chained, [key], ["piece"], cuts, "_begins", "_run")
     return (
         numbered.groupBy(key, "_run")
         .agg(
-            F.min("session_start").alias("session_start"),
-            F.max("session_end").alias("session_end"),
+            F.min("first").alias("session_start"),
+            (F.max("last") + length).alias("session_end"),
             F.sum("events").alias("events"),
             *extra,
         )
@@ -170,6 +183,24 @@ def bursts(
     )
 
 
+#: Pieces of a key that one task puts in order, by levels.
+PIECES_TOGETHER = (1 << 20, 1 << 10)
+
+
+def in_pieces(events: DataFrame, key: str, time: str, width: int, extra: list[Column]) -> DataFrame:
+    """Events per key and piece of time: first and last of them, and how many."""
+    return (
+        events.filter(F.col(time).isNotNull())
+        .groupBy(key, piece_of(time, width).alias("piece"))
+        .agg(
+            F.min(time).alias("first"),
+            F.max(time).alias("last"),
+            F.count(F.lit(1)).alias("events"),
+            *extra,
+        )
+    )
+
+
 def sessions(
     events: DataFrame, gap: str, delay: str = "1 hour", folder: str | None = None
 ) -> DataFrame:
@@ -210,17 +241,87 @@ def orphans(messages: DataFrame, attempts: DataFrame, hours: int, delay: str) ->
     settled = F.least(
         _newest(spark, asked, "message_time", delay), _newest(spark, answered, "last", delay)
     )
-    asked = asked.withColumn("_bucket", bucket("message_time"))
+    until = F.col("message_time") + F.expr(f"INTERVAL {hours} HOURS")
+    return _unanswered(asked.withColumn("_bucket", bucket("message_time")), answered, until).select(
+        "message_id", "activity_id", "message_time", (until >= settled).alias("open")
+    )
+
+
+def _unanswered(asked: DataFrame, answered: DataFrame, until: Column) -> DataFrame:
+    """Messages that neither the last attempt of their bucket nor the first of the next answers."""
     here = answered.select("activity_id", "_bucket", F.col("last").alias("_last"))
     next_ = answered.select("activity_id", F.col("_bucket") - 1, F.col("first").alias("_first"))
     next_ = next_.toDF("activity_id", "_bucket", "_first")
-    until = F.col("message_time") + F.expr(f"INTERVAL {hours} HOURS")
     keys = ["activity_id", "_bucket"]
     met = join_unique(join_unique(asked, here, keys, "left"), next_, keys, "left")
     answer = (F.col("_last") >= F.col("message_time")) | (F.col("_first") <= until)
-    return met.filter(~F.coalesce(answer, F.lit(False))).select(
-        "message_id", "activity_id", "message_time", (until >= settled).alias("open")
+    return met.filter(~F.coalesce(answer, F.lit(False)))
+
+
+def orphans_live(messages: DataFrame, attempts: DataFrame, hours: int, delay: str) -> DataFrame:
+    """Messages followed by no attempt within ``hours``, each given out when its time is over.
+
+    An outer join of both streams within their time bound: the engine keeps a message until the
+    watermark (the newest time of both streams less ``delay``) has passed its time, and gives it
+    out if nothing answered it; nothing older is kept or read again. Rows that come later than
+    the watermark take no part. Messages whose time is not over at the end of the run are
+    marked as open; for them only the hours within reach are read.
+    """
+    spark = messages.sparkSession
+    out, asked_in, answered_in = (shared_dir(spark, n) for n in ("orphans", "asked", "answered"))
+    span = f"INTERVAL {hours} HOURS"
+    asked = with_event_time(messages, "message_time", delay)
+    answers = with_event_time(attempts, "attempt_time", delay).withColumnRenamed("activity_id", "_activity")
+    within = F.expr(
+        f"activity_id = _activity AND attempt_time >= message_time AND attempt_time <= message_time + {span}"
     )
+    lost = asked.join(answers, within, "leftOuter").filter("attempt_time IS NULL")
+    run_available(lost.select("message_id", "activity_id", "message_time"), out)
+    _keep_hours(messages, "message_time", hours, asked_in)
+    _keep_hours(attempts, "attempt_time", hours, answered_in)
+    asked, asked_to = _since(messages, "message_time", asked_in, delay)
+    answered, answered_to = _since(attempts, "attempt_time", answered_in, delay)
+    # Watermarks count whole milliseconds; without one, nothing is settled.
+    settled = min(asked_to, answered_to) if asked_to and answered_to else None
+    settled = settled and settled.replace(microsecond=settled.microsecond // 1000 * 1000)
+    since = settled and settled - datetime.timedelta(hours=2 * hours)
+    until = F.col("message_time") + F.expr(span)
+    rest = asked(since).filter(F.lit(True) if settled is None else until >= F.lit(settled))
+    ends = answered(since).groupBy("activity_id", "_bucket").agg(
+        F.min("attempt_time").alias("first"), F.max("attempt_time").alias("last")
+    )
+    columns = ["message_id", "activity_id", F.col("message_time").cast("timestamp_ntz").alias("message_time")]
+    still = _unanswered(rest, ends, until).select(*columns, F.lit(True).alias("open"))
+    given = read_rows(spark, out).select(*columns, F.lit(False).alias("open"))
+    return given.unionByName(still)
+
+
+def _keep_hours(stream: DataFrame, time: str, hours: int, folder: str) -> None:
+    """Keep a stream's rows by hour, with the bucket of ``hours`` that they fall in."""
+    width = hours * 3_600_000_000
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        placed = batch.filter(F.col(time).isNotNull()).withColumn("_bucket", piece_of(time, width))
+        hour = piece_of(time, HOUR_MICROS)
+        store_hours(placed.withColumn(HOUR, hour), f"{folder}/kept", batch_id)
+
+    run_available(stream, folder, write)
+
+
+def _since(stream: DataFrame, time: str, folder: str, delay: str):
+    """A reader of kept rows from a time on, and the newest time of all less ``delay``."""
+    spark, kept = stream.sparkSession, f"{folder}/kept"
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in stream.dtypes) + ", _bucket BIGINT"
+    hours = kept_hours(spark, kept)
+    newest = F.max(time) - F.expr(f"INTERVAL '{delay}'")
+    last = read_hours(spark, kept, hours[-1:], schema).agg(newest.alias("t")).first()["t"]
+
+    def rows(since: datetime.datetime | None) -> DataFrame:
+        first = None if since is None else (since - datetime.datetime(1970, 1, 1)) // datetime.timedelta(hours=1)
+        reach = [h for h in hours if first is None or h >= first]
+        return read_hours(spark, kept, reach, schema)
+
+    return rows, last
 
 
 def stuck(events: DataFrame, idle: str, delay: str) -> DataFrame:

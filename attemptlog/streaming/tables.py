@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attemptlog.session import shared_dir
+from attemptlog.session import children, exists, shared_dir
 from attemptlog.sources.schemas import EVENTS
 
 BATCH = "batch_id"
@@ -67,6 +67,53 @@ def read_rows(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("mergeSchema", "false").parquet(f"{folder}/rows")
 
 
+def micros(spark: SparkSession, interval: str) -> int:
+    """The length of an interval such as ``1 hour``."""
+    start = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+    row = spark.sql(f"SELECT unix_micros(CAST({start} + INTERVAL '{interval}' AS TIMESTAMP)) AS n").first()
+    return row["n"]
+
+
+def piece_of(time: str, width: int) -> Column:
+    """Which piece of ``width`` microseconds a time falls in."""
+    return F.floor(F.unix_micros(F.col(time).cast("timestamp")) / F.lit(width)).cast("long")
+
+
+HOUR = "hour"
+HOUR_MICROS = 3_600_000_000
+
+
+def hour_of(piece: Column, width: int) -> Column:
+    """The hour in which a piece starts: the folder its rows are kept in."""
+    return F.floor(piece * F.lit(width) / F.lit(HOUR_MICROS)).cast("long")
+
+
+def store_hours(rows: DataFrame, folder: str, batch_id: int) -> None:
+    """Keep rows with an ``hour`` in folders by hour, then batch; writing a batch again replaces it."""
+    (
+        rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(HOUR, BATCH)
+        .parquet(folder)
+    )
+
+
+def kept_hours(spark: SparkSession, folder: str) -> list[int]:
+    """The hours that a folder has rows of, in order: as many as hours have passed."""
+    names = [name.partition("=") for name in children(spark, folder)]
+    return sorted(int(value) for key, _, value in names if key == HOUR)
+
+
+def read_hours(spark: SparkSession, folder: str, hours: Iterable[int], schema: str) -> DataFrame:
+    """The rows of some hours; folders of other hours are not listed."""
+    paths = [path for h in sorted(set(hours)) if exists(spark, path := f"{folder}/{HOUR}={h}")]
+    reader = spark.read.schema(f"{schema}, {HOUR} BIGINT, {BATCH} BIGINT").option("basePath", folder)
+    if not paths:
+        return spark.createDataFrame([], f"{schema}, {HOUR} BIGINT, {BATCH} BIGINT")
+    return reader.parquet(*paths)
+
+
 def collect_appended(stream: DataFrame, name: str) -> DataFrame:
     """Rows an append-mode stream emits."""
     spark = stream.sparkSession

@@ -1,6 +1,7 @@
 """Streams over several files: batches, restarts, late rows and duplicates."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,10 +9,11 @@ from pyspark.sql import functions as F
 from attemptlog.plans.b1_write import WRITTEN, b1_write
 from attemptlog.session import shared_dir
 from attemptlog.sources import derived
+from attemptlog.streaming import alarms as progress_alarms
 from attemptlog.streaming import intake, progress
 from attemptlog.streaming import tables as streams
 
-from conftest import rows
+from conftest import final_plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -187,6 +189,151 @@ def test_bursts_do_not_depend_on_batches(spark, tmp_path):
     assert {(r[3], r[4]) for r in wants if r[0] == "a"} == {(4, False), (2, False), (1, True)}
 
 
+def test_a_busy_activity_is_folded_before_the_shuffle(spark):
+    """Half of all events are of one activity; what travels is its pieces, per map task."""
+    events = spark.range(0, 200_000, 1, 4).selectExpr(
+        "IF(id % 2 = 0, 'hot', 'a' || id) AS activity_id",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id % 36000) AS ts",
+    )
+    width = streams.micros(spark, "2 hours")
+    pieces = progress.in_pieces(events, "activity_id", "ts", width, [])
+    assert pieces.filter("activity_id = 'hot'").agg(F.sum("events"), F.count("*")).first() == (100_000, 5)
+    plan = final_plan(pieces)
+    assert "SessionWindow" not in plan and plan.index("HashAggregate") < plan.index("Exchange hashpartitioning")
+    sent = pieces.groupBy("activity_id").count().filter("activity_id = 'hot'").first()["count"]
+    assert sent == 5
+
+
+def test_runs_of_many_pieces(spark, monkeypatch):
+    """Runs over levels of pieces equal those found one by one."""
+    monkeypatch.setattr(progress, "PIECES_TOGETHER", (16, 4))
+    rnd = random.Random(9)
+    base = datetime.datetime(2024, 1, 1)
+    events = [(k, base + datetime.timedelta(minutes=rnd.randrange(20_000)), i) for k in ("a", None) for i in range(300)]
+    df = spark.createDataFrame(events, "activity_id string, ts timestamp_ntz, m int")
+    folder = shared_dir(spark, "bursts")
+    for live in streams.arriving(df, F.col("m") % 3, 3, "bursts-in"):
+        found = progress.sessions(live, "45 minutes", folder=folder)
+    want = []
+    for key in ("a", None):
+        times, gap = sorted(t for k, t, _ in events if k == key), datetime.timedelta(minutes=45)
+        run = [times[0]]
+        for t in times[1:]:
+            if t - run[-1] >= gap:
+                want.append((key, run[0], run[-1] + gap, len(run)))
+                run = []
+            run.append(t)
+        want.append((key, run[0], run[-1] + gap, len(run)))
+    assert rows(found.drop("open")) == sorted(want, key=repr)
+
+
+def test_only_hours_in_reach_are_opened(spark, tmp_path):
+    """A file that cannot be read lies in an hour that no batch asks for."""
+    folder = str(tmp_path / "kept")
+    given = tmp_path / "in"
+    given.mkdir()
+    stream = messages(spark, given, [[("a", "01:00:00", "1")]])
+    first = intake.dedupe(stream, ["message_id"], "enqueued_date_time", "1 hour", "dedupe", folder)
+    assert first.count() == 1
+    (hour,) = (tmp_path / "kept" / "seen").glob("hour=*")
+    for part in hour.rglob("*.parquet"):
+        part.write_bytes(b"broken")
+    stream = messages(spark, given, [[("a", "01:00:00", "1")], [("a", "04:00:00", "2"), ("a", "04:30:00", "3")]])
+    again = intake.dedupe(stream, ["message_id"], "enqueued_date_time", "1 hour", "dedupe", folder)
+    assert sorted(r["body"] for r in again.collect()) == ["1", "2"]
+
+
+def repeats_by_hand(made, reach):
+    """Bodies that stay: the message just before it of its id lies further back than ``reach``."""
+    last, kept = {}, []
+    for at, m, body in sorted(made):
+        if m is None or m not in last or at - last[m] > reach:
+            kept.append(body)
+        if m is not None:
+            last[m] = at
+    return sorted(kept)
+
+
+@pytest.mark.parametrize("batches", [1, 2, 6])
+def test_repeats_do_not_depend_on_batches(spark, tmp_path, batches):
+    rnd = random.Random(11)
+    base = datetime.datetime(2024, 1, 1)
+    seconds = sorted(rnd.sample(range(40_000), 240))
+    made = [(base + datetime.timedelta(seconds=s), rnd.choice(["hot", "hot", f"m{i % 9}", None]), f"b{i}") for i, s in enumerate(seconds)]
+    df = spark.createDataFrame([(m, t, b, i) for i, (t, m, b) in enumerate(made)],
+                               "message_id string, enqueued_date_time timestamp_ntz, body string, i int")
+    folder = str(tmp_path / "kept")
+    for live in streams.arriving(df, F.floor(F.col("i") * batches / len(made)).cast("int"), batches, "in"):
+        kept = intake.dedupe(live, ["message_id"], "enqueued_date_time", "20 minutes", "dedupe", folder)
+    assert sorted(r["body"] for r in kept.collect()) == repeats_by_hand(made, datetime.timedelta(minutes=20))
+
+
+def test_orphans_are_given_out_by_the_join(spark, tmp_path):
+    base = datetime.datetime(2024, 1, 1)
+
+    def at(hours):
+        return base + datetime.timedelta(hours=hours)
+
+    asked = [(1, "a", at(0.5)), (2, "a", at(5.9)), (3, "b", at(5.9)), (4, "c", at(1)), (5, "d", at(98)), (6, "e", at(97)),
+             (7, None, at(3)), (9, "z", at(99))]
+    answers = [("a", at(6.4)), ("b", at(12)), ("c", at(0.5)), ("e", at(98)), ("z", at(99))]
+    spark.createDataFrame(asked, "message_id int, activity_id string, message_time timestamp_ntz"
+                          ).write.parquet(str(tmp_path / "asked"))
+    spark.createDataFrame(answers, "activity_id string, attempt_time timestamp_ntz"
+                          ).write.parquet(str(tmp_path / "answers"))
+
+    def stream(name):
+        path = str(tmp_path / name)
+        return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+    found = progress.orphans_live(stream("asked"), stream("answers"), hours=6, delay="1 hour")
+    got = {r["message_id"]: r["open"] for r in found.collect()}
+    assert got == {3: False, 4: False, 5: True, 7: False}
+
+
+def moves_of(spark, tmp_path, batches):
+    """One file of stage events per batch: (attempt, stage, minute)."""
+    import os
+
+    base = datetime.datetime(2024, 1, 1)
+    for i, batch in enumerate(batches):
+        lines = [f'{{"email_instance_id":"{a}","stage_rank":{s},"event_time":"{base + datetime.timedelta(minutes=m)}"}}\n' for a, s, m in batch]
+        (tmp_path / f"m{i}.json").write_text("".join(lines))
+        os.utime(tmp_path / f"m{i}.json", (1_700_000_000 + i,) * 2)
+    return (
+        spark.readStream.schema("email_instance_id STRING, stage_rank INT, event_time TIMESTAMP_NTZ")
+        .option("maxFilesPerTrigger", 1).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").json(str(tmp_path))
+    )
+
+
+def test_alarms_come_once_and_survive_a_restart(spark, tmp_path):
+    given, folder = tmp_path / "in", str(tmp_path / "alarms")
+    given.mkdir()
+    batches = [
+        [("a", 1, 0), ("a", 3, 60), ("b", 8, 10), ("c", 2, 0), ("d", 5, 190)],
+        # d goes back before what it had; c moves on after its span, and after its alarm.
+        [("c", 4, 130), ("d", 6, 135)],
+        [("e", 1, 400)],
+        [("a", 4, 500), ("e", 8, 450)],
+        [("x", 1, 2000)],
+    ]
+
+    def alarms(n):
+        base = datetime.datetime(2024, 1, 1)
+        stream = moves_of(spark, given, batches[:n])
+        found = progress_alarms.stuck_alarms(stream, "2 hours", "1 hour", folder)
+        return sorted((r[0], r[1], (r[2] - base).total_seconds() / 60) for r in found.collect())
+
+    first = [("c", 2, 120.0)]
+    assert alarms(1) == first
+    assert alarms(2) == first
+    third = alarms(3)
+    assert third == sorted([("a", 3, 180.0), *first, ("c", 4, 250.0), ("d", 6, 310.0)])
+    last = sorted([*third, ("a", 4, 620.0)])
+    assert alarms(4) == third
+    assert alarms(5) == last == alarms(5)
+
+
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
