@@ -1015,7 +1015,7 @@ def stream_dedupe(spark, sf):
     folder = shared_dir(spark, "dedupe")
     for live in streams.arriving(both, F.col("_part"), 4, "messages"):
         kept = intake.dedupe(
-            live, ["message_id"], "enqueued_date_time", "1 hour", "dedupe", folder
+            live, ["message_id"], "enqueued_date_time", "1 hour", "dedupe", folder, span=24
         )
     return kept.select("message_id", "enqueued_date_time", "body")
 
@@ -1082,7 +1082,7 @@ def stream_orphans(spark, sf):
 @query
 def stream_orphans_live(spark, sf):
     """The same, given out by the join of both streams as time passes."""
-    return progress.orphans_live(*asked_and_answered(spark, sf), hours=6, delay="1 hour")
+    return progress.orphans_live(*asked_and_answered(spark, sf), hours=6, delay="1 hour", span=24)
 
 
 @query

@@ -45,7 +45,13 @@ def intake_source(messages: DataFrame) -> DataFrame:
 
 
 def dedupe(
-    messages: DataFrame, key: list[str], time: str, delay: str, name: str, folder: str | None = None
+    messages: DataFrame,
+    key: list[str],
+    time: str,
+    delay: str,
+    name: str,
+    folder: str | None = None,
+    span: int = 1,
 ) -> DataFrame:
     """Messages without the repeats of one key.
 
@@ -56,7 +62,8 @@ def dedupe(
 
     Seen keys are kept by hour: per key and piece of time as long as ``delay`` the first and the
     last time. A message is met by its own piece and the one before it, so a batch opens only the
-    hours of these, and a busy key meets two rows of each.
+    hours of these, and a busy key meets two rows of each. ``span`` hours share a folder; where
+    a batch covers days it should be longer, so that folders are fewer.
     """
     spark = messages.sparkSession
     folder = folder or shared_dir(spark, name)
@@ -78,7 +85,7 @@ def dedupe(
         )
         alone = F.col("_before").isNull() | (F.col("_before") < F.col(time) - reach)
         placed = batch.filter(whole).withColumn("_piece", piece_of(time, width))
-        back = [hour_of(F.col("_piece") - i, width) for i in (0, 1)]
+        back = [hour_of(F.col("_piece") - i, width, span) for i in (0, 1)]
         # As many rows as the batch touches hours.
         hours = placed.select(F.explode(F.array(*back)).alias(HOUR)).distinct().collect()
         seen = (
@@ -97,7 +104,7 @@ def dedupe(
             f"{folder}/rows/{BATCH}={batch_id}"
         )
         spans = placed.groupBy(*keys).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
-        store_hours(spans.withColumn(HOUR, hour_of(F.col("_piece"), width)), f"{folder}/seen", batch_id)
+        store_hours(spans.withColumn(HOUR, hour_of(F.col("_piece"), width, span)), f"{folder}/seen", batch_id)
 
     run_available(messages, folder, write)
     return read_rows(spark, folder).drop(BATCH)

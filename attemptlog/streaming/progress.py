@@ -20,6 +20,7 @@ from attemptlog.streaming.tables import (
     BATCH,
     HOUR,
     HOUR_MICROS,
+    hour_of,
     kept_hours,
     micros,
     piece_of,
@@ -258,34 +259,36 @@ def _unanswered(asked: DataFrame, answered: DataFrame, until: Column) -> DataFra
     return met.filter(~F.coalesce(answer, F.lit(False)))
 
 
-def orphans_live(messages: DataFrame, attempts: DataFrame, hours: int, delay: str) -> DataFrame:
+def orphans_live(
+    messages: DataFrame, attempts: DataFrame, hours: int, delay: str, span: int = 1
+) -> DataFrame:
     """Messages followed by no attempt within ``hours``, each given out when its time is over.
 
     An outer join of both streams within their time bound: the engine keeps a message until the
     watermark (the newest time of both streams less ``delay``) has passed its time, and gives it
     out if nothing answered it; nothing older is kept or read again. Rows that come later than
     the watermark take no part. Messages whose time is not over at the end of the run are
-    marked as open; for them only the hours within reach are read.
+    marked as open; for them only the hours within reach are read. ``span`` hours share a folder.
     """
     spark = messages.sparkSession
     out, asked_in, answered_in = (shared_dir(spark, n) for n in ("orphans", "asked", "answered"))
-    span = f"INTERVAL {hours} HOURS"
+    length = f"INTERVAL {hours} HOURS"
     asked = with_event_time(messages, "message_time", delay)
     answers = with_event_time(attempts, "attempt_time", delay).withColumnRenamed("activity_id", "_activity")
     within = F.expr(
-        f"activity_id = _activity AND attempt_time >= message_time AND attempt_time <= message_time + {span}"
+        f"activity_id = _activity AND attempt_time >= message_time AND attempt_time <= message_time + {length}"
     )
     lost = asked.join(answers, within, "leftOuter").filter("attempt_time IS NULL")
     run_available(lost.select("message_id", "activity_id", "message_time"), out)
-    _keep_hours(messages, "message_time", hours, asked_in)
-    _keep_hours(attempts, "attempt_time", hours, answered_in)
-    asked, asked_to = _since(messages, "message_time", asked_in, delay)
-    answered, answered_to = _since(attempts, "attempt_time", answered_in, delay)
+    _keep_hours(messages, "message_time", hours, asked_in, span)
+    _keep_hours(attempts, "attempt_time", hours, answered_in, span)
+    asked, asked_to = _since(messages, "message_time", asked_in, delay, span)
+    answered, answered_to = _since(attempts, "attempt_time", answered_in, delay, span)
     # Watermarks count whole milliseconds; without one, nothing is settled.
     settled = min(asked_to, answered_to) if asked_to and answered_to else None
     settled = settled and settled.replace(microsecond=settled.microsecond // 1000 * 1000)
     since = settled and settled - datetime.timedelta(hours=2 * hours)
-    until = F.col("message_time") + F.expr(span)
+    until = F.col("message_time") + F.expr(length)
     rest = asked(since).filter(F.lit(True) if settled is None else until >= F.lit(settled))
     ends = answered(since).groupBy("activity_id", "_bucket").agg(
         F.min("attempt_time").alias("first"), F.max("attempt_time").alias("last")
@@ -296,19 +299,19 @@ def orphans_live(messages: DataFrame, attempts: DataFrame, hours: int, delay: st
     return given.unionByName(still)
 
 
-def _keep_hours(stream: DataFrame, time: str, hours: int, folder: str) -> None:
+def _keep_hours(stream: DataFrame, time: str, hours: int, folder: str, span: int) -> None:
     """Keep a stream's rows by hour, with the bucket of ``hours`` that they fall in."""
     width = hours * 3_600_000_000
 
     def write(batch: DataFrame, batch_id: int) -> None:
         placed = batch.filter(F.col(time).isNotNull()).withColumn("_bucket", piece_of(time, width))
-        hour = piece_of(time, HOUR_MICROS)
+        hour = hour_of(piece_of(time, HOUR_MICROS), HOUR_MICROS, span)
         store_hours(placed.withColumn(HOUR, hour), f"{folder}/kept", batch_id)
 
     run_available(stream, folder, write)
 
 
-def _since(stream: DataFrame, time: str, folder: str, delay: str):
+def _since(stream: DataFrame, time: str, folder: str, delay: str, span: int):
     """A reader of kept rows from a time on, and the newest time of all less ``delay``."""
     spark, kept = stream.sparkSession, f"{folder}/kept"
     schema = ", ".join(f"`{c}` {kind}" for c, kind in stream.dtypes) + ", _bucket BIGINT"
@@ -318,7 +321,7 @@ def _since(stream: DataFrame, time: str, folder: str, delay: str):
 
     def rows(since: datetime.datetime | None) -> DataFrame:
         first = None if since is None else (since - datetime.datetime(1970, 1, 1)) // datetime.timedelta(hours=1)
-        reach = [h for h in hours if first is None or h >= first]
+        reach = [h for h in hours if first is None or h + span > first]
         return read_hours(spark, kept, reach, schema)
 
     return rows, last

@@ -83,15 +83,19 @@ HOUR = "hour"
 HOUR_MICROS = 3_600_000_000
 
 
-def hour_of(piece: Column, width: int) -> Column:
-    """The hour in which a piece starts: the folder its rows are kept in."""
-    return F.floor(piece * F.lit(width) / F.lit(HOUR_MICROS)).cast("long")
+def hour_of(piece: Column, width: int, span: int = 1) -> Column:
+    """The folder in which the rows of a piece of time are kept: its first hour of ``span``."""
+    return (F.floor(piece * F.lit(width) / F.lit(span * HOUR_MICROS)) * span).cast("long")
 
 
 def store_hours(rows: DataFrame, folder: str, batch_id: int) -> None:
-    """Keep rows with an ``hour`` in folders by hour, then batch; writing a batch again replaces it."""
+    """Keep rows with an ``hour`` in folders by hour, then batch; writing a batch again replaces it.
+
+    Rebalancing writes one file an hour, more where an hour is large.
+    """
     (
         rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        .hint("rebalance", HOUR)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(HOUR, BATCH)

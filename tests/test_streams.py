@@ -312,7 +312,7 @@ def test_alarms_come_once_and_survive_a_restart(spark, tmp_path):
     batches = [
         [("a", 1, 0), ("a", 3, 60), ("b", 8, 10), ("c", 2, 0), ("d", 5, 190)],
         # d goes back before what it had; c moves on after its span, and after its alarm.
-        [("c", 4, 130), ("d", 6, 135)],
+        [("c", 4, 131), ("d", 6, 135)],
         [("e", 1, 400)],
         [("a", 4, 500), ("e", 8, 450)],
         [("x", 1, 2000)],
@@ -328,7 +328,7 @@ def test_alarms_come_once_and_survive_a_restart(spark, tmp_path):
     assert alarms(1) == first
     assert alarms(2) == first
     third = alarms(3)
-    assert third == sorted([("a", 3, 180.0), *first, ("c", 4, 250.0), ("d", 6, 310.0)])
+    assert third == sorted([("a", 3, 180.0), *first, ("c", 4, 251.0), ("d", 6, 310.0)])
     last = sorted([*third, ("a", 4, 620.0)])
     assert alarms(4) == third
     assert alarms(5) == last == alarms(5)
