@@ -17,6 +17,7 @@ null and repeated keys included; texts are scanned whole.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import ahocorasick
 import numpy as np
@@ -231,14 +232,12 @@ def _outermost(found: list[tuple]) -> list[tuple]:
     starts, ends, kept = [], [], []
     for one in found:
         start, end = one[2], one[3]
-        i = int(np.searchsorted(starts, start, "right")) if starts else 0
+        i = bisect_right(starts, start)
         if i and ends[i - 1] >= end:
             continue
         # Those kept that lie inside the new one have a higher priority and stay.
-        j = i
-        while j < len(starts) and ends[j] <= end:
-            j += 1
-        if j == i and not (i and starts[i - 1] == start):
+        inside = i < len(starts) and ends[i] <= end
+        if not inside and not (i and starts[i - 1] == start):
             starts.insert(i, start)
             ends.insert(i, end)
         kept.append(one)

@@ -82,6 +82,9 @@ RULES = (
     ("chat", ("xox",), rb"xox[abprs]-[0-9]{8,}-[A-Za-z0-9-]{16,}", lambda m: True),
     ("payment", ("sk_live_", "rk_live_"), rb"[sr]k_live_[A-Za-z0-9]{20,}", lambda m: True),
 )
+#: Kinds whose expression can start anywhere in a run of these and reads it to its end: where it
+#: fails once it fails at every later start of the run, as what follows the run is the same.
+RUNS = {"web_token": re.compile(rb"[A-Za-z0-9_-]*")}
 HEX_MIN = 24
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, *(rule[0] for rule in RULES[2:]))
@@ -97,6 +100,7 @@ class Scanner:
                 self.find.add_word(word, (rule, len(word)))
         self.find.make_automaton()
         self.tries = [re.compile(pattern).match for _, _, pattern, _ in RULES]
+        self.runs = [RUNS.get(kind) for kind, _, _, _ in RULES]
 
     def __call__(self, text: bytes) -> list[tuple[int, int, str]]:
         """(start, order of the kind, end) in bytes, sorted."""
@@ -107,7 +111,11 @@ class Scanner:
         ]
         done = [0] * len(RULES)
         for start, rule in sorted(hits):
-            if start < done[rule] or not (match := self.tries[rule](text, start)):
+            if start < done[rule]:
+                continue
+            if not (match := self.tries[rule](text, start)):
+                if self.runs[rule]:
+                    done[rule] = self.runs[rule].match(text, start).end()
                 continue
             done[rule] = match.end()
             if RULES[rule][3](match):
