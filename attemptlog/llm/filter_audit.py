@@ -23,6 +23,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from attemptlog.operators.skew import join_unique
 from attemptlog.session import materialize
 
 #: The filters in the order of their bits: few words, few distinct words, capitals, symbols, repeats.
@@ -108,8 +109,7 @@ def masks(
     )
     repeats = F.when(F.col("id") > F.col("first"), 1 << FILTERS.index("E")).otherwise(0)
     return (
-        read.join(firsts, "digest", "left")
-        .join(kinds, "id", "left")
+        join_unique(join_unique(read, firsts, ["digest"], "left"), kinds, ["id"], "left")
         .select(
             "id",
             "part",
