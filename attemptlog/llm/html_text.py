@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from attemptlog.llm.common import bounded, map_rows
 from attemptlog.llm.markup import ARTICLE, MAIN, Page, Reader
+from attemptlog.operators.skew import join_unique
 from attemptlog.session import materialize
 
 #: A container without an article's name has to hold this share of the free text of its host.
@@ -104,7 +105,7 @@ def classes(outline: DataFrame) -> DataFrame:
     )
     tokens = tokens.withColumn("vector", F.xxhash64("high", "low", "pages")).drop("high", "low")
     hosts = tokens.groupBy("host").agg(F.max("pages").alias("host_pages"), F.max("chars").alias("host_chars"))
-    tokens = materialize(tokens.join(hosts, "host").filter("2 * pages >= host_pages"), "template-tokens")
+    tokens = materialize(join_unique(tokens, hosts, ["host"], "inner").filter("2 * pages >= host_pages"), "template-tokens")
 
     seen = outline.select("host", "page", "token", "first", "last").join(
         tokens.select("host", "token", "vector"), ["host", "token"]
