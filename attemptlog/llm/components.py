@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attemptlog.llm.common import likely_in, written
+from attemptlog.operators.skew import join_unique
 from attemptlog.session import materialize
 
 N, A, B = ["n1", "n2"], ["a1", "a2"], ["b1", "b2"]
@@ -68,6 +69,7 @@ def link_buckets(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     settle: Callable[[DataFrame], DataFrame],
+    join_up: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Links between nodes that share a bucket, and the components they make.
 
@@ -78,19 +80,21 @@ def link_buckets(
     different components after that. ``settle`` gets the members of such buckets with their
     roots (r1, r2) and returns links (a1, a2, b1, b2) that join up whatever is linked in a
     bucket. So components are exact for the given buckets; the links returned suffice.
+    ``join_up`` finds the components of links, by default ``components``.
     """
+    join_up = join_up or components
     hub = members.groupBy("bucket").agg(F.min("n1").alias("c1"), F.max("n1").alias("m1"))
     hubs = materialize(hub.filter("c1 != m1").select("bucket", "c1"), "buckets")
-    shared = likely_in(members, ["bucket"], hubs).join(hubs, "bucket")
+    shared = join_unique(likely_in(members, ["bucket"], hubs), hubs, ["bucket"], "inner")
     shared = written(shared.distinct(), "members")
     centres = shared.filter("n1 = c1").groupBy("bucket").agg(F.min("n2").alias("c2"))
-    shared = shared.join(materialize(centres, "centres"), "bucket")
+    shared = join_unique(shared, materialize(centres, "centres"), ["bucket"], "inner")
     pairs = shared.filter("n1 != c1 OR n2 != c2").selectExpr(
         "n1 AS a1", "n2 AS a2", "c1 AS b1", "c2 AS b2"
     )
     tried = materialize(pairs.distinct(), "pairs")
     links = materialize(verify(tried), "links")
-    roots = components(links)
+    roots = join_up(links)
 
     known = shared.join(roots, ["n1", "n2"], "left").selectExpr(
         "bucket", "n1", "n2", "coalesce(r1, n1) AS r1", "coalesce(r2, n2) AS r2"
@@ -117,7 +121,7 @@ def link_buckets(
         "coalesce(x1, a1) AS a1", "coalesce(x2, a2) AS a2",
         "coalesce(y1, b1) AS b1", "coalesce(y2, b2) AS b2",
     )
-    over = components(between)
+    over = join_up(between)
     lifted = over.selectExpr("n1 AS r1", "n2 AS r2", "r1 AS t1", "r2 AS t2")
     old = roots.join(lifted, ["r1", "r2"], "left").selectExpr(
         "n1", "n2", "coalesce(t1, r1) AS r1", "coalesce(t2, r2) AS r2"
