@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attemptlog.llm import contraction
 from attemptlog.llm.common import WordHasher, constants, likely_in, map_rows, mix64, texts_of
 from attemptlog.llm.components import link_buckets, smallest
 from attemptlog.session import materialize
@@ -303,7 +304,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, percent: int) -> DataFra
 
     members = some.select(F.explode("buckets").alias("bucket"), "n1", "n2")
     _, roots = link_buckets(
-        members, verify, lambda open_: settle(open_, signed_docs, nodes, texts, percent)
+        members, verify, lambda open_: settle(open_, signed_docs, nodes, texts, percent), contraction.components
     )
     rooted = nodes.join(roots, ["n1", "n2"])
     rooted = smallest(rooted, ["r1", "r2"], "doc", "least").select("n1", "n2", "least")
