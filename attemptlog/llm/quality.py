@@ -3,15 +3,15 @@
 Two views of a document: its text content (shares of bytes and hashed byte pairs, letter
 case, repeated words) and its page metadata (source, language, length, and the page's layout:
 lines, their lengths, blank and repeated ones). A logistic classifier is fitted to each view
-on labelled documents. In every round each classifier labels a pool of unlabelled documents
-and hands its most confident labels to the other, which is fitted again. At the end both views
-are calibrated, and combined, on labelled documents that no classifier was fitted on, and the
-combination scores all documents. The sample of labels has at most so many of each kind; for
+on labelled documents. In every round both classifiers score all other documents, in tasks, and
+each hands the labels it is most confident of to the other, which is fitted again. At the end both
+views are calibrated, and combined, on labelled documents that no classifier was fitted on, and
+the combination scores all documents. The sample of labels has at most so many of each kind; for
 calibration they are weighted by kind, so that its rate is that of all usable labels.
 
-Only the fitting is bounded: at most ``LABELLED`` labelled documents and ``POOL`` others, the
-first by a hash of their id, go to the driver, as features. Scoring reads whole texts of all
-rows, in tasks.
+What reaches the driver is bounded: features of at most ``LABELLED`` labelled documents, the first by a
+hash of their id, and of ``HANDED`` documents, or fewer, a round and classifier; an id that several rows share
+sends one of them. All rows are scored, in every round and at the end, by their whole texts.
 
 Defined results: a null or blank text scores 0 and is rejected. Labels that contradict each
 other, and null labels, teach nothing. Without labels of both kinds every other document
@@ -22,17 +22,25 @@ are scored like others.
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from attemptlog.llm.common import bounded, likely_in, slices, texts_of
 from attemptlog.session import materialize
 
-LABELLED, POOL = 4096, 4096
-ROUNDS, SHARE, HELD = 5, 16, 5
+LABELLED, HANDED = 4096, 256
+#: Of fewer documents than SHARE times HANDED one in SHARE is handed over in a round.
+SHARE = 64
+ROUNDS, HELD = 3, 5
+#: A classifier is sure of a label beyond this many logits.
+SURE = 2.0
+#: Parts of the documents that are ranked on their own before all are.
+PARTS = 32
 KEEP = 0.5
 PAIRS, SOURCES, LANGS, LENGTHS = 512, 64, 16, 24
 TEXT_SIZE, PAGE_SIZE = 128 + PAIRS + 6, SOURCES + LANGS + LENGTHS + 6
@@ -141,15 +149,52 @@ def calibrate(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np
     return w, b
 
 
+@dataclass
+class Picked:
+    """Documents that a classifier is sure of: both views of each, and its label."""
+
+    views: list[np.ndarray]
+    labels: np.ndarray
+
+
+def most(kind: bool, rate: float, documents: int) -> int:
+    """How many labels of a kind a classifier hands over in a round, by the rate of good ones."""
+    return int(round(min(HANDED, documents // SHARE) * (rate if kind else 1 - rate)))
+
+
+class Unlabelled:
+    """Documents held as arrays; ``Documents`` does the same in tasks."""
+
+    def __init__(self, views: list[np.ndarray]):
+        self.views, self.free = views, [np.ones(len(views[0]), bool) for _ in views]
+
+    def pick(self, models: list[Logistic], rate: float) -> list[Picked]:
+        """Per classifier the documents whose labels it hands over, which the other never got before."""
+        out = []
+        for i, model in enumerate(models):
+            logits = model.logits(self.views[i])
+            rows, labels = [], []
+            for kind in (False, True):
+                sure = logits if kind else -logits
+                open_ = np.flatnonzero(self.free[i] & (sure > SURE))
+                best = open_[np.argsort(-sure[open_], kind="stable")][: most(kind, rate, len(logits))]
+                rows.append(best)
+                labels.append(np.full(len(best), kind))
+            rows = np.concatenate(rows)
+            self.free[i][rows] = False
+            out.append(Picked([v[rows] for v in self.views], np.concatenate(labels)))
+        return out
+
+
 class CoTrained:
     """Both views' classifiers and the calibrated combination.
 
-    ``weight`` has, per label, how many usable labels of its kind it stands for.
+    ``pool`` has the other documents: arrays, or something that picks. ``weight`` has, per label,
+    how many usable labels of its kind it stands for.
     """
 
-    def __init__(
-        self, views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], weight: np.ndarray | None = None
-    ):
+    def __init__(self, views: list[np.ndarray], y: np.ndarray, pool, weight: np.ndarray | None = None):
+        pool = Unlabelled(pool) if isinstance(pool, list) else pool
         weight = np.ones(len(y)) if weight is None else weight
         held = np.zeros(len(y), bool)
         for kind in (True, False):
@@ -158,28 +203,13 @@ class CoTrained:
             held[:] = False  # too few to set any aside
         own = [[v[~held]] for v in views]
         labels = [[y[~held]], [y[~held]]]
-        free = [np.ones(len(pool[0]), bool) for _ in views]
         rate = np.average(y, weights=weight)
         fit = lambda i: Logistic().fit(np.concatenate(own[i]), np.concatenate(labels[i]))
         models = [fit(0), fit(1)]
         for _ in range(ROUNDS):
-            given = []
-            for i in (0, 1):
-                other = 1 - i
-                open_ = np.flatnonzero(free[other])
-                order = open_[np.argsort(models[i].logits(pool[i][open_]), kind="stable")]
-                count = len(pool[0]) // (SHARE * ROUNDS)
-                bad = order[: int(round(count * (1 - rate)))]
-                good = order[len(order) - int(round(count * rate)) :]
-                logits = models[i].logits(pool[i])
-                # Only labels that the classifier itself is sure of.
-                given.append((bad[logits[bad] < -2], good[logits[good] > 2]))
-            for i, (bad, good) in enumerate(given):
-                other = 1 - i
-                chosen = np.concatenate([bad, good])
-                own[other].append(pool[other][chosen])
-                labels[other].append(np.concatenate([np.zeros(len(bad), bool), np.ones(len(good), bool)]))
-                free[other][chosen] = False
+            for i, picked in enumerate(pool.pick(models, rate)):
+                own[1 - i].append(picked.views[1 - i])
+                labels[1 - i].append(picked.labels)
             models = [fit(0), fit(1)]
         use = held if held.any() else ~held
         logits = np.stack([m.logits(v[use]) for m, v in zip(models, views)], axis=1)
@@ -209,24 +239,103 @@ def _views(batch) -> tuple[list[np.ndarray], np.ndarray]:
     return [text, page_view(*(batch[c] for c in ("text", "source", "lang", "length")))], some
 
 
+def _packed(matrix: np.ndarray) -> list[bytes]:
+    return [row.tobytes() for row in matrix.astype(np.float16)]
+
+
+def _unpacked(table: pa.Table, column: str, width: int) -> np.ndarray:
+    rows = [np.frombuffer(v, np.float16) for v in table[column].to_pylist()]
+    return np.array(rows, np.float32).reshape(len(rows), width)
+
+
 def _sampled(plain: DataFrame, ids: DataFrame) -> pa.Table:
-    """Features of the documents named in ``ids``, a table of bounded size."""
+    """Features of one row of each document named in ``ids``, a table of bounded size."""
 
     def run(batches):
+        # At most as many as there are ids.
+        first: dict = {}
         for batch in batches:
             for piece in bounded(batch):
                 (text, page), some = _views(piece)
-                pack = lambda m: pa.array([r.tobytes() for r in m.astype(np.float16)], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [piece["doc"], pa.array(some), pack(text), pack(page)], names=["doc", "some", "t", "p"]
-                )
+                for doc, t, p, has in zip(piece["doc"].to_pylist(), _packed(text), _packed(page), some):
+                    if has and (doc not in first or (t, p) < first[doc]):
+                        first[doc] = t, p
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(first), kind), *[pa.array([v[i] for v in first.values()], pa.binary()) for i in (0, 1)]],
+            names=["doc", "t", "p"],
+        )
 
     near = likely_in(plain.filter("doc IS NOT NULL"), ["doc"], ids.select("doc"))
-    chosen = near.join(F.broadcast(ids), "doc", "left_semi")
-    made = chosen.select("doc", "text", "source", "lang", "length").mapInArrow(
-        run, f"doc {dict(plain.dtypes)['doc']}, some boolean, t binary, p binary"
-    )
-    return made.filter("some").join(F.broadcast(ids), "doc").orderBy(F.xxhash64("doc"), "doc", "t").toArrow()
+    chosen = near.join(F.broadcast(ids), "doc", "left_semi").select("doc", "text", "source", "lang", "length")
+    kind = to_arrow_type(chosen.schema["doc"].dataType)
+    made = chosen.mapInArrow(run, f"doc {dict(plain.dtypes)['doc']}, t binary, p binary")
+    made = made.groupBy("doc").agg(F.min(F.struct("t", "p")).alias("v")).select("doc", "v.t", "v.p")
+    return made.orderBy(F.xxhash64("doc"), "doc").toArrow()
+
+
+class Documents:
+    """All documents but some, scored in tasks."""
+
+    def __init__(self, plain: DataFrame, known: set):
+        self.plain = plain.filter("doc IS NOT NULL")
+        self.gone = [set(known), set(known)]
+        self.documents = max(0, self.plain.count() - len(known))
+
+    def pick(self, models: list[Logistic], rate: float) -> list[Picked]:
+        """As ``Unlabelled.pick``; of an id that several rows share the surest row counts.
+
+        A task keeps no more than may be handed over, and so do parts of all documents, so that
+        the last ranking has few rows. Of equally sure ones the first by a hash of the id come first.
+        """
+        gone = self.gone
+        numbers = {(i, kind): most(kind, rate, self.documents) for i in (0, 1) for kind in (False, True)}
+
+        def run(batches):
+            best: dict[tuple, dict] = {key: {} for key in numbers}
+            for batch in batches:
+                for piece in bounded(batch):
+                    views, some = _views(piece)
+                    docs = piece["doc"].to_pylist()
+                    for i, model in enumerate(models):
+                        logits = model.logits(views[i])
+                        for kind in (False, True):
+                            sure = logits if kind else -logits
+                            held = best[i, kind]
+                            for at in np.flatnonzero(some & (sure > SURE)).tolist():
+                                doc = docs[at]
+                                row = (-float(sure[at]), zlib.crc32(str(doc).encode()), *(views[v][at].astype(np.float16).tobytes() for v in (0, 1)))
+                                if doc not in gone[i] and (doc not in held or row < held[doc]):
+                                    held[doc] = row
+                            n = numbers[i, kind]
+                            if len(held) > 2 * n:
+                                best[i, kind] = dict(sorted(held.items(), key=lambda x: (x[1][:2], str(x[0])))[:n])
+            rows = [(i, kind, doc, *row) for (i, kind), held in best.items() for doc, row in held.items()]
+            columns = list(zip(*rows)) if rows else [()] * 7
+            types = [pa.int32(), pa.bool_(), doc_type, pa.float64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
+
+        names = ["view", "good", "doc", "doubt", "tie", "t", "p"]
+        doc_type = to_arrow_type(self.plain.schema["doc"].dataType)
+        kind = dict(self.plain.dtypes)["doc"]
+        schema = f"view int, good boolean, doc {kind}, doubt double, tie long, t binary, p binary"
+        found = self.plain.select("doc", "text", "source", "lang", "length").mapInArrow(run, schema)
+        found = found.groupBy("view", "good", "doc").agg(F.min(F.struct("doubt", "tie", "t", "p")).alias("v"))
+        found = found.select("view", "good", "doc", "v.*", F.pmod("v.tie", F.lit(PARTS)).alias("part"))
+        limit = F.lit(0)
+        for (i, good), n in numbers.items():
+            limit = F.when((F.col("view") == i) & (F.col("good") == good), n).otherwise(limit)
+        for group in (["view", "good", "part"], ["view", "good"]):
+            order = Window.partitionBy(*group).orderBy("doubt", "tie", F.col("doc").cast("string"))
+            found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= HANDED)
+        table = found.filter(F.col("rank") <= limit).orderBy("view", "good", "rank").toArrow()
+        out = []
+        view = np.array(table["view"].to_pylist(), int)
+        for i in (0, 1):
+            own = table.filter(pa.array(view == i))
+            self.gone[i] |= set(own["doc"].to_pylist())
+            views = [_unpacked(own, c, n) for c, n in (("t", TEXT_SIZE), ("p", PAGE_SIZE))]
+            out.append(Picked(views, np.array(own["good"].to_pylist(), bool)))
+        return out
 
 
 def train(docs: DataFrame, key: str, labels: DataFrame, label_key: str, label: str) -> CoTrained | None:
@@ -251,20 +360,14 @@ def train(docs: DataFrame, key: str, labels: DataFrame, label_key: str, label: s
     taken = np.array(known["good"].to_pylist(), bool)
     stands = {kind: usable.get(kind, 0) / max(int((taken == kind).sum()), 1) for kind in (True, False)}
     known = docs.sparkSession.createDataFrame(known)
-    pool = first(plain.select("doc").filter("doc IS NOT NULL"), LABELLED + POOL)
-    pool = docs.sparkSession.createDataFrame(pool.toArrow()).join(known, "doc", "left_anti").limit(POOL)
-    dims = lambda table, c: np.array(
-        [np.frombuffer(v, np.float16) for v in table[c].to_pylist()], np.float32
-    )
     sample = _sampled(plain, known)
-    y = np.array(sample["good"].to_pylist(), bool)
+    good = {r["doc"]: r["good"] for r in known.collect()}
+    y = np.array([good[d] for d in sample["doc"].to_pylist()], bool)
     if not y.any() or y.all():
         return None
-    rest = _sampled(plain, pool)
-    others = [dims(rest, c).reshape(len(rest), -1) for c in ("t", "p")]
-    others = [o if len(o) else np.zeros((0, n), np.float32) for o, n in zip(others, (TEXT_SIZE, PAGE_SIZE))]
     weight = np.where(y, stands[True], stands[False])
-    return CoTrained([dims(sample, "t"), dims(sample, "p")], y, others, weight)
+    views = [_unpacked(sample, c, n) for c, n in (("t", TEXT_SIZE), ("p", PAGE_SIZE))]
+    return CoTrained(views, y, Documents(plain, set(good)), weight)
 
 
 def classify(docs: DataFrame, key: str, labels: DataFrame, label_key: str, label: str) -> DataFrame:

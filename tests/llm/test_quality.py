@@ -32,6 +32,80 @@ def test_pseudo_labels_help_the_weak_view():
     assert ((both > 0.5) == y[2000:]).mean() > 0.95
 
 
+def test_rounds_in_tasks_equal_rounds_over_arrays(spark, monkeypatch):
+    """Documents picked by the tasks against the same picks by plain sorting."""
+    monkeypatch.setattr(quality, "HANDED", 12)
+    monkeypatch.setattr(quality, "SHARE", 1)
+    monkeypatch.setattr(quality, "PARTS", 3)
+    rng = np.random.default_rng(6)
+    good, bad = [f"plain{i}" for i in range(40)], [f"B!{i}$" for i in range(40)]
+    texts = [" ".join(rng.choice(bad if i % 4 == 0 else good, 6 + i % 9)) for i in range(240)]
+    docs = [(i, t, "s" if i % 5 else "t", "en", len(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, n_chars long").repartition(5)
+    known = list(range(60))
+    plain = quality._plain(df, "doc_id")
+    batch = plain.filter("doc < 60").orderBy("doc").toArrow().combine_chunks().to_batches()[0]
+    views, _ = quality._views(batch)
+    half = lambda vs: [v.astype(np.float16).astype(np.float32) for v in vs]
+    y = np.array([i % 4 != 0 for i in known])
+    tasks = quality.CoTrained(half(views), y, quality.Documents(plain, set(known)))
+    rest = plain.filter("doc >= 60").orderBy("doc").toArrow().combine_chunks().to_batches()[0]
+    others, _ = quality._views(rest)
+
+    class Plain(quality.Unlabelled):
+        """As sure ones are picked by exact features, ties by the tasks' order."""
+
+        def pick(self, models, rate):
+            out = super().pick(models, rate)
+            for p in out:
+                p.views = half(p.views)
+            return out
+
+    arrays = quality.CoTrained(half(views), y, Plain(others))
+    for a, b in zip(tasks.scores(others), arrays.scores(others)):
+        assert np.abs(a - b).max() < 0.02
+    assert ((tasks.scores(others)[2] > 0.5) == (np.arange(60, 240) % 4 != 0)).mean() > 0.95
+
+
+def test_picks_are_distinct_and_bounded(spark, monkeypatch):
+    """One id has most rows: it is handed over once, and never twice."""
+    monkeypatch.setattr(quality, "HANDED", 10)
+    monkeypatch.setattr(quality, "SHARE", 1)
+    rows = [(7, f"Plain words here {i % 3}.", "s", "en", 17) for i in range(5000)]
+    rows += [(100 + i, f"Plain words here {i}.", "s", "en", 17) for i in range(200)]
+    rows += [(400 + i, f"BAD!! $$$ {i} %%%", "t", "en", 13) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long").repartition(6)
+    plain = quality._plain(df, "doc_id")
+    batch = plain.filter("doc IN (100, 101, 102, 103, 400, 401, 402, 403)").orderBy("doc").toArrow().combine_chunks().to_batches()[0]
+    views, _ = quality._views(batch)
+    y = np.array([True] * 4 + [False] * 4)
+    models = [quality.Logistic().fit(v, y) for v in views]
+    pool = quality.Documents(plain, {100, 101, 102, 103, 400, 401, 402, 403})
+    before = [set(g) for g in pool.gone]
+    seen = [[], []]
+    for _ in range(3):
+        picked = pool.pick(models, 0.6)
+        for i, p in enumerate(picked):
+            assert len(p.labels) == 10 and p.labels.sum() == 6
+            new = pool.gone[i] - before[i]
+            assert len(new) == 10
+            before[i] = set(pool.gone[i])
+            seen[i].append(new)
+    assert all(not (a & b) for s in seen for k, a in enumerate(s) for b in s[:k])
+
+
+def test_an_id_of_many_rows_sends_one(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LABELLED", 40)
+    rows = [(1, f"Plain words {i}", "s", "en", 9) for i in range(20_000)]
+    rows += [(i, "Plain words here.", "s", "en", 17) for i in range(10, 40)] + [(i, "BAD!! $$$ %%%", "t", "en", 13) for i in range(40, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    ids = spark.createDataFrame([(1,), (10,), (45,)], "doc long")
+    assert quality._sampled(quality._plain(df, "doc_id"), ids).num_rows == 3
+    labels = spark.createDataFrame([(1, 1)] + [(i, int(i < 40)) for i in range(10, 60)], "doc_id long, quality int")
+    out = quality.classify(df, "doc_id", labels, "doc_id", "quality")
+    assert out.count() == len(rows) and out.filter("doc_id >= 40 AND kept").count() == 0
+
+
 def test_odd_rows(spark):
     rows = [(None, "a b", None, None, None), (1, None, "s", "en", 3), (1, "", "s", None, 0), (2, " \n", None, "x", -5),
             (3, "word " * 20000, "s", "en", None), *[(i, "Plain words here.", "s", "en", 17) for i in range(10, 40)],
