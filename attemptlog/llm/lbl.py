@@ -1,22 +1,22 @@
 """Scoring with a log-bilinear neural language model (operator 6).
 
-Words (A-Z as a-z) are counted over all training texts. The most frequent ones that make up the
-share ``VOCABULARY`` of the tokens are the model's words, besides "other" and the end of a text,
-so their number follows the counts. The model predicts a word from
-the two before it: the context vector is a weighted sum of their vectors, a word's score its
-product with the word's output vector plus a bias. It is trained with noise-contrastive
-estimation on all training texts: in each of ``ROUNDS`` rounds every task starts from the same
-parameters, makes one pass over its texts in mini-batches, and hands back its parameters,
-which are averaged as a tree, by tokens.
-
-Token log-probabilities are normalised in two levels: words are in classes, of neighbours by
-frequency, which are trained as outcomes of their own; a word's probability is that of its class
-among the classes times its own among the words of the class, by batched matrix products. Classes
-hold a sum of 1 of square roots of frequencies, which makes the fewest products. A word outside the vocabulary has the probability of
-"other" times its share (count + 1) among those words, one share standing for unseen ones.
-
-The counts of the ``KNOWN`` most frequent words, and of all of the model's words, go to the
-tasks as arrays; counts of rarer words are joined by shuffles. Words are 64-bit hashes throughout.
+Words (A-Z as a-z) are counted over all training texts. The model has tables of fixed size: a row for
+each of the ``WORDS`` most frequent words, one for the end of a text, and ``GROUPS`` rows that all other
+words share by hash, unseen ones included. It predicts a word from the two before it: the
+context vector is a weighted sum of their vectors, an outcome's score its product with the outcome's
+vector plus a bias. It is trained with noise-contrastive estimation on all training texts: in
+each of ``ROUNDS`` rounds every task starts from the same parameters, makes one pass over its
+texts in mini-batches, and hands back its parameters, which are averaged as a tree, by tokens.
+
+Token log-probabilities are normalised in two levels: outcomes are in classes, of neighbours by
+frequency, which are trained as outcomes of their own; an outcome's probability is that of its class
+among the classes times its own among the members of the class, by batched matrix products. Classes
+hold a sum of 1 of square roots of frequencies, which makes the fewest products. A word of a group
+has the probability of the group times its share (count + 1) in it, one share standing for
+unseen words.
+
+The counts of the ``KNOWN`` most frequent words go to the tasks as arrays; counts of rarer words
+are joined by shuffles. Words are 64-bit hashes throughout.
 
 Defined results: a null or empty text has one token, its end. Rows without an id are not held
 out; each row gives one row, repeated ids included. Without training texts every token is
@@ -36,11 +36,14 @@ from pyspark.sql import functions as F
 from attemptlog.llm.common import WordHasher, bounded, texts_of, written
 from attemptlog.session import materialize
 
-VOCABULARY, KNOWN = 0.9, 1 << 18
-OTHER, END, FIRST = 0, 1, 2
+WORDS, GROUPS, KNOWN = 1 << 14, 1 << 12, 1 << 18
+#: A word needs so many occurrences for a row of its own.
+LEAST = 5
+#: Ids: the end of a text, then the words, then the groups.
+END, FIRST = 0, 1
 #: The end of a text among the word hashes.
 END_HASH = 1
-SIZE, BATCH, NOISE, ROUNDS, RATE, FAN = 16, 2048, 64, 2, 0.1, 4
+SIZE, BATCH, NOISE, ROUNDS, RATE, FAN = 16, 256, 32, 1, 0.1, 8
 #: Distinct words a task holds before it writes counts out.
 HELD = 1 << 21
 _HASHER = WordHasher()
@@ -92,24 +95,26 @@ def word_counts(training: DataFrame) -> DataFrame:
     return made.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Known:
-    """Counts of the most frequent words, by hash, and the model's id of the first ones.
+def group_of(hashes: np.ndarray, groups: int) -> np.ndarray:
+    """The group that a word is in unless it has a row of its own."""
+    return (hashes >> np.uint64(24)).astype(np.int64) % groups
 
-    ``tokens`` is the number of all training tokens.
-    """
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, tokens: int):
+class Known:
+    """Counts of the most frequent words, by hash, and the model's id of the first ones."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray):
         words = words.view(np.uint64)
         order = np.lexsort((words, -counts))
-        ids = np.zeros(len(words), np.int32)
-        before = np.cumsum(counts[order]) - counts[order]
-        frequent = order[(words[order] != END_HASH) & (before < VOCABULARY * tokens)]
+        ids = np.full(len(words), -1, np.int32)
+        frequent = order[(words[order] != END_HASH) & (counts[order] >= LEAST)][:WORDS]
         ids[frequent] = np.arange(FIRST, FIRST + len(frequent))
-        ids[words == END_HASH] = END
         by = np.argsort(words)
         self.words, self.counts, self.ids = words[by], counts[by], ids[by]
-        small = np.flatnonzero(self.ids)
+        small = np.flatnonzero(self.ids >= 0)
         self.model_words, self.model_ids = self.words[small], self.ids[small]
+        #: The first group's id, and how many there are.
+        self.groups, self.n_groups = FIRST + len(frequent), GROUPS
 
     def place(self, hashes: np.ndarray) -> np.ndarray:
         """Position of each word, -1 where it is not known."""
@@ -120,31 +125,41 @@ class Known:
 
     def model(self, hashes: np.ndarray) -> np.ndarray:
         """The model's ids."""
-        if not len(self.model_words):
-            return np.where(hashes == END_HASH, END, OTHER)
-        at = np.minimum(np.searchsorted(self.model_words, hashes), len(self.model_words) - 1)
-        ids = np.where(self.model_words[at] == hashes, self.model_ids[at], OTHER)
+        ids = self.groups + group_of(hashes, self.n_groups)
+        if len(self.model_words):
+            at = np.minimum(np.searchsorted(self.model_words, hashes), len(self.model_words) - 1)
+            ids = np.where(self.model_words[at] == hashes, self.model_ids[at], ids)
         return np.where(hashes == END_HASH, END, ids)
 
 
-def most_frequent(counts: DataFrame, tokens: int) -> Known:
-    """``KNOWN`` words or fewer, and all that the model's share of the tokens takes.
-
-    A histogram finds the count above which they are.
-    """
+def most_frequent(counts: DataFrame) -> Known:
+    """``KNOWN`` words or fewer; a histogram finds the count above which they are."""
     step = F.floor(F.log2("n") * 16).cast("int")
-    histogram = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
-    least, words, covered = None, 0, 0
+    histogram = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
+    least, words = None, 0
     for row in sorted(histogram, key=lambda r: -r["step"]):
         words += row["words"]
-        if words > KNOWN and covered >= VOCABULARY * tokens:
+        if words > KNOWN:
             break
-        covered += row["n"]
         least = row["step"]
     if least is None:
-        return Known(np.zeros(0, np.int64), np.zeros(0, np.int64), tokens)
+        return Known(np.zeros(0, np.int64), np.zeros(0, np.int64))
     top = counts.filter(step >= least).select("word", "n").toArrow()
-    return Known(top["word"].to_numpy(), top["n"].to_numpy(), tokens)
+    return Known(top["word"].to_numpy(), top["n"].to_numpy())
+
+
+def group_counts(counts: DataFrame, known: Known) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and words of each group, without the words that have a row of their own."""
+    group = F.pmod(F.shiftrightunsigned("word", 24), F.lit(GROUPS)).alias("g")
+    every = counts.filter(F.col("word") != END_HASH).groupBy(group)
+    table = every.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).toArrow()
+    out = []
+    own = known.ids >= 0
+    for name, less in (("n", known.counts[own]), ("words", np.ones(int(own.sum()), np.int64))):
+        total = np.zeros(GROUPS, np.int64)
+        total[table["g"].to_numpy()] = table[name].to_numpy()
+        out.append(total - np.bincount(group_of(known.words[own], GROUPS), less, GROUPS).astype(np.int64))
+    return out[0], out[1]
 
 
 class Model:
@@ -351,18 +366,18 @@ def score(df: DataFrame, key: str, text: str) -> DataFrame:
     counts = materialize(word_counts(training), "word-counts")
     row = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     total, distinct = row[0] or 0, row[1]
-    known = most_frequent(counts, total)
-
-    inside = known.ids > 0
-    unigram = np.ones(max(FIRST, int(known.ids.max(initial=0)) + 1))
-    unigram[known.ids[inside]] += known.counts[inside]
-    others = total - int(known.counts[inside].sum())
-    other_words = distinct - int(inside.sum())
-    unigram[OTHER] += others
+    known = most_frequent(counts)
+    group_tokens, group_words = group_counts(counts, known)
+    unigram = np.ones(known.groups + GROUPS)
+    unigram[known.groups :] += group_tokens
+    unigram[END] += known.counts[known.words == END_HASH].sum()
+    own = known.ids >= 0
+    unigram[known.ids[own]] += known.counts[own]
     unigram /= unigram.sum()
     model = train(training, known, unigram)
     base_room = math.log10(total + distinct + 1)
-    other_room = math.log10(others + other_words + 1)
+    # Of the group that a word is in; nothing for a row of its own.
+    room = np.concatenate([np.zeros(known.groups), np.log10(group_tokens + group_words + 1.0)])
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
@@ -377,8 +392,8 @@ def score(df: DataFrame, key: str, text: str) -> DataFrame:
                     s = slice(i, i + (1 << 16))
                     natural[s] = model.logs(ids[s], one[s], two[s])
                 frequent = logs[place]
-                is_other = ids == OTHER
-                model_log = natural / math.log(10) + np.where(is_other, frequent - other_room, 0.0)
+                shared = ids >= known.groups
+                model_log = natural / math.log(10) + np.where(shared, frequent - room[ids], 0.0)
                 sums = lambda x: np.add.reduceat(x, bounds[:-1]) if len(bounds) > 1 else x
                 rare = place < 0
                 rows = len(bounds) - 1

@@ -36,7 +36,6 @@ def check(out, rows):
 @pytest.mark.parametrize("known", [1 << 18, 50])
 def test_base_and_gain_on_held_out_texts(spark, sf, monkeypatch, known):
     monkeypatch.setattr(lbl, "KNOWN", known)
-    monkeypatch.setattr(lbl, "VOCABULARY", min(known, 1022) - 20)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out = lbl.score(docs, "doc_id", "text").collect()
     check(out, [(r.doc_id, r.text) for r in docs.collect()])

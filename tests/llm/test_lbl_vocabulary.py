@@ -1,20 +1,83 @@
+import math
+import zlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from attemptlog.llm import lbl
 from test_lbl import check
 
 
-def test_vocabulary_follows_the_counts():
-    """All words that the share of tokens takes, also far more than 1,022."""
+def test_tables_do_not_grow_with_the_words():
+    """The most frequent words have rows of their own, all others share those of the groups."""
     rng = np.random.default_rng(3)
-    words = np.unique(rng.integers(2, 1 << 60, 6000))
+    words = np.unique(rng.integers(2, 1 << 60, 60_000))
     counts = rng.integers(1, 40, len(words))
-    known = lbl.Known(words, counts, int(counts.sum()))
-    inside = known.ids >= lbl.FIRST
-    assert inside.sum() > 2000
-    assert known.counts[inside].sum() >= lbl.VOCABULARY * counts.sum()
-    assert known.counts[inside].min() >= known.counts[~inside].max()
+    known = lbl.Known(words, counts)
+    own = known.ids >= lbl.FIRST
+    assert own.sum() == lbl.WORDS and known.groups == lbl.FIRST + lbl.WORDS
+    assert known.counts[own].min() >= known.counts[~own].max()
+    unseen = rng.integers(2, 1 << 60, 1000).astype(np.uint64)
+    ids = known.model(np.concatenate([words.view(np.uint64), unseen]))
+    assert (ids > lbl.END).all() and ids.max() < known.groups + lbl.GROUPS
+    assert len(np.unique(ids)) > 0.9 * (lbl.WORDS + lbl.GROUPS)
+
+
+TEXTS = [(1, "the cat sat"), (2, "the dog sat on the cat"), (3, "a b c d e f g h"), (4, None), (5, "the unseen cat zzz"),
+         (6, "dog dog dog"), (7, "on the the the a"), (None, "b c")]
+
+
+def test_scores_by_brute_force(spark, monkeypatch):
+    """Loops over context, class and word, for a model as it is before training."""
+    monkeypatch.setattr(lbl, "WORDS", 5)
+    monkeypatch.setattr(lbl, "GROUPS", 3)
+    seen = {}
+
+    def untrained(training, known, unigram):
+        seen["known"], seen["model"] = known, lbl.Model(unigram, classes=True)
+        seen["model"].r *= 5
+        seen["model"].q *= 5
+        return seen["model"]
+
+    monkeypatch.setattr(lbl, "train", untrained)
+    rows = TEXTS + [(i, "the cat and the dog sat on a mat") for i in range(10, 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), round(r.score, 5)) for r in lbl.score(df, "doc_id", "text").collect())
+
+    model, known = seen["model"], seen["known"]
+    split = lambda t: [lbl.tokens(pa.array([w]))[0][0] for w in (t or "").split()]
+    count = {}
+    for doc, text in rows:
+        if doc is None or zlib.crc32(str(doc).encode()) % 7 != 2:
+            for h in split(text):
+                count[h] = count.get(h, 0) + 1
+    own = {int(w) for w, i in zip(known.words, known.ids) if i >= lbl.FIRST}
+    assert len(own) == 5 and len(count) > 8
+    ends = [*model.first[1:], model.n]
+
+    def probability(h, id_, one, two):
+        v = model.r[one].astype(float) * model.c[0] + model.r[two].astype(float) * model.c[1]
+        score = lambda at: math.exp(float(v @ model.q[at].astype(float)) + float(model.b[at]))
+        c = next(k for k, end in enumerate(ends) if id_ < end)
+        p = score(model.n + c) / sum(score(model.n + k) for k in range(len(ends)))
+        p *= score(id_) / sum(score(i) for i in range(model.first[c], ends[c]))
+        if id_ >= known.groups:
+            of = [w for w in count if int(w) not in own and lbl.group_of(np.array([w], np.uint64), 3)[0] == id_ - known.groups]
+            p *= (count.get(h, 0) + 1) / (sum(count[w] + 1 for w in of) + 1)
+        return p
+
+    want = []
+    for doc, text in rows:
+        hashes = split(text)
+        ids = [*known.model(np.array(hashes, np.uint64)).tolist(), lbl.END] if hashes else [lbl.END]
+        one, two, total = lbl.END, lbl.END, 0.0
+        for h, i in zip([*hashes, None], ids):
+            total += math.log10(probability(h, i, one, two))
+            one, two = i, one
+        want.append((str(doc), round(total, 5)))
+    assert [d for d, _ in got] == [d for d, _ in sorted(want)]
+    assert all(abs(x - y) < 1e-3 for (_, x), (_, y) in zip(got, sorted(want)))
 
 
 def test_words_of_all_classes_sum_to_one():
@@ -41,6 +104,5 @@ def test_rare_words_are_learnt_as_targets_and_contexts():
 
 def test_words_beyond_the_arrays_are_joined(spark, sf, monkeypatch):
     monkeypatch.setattr(lbl, "KNOWN", 50)
-    monkeypatch.setattr(lbl, "VOCABULARY", 0.3)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     check(lbl.score(docs, "doc_id", "text").collect(), [(r.doc_id, r.text) for r in docs.collect()])
