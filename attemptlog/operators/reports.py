@@ -19,7 +19,7 @@ from attemptlog.functions.stages import (
 )
 from attemptlog.operators.latest import latest_columns, micros_between
 from attemptlog.operators.lookups import failed
-from attemptlog.operators.quantiles import exact_quantiles
+from attemptlog.operators.quantiles import selected_quantiles
 
 VERSIONS = ("agent_version", "prompt_version", "taxonomy_version")
 
@@ -115,7 +115,7 @@ def time_to_case(log: DataFrame) -> DataFrame:
         )
         .select(micros_between(F.col("_first"), F.col("_case")).alias("micros"))
     )
-    return exact_quantiles(spans, [], "micros", {"p50": 0.5, "p95": 0.95}).select(
+    return selected_quantiles(spans, [], "micros", {"p50": 0.5, "p95": 0.95}).select(
         F.col("n").alias("cases"),
         F.round(F.col("p50") / 1_000_000, 6).alias("p50_seconds"),
         F.round(F.col("p95") / 1_000_000, 6).alias("p95_seconds"),
@@ -135,7 +135,7 @@ def queue_latency(queue_items: DataFrame) -> DataFrame:
             )
         ).alias("leg", "micros"),
     )
-    return exact_quantiles(
+    return selected_quantiles(
         waits, ["queue_name", "leg"], "micros", {"p50": 0.5, "p95": 0.95}
     ).select(
         "queue_name",

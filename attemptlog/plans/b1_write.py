@@ -91,12 +91,21 @@ ARRIVAL = ["requested_at", "request_id"]
 
 def assign_attempts(requests: DataFrame, log: DataFrame) -> DataFrame:
     """Requests with their prior attempt, their place in line and their attempt number."""
+    return numbered(request_prior(in_line(requests), log))
+
+
+def in_line(requests: DataFrame) -> DataFrame:
+    """Requests with their place among those of their activity."""
     requests = canonical(requests)
-    in_line = order_within(
+    return order_within(
         requests, ["activity_id"], ARRIVAL, time_pieces(requests, *ARRIVAL), "request_number"
     )
+
+
+def numbered(with_prior: DataFrame) -> DataFrame:
+    """Requests in line, with their prior attempt, and the attempt number that follows."""
     stored = F.coalesce("prior_attempt_number", F.lit(0))
-    return request_prior(in_line, log).withColumn(
+    return with_prior.withColumn(
         "attempt_number", (stored + F.col("request_number")).cast("int")
     )
 
@@ -107,7 +116,11 @@ def b1_write(log: DataFrame, requests: DataFrame) -> DataFrame:
     Ids are computed from (activity, attempt), so the row before is known by name and a
     re-run task yields the same ids.
     """
-    assigned = assign_attempts(requests, log)
+    return written(assign_attempts(requests, log))
+
+
+def written(assigned: DataFrame) -> DataFrame:
+    """Attempt rows for requests that have their prior attempt and their number."""
     activity, attempt = F.col("activity_id"), F.col("attempt_number")
     first = F.col("prior_email_instance_id").isNull()
     return assigned.select(

@@ -29,7 +29,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 from attemptlog.operators import lookups
 from attemptlog.operators.quality import Rule, failed_rules
 from attemptlog.operators.skew import join_unique
-from attemptlog.plans.b1_write import reusable_from
+from attemptlog.plans.b1_write import in_line, numbered, reusable_from, written
 from attemptlog.plans.folds import feedback_flags, stage_fold
 from attemptlog.plans.status_view import with_derived
 from attemptlog.session import exists, make_folder, materialize, remove, rename, shared_dir
@@ -140,6 +140,10 @@ class LogStore:
         prior = reusable_from(self._latest_of(asked, [c for c in EMAIL_INSTANCE.names if c != "activity_id"]))
         return join_unique(asked, prior, ["activity_id"], "left")
 
+    def b1_write(self, requests: DataFrame) -> DataFrame:
+        """Attempt rows to append for a batch of requests; of the log only latest attempts are read."""
+        return written(numbered(self.request_prior(in_line(requests))))
+
     def _add_latest(self, rows: DataFrame, batch: str) -> None:
         """Replace what a batch adds to the table of latest attempts."""
         newest = Window.partitionBy("activity_id").orderBy(F.desc("attempt_number"), F.desc("email_instance_id"))

@@ -1019,6 +1019,13 @@ FROM requests q LEFT JOIN prior p ON p.activity_id = q.activity_id""",
     "requests",
     "prior",
 )
+add("stored_b1_write", WRITTEN, "written")
+add(
+    "chk_activity_attempt_log",
+    """SELECT activity_id, attempt_number, COUNT(*) + 1 AS rows FROM attempts
+WHERE status_code = 9 GROUP BY activity_id, attempt_number""",
+    "attempts",
+)
 add(
     "stored_fold_days",
     """, folded AS (SELECT CAST(email_instance_id AS VARCHAR) AS email_instance_id, last_completed_stage,

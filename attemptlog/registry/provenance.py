@@ -24,7 +24,7 @@ STATED = """
     status_counts banker_modified_rate attempt_history audit_page details_typed
     stored_attempts_of_activity stored_lineage_lookup stored_subject_filter stored_correlation_lookup
     stored_top_one stored_status_view stored_queue_latest stored_request_prior stored_fold_days
-    stored_feedback_days stored_append_keys stored_without_parent
+    stored_b1_write chk_activity_attempt_log stored_feedback_days stored_append_keys stored_without_parent
     status_details_rows recovery_worklist recovery_retry stage_fold feedback_detect
 """.split()
 

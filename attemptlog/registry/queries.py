@@ -914,6 +914,21 @@ def stored_request_prior(spark, sf):
     )
 
 
+@query
+def stored_b1_write(spark, sf):
+    """New attempts for all requests, from the table of latest attempts."""
+    return as_double(log_store(spark, sf).b1_write(derived.requests(spark, sf)))
+
+
+@query
+def chk_activity_attempt_log(spark, sf):
+    """Places of the log held by several rows: its failed attempts come twice."""
+    log = derived.attempts(spark, sf)
+    return quality.duplicate_keys(
+        log.unionByName(lookups.failed(log)), ["activity_id", "attempt_number"]
+    )
+
+
 @query
 def stored_fold_days(spark, sf):
     """Attempts stored without a stage, their events folded in by day, and the latest of them."""

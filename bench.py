@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 
 from attemptlog.operators import latest, quality, reports
 from attemptlog.plans.b1_write import b1_write
+from attemptlog.plans.logstore import open_store
 from attemptlog.plans.recovery import recovery_worklist
 from attemptlog.plans.status_view import status_view, with_derived
 from attemptlog.registry.queries import QUERIES
@@ -58,6 +59,10 @@ def stored_queries(spark: SparkSession) -> dict:
     log = tables.scan(spark, path, "email_instance")
     asked = derived.requests(spark, SF_DIR)
     few = asked.filter("request_id % 1000 = 0")
+    store = open_store(spark, "bench-store", int(CPUS))
+    store.append(derived.attempts(spark, SF_DIR), "0001")
+    one = store.log().filter("activity_id = '7-2024-01-05'")
+    unknown = store.log().filter("email_instance_id = '1000000007'")
     return {
         "stored_status_view": lambda: status_view(log),
         "stored_latest_window": lambda: latest.latest_attempt(log),
@@ -72,6 +77,11 @@ def stored_queries(spark: SparkSession) -> dict:
         "stored_sequence": lambda: quality.sequence_breaks(log),
         "stored_retry_gap": lambda: latest.retry_gap(log),
         "stored_computed_columns": lambda: with_derived(log),
+        "store_status_view": store.status_view,
+        "store_b1_write": lambda: store.b1_write(asked),
+        "store_b1_write_few": lambda: store.b1_write(few),
+        "store_one_activity": lambda: one,
+        "store_unknown_id": lambda: unknown,
     }
 
 

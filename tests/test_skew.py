@@ -241,3 +241,37 @@ def test_quantiles_equal_brute_force(spark, widths):
             assert got[g][name] == pytest.approx(interpolated(values, q))
     whole = exact_quantiles(df, [], "v", {"q": 0.5}, widths).first()
     assert whole["q"] == pytest.approx(interpolated([v for _, v in data if v is not None], 0.5))
+
+
+@pytest.mark.parametrize("accuracy,together", [(1000, (1 << 40, 1 << 20)), (10, (64, 8))])
+def test_selected_quantiles_equal_brute_force(spark, monkeypatch, accuracy, together):
+    from attemptlog.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "COUNTED_WHOLE", 4 * accuracy)
+    monkeypatch.setattr(quantiles, "VALUES_TOGETHER", together)
+    rnd = random.Random(8)
+    data = [
+        (g, None if rnd.random() < 0.05 else rnd.choice([5, 7, rnd.randrange(-50_000, 50_000)]))
+        for g in ("a", "b", None, "c") for _ in range(rnd.randrange(1, 900))
+    ] + [("one", 42), ("none", None), ("two", 1), ("two", 4)]
+    df = spark.createDataFrame(data, "g string, v long")
+    wanted = {"q0": 0.0, "q5": 0.5, "q95": 0.95, "q1": 1.0}
+    got = {r["g"]: r for r in quantiles.selected_quantiles(df, ["g"], "v", wanted).collect()}
+    assert set(got) == {"a", "b", "c", None, "one", "two"}
+    for g in got:
+        values = [v for k, v in data if k == g and v is not None]
+        assert got[g]["n"] == len(values)
+        for name, q in wanted.items():
+            assert got[g][name] == pytest.approx(interpolated(values, q))
+    whole = quantiles.selected_quantiles(df, [], "v", {"q": 0.37}).first()
+    assert whole["q"] == pytest.approx(interpolated([v for _, v in data if v is not None], 0.37))
+
+
+def test_selected_quantiles_read_twice(spark, tmp_path):
+    from attemptlog.operators import quantiles
+
+    spark.range(20_000).selectExpr("id % 3 AS g", "id * id % 7919 AS v").write.parquet(str(tmp_path / "t"))
+    plan = final_plan(quantiles.selected_quantiles(spark.read.parquet(str(tmp_path / "t")), ["g"], "v", {"p": 0.5, "r": 0.9}))
+    assert plan.count("Scan parquet") + plan.count("FileScan parquet") <= 2 * 2 and "Window" in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
