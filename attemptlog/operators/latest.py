@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attemptlog.operators.skew import id_piece, order_within
-
-# Attempt numbers per piece of an activity.
-ATTEMPT_PIECE = 4_096
+from attemptlog.operators.skew import order_across
 
 
 def latest_attempt(log: DataFrame) -> DataFrame:
@@ -58,25 +55,17 @@ def attempt_history(log: DataFrame) -> DataFrame:
             "_highest": -F.col("attempt_number"),
         }
     )
-    second = F.expr("floor(_newest / 1000000)")
-    last = F.struct("_newest", "_highest", id_piece(log, "email_instance_id"))
-    return order_within(
-        keyed,
-        ["activity_id"],
-        ["_newest", "_highest", "email_instance_id"],
-        [second, last],
-        "recency",
+    return order_across(
+        keyed, ["activity_id"], ["_newest", "_highest", "email_instance_id"], "recency"
     ).drop("_newest", "_highest")
 
 
 def retry_gap(log: DataFrame) -> DataFrame:
     """Seconds since the previous attempt of the same activity; NULL on the first."""
-    numbers = F.expr(f"floor(attempt_number / {ATTEMPT_PIECE})")
-    ordered = order_within(
-        log,
+    ordered = order_across(
+        log.select("email_instance_id", "activity_id", "attempt_number", "created_date_time"),
         ["activity_id"],
         ["attempt_number", "email_instance_id"],
-        [numbers, F.struct("attempt_number", id_piece(log, "email_instance_id"))],
         "_n",
         {"previous_created": "created_date_time"},
     )

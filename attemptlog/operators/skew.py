@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from attemptlog.session import materialize
+
 
 def order_within(
     df: DataFrame,
@@ -52,6 +54,52 @@ def order_within(
     )
 
 
+def order_across(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    number: str,
+    previous: dict[str, str] | None = None,
+) -> DataFrame:
+    """As ``order_within``, without pieces to name: rows are ranged by key and order together.
+
+    The bounds come from a sample of the rows, so a busy key, or a busy moment of it, fills as many
+    ranges as it has a share of the rows, whatever its ids look like. The ranges are written to the
+    shared folder, which fixes them. Each one is numbered on its own; only keys that go on beyond a
+    range, two for each at most, need what lies before.
+    """
+    previous = previous or {}
+    ranged = df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranged")
+    within = Window.partitionBy("_range", *keys).orderBy(*order)
+    local = ranged.withColumn("_place", F.row_number().over(within)).withColumns(
+        {f"_own_{name}": F.lag(source).over(within) for name, source in previous.items()}
+    )
+    sources = [F.col(s).alias(name) for name, s in previous.items()]
+    last = F.max_by(F.struct(F.lit(True).alias("_any"), *sources), F.struct(*order))
+    spans = ranged.groupBy(*keys, "_range").agg(
+        F.count(F.lit(1)).alias("_rows"), *([last.alias("_last")] if previous else [])
+    )
+    along = Window.partitionBy(*keys).orderBy("_range")
+    before = F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    joints = spans.select(
+        *keys,
+        "_range",
+        before.alias("_before"),
+        *([F.lag("_last").over(along).alias("_joint")] if previous else []),
+    ).filter("_before IS NOT NULL")
+    joined = _same(local, joints, ["_range", *keys], "left")
+    opens = (F.col("_place") == 1) & F.lit(bool(previous))
+    return joined.select(
+        *df.columns,
+        (F.col("_place") + F.coalesce("_before", F.lit(0))).alias(number),
+        *[
+            F.when(opens, F.col(f"_joint.{name}")).otherwise(F.col(f"_own_{name}")).alias(name)
+            for name in previous
+        ],
+    )
+
+
 def running_sum(
     df: DataFrame, keys: list[str], order: list[str], pieces: list[Column], value: str, name: str
 ) -> DataFrame:
@@ -94,13 +142,13 @@ def _joints(sizes: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     )
 
 
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+def _same(left: DataFrame, right: DataFrame, columns: list[str], how: str = "inner") -> DataFrame:
     """Join to the one row of equal ``columns``, NULL being equal to NULL."""
     named = right.withColumnsRenamed({c: f"_of_{c}" for c in columns})
     match = F.lit(True)
     for c in columns:
         match = match & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    return left.join(named, match).drop(*[f"_of_{c}" for c in columns])
+    return left.join(named, match, how).drop(*[f"_of_{c}" for c in columns])
 
 
 def time_pieces(df: DataFrame, time: str, last: str) -> list[Column]:
