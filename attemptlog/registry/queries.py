@@ -13,7 +13,7 @@ from attemptlog.operators import latest, links, lookups, quality, reports
 from attemptlog.plans import b1_write as b1
 from attemptlog.plans import folds, logstore, recovery, store
 from attemptlog.plans.status_view import status_view, with_derived
-from attemptlog.session import configure, shared_dir
+from attemptlog.session import configure, materialize, shared_dir
 from attemptlog.sources import derived, documents, tables
 from attemptlog.sources.schemas import EMAIL_INSTANCE, LENGTHS, QUEUE_ITEM, REQUIRED
 from attemptlog.streaming import alarms, intake, progress
@@ -840,7 +840,7 @@ def looked_up(spark, column: str) -> DataFrame:
 
 def log_store(spark, sf) -> logstore.LogStore:
     """The attempts in a store, added in two batches, the first of them twice."""
-    log = derived.attempts(spark, sf)
+    log = materialize(derived.attempts(spark, sf), "attempts")
     early = F.col("created_date_time") < F.lit(CUTOFF).cast("timestamp_ntz")
     made = logstore.open_store(spark, "log-store", 8)
     for batch, rows in (("0001", log.filter(early)), ("0002", log.filter(~early)), ("0001", log.filter(early))):
@@ -932,7 +932,7 @@ def chk_activity_attempt_log(spark, sf):
 @query
 def stored_fold_days(spark, sf):
     """Attempts stored without a stage, their events folded in by day, and the latest of them."""
-    log = derived.attempts(spark, sf)
+    log = materialize(derived.attempts(spark, sf), "attempts")
     made = logstore.open_store(spark, "fold-store", 8)
     made.append(log.withColumn("last_completed_stage", F.lit(None).cast("string")), "0001")
     events = derived.stage_events(log).withColumn("email_instance_id", F.col("email_instance_id").cast("string"))
@@ -954,7 +954,7 @@ def stored_feedback_days(spark, sf):
 @query
 def stored_append_keys(spark, sf):
     """All attempts added to a store that has those of the first days: these are turned away."""
-    log = derived.attempts(spark, sf)
+    log = materialize(derived.attempts(spark, sf), "attempts")
     made = logstore.open_store(spark, "key-store", 8)
     made.append(log.filter(F.col("created_date_time") < F.lit(CUTOFF).cast("timestamp_ntz")), "0001")
     made.append(log, "0002")

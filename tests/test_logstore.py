@@ -254,3 +254,17 @@ def test_empty_batch(spark, tmp_path):
     store = LogStore(spark, str(tmp_path), 2)
     store.append(attempts(spark, []), "1")
     assert store.log().count() == store.latest().count() == store.rejected().count() == 0
+
+
+def test_rows_are_worked_out_once(spark, log, tmp_path):
+    """Judging, storing and indexing a batch do not compute its rows again and again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    many = log.mapInArrow(counted, log.schema)
+    LogStore(spark, str(tmp_path), 2).append(many, "1")
+    assert seen.value == log.count()
