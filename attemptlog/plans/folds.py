@@ -69,13 +69,15 @@ def feedback_flags(log: DataFrame, cases: DataFrame, fields: dict[str, str]) ->
 
     ``cases`` is keyed by ``crm_case_id``, a case may have several rows; ``fields`` maps log
     columns to case columns. Attempts without a case, or whose case is not in the snapshot,
-    keep their flag. ``_changed`` tells what the snapshot itself showed.
+    keep their flag. ``_changed`` tells what the snapshot itself showed. Attempts without a case, most of
+    a log, are not joined: they would meet in one task.
     """
-    seen = log.join(_per_case(cases, fields), "crm_case_id", "left")
+    seen = log.filter("crm_case_id IS NOT NULL").join(_per_case(cases, fields), "crm_case_id", "left")
     changed = F.coalesce(F.col("_seen").isNotNull() & _changed(fields), F.lit(False))
     flag = F.when(changed, F.lit(True)).otherwise(F.col("banker_modified_flag"))
     kept = [c for c in log.columns if c != "banker_modified_flag"]
-    return seen.select(*kept, flag.alias("banker_modified_flag"), changed.alias("_changed"))
+    own = log.filter("crm_case_id IS NULL").select(*kept, "banker_modified_flag", F.lit(False).alias("_changed"))
+    return seen.select(*kept, flag.alias("banker_modified_flag"), changed.alias("_changed")).unionByName(own)
 
 
 def feedback_detect(log: DataFrame, cases: DataFrame, fields: dict[str, str]) -> DataFrame:

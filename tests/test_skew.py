@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from attemptlog.plans import folds
 from attemptlog.operators import latest
 from attemptlog.operators.links import lineage_parent
 from attemptlog.operators.quality import sequence_breaks
@@ -317,3 +318,24 @@ def test_selected_quantiles_read_twice(spark, tmp_path):
     plan = final_plan(quantiles.selected_quantiles(spark.read.parquet(str(tmp_path / "t")), ["g"], "v", {"p": 0.5, "r": 0.9}))
     assert plan.count("Scan parquet") + plan.count("FileScan parquet") <= 2 * 2 and "Window" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_attempts_without_a_case_do_not_meet(spark):
+    log = spark.range(4000).selectExpr(
+        "id AS email_instance_id", "IF(id % 4 = 0, id, NULL) AS crm_case_id", "'s' AS agent_subject",
+        "id % 10 = 0 AS banker_modified_flag",
+    )
+    cases = spark.range(4000).selectExpr("id AS crm_case_id", "IF(id % 8 = 0, 't', 's') AS case_subject")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        out = folds.feedback_flags(log, cases, {"agent_subject": "case_subject"})
+        sizes = out.rdd.glom().map(len).collect()
+        flagged = out.filter("banker_modified_flag").count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 4000 and max(sizes) < 1000
+    assert flagged == sum(i % 10 == 0 or i % 8 == 0 for i in range(4000))
