@@ -334,6 +334,24 @@ def test_alarms_come_once_and_survive_a_restart(spark, tmp_path):
     assert alarms(5) == last == alarms(5)
 
 
+def test_alarms_stay_in_the_engine(spark, tmp_path, monkeypatch):
+    """No row goes through Python, and an event later than the watermark takes no part."""
+    given, plans = tmp_path / "in", []
+    given.mkdir()
+    own = progress_alarms.run_available
+
+    def seen(stream, folder):
+        plans.append(stream._jdf.queryExecution().analyzed().toString())
+        own(stream, folder)
+
+    monkeypatch.setattr(progress_alarms, "run_available", seen)
+    # The watermark is at 240 when b comes; b's idle span would go on to 320.
+    stream = moves_of(spark, given, [[("a", 1, 0), ("x", 1, 300)], [("b", 3, 200)], [("x", 1, 2000)]])
+    found = progress_alarms.stuck_alarms(stream, "2 hours", "1 hour", str(tmp_path / "alarms"))
+    assert sorted(r.email_instance_id for r in found.collect()) == ["a", "x"]
+    assert plans and "Python" not in plans[0] and "PySpark" not in plans[0]
+
+
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
