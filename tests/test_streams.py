@@ -345,8 +345,8 @@ def test_alarms_stay_in_the_engine(spark, tmp_path, monkeypatch):
         own(stream, folder)
 
     monkeypatch.setattr(progress_alarms, "run_available", seen)
-    # The watermark is at 240 when b comes; b's idle span would go on to 320.
-    stream = moves_of(spark, given, [[("a", 1, 0), ("x", 1, 300)], [("b", 3, 200)], [("x", 1, 2000)]])
+    # The engine drops by the watermark of the batch before: 240 when b comes; b's idle span would go on to 320.
+    stream = moves_of(spark, given, [[("a", 1, 0), ("x", 1, 300)], [("x", 1, 301)], [("b", 3, 200)], [("x", 1, 2000)]])
     found = progress_alarms.stuck_alarms(stream, "2 hours", "1 hour", str(tmp_path / "alarms"))
     assert sorted(r.email_instance_id for r in found.collect()) == ["a", "x"]
     assert plans and "Python" not in plans[0] and "PySpark" not in plans[0]
