@@ -15,16 +15,21 @@ from attemptlog.functions.stages import FAILED, resume_stage
 
 #: Lists up to this length become part of the filter that a stored log is read with.
 SHORT = 64
+#: Rows of a list that are fetched, without a shuffle, to see whether it is short.
+PROBED = 16 * SHORT
 
 
 def having(df: DataFrame, wanted: DataFrame, short: int = 0) -> DataFrame:
     """Rows whose key is in the list ``wanted``: nothing is shuffled where the list is short.
 
     Up to ``short`` different keys are fetched first and reach the files of ``df``, where row
-    groups without them are skipped; of a longer list no more than that is fetched.
+    groups without them are skipped; a longer list is told by its first rows, as many as ``PROBED``.
     """
     if short:
-        keys = wanted.distinct().limit(short + 1).collect()
+        first = wanted.limit(PROBED).collect()
+        keys = set(first)
+        if len(keys) <= short and len(first) == PROBED:
+            keys = set(wanted.distinct().limit(short + 1).collect())
         if len(keys) <= short:
             for c in wanted.columns:
                 values = list({k[c] for k in keys} - {None})

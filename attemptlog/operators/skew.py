@@ -10,11 +10,17 @@ which a side is still arranged for a ranking or an aggregate.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attemptlog.session import materialize
 
+#: Rows drawn for each range.
+SAMPLED = 60
+
 
 def order_within(
     df: DataFrame,
@@ -68,16 +74,53 @@ def order_across(
     shared folder, which fixes them. Each one is numbered on its own; only keys that go on beyond a
     range, two for each at most, need what lies before.
     """
-    previous = previous or {}
     ranged = df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id())
     ranged = materialize(ranged, "ranged")
+    return _over_ranges(df.columns, ranged, _same, ranged, keys, order, number, previous or {})
+
+
+def order_between(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    number: str,
+    previous: dict[str, str] | None = None,
+) -> DataFrame:
+    """As ``order_across``, with the rows shuffled once and not written: ``df`` is read four times.
+
+    The bounds are drawn from a sample and written to the shared folder, which fixes them. Only keys of
+    bounds go on beyond a range: what lies before is as many rows as there are ranges, and is written.
+    """
+    columns = [*keys, *order]
+    bounds = _bounds(df, columns)
+    ranged = _in_ranges(df, bounds, columns)
+    cut = bounds.select(F.explode(F.flatten("fine")).alias("at")).select(*[f"at.{k}" for k in keys])
+    cut = _same(ranged, materialize(cut.distinct(), "cut-keys"), keys)
+
+    def joined(left, right, on, how):
+        return _same(left, materialize(right, "joints"), on, how)
+
+    return _over_ranges(df.columns, ranged, joined, cut, keys, order, number, previous or {})
+
+
+def _over_ranges(
+    columns: list[str],
+    ranged: DataFrame,
+    join: Callable[..., DataFrame],
+    cut: DataFrame,
+    keys: list[str],
+    order: list[str],
+    number: str,
+    previous: dict[str, str],
+) -> DataFrame:
+    """Rows numbered per ``_range``, joined up by the rows of ``cut``: those of keys in several ranges."""
     within = Window.partitionBy("_range", *keys).orderBy(*order)
     local = ranged.withColumn("_place", F.row_number().over(within)).withColumns(
         {f"_own_{name}": F.lag(source).over(within) for name, source in previous.items()}
     )
     sources = [F.col(s).alias(name) for name, s in previous.items()]
     last = F.max_by(F.struct(F.lit(True).alias("_any"), *sources), F.struct(*order))
-    spans = ranged.groupBy(*keys, "_range").agg(
+    spans = cut.groupBy(*keys, "_range").agg(
         F.count(F.lit(1)).alias("_rows"), *([last.alias("_last")] if previous else [])
     )
     along = Window.partitionBy(*keys).orderBy("_range")
@@ -88,10 +131,10 @@ def order_across(
         before.alias("_before"),
         *([F.lag("_last").over(along).alias("_joint")] if previous else []),
     ).filter("_before IS NOT NULL")
-    joined = _same(local, joints, ["_range", *keys], "left")
+    joined = join(local, joints, ["_range", *keys], "left")
     opens = (F.col("_place") == 1) & F.lit(bool(previous))
     return joined.select(
-        *df.columns,
+        *columns,
         (F.col("_place") + F.coalesce("_before", F.lit(0))).alias(number),
         *[
             F.when(opens, F.col(f"_joint.{name}")).otherwise(F.col(f"_own_{name}")).alias(name)
@@ -100,6 +143,30 @@ def order_across(
     )
 
 
+def _bounds(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row, of ``fine``: bounds of ranges of about equal size, in groups, and ``coarse``: their first ones."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(1.0, ranges * SAMPLED / max(1, df.count()))
+    drawn = df.select(F.struct(*columns).alias("at")).sample(share, seed=1)
+    drawn = drawn.agg(F.array_sort(F.collect_list("at")).alias("drawn"))
+    every = F.filter("drawn", lambda _, i: i % SAMPLED == SAMPLED // 2)
+    group = math.isqrt(ranges) + 1
+    groups = F.sequence(F.lit(0), F.floor((F.greatest(F.size("every"), F.lit(1)) - 1) / group).cast("int"))
+    fine = F.transform(groups, lambda g: F.slice("every", g * group + 1, group))
+    coarse = F.transform(F.slice("fine", 2, ranges), lambda g: F.get(g, F.lit(0)))
+    cut = drawn.select(every.alias("every")).select(fine.alias("fine"))
+    return materialize(cut.withColumn("coarse", coarse), "bounds")
+
+
+def _in_ranges(df: DataFrame, bounds: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with the number of their range: their group by the coarse bounds, then their place in it."""
+    held = df.withColumn("_bounds", bounds.select(F.struct("coarse", "fine")).scalar())
+    row = F.struct(*columns)
+    upto = lambda found: F.size(F.filter(found, lambda b: b <= row))
+    group, widest = upto(F.col("_bounds.coarse")), F.size(F.get("_bounds.fine", F.lit(0)))
+    return held.withColumn("_range", group * (widest + 1) + upto(F.get("_bounds.fine", group))).drop("_bounds")
+
+
 def running_sum(
     df: DataFrame, keys: list[str], order: list[str], pieces: list[Column], value: str, name: str
 ) -> DataFrame:

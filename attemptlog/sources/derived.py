@@ -18,7 +18,7 @@ from attemptlog.functions.stages import (
     status_name_of,
     tracking_status,
 )
-from attemptlog.operators.skew import order_within, time_pieces
+from attemptlog.operators.skew import order_between
 from attemptlog.sources.schemas import EVENTS, LAYOUTS, OTHER_LAYOUTS
 
 ACTIVITY = "CAST(user_id AS STRING) || '-' || CAST(CAST(ts AS DATE) AS STRING)"
@@ -98,11 +98,10 @@ def attempt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attempts(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """The attempt log: the n-th event of an activity is its n-th attempt."""
     rows = keyed_events(spark, sf_dir).filter("event_type <> 'view'").filter(where)
-    numbered = order_within(
+    numbered = order_between(
         rows,
         ["activity_id"],
         ["ts", "event_id"],
-        time_pieces(rows, "ts", "event_id"),
         "attempt_number",
         {"previous_email_instance_id": "event_id"},
     ).withColumn("attempt_number", F.col("attempt_number").cast("int"))

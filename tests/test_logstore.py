@@ -268,3 +268,50 @@ def test_rows_are_worked_out_once(spark, log, tmp_path):
     many = log.mapInArrow(counted, log.schema)
     LogStore(spark, str(tmp_path), 2).append(many, "1")
     assert seen.value == log.count()
+
+
+def test_a_batch_that_is_done_is_left_alone(spark, tmp_path):
+    """Also after a merge, whose rows lie under the name of the last batch."""
+    store = LogStore(spark, str(tmp_path), 2)
+    batches = {n: attempts(spark, [(f"i{n}", f"a{n}", 1, None, 1, 1)]) for n in ("1", "2")}
+    for n, made in batches.items():
+        store.append(made, n)
+    store.compact_latest()
+    before = sorted(pathlib.Path(tmp_path).glob("latest/*/*"))
+    store.append(batches["2"], "2")
+    assert sorted(pathlib.Path(tmp_path).glob("latest/*/*")) == before
+    assert sorted(r.activity_id for r in store.latest().collect()) == ["a1", "a2"]
+
+
+def test_latest_rows_are_shuffled_once(spark, log, tmp_path, monkeypatch):
+    """The ranking's shuffle is the one that the buckets need."""
+    plans = []
+    monkeypatch.setattr(LogStore, "_overwrite_latest", lambda self, rows, batch: plans.append(final_plan(rows)))
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    LogStore(spark, str(tmp_path), 3).append(log, "1")
+    assert plans[0].count("Exchange ") == 1 and "hashpartitioning(activity_id" in plans[0]
+    assert ", 3)" in plans[0].split("hashpartitioning(activity_id")[1].split("\n")[0]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == own
+
+
+def test_keys_are_written_where_their_rows_are(spark, log, tmp_path):
+    """No shuffle: every task that reads rows writes their keys, sorted; a shuffle had joined these few up."""
+    store = LogStore(spark, str(tmp_path), 2)
+    good = log.withColumn("created_day", F.to_date("created_date_time"))
+    good.repartition(3).write.parquet(str(tmp_path / "good"))
+    read = spark.read.parquet(str(tmp_path / "good"))
+    store._write_keys(read, "1")
+    files = list(pathlib.Path(tmp_path).glob("keys/batch=1/kind=id/*.parquet"))
+    assert len(files) == read.rdd.getNumPartitions() > 1
+    for f in files:
+        keys = [r.key for r in spark.read.parquet(str(f)).collect()]
+        assert keys == sorted(keys)
+    assert store._keys("id").count() == log.count()
+    assert rows(store._keys("activity").select("key").distinct()) == rows(log.select("activity_id").distinct())
+
+
+def test_repeats_do_not_make_a_list_long(spark, store, log):
+    one = log.select("activity_id").limit(3)
+    many = one.crossJoin(spark.range(2_000)).select("activity_id")
+    found = store.attempts_of(many)
+    assert "Join" not in final_plan(found) and rows(found) == rows(store.attempts_of(one))

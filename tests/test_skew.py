@@ -11,7 +11,7 @@ from attemptlog.operators import latest
 from attemptlog.operators.links import lineage_parent
 from attemptlog.operators.quality import sequence_breaks
 from attemptlog.operators.quantiles import exact_quantiles
-from attemptlog.operators.skew import join_unique, order_across, order_within, spread_nulls
+from attemptlog.operators.skew import join_unique, order_across, order_between, order_within, spread_nulls
 from attemptlog.plans.b1_write import b1_write
 from attemptlog.session import materialize
 from attemptlog.sources import derived
@@ -75,6 +75,24 @@ def test_order_across_equals_a_plain_window(spark, skewed):
     assert order_across(skewed.limit(0), ["k"], ["place", "id"], "n").count() == 0
 
 
+def test_order_between_equals_a_plain_window(spark, skewed):
+    """NULL keys too; ranges cut the busy key, and its rows are shuffled once."""
+    none = skewed.withColumn("k", F.when(F.col("id") % 17 != 0, F.col("k")))
+    w = Window.partitionBy("k").orderBy("place", "id")
+    want = none.select(
+        "id", "k", "place", F.row_number().over(w).cast("long"), F.lag("id").over(w), F.lag("place").over(w)
+    )
+    got = order_between(none, ["k"], ["place", "id"], "n", {"before": "id", "before_place": "place"})
+    assert rows(got) == rows(want)
+    assert final_plan(got).count("Exchange hashpartitioning") == 1
+    assert final_plan(derived.attempts(spark, "/root/testdata/sf0.001")).count("Exchange hashpartitioning") == 1
+    few = none.filter("id < 40")
+    for part in (few, few.limit(1), few.limit(0)):
+        part = materialize(part, "part")
+        plain = part.select("id", F.row_number().over(w).cast("long"))
+        assert rows(order_between(part, ["k"], ["place", "id"], "n").select("id", "n")) == rows(plain)
+
+
 def test_one_prefix_and_one_second_are_cut(spark, monkeypatch):
     """Most rows are of one key and one second, their ids begin alike: each range has its share."""
     from attemptlog.operators import skew
