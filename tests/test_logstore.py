@@ -315,3 +315,30 @@ def test_repeats_do_not_make_a_list_long(spark, store, log):
     many = one.crossJoin(spark.range(2_000)).select("activity_id")
     found = store.attempts_of(many)
     assert "Join" not in final_plan(found) and rows(found) == rows(store.attempts_of(one))
+
+
+def test_rows_are_written_apart_only_if_some_are_broken(spark, log, tmp_path, monkeypatch):
+    kept = []
+    own = logstore.materialize
+    monkeypatch.setattr(logstore, "materialize", lambda df, name: kept.append(name) or own(df, name))
+    store = LogStore(spark, str(tmp_path), 2)
+    store.append(log, "1")
+    assert "judged" not in kept and store.log().count() == log.count() and store.rejected().count() == 0
+    store.append(log.limit(5), "2")
+    assert "judged" in kept and store.log().count() == log.count() and store.rejected().count() == 5
+
+
+def test_a_change_that_is_stored_moves_no_rows(spark, log, tmp_path, monkeypatch):
+    store = LogStore(spark, str(tmp_path), 2)
+    store.append(log, "1")
+    cases = derived.case_snapshot(log.withColumn("email_instance_id", F.col("email_instance_id").cast("long")))
+    events = stage_events(spark, [(r.email_instance_id, 8, 1) for r in log.limit(3).collect()])
+    store.flag_feedback(cases, FIELDS, "2")
+    store.fold(events, "3")
+    want = rows(store.log())
+    kept = []
+    own = logstore.materialize
+    monkeypatch.setattr(logstore, "materialize", lambda df, name: kept.append(name) or own(df, name))
+    store.flag_feedback(cases, FIELDS, "4")
+    store.fold(events, "5")
+    assert kept == [] and rows(store.log()) == want
