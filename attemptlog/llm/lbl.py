@@ -6,12 +6,14 @@ words share by hash, unseen ones included. It predicts a word from the two befor
 context vector is a weighted sum of their vectors, an outcome's score its product with the outcome's
 vector plus a bias. It is trained with noise-contrastive estimation on all training texts: in
 each of ``ROUNDS`` rounds every task starts from the same parameters, makes one pass over its
-texts in mini-batches, and hands back its parameters, which are averaged as a tree, by tokens.
+texts in mini-batches, and hands back its parameters, which are averaged as a tree, by tokens. The
+tokens of a mini-batch share their noise; ``TOGETHER`` of them change the parameters at once.
 
 Token log-probabilities are normalised in two levels: outcomes are in classes, of neighbours by
 frequency, which are trained as outcomes of their own; an outcome's probability is that of its class
 among the classes times its own among the members of the class, by batched matrix products. Classes
-hold a sum of 1 of square roots of frequencies, which makes the fewest products. A word of a group
+hold a sum of 1 of square roots of frequencies, which makes the fewest products. A context's score of a
+class is a sum over its two words, so the exponentials are products from two tables, made once a task. A word of a group
 has the probability of the group times its share (count + 1) in it, one share standing for
 unseen words.
 
@@ -44,6 +46,12 @@ END, FIRST = 0, 1
 #: The end of a text among the word hashes.
 END_HASH = 1
 SIZE, BATCH, NOISE, ROUNDS, RATE, FAN = 16, 256, 32, 1, 0.1, 8
+#: Mini-batches, each with noise of its own, that change the parameters at once.
+TOGETHER = 4
+#: Sums of exponentials that a float holds with all its digits; others are taken anew, from their largest.
+HELD_SUMS = (1e-30, 1e30)
+#: Scores that are worked out at a time.
+CELLS = 1 << 17
 #: Distinct words a task holds before it writes counts out.
 HELD = 1 << 21
 _HASHER = WordHasher()
@@ -163,7 +171,7 @@ def group_counts(counts: DataFrame, known: Known) -> tuple[np.ndarray, np.ndarra
 
 
 class Model:
-    """Input vectors, output vectors, biases and the weights of the two context places.
+    """Input vectors, output vectors with their biases, and the weights of the two context places.
 
     Outputs are the words and after them their classes, which are ranges of words.
     """
@@ -172,23 +180,35 @@ class Model:
         rng = np.random.default_rng(7)
         self.n = n = len(unigram)
         self.noise = unigram
-        self.class_of = self.first = None
+        self.class_of = self.first = self.tables = None
         if classes:
             room = np.floor(np.cumsum(np.sqrt(unigram)))
             self.first = np.flatnonzero(np.diff(room, prepend=-1.0))
             self.class_of = np.repeat(np.arange(len(self.first)), np.diff(self.first, append=n))
             self.noise = np.concatenate([unigram, np.add.reduceat(unigram, self.first)])
         self.r = (rng.normal(size=(n, SIZE)) * 0.1).astype(np.float32)
-        self.q = (rng.normal(size=(len(self.noise), SIZE)) * 0.1).astype(np.float32)
-        self.b = np.log(self.noise).astype(np.float32)
+        vectors = rng.normal(size=(len(self.noise), SIZE)) * 0.1
+        self.o = np.concatenate([vectors, np.log(self.noise)[:, None]], axis=1).astype(np.float32)
         self.c = np.array([[1.0], [0.5]], np.float32) * np.ones((2, SIZE), np.float32)
 
+    @property
+    def q(self) -> np.ndarray:
+        return self.o[:, :SIZE]
+
+    @q.setter
+    def q(self, vectors: np.ndarray) -> None:
+        self.o[:, :SIZE] = vectors
+
+    @property
+    def b(self) -> np.ndarray:
+        return self.o[:, SIZE]
+
     def get(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in (self.r, self.q, self.b, self.c)])
+        return np.concatenate([p.ravel() for p in (self.r, self.o, self.c)])
 
     def put(self, flat: np.ndarray) -> Model:
         at = 0
-        for name in ("r", "q", "b", "c"):
+        for name in ("r", "o", "c"):
             shape = getattr(self, name).shape
             n = int(np.prod(shape))
             setattr(self, name, flat[at : at + n].reshape(shape).astype(np.float32))
@@ -196,36 +216,71 @@ class Model:
         return self
 
     def context(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.r[one] * self.c[0] + self.r[two] * self.c[1]
+        return self.r.take(one, axis=0) * self.c[0] + self.r.take(two, axis=0) * self.c[1]
+
+    def biased(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Context vectors and a 1, which the bias is multiplied by."""
+        h = np.ones((len(one), SIZE + 1), np.float32)
+        h[:, :SIZE] = self.context(one, two)
+        return h
 
     def sums(self, h: np.ndarray, low: int, high: int) -> np.ndarray:
-        """Logarithm of the sum over a range of outputs, for every context vector."""
-        scored = h @ self.q[low:high].T + self.b[low:high]
-        top = scored.max(axis=1)
-        scored -= top[:, None]
-        return np.log(np.exp(scored, out=scored).sum(axis=1)) + top
+        """Logarithm of the sum over a range of outputs, for every context vector with its 1."""
+        outputs = np.ascontiguousarray(self.o[low:high].T)
+        out = np.empty(len(h))
+        for i in range(0, len(h), step := max(256, CELLS // (high - low))):
+            part = h[i : i + step]
+            scored = part @ outputs
+            with np.errstate(over="ignore"):
+                total = np.exp(scored, out=scored) @ np.ones(high - low, np.float32)
+            far = np.flatnonzero(~((total > HELD_SUMS[0]) & (total < HELD_SUMS[1])))
+            total[far] = 1
+            out[i : i + step] = np.log(total)
+            if len(far):
+                scored = part[far] @ outputs
+                top = scored.max(axis=1)
+                scored -= top[:, None]
+                out[i + far] = np.log(np.exp(scored).sum(axis=1)) + top
+        return out
 
     def normalisers(self) -> np.ndarray:
         """Logarithm of the sum over all words, for every context (one, two)."""
         everyone = np.arange(self.n)
-        return np.stack([self.sums(self.context(np.full(self.n, one), everyone), 0, self.n) for one in everyone])
+        return np.stack([self.sums(self.biased(np.full(self.n, one), everyone), 0, self.n) for one in everyone])
+
+    def class_sums(self, one: np.ndarray, two: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """As ``sums`` over the classes: a class's exponential is a product, of one for each context word."""
+        if self.tables is None:
+            self.tables = []
+            for weights, bias in ((self.c[0], self.b[self.n :]), (self.c[1], 0)):
+                scored = (self.r * weights) @ self.q[self.n :].T + bias
+                top = scored.max(axis=1)
+                scored -= top[:, None]
+                self.tables.append((np.exp(scored, out=scored), top))
+        (first, first_top), (second, second_top) = self.tables
+        total = np.empty(len(one), np.float32)
+        for i in range(0, len(one), step := max(256, CELLS // len(self.first))):
+            s = slice(i, i + step)
+            np.einsum("ij,ij->i", first.take(one[s], axis=0), second.take(two[s], axis=0), out=total[s])
+        far = np.flatnonzero(total <= HELD_SUMS[0])
+        total[far] = 1
+        out = np.log(total) + first_top.take(one) + second_top.take(two).astype(np.float64)
+        out[far] = self.sums(h[far], self.n, len(self.o))
+        return out
 
     def logs(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural logarithms of the words' probabilities: of the class, and within it."""
-        of = self.class_of[word]
-        order = np.argsort(of, kind="stable")
-        word, of = word[order], of[order]
-        h = self.context(one[order], two[order])
-        product = lambda at: np.einsum("ij,ij->i", h, self.q[at]) + self.b[at]
-        found = (product(word) + product(self.n + of)).astype(np.float64)
-        for i in range(0, len(word), 1 << 12):
-            found[i : i + (1 << 12)] -= self.sums(h[i : i + (1 << 12)], self.n, len(self.b))
+        of = self.class_of.take(word)
+        order = np.argsort(of.astype(np.uint16), kind="stable")
+        word, of, one, two = (x.take(order) for x in (word, of, one, two))
+        h = self.biased(one, two)
+        product = lambda at: np.einsum("ij,ij->i", h, self.o.take(at, axis=0))
+        found = (product(word) + product(self.n + of)).astype(np.float64) - self.class_sums(one, two, h)
         cuts = np.searchsorted(of, np.arange(len(self.first) + 1))
         ends = np.append(self.first[1:], self.n)
         for c in np.flatnonzero(np.diff(cuts)):
-            for i in range(cuts[c], cuts[c + 1], 1 << 12):
-                s = slice(i, min(i + (1 << 12), cuts[c + 1]))
-                found[s] -= self.sums(h[s], self.first[c], ends[c])
+            s = slice(cuts[c], cuts[c + 1])
+            found[s] -= self.sums(h[s], self.first[c], ends[c])
         out = np.empty(len(word))
         out[order] = found
         return out
@@ -242,65 +297,87 @@ def examples(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return one, two
 
 
+def less_sigmoid(x: np.ndarray) -> np.ndarray:
+    """Less the sigmoid of ``x``, in its place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x += 1
+    x *= -0.5
+    return x
+
+
 class Trainer:
     """Mini-batches of noise-contrastive estimation with a step size per parameter."""
 
     def __init__(self, model: Model, seed: int):
         self.model, self.rng = model, np.random.default_rng(seed)
-        self.seen = [np.full_like(p, 1e-2) for p in (model.r, model.q, model.b, model.c)]
+        self.seen = [np.full_like(p, 1e-2) for p in (model.r, model.o, model.c)]
         self.cumulated = np.cumsum(model.noise[: model.n])
+        self.level = np.log(NOISE * model.noise).astype(np.float32)
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+        """Learn from all tokens: from whole mini-batches together, then from the rest."""
+        whole = len(word) - len(word) % BATCH
+        for s, parts in ((slice(0, whole), whole // BATCH), (slice(whole, None), 1)):
+            if len(word[s]):
+                self._step(word[s], one[s], two[s], parts)
+
+    def _outputs(self, words: np.ndarray) -> np.ndarray:
+        """Words and, after them, their classes, which are outcomes of their own."""
         m = self.model
-        noise = np.searchsorted(self.cumulated, self.rng.random(NOISE) * self.cumulated[-1])
-        noise = np.minimum(noise, m.n - 1)
-        first, second = m.r[one], m.r[two]
-        h = first * m.c[0] + second * m.c[1]
-        level = lambda w: np.log(NOISE * m.noise[w]).astype(np.float32)
-        reals, fakes = [word], [noise]
-        if m.class_of is not None:
-            # The classes of noise words are noise for the classes.
-            reals.append(m.n + m.class_of[word])
-            fakes.append(m.n + m.class_of[noise])
-        fake_at = np.concatenate(fakes)
-        others = m.q[fake_at]
+        if m.class_of is None:
+            return words
+        # The classes of noise words are noise for the classes.
+        return np.concatenate([words, m.n + m.class_of.take(words)], axis=-1)
+
+    def _step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray, parts: int) -> None:
+        m, size, wide = self.model, len(word), SIZE + 1
+        m.tables = None
+        noise = np.searchsorted(self.cumulated, self.rng.random((parts, NOISE)) * self.cumulated[-1])
+        fake_at, real_at = self._outputs(np.minimum(noise, m.n - 1)), self._outputs(word)
+        both = np.concatenate([one, two])
+        first, second = m.r.take(both, axis=0).reshape(2, size, SIZE)
+        h = np.ones((size, wide), np.float32)
+        h[:, :SIZE] = first * m.c[0] + second * m.c[1]
+        by_part = h.reshape(parts, -1, wide)
+        others = m.o.take(fake_at, axis=0)
         # Less the sigmoid of what the model gives the noise.
-        fake = h @ others.T
-        fake += m.b[fake_at] - level(fake_at)
-        np.exp(np.negative(fake, out=fake), out=fake)
-        fake += 1
-        np.divide(-1, fake, out=fake)
-        to_h, to_q, to_b = fake @ others, [], []
-        for real_at in reals:
-            target = m.q[real_at]
-            real = 1 - 1 / (1 + np.exp(level(real_at) - m.b[real_at] - np.einsum("ij,ij->i", h, target)))
-            to_h += real[:, None] * target
-            to_q.append(real[:, None] * h)
-            to_b.append(real)
-        at, to_q, to_b = [*reals, fake_at], [*to_q, fake.T @ h], [*to_b, fake.sum(axis=0)]
-        c = np.stack([(to_h * first).sum(axis=0), (to_h * second).sum(axis=0)])
-        scale = 1 / math.sqrt(len(word))
-        outputs = np.concatenate([np.concatenate(to_q), np.concatenate(to_b)[:, None]], axis=1)
-        at, outputs = self._spread(np.concatenate(at), outputs)
-        inputs, r = self._spread(np.concatenate([one, two]), np.concatenate([to_h * m.c[0], to_h * m.c[1]]))
+        fake = by_part @ others.transpose(0, 2, 1)
+        fake -= self.level.take(fake_at)[:, None]
+        less_sigmoid(fake)
+        target = m.o.take(real_at, axis=0).reshape(-1, size, wide)
+        real = self.level.take(real_at).reshape(-1, size) - np.einsum("ij,kij->ki", h, target)
+        real = -less_sigmoid(real)
+        to_h = (fake @ others).reshape(size, wide) + np.einsum("ki,kij->ij", real, target)
+        scale = np.float32(1 / math.sqrt(size))
+        to_h = to_h[:, :SIZE] * scale
+        h *= scale
+        outputs = np.empty((len(real_at) + fake_at.size, wide), np.float32)
+        np.multiply(real[:, :, None], h, out=outputs[: len(real_at)].reshape(-1, size, wide))
+        np.matmul(fake.transpose(0, 2, 1), by_part, out=outputs[len(real_at) :].reshape(parts, -1, wide))
+        c = np.stack([np.einsum("ij,ij->j", to_h, first), np.einsum("ij,ij->j", to_h, second)])
+        inputs = (to_h * m.c[:, None]).reshape(-1, SIZE)
+        # Fewer changes for as many tokens are longer ones.
+        rate = np.float32(RATE * parts**0.25)
         # Only rows with a gradient change.
-        for name, rows, gradient, seen in zip(
-            ("r", "q", "b", "c"),
-            (inputs, at, at, slice(None)),
-            (r, outputs[:, :SIZE], outputs[:, SIZE], c),
-            self.seen,
-        ):
-            gradient = (gradient * scale).astype(np.float32)
-            seen[rows] += gradient**2
-            getattr(m, name)[rows] += RATE * gradient / np.sqrt(seen[rows])
+        self._change(m.r, self.seen[0], *self._spread(both, inputs), rate)
+        self._change(m.o, self.seen[1], *self._spread(np.concatenate([real_at, fake_at.ravel()]), outputs), rate)
+        self._change(m.c, self.seen[2], np.arange(2), c, rate)
+
+    @staticmethod
+    def _change(table: np.ndarray, seen: np.ndarray, at: np.ndarray, gradient: np.ndarray, rate: np.float32) -> None:
+        total = gradient**2 + seen.take(at, axis=0)
+        seen[at] = total
+        table[at] = table.take(at, axis=0) + rate * gradient / np.sqrt(total)
 
     @staticmethod
     def _spread(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words in ``at``, and the sums of ``rows`` by word."""
-        order = np.argsort(at, kind="stable")
-        at = at[order]
-        starts = np.flatnonzero(np.diff(at, prepend=-1))
-        return at[starts], np.add.reduceat(rows[order], starts, axis=0)
+        # Numbers of two bytes are sorted by counting.
+        order = np.argsort(at.astype(np.min_scalar_type(at.max())), kind="stable")
+        at = at.take(order)
+        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        return at.take(starts), np.add.reduceat(rows.take(order, axis=0), starts, axis=0)
 
 
 def train(training: DataFrame, known: Known, unigram: np.ndarray) -> Model:
@@ -319,9 +396,10 @@ def train(training: DataFrame, known: Known, unigram: np.ndarray) -> Model:
                     ids = known.model(hashes)
                     one, two = examples(ids, bounds)
                     order = own.rng.permutation(len(ids))
-                    for i in range(0, len(ids), BATCH):
-                        at = order[i : i + BATCH]
-                        own.step(ids[at], one[at], two[at])
+                    ids, one, two = (x.take(order) for x in (ids, one, two))
+                    for i in range(0, len(ids), together := BATCH * TOGETHER):
+                        s = slice(i, i + together)
+                        own.step(ids[s], one[s], two[s])
                     total += len(ids)
             if total:
                 flat = own.model.get()

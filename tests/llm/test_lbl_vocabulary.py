@@ -106,3 +106,35 @@ def test_words_beyond_the_arrays_are_joined(spark, sf, monkeypatch):
     monkeypatch.setattr(lbl, "KNOWN", 50)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     check(lbl.score(docs, "doc_id", "text").collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_classes_cost_no_exponentials_per_token(monkeypatch):
+    """Sums over the classes come from tables, also where their scores lie very far apart."""
+    unigram = np.arange(1, 501) ** 2.0
+    for stretch in (9, 900):
+        model = lbl.Model(np.sort(unigram)[::-1] / unigram.sum(), classes=True)
+        model.r *= stretch
+        rng = np.random.default_rng(5)
+        one, two = rng.integers(0, 500, (2, 2000))
+        h = model.biased(one, two).astype(float)
+        scored = h @ model.o[model.n :].T.astype(float)
+        top = scored.max(axis=1)
+        want = np.log(np.exp(scored - top[:, None]).sum(axis=1)) + top
+        asked, plain = [], lbl.Model.sums
+        monkeypatch.setattr(lbl.Model, "sums", lambda m, h, low, high: asked.append(len(h)) or plain(m, h, low, high))  # noqa: B023
+        assert np.allclose(model.class_sums(one, two, h.astype(np.float32)), want, rtol=1e-4, atol=1e-4)
+        monkeypatch.setattr(lbl.Model, "sums", plain)
+        assert (sum(asked) == 0) == (stretch == 9)
+
+
+def test_mini_batches_change_the_parameters_together(monkeypatch):
+    """Every token is learnt from, with the noise of its mini-batch; what is left over makes one more change."""
+    model = lbl.Model(np.full(600, 1 / 600), classes=True)
+    trainer = lbl.Trainer(model, 1)
+    calls, plain = [], trainer._step
+    monkeypatch.setattr(trainer, "_step", lambda w, o, t, parts: calls.append((len(w), parts)) or plain(w, o, t, parts))
+    word = np.arange(lbl.BATCH * lbl.TOGETHER + 5) % 600
+    before = model.o.copy()
+    trainer.step(word, word, word)
+    assert calls == [(lbl.BATCH * lbl.TOGETHER, lbl.TOGETHER), (5, 1)]
+    assert (model.o != before).any(axis=1).all()
