@@ -173,16 +173,19 @@ def _on_worker(ranks: dict[bytes, int], pattern: str) -> Tokenizer:
     return _READY[key]
 
 
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, pa.int32()))
+
+
 def encode(df: DataFrame, keep: list[str], text: str, path: str, pattern: str) -> DataFrame:
     """Columns ``keep`` and ``ids`` (array of int) of every row's whole ``text``."""
     tokenizer = Tokenizer(load_ranks(path), pattern)
 
     def rows(column: pa.Array, *kept: pa.Array) -> dict:
         ids = [tokenizer.ids(t) for t in column.to_pylist()]
-        bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-        values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, pa.int32()))
-        return {f"k{i}": k for i, k in enumerate(kept)} | {"ids": lists}
+        return {f"k{i}": k for i, k in enumerate(kept)} | {"ids": _lists(ids)}
 
     return _run(df, [text, *keep], keep, "ids array<int>", rows)
 
@@ -206,14 +209,23 @@ def _run(df, columns, keep, made, rows) -> DataFrame:
     out = map_rows(
         df.select(*named), [f"c{i}" for i in range(len(columns))], ", ".join([*fields, made]), rows
     )
-    result = made.split()[0]
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], result)
+    results = [field.split()[0] for field in made.split(", ")]
+    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *results)
 
 
 def round_trip(df: DataFrame, key: str, text: str, path: str, pattern: str) -> DataFrame:
-    """Per row: key, ``ids`` of the text and ``decoded`` bytes of the ids."""
-    encoded = encode(df, [key], text, path, pattern)
-    return decode(encoded, [key, "ids"], "ids", path)
+    """Per row: key, ``ids`` of the text and ``decoded`` bytes of the ids.
+
+    As ``encode`` and then ``decode``, in one step: two would need two Python workers in every task.
+    """
+    tokenizer = Tokenizer(load_ranks(path), pattern)
+
+    def rows(column: pa.Array, *kept: pa.Array) -> dict:
+        ids = [tokenizer.ids(t) for t in column.to_pylist()]
+        decoded = pa.array([tokenizer.text(x.astype(np.int64)).tobytes() for x in ids], pa.binary())
+        return {f"k{i}": k for i, k in enumerate(kept)} | {"ids": _lists(ids), "decoded": decoded}
+
+    return _run(df, [text, key], [key], "ids array<int>, decoded binary", rows)
 
 
 def digests(

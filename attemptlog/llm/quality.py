@@ -42,6 +42,8 @@ SURE = 2.0
 #: Parts of the documents that are ranked on their own before all are.
 PARTS = 32
 KEEP = 0.5
+#: Bytes of rows that a task makes views of at a time. Text views are made of an eighth of it, in arrays of longs.
+PIECE = 1 << 21
 PAIRS, SOURCES, LANGS, LENGTHS = 512, 64, 16, 24
 TEXT_SIZE, PAGE_SIZE = 128 + PAIRS + 6, SOURCES + LANGS + LENGTHS + 6
 _SPACE = np.zeros(256, bool)
@@ -81,7 +83,7 @@ def _shares(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def text_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = texts_of(column)
-    parts = [_shares(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
+    parts = [_shares(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets, PIECE // 8)]
     if not parts:
         return np.zeros((0, TEXT_SIZE), np.float32), np.zeros(0, bool)
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -255,7 +257,7 @@ def _sampled(plain: DataFrame, ids: DataFrame) -> pa.Table:
         # At most as many as there are ids.
         first: dict = {}
         for batch in batches:
-            for piece in bounded(batch):
+            for piece in bounded(batch, PIECE):
                 (text, page), some = _views(piece)
                 for doc, t, p, has in zip(piece["doc"].to_pylist(), _packed(text), _packed(page), some):
                     if has and (doc not in first or (t, p) < first[doc]):
@@ -293,7 +295,7 @@ class Documents:
         def run(batches):
             best: dict[tuple, dict] = {key: {} for key in numbers}
             for batch in batches:
-                for piece in bounded(batch):
+                for piece in bounded(batch, PIECE):
                     views, some = _views(piece)
                     docs = piece["doc"].to_pylist()
                     for i, model in enumerate(models):
@@ -379,7 +381,7 @@ def classify(docs: DataFrame, key: str, labels: DataFrame, label_key: str, label
 def _scored(plain: DataFrame, model: CoTrained | None) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for piece in bounded(batch):
+            for piece in bounded(batch, PIECE):
                 views, some = _views(piece)
                 made = model.scores(views) if model else [np.ones(len(some))] * 3
                 made = [np.where(some, m, 0.0) for m in made]
@@ -403,7 +405,7 @@ def accepted(docs: DataFrame, key: str, labels: DataFrame, label_key: str, label
 
     def run(batches):
         for batch in batches:
-            for piece in bounded(batch):
+            for piece in bounded(batch, PIECE):
                 empty = pa.nulls(piece.num_rows, pa.string())
                 get = lambda c: piece[at[c]] if c in at else empty  # noqa: E731, B023
                 text, some = text_view(get("text"))

@@ -57,3 +57,11 @@ def test_unknown_id(spark):
     df = spark.createDataFrame([([99999999],)], "ids array<int>")
     with pytest.raises(Exception, match="vocabulary"):
         bpe.decode(df, [], "ids", RANKS).collect()
+
+
+def test_one_python_step_encodes_and_decodes(spark):
+    """Two steps keep two workers for every task, with the tables of both, as long as the pipeline runs."""
+    df = spark.createDataFrame([(1, "Hello  world")], "doc_id long, text string")
+    made = bpe.digests(df, "doc_id", "text", RANKS, public_tokenizers.PATTERN, keep_ids=True)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1, plan

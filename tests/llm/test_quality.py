@@ -135,3 +135,29 @@ def test_views_do_not_depend_on_slices():
     for i, text in enumerate(texts):
         own, has = quality.text_view(pa.array([text], pa.string()))
         assert own[0] == pytest.approx(whole[i], abs=1e-6) and has[0] == some[i]
+
+
+def test_views_of_a_batch_take_little_memory():
+    """A batch of 8 MB, as a task gets it, in pieces."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = pa.array(["Some words, of 12 letters. " * 120] * 2600)
+    model = quality.Logistic()
+    model.mean, model.scale, model.w, model.b = np.zeros(1), np.ones(1), np.ones(quality.TEXT_SIZE), 0.0
+
+    def run(batches):
+        for batch in batches:
+            views, _ = quality._views(batch)
+            yield model.logits(views[0])
+
+    none = pa.nulls(len(text), pa.string())
+    batch = pa.RecordBatch.from_arrays([text, none, none, none], names=["text", "source", "lang", "length"])
+    tracemalloc.start()
+    try:
+        rows = sum(len(x) for x in run(quality.bounded(batch, quality.PIECE)))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == len(text) and most < 30e6, most
